@@ -14,24 +14,34 @@ from pyspark.sql import functions as F
 EMPTY_STR_ARRAY = "array<string>"
 
 
+REGEX_META = ".$|()[{^?*+\\"
+
+
 def quote(sep: str) -> str:
-    """Quote a literal separator for Java regex."""
+    """Quote a literal separator for Java regex.  A single character keeps the
+    form that ``String.split`` handles without the regex engine."""
+    if len(sep) == 1:
+        return "\\" + sep if sep in REGEX_META else sep
     if "\\E" in sep:
         return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
     return "\\Q" + sep + "\\E"
 
 
 def strip_trailing(c: Column, sep: str) -> Column:
+    if len(sep) == 1:
+        return F.rtrim(c, F.lit(sep))
     return F.regexp_replace(c, f"(?:{quote(sep)})+\\z", "")
 
 
 def strip_leading(c: Column, sep: str) -> Column:
+    if len(sep) == 1:
+        return F.ltrim(c, F.lit(sep))
     return F.regexp_replace(c, f"\\A(?:{quote(sep)})+", "")
 
 
 def java_split(c: Column, sep: str) -> Column:
     """``c.split(sep)`` with Java's rules; null stays null."""
     t = strip_trailing(c, sep)
-    return (F.when(c == F.lit(""), F.array(F.lit("")))
-            .when(t == F.lit(""), F.array().cast(EMPTY_STR_ARRAY))
-            .otherwise(F.split(t, quote(sep), -1)))
+    return (F.when(F.length(c) == 0, F.array(F.lit("")))
+            .otherwise(F.when(F.length(t) == 0, F.array().cast(EMPTY_STR_ARRAY))
+                       .otherwise(F.split(t, quote(sep), -1))))

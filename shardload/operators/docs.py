@@ -111,13 +111,15 @@ def negative_zero_last_key(c: Column) -> Column:
     return F.when((c == F.lit(0.0)) & c.cast("string").startswith("-"), F.lit(0)).otherwise(F.lit(1))
 
 
-def sort_numeric(df: DataFrame, col: str, descending: bool = False) -> DataFrame:
+def sort_numeric(df: DataFrame, col: str, descending: bool = False, then: tuple[str, ...] = ()) -> DataFrame:
     """Order by a float/double column with the index's total order:
-    ``-inf < … < -0.0 < 0.0 < … < inf < NaN``; nulls last."""
+    ``-inf < … < -0.0 < 0.0 < … < inf < NaN``; nulls last; ``then`` breaks ties."""
     c = F.col(col)
     if descending:
-        return df.orderBy(c.desc_nulls_last(), negative_zero_last_key(c).desc())
-    return df.orderBy(c.asc_nulls_last(), negative_zero_last_key(c).asc())
+        keys = [c.desc_nulls_last(), negative_zero_last_key(c).desc()]
+    else:
+        keys = [c.asc_nulls_last(), negative_zero_last_key(c).asc()]
+    return df.orderBy(*keys, *[F.col(t) for t in then])
 
 
 def to_wide(docs: DataFrame, schema: dict[str, str], multi: str = "first",

@@ -34,51 +34,71 @@ def columns_of(payload: Column, delim: str = DEFAULT_DELIM) -> Column:
     return F.flatten(F.transform(java_split(payload, delim), lambda cell: java_split(cell, ",")))
 
 
-def _field(p: Column, pos: Column) -> Column:
-    """One column's parts → field struct."""
-    n = F.size(p)
-    name0, val = F.get(p, 0), F.get(p, 1)
-    t = F.lower(F.get(p, 2))
+def _parts(c: Column) -> Column:
+    """Stage 1: the parts of one column, without building an array.
+
+    ``n`` is the Java part count of ``c.split(":")``; ``a``, ``v`` and ``t``
+    are parts 0, 1 and 2 (lower-cased type), valid when ``n`` is large enough.
+    """
+    t = F.rtrim(c, F.lit(":"))
+    n = (F.when(F.length(c) == 0, F.lit(1))
+         .when(F.length(t) == 0, F.lit(0))
+         .otherwise(F.length(t) - F.length(F.replace(t, F.lit(":"), F.lit(""))) + 1))
+    return F.struct(n.alias("n"),
+                    F.substring_index(t, ":", 1).alias("a"),
+                    F.substring_index(F.substring_index(t, ":", 2), ":", -1).alias("v"),
+                    F.lower(F.substring_index(F.substring_index(t, ":", 3), ":", -1)).alias("t"))
+
+
+def _typed(x: Column, pos: Column) -> Column:
+    """Stage 2: parts → field struct without the error."""
+    n, a, v, t = x["n"], x["a"], x["v"], x["t"]
     typ = (F.when(n == 1, F.lit("integer"))
            .when(n == 2, F.lit("string"))
-           .when((n >= 3) & t.isin(*NUMERIC_TYPES), t)
-           .when(n >= 3, F.lit("string")))
-    integral_ok = val.rlike(INTEGRAL)
-
-    def typed(type_name: str, spark_type: str, guard: Column | None = None) -> Column:
-        ok = typ == F.lit(type_name)
-        if guard is not None:
-            ok = ok & guard
-        return F.when(ok, val.try_cast(spark_type))
-
-    i = F.when(n == 1, F.lit(TAG_VALUE)).otherwise(typed("integer", "int", integral_ok))
-    l_ = typed("long", "bigint", integral_ok)
-    s = typed("short", "smallint", integral_ok)
-    f = typed("float", "float")
-    d = typed("double", "double")
-    st = F.when(typ == F.lit("string"), val)
-    value_missing = (F.when(typ == "integer", i.isNull())
-                     .when(typ == "long", l_.isNull())
-                     .when(typ == "short", s.isNull())
-                     .when(typ == "float", f.isNull())
-                     .when(typ == "double", d.isNull())
-                     .otherwise(F.lit(False)))
-    err = (F.when(n == 0, F.lit("malformed"))
-           .when(value_missing, F.concat(F.lit("bad_"), typ)))
+           .when(n >= 3, F.when(t.isin(*NUMERIC_TYPES), t).otherwise(F.lit("string"))))
+
+    def slot(type_name: str, spark_type: str, integral: bool = False) -> Column:
+        ok = (n >= 3) & (t == F.lit(type_name))
+        if integral:
+            ok = ok & v.rlike(INTEGRAL)
+        return F.when(ok, v.try_cast(spark_type))
+
     return F.struct(
         pos.cast("int").alias("pos"),
-        F.when(n == 1, F.concat(F.lit(TAG_PREFIX), name0)).when(n >= 2, name0).alias("name"),
+        F.when(n == 1, F.concat(F.lit(TAG_PREFIX), a)).when(n >= 2, a).alias("name"),
         typ.alias("type"),
-        F.when(n == 1, F.lit(str(TAG_VALUE))).otherwise(val).alias("raw"),
-        i.alias("i"), l_.alias("l"), s.alias("s"), f.alias("f"), d.alias("d"), st.alias("str"),
-        err.alias("error"),
+        F.when(n == 1, F.lit(str(TAG_VALUE))).when(n >= 2, v).alias("raw"),
+        F.when(n == 1, F.lit(TAG_VALUE)).otherwise(slot("integer", "int", True)).alias("i"),
+        slot("long", "bigint", True).alias("l"),
+        slot("short", "smallint", True).alias("s"),
+        slot("float", "float").alias("f"),
+        slot("double", "double").alias("d"),
+        F.when((n == 2) | ((n >= 3) & ~t.isin(*NUMERIC_TYPES)), v).alias("str"),
     )
 
 
+def _with_error(x: Column) -> Column:
+    """Stage 3: ``error`` from the parsed slots (no value parsed twice)."""
+    typ = x["type"]
+    missing = (F.when(typ == "integer", x["i"].isNull())
+               .when(typ == "long", x["l"].isNull())
+               .when(typ == "short", x["s"].isNull())
+               .when(typ == "float", x["f"].isNull())
+               .when(typ == "double", x["d"].isNull())
+               .otherwise(F.lit(False)))
+    err = F.when(typ.isNull(), F.lit("malformed")).when(missing, F.concat(F.lit("bad_"), typ))
+    return x.withField("error", err)
+
+
+def _fields_of_columns(cols: Column) -> Column:
+    staged = F.transform(cols, _parts)
+    typed = F.transform(staged, lambda x, k: _typed(x, k))
+    return F.transform(typed, _with_error)
+
+
 def parse_fields(payload: Column, delim: str = DEFAULT_DELIM) -> Column:
     """``array<field>`` of a payload; positions are 0-based over all columns."""
-    parts = F.transform(columns_of(payload, delim), lambda c: java_split(c, ":"))
-    return F.transform(parts, lambda p, k: _field(p, k))
+    return _fields_of_columns(columns_of(payload, delim))
 
 
 def has_error(fields: Column) -> Column:
@@ -94,7 +114,9 @@ def parse_docs(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "re
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    docs = keyed.select("_doc", "_id", parse_fields(F.col("payload"), delim).alias("fields"))
+    # The parse sits in a generator so that a filter on its result cannot be
+    # pushed below it and evaluate the whole parse a second time.
+    docs = keyed.select("_doc", "_id", F.explode(F.array(parse_fields(F.col("payload"), delim))).alias("fields"))
     if on_error == "reject":
         return docs.where(~has_error(F.col("fields")))
     if on_error == "fail":
@@ -110,7 +132,7 @@ def rejects(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
     cols = columns_of(F.col("payload"), delim)
     staged = keyed.select("_doc", "_id", cols.alias("_cols"))
     staged = staged.select("_doc", "_id", "_cols",
-                           F.transform("_cols", lambda c, k: _field(java_split(c, ":"), k)["error"]).alias("_err"))
+                           F.transform(_fields_of_columns(F.col("_cols")), lambda x: x["error"]).alias("_err"))
     return (staged.where(F.exists("_err", lambda e: e.isNotNull()))
             .select("_doc", "_id", F.posexplode(F.arrays_zip("_cols", "_err")).alias("pos", "z"))
             .where(F.col("z._err").isNotNull())

@@ -24,14 +24,18 @@ def oracle(name: str, sql: str) -> None:
 # --- shared SQL pieces ---------------------------------------------------------
 
 TEXT_LINES = ("SELECT unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS value FROM documents")
+# The same lines with a document key (source document, line number).
+TEXT_LINES_K = ("SELECT doc_id, unnest(range(1, len(arr) + 1)) AS ln, unnest(arr) AS value "
+                "FROM (SELECT doc_id, regexp_split_to_array(text, '\\r\\n|\\r|\\n') AS arr FROM documents)")
 
 
-def keyed_sql(lines: str, sep: str) -> str:
-    """Explicit-id split of ``lines(value)`` → ``(_id, payload)``."""
+def keyed_sql(lines: str, sep: str, carry: str = "") -> str:
+    """Explicit-id split of ``lines(value)`` → ``(_id, payload)`` (+ ``carry`` columns)."""
+    c = f"{carry}, " if carry else ""
     return f"""
-    SELECT split_part(s, '{sep}', 1) AS _id,
+    SELECT {c}split_part(s, '{sep}', 1) AS _id,
            regexp_replace(substr(s, strpos(s, '{sep}') + {len(sep)}), '^({sep})+', '') AS payload
-    FROM (SELECT regexp_replace(value, '({sep})+$', '') AS s FROM ({lines}))
+    FROM (SELECT {c}regexp_replace(value, '({sep})+$', '') AS s FROM ({lines}))
     WHERE strpos(s, '{sep}') > 0"""
 
 
@@ -51,15 +55,16 @@ def field_type_sql(p: str) -> str:
             f"WHEN len({p}) >= 3 THEN 'string' END)")
 
 
-def parsed_fields_sql(keyed: str, sep: str) -> str:
+def parsed_fields_sql(keyed: str, sep: str, carry: str = "") -> str:
     """``(_id, pos, name, type, str)`` of every column of ``keyed(_id, payload)``
     (string values only; numeric oracles use the table columns directly)."""
+    c = f"{carry}, " if carry else ""
     return f"""
-    SELECT _id, pos, {field_name_sql('p')} AS name, {field_type_sql('p')} AS type,
+    SELECT {c}_id, pos, {field_name_sql('p')} AS name, {field_type_sql('p')} AS type,
            CASE WHEN {field_type_sql('p')} = 'string' THEN p[2] END AS str
-    FROM (SELECT _id, CAST(gi - 1 AS INTEGER) AS pos, {java_split_sql('cols[gi]', ':')} AS p
-          FROM (SELECT _id, cols, unnest(range(1, len(cols) + 1)) AS gi
-                FROM (SELECT _id, {columns_sql('payload', sep)} AS cols FROM ({keyed}))))"""
+    FROM (SELECT {c}_id, CAST(gi - 1 AS INTEGER) AS pos, {java_split_sql('cols[gi]', ':')} AS p
+          FROM (SELECT {c}_id, cols, unnest(range(1, len(cols) + 1)) AS gi
+                FROM (SELECT {c}_id, {columns_sql('payload', sep)} AS cols FROM ({keyed}))))"""
 
 
 def orders_fields() -> str:
@@ -76,6 +81,9 @@ def orders_fields() -> str:
 
 
 LI_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey)"
+# Document key of a line item: the whole row (ids alone repeat).
+LI_DK = ("row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, "
+         "l_tax, l_returnflag, l_linestatus, l_shipdate)")
 
 
 def lineitem_fields() -> str:
@@ -101,10 +109,10 @@ def lineitem_fields() -> str:
     parts = []
     for i, (pos, name, typ, num, st) in enumerate(rows):
         if i == 0:
-            parts.append(f"SELECT {LI_ID} AS _id, CAST({pos} AS INTEGER) AS pos, {name} AS name, "
+            parts.append(f"SELECT {LI_DK} AS dk, {LI_ID} AS _id, CAST({pos} AS INTEGER) AS pos, {name} AS name, "
                          f"{typ} AS type, CAST({num} AS DOUBLE) AS num, CAST({st} AS VARCHAR) AS str FROM lineitem")
         else:
-            parts.append(f"SELECT {LI_ID}, {pos}, {name}, {typ}, {num}, {st} FROM lineitem")
+            parts.append(f"SELECT {LI_DK}, {LI_ID}, {pos}, {name}, {typ}, {num}, {st} FROM lineitem")
     return "\nUNION ALL ".join(parts)
 
 
@@ -164,3 +172,83 @@ oracle("q_shard_hist", f"""
 SELECT shard_id, name, type, count(*) AS n, min(num) AS min_num, max(num) AS max_num,
        min(str) AS min_str, max(str) AS max_str
 FROM ({orders_fields()}) GROUP BY shard_id, name, type""")
+
+
+# --- A3/A5/B7 ------------------------------------------------------------------
+
+oracle("q_auto_id", f"""
+SELECT count(*) AS n_docs, count(*) AS n_ids, 22 AS min_len, 22 AS max_len
+FROM ({TEXT_LINES}) WHERE value = '' OR regexp_replace(value, '( )+$', '') <> ''""")
+
+oracle("q_meta_schema", """
+SELECT c_custkey::VARCHAR AS _id, c_name AS name, c_nationkey AS nation, c_acctbal AS acctbal,
+       c_mktsegment AS segment, 0 AS _bad
+FROM customer""")
+
+oracle("q_empty_docs", f"""
+SELECT count(*) AS n_docs, count(*) FILTER (WHERE len(cols) = 0) AS n_empty,
+       CAST(sum(greatest(len(cols), 1)) AS BIGINT) AS n_outer_rows
+FROM (SELECT {columns_sql('payload', ' ')} AS cols FROM ({keyed_sql(TEXT_LINES, ' ')}))""")
+
+# --- C: document assembly ----------------------------------------------------
+
+oracle("q_source_json", f"""
+SELECT user_id::VARCHAR AS _id,
+       concat('{{"value":', value::VARCHAR, ',"type":', to_json(event_type), ',"props":',
+              to_json(split_part(props, ':', 1)), ',"ts":', {epoch_seconds_sql('ts')}, ',"eid":', event_id, '}}')
+         AS _source
+FROM events""")
+
+oracle("q_doc_meta", """
+SELECT 'parts' AS _index, 'part' AS _type, p_partkey::VARCHAR AS _id, 'part#' || p_partkey AS _uid,
+       CAST(1 AS BIGINT) AS _version
+FROM part""")
+
+
+def prefixes_sql(n: str) -> str:
+    return (f"list_transform(range(1, len(string_split({n}, '.')) + 1), "
+            f"lambda k: array_to_string(string_split({n}, '.')[1:k], '.'))")
+
+
+_TEXT_KEYED = keyed_sql(TEXT_LINES_K, ' ', carry="doc_id, ln")
+oracle("q_field_names", f"""
+SELECT field, count(*) AS n_docs FROM (
+  SELECT DISTINCT doc_id, ln, field FROM (
+    SELECT doc_id, ln, unnest({prefixes_sql('name')}) AS field
+    FROM ({parsed_fields_sql(_TEXT_KEYED, ' ', carry='doc_id, ln')}) WHERE name IS NOT NULL
+    UNION ALL
+    SELECT doc_id, ln, unnest(['_source', '_type', '_uid', '_version']) FROM ({_TEXT_KEYED})))
+GROUP BY field""")
+
+oracle("q_docvalues_num", f"""
+SELECT {LI_ID} AS _id,
+       array_to_string(list_sort([l_linenumber, CAST(trunc(l_quantity) AS INTEGER)]), ',') AS num_values,
+       2 AS n_values
+FROM lineitem""")
+
+oracle("q_docvalues_str", f"""
+SELECT {LI_ID} AS _id,
+       array_to_string(list_sort(list_distinct([l_returnflag, l_linestatus, l_returnflag])), ',') AS code_values,
+       CAST(len(list_distinct([l_returnflag, l_linestatus, l_returnflag])) AS INTEGER) AS n_values
+FROM lineitem""")
+
+oracle("q_sort_double", """
+SELECT _id, total, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT o_orderkey::VARCHAR AS _id, o_totalprice AS total,
+         row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey::VARCHAR) AS rank
+  FROM orders)
+WHERE rank <= 10""")
+
+oracle("q_wide", f"""
+SELECT {LI_ID} AS _id, l_quantity AS qty, l_linenumber AS line, l_partkey AS part,
+       CAST(l_discount AS FLOAT) AS disc, CAST({epoch_days_sql('l_shipdate')} AS SMALLINT) AS ship,
+       l_returnflag AS flag, l_returnflag AS code
+FROM lineitem""")
+
+oracle("q_infer_schema", f"""
+SELECT name, type, count(DISTINCT dk) AS docs, count(*) AS n_values
+FROM ({lineitem_fields()}) GROUP BY name, type""")
+
+oracle("q_all_text", """
+SELECT p_partkey::VARCHAR AS _id, concat_ws(' ', p_size, p_retailprice::VARCHAR, p_brand, p_type, '1') AS _all
+FROM part""")

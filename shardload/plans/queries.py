@@ -10,14 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shardload.operators.fields import fields_long, rejects
+from shardload.operators.docs import (all_text, doc_values, field_names, sort_numeric, source_json,
+                                      to_wide, with_doc_meta)
+from shardload.operators.fields import fields_long, infer_fields, rejects
 from shardload.operators.routing import route_hash
 from shardload.plans.build import numeric_value, parsed_docs
-from shardload.sources.lines import dropped_lines, keyed_lines
-from shardload.sources.tables import (docmeta_lines, events_lines, lineitem_lines, orders_lines,
-                                      part_lines, text_lines)
+from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema
+from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, events_lines,
+                                      lineitem_lines, orders_lines, part_lines, text_lines)
 
 SHARDS = 5
 SPACE = " "
@@ -127,3 +130,108 @@ def q_shard_hist(spark, sf):
             .agg(F.count(F.lit(1)).alias("n"),
                  F.min(v).alias("min_num"), F.max(v).alias("max_num"),
                  F.min("str").alias("min_str"), F.max("str").alias("max_str")))
+
+
+# --- A3/A5/B7: ids, external schema, empty documents ---------------------------
+
+@query
+def q_auto_id(spark, sf):
+    """A3: auto-id mode over the text lines: every kept line gets a unique
+    22-character id."""
+    keyed = keyed_lines(text_lines(spark, sf), delim=SPACE, auto_id=True)
+    return keyed.agg(F.count(F.lit(1)).alias("n_docs"),
+                     F.count_distinct("_id").alias("n_ids"),
+                     F.min(F.length("_id")).alias("min_len"),
+                     F.max(F.length("_id")).alias("max_len"))
+
+
+@query
+def q_meta_schema(spark, sf):
+    """A5: positional customer cells typed by an external ``name:type`` list."""
+    keyed = keyed_lines(customer_lines(spark, sf))
+    return parse_with_schema(keyed, CUSTOMER_META).select("_id", "name", "nation", "acctbal", "segment", "_bad")
+
+
+@query
+def q_empty_docs(spark, sf):
+    """Documents are kept even with no user field; per fixture, documents
+    and documents without fields (long form with ``explode_outer``)."""
+    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS)
+    return docs.agg(F.count(F.lit(1)).alias("n_docs"),
+                    F.count(F.when(F.size("fields") == 0, 1)).alias("n_empty"),
+                    F.sum(F.greatest(F.size("fields"), F.lit(1))).alias("n_outer_rows"))
+
+
+# --- C: document assembly ----------------------------------------------------
+
+@query
+def q_source_json(spark, sf):
+    """``_source`` of each event document (escaped strings, input order)."""
+    docs = parsed_docs(events_lines(spark, sf), shards=SHARDS)
+    return docs.select("_id", source_json("fields").alias("_source"))
+
+
+@query
+def q_doc_meta(spark, sf):
+    """Index, type, uid and version of each part document."""
+    docs = with_doc_meta(parsed_docs(part_lines(spark, sf), shards=SHARDS), "parts", "part")
+    return docs.select("_index", "_type", "_id", "_uid", "_version")
+
+
+@query
+def q_field_names(spark, sf):
+    """Documents per ``_field_names`` entry (dotted prefixes included)."""
+    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS)
+    return (docs.select(F.explode(field_names("fields")).alias("field"))
+            .groupBy("field").agg(F.count(F.lit(1)).alias("n_docs")))
+
+
+def _join_values(arr):
+    return F.array_join(F.transform(arr, lambda x: x.cast("string")), ",")
+
+
+@query
+def q_docvalues_num(spark, sf):
+    """C4: numeric doc values of ``num`` (sorted, duplicates kept)."""
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
+    dv = doc_values(docs, {"num": "integer"}, keep=("_id",))
+    return dv.select("_id", _join_values(F.col("num")).alias("num_values"), F.size("num").alias("n_values"))
+
+
+@query
+def q_docvalues_str(spark, sf):
+    """String doc values of ``code`` (sorted set)."""
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
+    dv = doc_values(docs, {"code": "string"}, keep=("_id",))
+    return dv.select("_id", F.array_join("code", ",").alias("code_values"), F.size("code").alias("n_values"))
+
+
+@query
+def q_sort_double(spark, sf):
+    """Top 10 orders by ``total`` (descending, index order for doubles)."""
+    docs = parsed_docs(orders_lines(spark, sf), shards=SHARDS)
+    wide = to_wide(docs, {"total": "double"})
+    top = sort_numeric(wide, "total", descending=True, then=("_id",)).limit(10)
+    return top.select("_id", "total",
+                      F.row_number().over(Window.orderBy(F.col("total").desc(), "_id")).alias("rank"))
+
+
+@query
+def q_wide(spark, sf):
+    """Typed wide table of the line items."""
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
+    return to_wide(docs, {"qty": "double", "line": "integer", "part": "long", "disc": "float",
+                          "ship": "short", "flag": "string", "code": "string"})
+
+
+@query
+def q_infer_schema(spark, sf):
+    """Names, declared types, documents and values of the line items."""
+    return infer_fields(parsed_docs(lineitem_lines(spark, sf), shards=SHARDS))
+
+
+@query
+def q_all_text(spark, sf):
+    """``_all`` catch-all text of each part document."""
+    docs = parsed_docs(part_lines(spark, sf), shards=SHARDS)
+    return docs.select("_id", all_text("fields").alias("_all"))

@@ -30,10 +30,22 @@ def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None
     return df.select("value", F.col("_metadata.file_path").alias("_file"))
 
 
-def with_doc_key(lines: DataFrame) -> DataFrame:
+def with_doc_key(lines: DataFrame, spread: bool = True) -> DataFrame:
     """Attach ``_doc``: partition-local position, stable under task retry for a
-    deterministic scan (same splits give the same keys)."""
-    return lines.withColumn("_doc", F.monotonically_increasing_id())
+    deterministic scan (same splits give the same keys).
+
+    With ``spread``, an input that arrives in fewer partitions than the
+    cluster has cores (one unsplittable file or row group, a gzip file) is
+    hash-partitioned on ``_doc`` so that the CPU-heavy parse runs on every
+    core.  Hash placement is deterministic, so a retried task sees the same
+    rows.  Inputs that are already wide enough are left as they are.
+    """
+    keyed = lines.withColumn("_doc", F.monotonically_increasing_id())
+    if spread:
+        cores = lines.sparkSession.sparkContext.defaultParallelism
+        if lines.rdd.getNumPartitions() < cores:
+            keyed = keyed.repartition(cores, "_doc")
+    return keyed
 
 
 def has_cells(value: Column, delim: str) -> Column:

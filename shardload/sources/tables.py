@@ -48,7 +48,8 @@ def _cell(*cols: Column) -> Column:
 
 
 def _keyed(df: DataFrame, value: Column) -> DataFrame:
-    return with_doc_key(df.select(value.alias("value")))
+    """Key the table rows (spreading a narrow scan over all cores) and encode."""
+    return with_doc_key(df).select(value.alias("value"), "_doc")
 
 
 def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,8 +133,9 @@ LINE_BREAK = "\r\n|\r|\n"
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document text, as a text scan of the documents
     would give them (``\\n``, ``\\r\\n`` and ``\\r`` end a line)."""
-    d = table(spark, sf_dir, "documents")
-    return _keyed(d.select(F.explode(F.split(F.col("text"), LINE_BREAK, -1)).alias("value")), F.col("value"))
+    d = table(spark, sf_dir, "documents").select("text")
+    lines = d.select(F.explode(F.split(F.col("text"), LINE_BREAK, -1)).alias("value"))
+    return with_doc_key(lines).select("value", "_doc")
 
 
 FIXTURES = {
@@ -144,3 +146,17 @@ FIXTURES = {
     "docmeta": docmeta_lines,
     "text": text_lines,
 }
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain positional cells, no self-description (for an external schema):
+    ``c_custkey \\t c_name \\t c_nationkey \\t c_acctbal \\t c_mktsegment``."""
+    c = table(spark, sf_dir, "customer")
+    return _keyed(c, _line(F.col("c_custkey").cast("string"), F.col("c_name"),
+                           F.col("c_nationkey").cast("string"), F.col("c_acctbal").cast("string"),
+                           F.col("c_mktsegment")))
+
+
+CUSTOMER_META = "name:string,nation:integer,acctbal:double,segment:string"
+
+FIXTURES["customer"] = customer_lines
