@@ -252,3 +252,150 @@ FROM ({lineitem_fields()}) GROUP BY name, type""")
 oracle("q_all_text", """
 SELECT p_partkey::VARCHAR AS _id, concat_ws(' ', p_size, p_retailprice::VARCHAR, p_brand, p_type, '1') AS _all
 FROM part""")
+
+
+# --- D: inverted index -------------------------------------------------------
+
+TOKEN_RE = "[\\p{L}\\p{N}]+"
+DOC_TOKENS = (f"SELECT doc_id, lang, regexp_extract_all(lower(text), '{TOKEN_RE}') AS toks FROM documents")
+TOKEN_ROWS = (f"SELECT doc_id, unnest(toks) AS term, unnest(range(len(toks))) AS position FROM ({DOC_TOKENS})")
+DOC_SHARD = shard_sql("doc_id::VARCHAR", SHARDS)
+POSTINGS = f"""
+SELECT 'text' AS field, term, {DOC_SHARD} AS shard_id, doc_id::VARCHAR AS _id, count(*) AS tf,
+       array_to_string(list_sort(list(position)), ',') AS positions
+FROM ({TOKEN_ROWS}) GROUP BY term, doc_id"""
+
+oracle("q_tokens", f"""
+SELECT doc_id::VARCHAR AS _id, CAST(len(toks) AS INTEGER) AS n_tokens,
+       CAST(len(list_distinct(toks)) AS INTEGER) AS n_terms
+FROM ({DOC_TOKENS})""")
+
+oracle("q_postings", POSTINGS)
+
+oracle("q_term_stats", f"""
+SELECT field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ttf FROM ({POSTINGS}) GROUP BY field, term""")
+
+oracle("q_num_terms", """
+SELECT field, type, value, count(*) AS df, count(*) AS ttf FROM (
+  SELECT 'size' AS field, 'short' AS type, p_size::DOUBLE AS value FROM part
+  UNION ALL SELECT 'price', 'float', CAST(p_retailprice AS FLOAT)::DOUBLE FROM part
+  UNION ALL SELECT 'col_' || p_name, 'integer', 1.0 FROM part)
+GROUP BY field, type, value""")
+
+# --- E: predicates -----------------------------------------------------------
+
+oracle("q_term_float", """
+SELECT p_partkey::VARCHAR AS _id FROM part WHERE CAST(p_retailprice AS FLOAT) = CAST(901.0 AS FLOAT)""")
+
+oracle("q_term_short", "SELECT p_partkey::VARCHAR AS _id FROM part WHERE p_size = 11")
+
+oracle("q_range", f"""
+SELECT {LI_ID} AS _id FROM lineitem
+WHERE {epoch_days_sql('l_shipdate')} >= 9500 AND {epoch_days_sql('l_shipdate')} < 9600 AND l_quantity > 45""")
+
+oracle("q_fuzzy", """
+SELECT p_partkey::VARCHAR AS _id FROM part
+WHERE CAST(p_retailprice AS FLOAT) BETWEEN CAST(1000.0 AS FLOAT) - CAST(50.0 AS FLOAT)
+                                       AND CAST(1000.0 AS FLOAT) + CAST(50.0 AS FLOAT)
+  AND p_size BETWEEN 20 - 3 AND 20 + 3""")
+
+_TEXT_FIELDS = parsed_fields_sql(_TEXT_KEYED, ' ', carry="doc_id, ln")
+oracle("q_exists", f"""
+SELECT k._id, CAST(len({columns_sql('k.payload', ' ')}) AS INTEGER) AS n_fields
+FROM ({_TEXT_KEYED}) k
+WHERE EXISTS (SELECT 1 FROM ({_TEXT_FIELDS}) f
+              WHERE f.doc_id = k.doc_id AND f.ln = k.ln
+                AND (f.name = 'col_the' OR starts_with(f.name, 'col_the.')))""")
+
+oracle("q_match_term", f"""
+SELECT doc_id::VARCHAR AS _id, lang FROM ({DOC_TOKENS}) WHERE list_contains(toks, 'the')""")
+
+oracle("q_get_by_id", f"""
+SELECT o_orderkey::VARCHAR AS _id, {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, 5 AS n_fields
+FROM orders WHERE o_orderkey::VARCHAR = '42'""")
+
+# --- G: statistics -----------------------------------------------------------
+
+oracle("q_field_stats", f"""
+WITH f AS ({lineitem_fields()}),
+     d AS (SELECT DISTINCT dk, name, type, num, str FROM f)
+SELECT a.name, a.type, (SELECT count(*) FROM lineitem) AS max_doc, a.doc_count, b.sum_doc_freq,
+       a.sum_total_term_freq, a.min_v, a.max_v
+FROM (SELECT name, type, count(DISTINCT dk) AS doc_count, count(*) AS sum_total_term_freq,
+             min(num) AS min_v, max(num) AS max_v FROM f GROUP BY name, type) a
+JOIN (SELECT name, type, count(*) AS sum_doc_freq FROM d GROUP BY name, type) b USING (name, type)""")
+
+oracle("q_duplicate_ids", """
+SELECT user_id::VARCHAR AS _id, count(*) AS n_docs FROM events GROUP BY user_id HAVING count(*) > 1""")
+
+oracle("q_manifest", f"""
+SELECT 'b1' AS build_id, {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, 1 AS generation,
+       count(*) AS n_docs, count(DISTINCT o_orderkey) AS n_ids,
+       min(o_orderkey::VARCHAR) AS min_id, max(o_orderkey::VARCHAR) AS max_id
+FROM orders GROUP BY 2""")
+
+# --- F: placement ------------------------------------------------------------
+
+oracle("q_shard_order", f"""
+SELECT shard_id, _id, CAST(row_number() OVER (PARTITION BY shard_id ORDER BY _id DESC) AS INTEGER) AS rank
+FROM (SELECT {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, o_orderkey::VARCHAR AS _id FROM orders)""")
+
+oracle("q_shard_skew", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_shards, max(n) AS max_docs, min(n) AS min_docs, sum(n)::BIGINT AS total_docs,
+       round(max(n) / avg(n), 6) AS skew
+FROM (SELECT {shard_sql(LI_ID, SHARDS)} AS shard_id, count(*) AS n FROM lineitem GROUP BY 1)""")
+
+# --- H: publish and audits ---------------------------------------------------
+
+ORDERS_BY_SHARD = f"""
+SELECT {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, count(*) AS n_docs,
+       min(o_orderkey::VARCHAR) AS min_id, max(o_orderkey::VARCHAR) AS max_id
+FROM orders GROUP BY 1"""
+
+oracle("q_write_readback", ORDERS_BY_SHARD)
+
+oracle("q_verify_publish", f"""
+SELECT shard_id, n_docs AS expected, n_docs AS found, true AS ok FROM ({ORDERS_BY_SHARD})""")
+
+oracle("q_bulk_lines", f"""
+SELECT {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, o_orderkey::VARCHAR AS _id,
+       concat('{{"index":{{"_index":"orders","_type":"order","_id":', to_json(o_orderkey::VARCHAR), '}}}}', chr(10),
+              '{{"cust":', o_custkey, ',"total":', o_totalprice::VARCHAR, ',"status":', to_json(o_orderstatus),
+              ',"day":', {epoch_days_sql('o_orderdate')}, ',', to_json('col_' || o_orderpriority), ':1}}') AS bulk
+FROM orders""")
+
+TRANSFER_LOG = """
+SELECT year(l_shipdate) AS build_id, 'idx_' || l_returnflag AS index, l_linenumber - 1 AS shard_id,
+       'node' || (l_suppkey % 8) AS host, (l_suppkey % 8 = 0) AS is_primary,
+       floor(l_extendedprice)::BIGINT - CASE WHEN l_discount >= 0.1 AND l_tax >= 0.08 THEN 1 ELSE 0 END
+         >= floor(l_extendedprice)::BIGINT AS ok
+FROM lineitem"""
+
+oracle("q_transfer_acceptance", f"""
+SELECT build_id, index, shard_id, primary_ok, n_replicas, n_replicas_ok,
+       CASE WHEN NOT primary_ok THEN 'failed'
+            WHEN n_replicas > 0 AND n_replicas_ok = 0 THEN 'failed'
+            WHEN n_replicas_ok < n_replicas THEN 'partial' ELSE 'accepted' END AS status
+FROM (SELECT build_id, index, shard_id,
+             coalesce(bool_or(is_primary AND host_ok), false) AS primary_ok,
+             count(*) FILTER (WHERE NOT is_primary) AS n_replicas,
+             count(*) FILTER (WHERE NOT is_primary AND host_ok) AS n_replicas_ok
+      FROM (SELECT build_id, index, shard_id, host, is_primary, bool_and(ok) AS host_ok
+            FROM ({TRANSFER_LOG}) GROUP BY ALL)
+      GROUP BY ALL)""")
+
+SHARD_STATE = """
+SELECT year(l_shipdate) AS ts, 'idx_' || l_returnflag AS index, l_linenumber - 1 AS shard_id,
+       CASE WHEN l_suppkey % 8 = 0 THEN 'primary' ELSE 'replica' END AS role,
+       'node' || (l_suppkey % 8) AS host, l_discount < 0.1 AS assigned, l_tax < 0.08 AS active
+FROM lineitem"""
+
+oracle("q_shard_readiness", f"""
+SELECT ts, index, shard_id, primary_ok, n_replicas, n_active_replicas, replica_hosts,
+       primary_ok AND (n_replicas = 0 OR n_active_replicas > 0) AS ready
+FROM (SELECT ts, index, shard_id,
+             coalesce(bool_or(role = 'primary' AND assigned AND active), false) AS primary_ok,
+             count(*) FILTER (WHERE role = 'replica') AS n_replicas,
+             count(*) FILTER (WHERE role = 'replica' AND assigned AND active) AS n_active_replicas,
+             coalesce(array_to_string(list_sort(list_distinct(list(host) FILTER (WHERE role = 'replica' AND assigned AND active))), ','), '') AS replica_hosts
+      FROM ({SHARD_STATE}) GROUP BY ALL)""")

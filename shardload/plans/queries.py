@@ -7,6 +7,7 @@ columns are named exactly as in the matching oracle SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,19 @@ from pyspark.sql import functions as F
 
 from shardload.operators.docs import (all_text, doc_values, field_names, sort_numeric, source_json,
                                       to_wide, with_doc_meta)
+from shardload.operators.audit import shard_readiness, transfer_acceptance
 from shardload.operators.fields import fields_long, infer_fields, rejects
-from shardload.operators.routing import route_hash
-from shardload.plans.build import numeric_value, parsed_docs
+from shardload.operators.postings import numeric_terms, postings, term_stats, tokenize, tokens_of
+from shardload.operators.predicates import exists_, fuzzy, get_by_id, match_term, range_, term
+from shardload.operators.routing import by_shard, order_shard, route_hash, shard_skew
+from shardload.operators.stats import duplicate_ids, field_stats, manifest
+from shardload.plans.build import numeric_value, parsed_docs, shard_docs
+from shardload.plans.publish import bulk_lines, publish, read_current, verify_publish, write_sharded
+from shardload.session import checkpoint_dir
 from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema
-from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, events_lines,
-                                      lineitem_lines, orders_lines, part_lines, text_lines)
+from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
+                                      events_lines, lineitem_lines, orders_lines, part_lines, shard_state,
+                                      text_lines, transfer_log)
 
 SHARDS = 5
 SPACE = " "
@@ -235,3 +243,177 @@ def q_all_text(spark, sf):
     """``_all`` catch-all text of each part document."""
     docs = parsed_docs(part_lines(spark, sf), shards=SHARDS)
     return docs.select("_id", all_text("fields").alias("_all"))
+
+
+# --- D: inverted index -------------------------------------------------------
+
+def _doc_tokens(spark, sf):
+    return tokenize(documents_docs(spark, sf, SHARDS), "text")
+
+
+@query
+def q_tokens(spark, sf):
+    """Tokens and distinct terms per document text."""
+    d = documents_docs(spark, sf, SHARDS)
+    t = tokens_of(F.col("text"))
+    return d.select("_id", F.size(t).alias("n_tokens"), F.size(F.array_distinct(t)).alias("n_terms"))
+
+
+@query
+def q_postings(spark, sf):
+    """Postings (term, shard, document) with frequency and positions."""
+    p = postings(_doc_tokens(spark, sf))
+    return p.select("field", "term", "shard_id", "_id", "tf",
+                    F.array_join(F.transform("positions", lambda x: x.cast("string")), ",").alias("positions"))
+
+
+@query
+def q_term_stats(spark, sf):
+    """D3: document frequency and total term frequency per term."""
+    return term_stats(postings(_doc_tokens(spark, sf)))
+
+
+@query
+def q_num_terms(spark, sf):
+    """Exact numeric terms of the part documents."""
+    return numeric_terms(parsed_docs(part_lines(spark, sf), shards=SHARDS))
+
+
+# --- E: predicates -----------------------------------------------------------
+
+@query
+def q_term_float(spark, sf):
+    """Float term (compared as 32-bit float)."""
+    docs = parsed_docs(part_lines(spark, sf), shards=SHARDS)
+    return docs.where(term("price", 901.0, "float")).select("_id")
+
+
+@query
+def q_term_short(spark, sf):
+    """Short term."""
+    docs = parsed_docs(part_lines(spark, sf), shards=SHARDS)
+    return docs.where(term("size", 11, "short")).select("_id")
+
+
+@query
+def q_range(spark, sf):
+    """Ship day in [9500, 9600) and quantity above 45 (open upper bound)."""
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
+    return (docs.where(range_("ship", "short", 9500, 9600, include_lo=True, include_hi=False)
+                       & range_("qty", "double", lo=45, include_lo=False))
+            .select("_id"))
+
+
+@query
+def q_fuzzy(spark, sf):
+    """Price within 1000 ± 50 (float math) and size within 20 ± 3 (int math)."""
+    docs = parsed_docs(part_lines(spark, sf), shards=SHARDS)
+    return docs.where(fuzzy("price", 1000.0, 50.0, "float") & fuzzy("size", 20, 3, "short")).select("_id")
+
+
+@query
+def q_exists(spark, sf):
+    """Text documents that have the field ``col_the`` (or a dotted child)."""
+    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS)
+    return docs.where(exists_("col_the")).select("_id", F.size("fields").alias("n_fields"))
+
+
+@query
+def q_match_term(spark, sf):
+    """E5: documents whose text holds the term ``the`` (postings semi-join)."""
+    d = documents_docs(spark, sf, SHARDS)
+    p = postings(tokenize(d, "text"))
+    return match_term(d, p, "text", "the").select("_id", "lang")
+
+
+@query
+def q_get_by_id(spark, sf):
+    """One order document by id, its shard computed up front."""
+    docs = parsed_docs(orders_lines(spark, sf), shards=SHARDS)
+    return get_by_id(docs, "42", SHARDS).select("_id", "shard_id", F.size("fields").alias("n_fields"))
+
+
+# --- G: statistics -----------------------------------------------------------
+
+@query
+def q_field_stats(spark, sf):
+    """G1: field statistics of the line items."""
+    return field_stats(parsed_docs(lineitem_lines(spark, sf), shards=SHARDS))
+
+
+@query
+def q_duplicate_ids(spark, sf):
+    """Event documents sharing an id (user)."""
+    return duplicate_ids(parsed_docs(events_lines(spark, sf), shards=SHARDS))
+
+
+@query
+def q_manifest(spark, sf):
+    """Per-shard manifest of the order documents."""
+    return manifest(parsed_docs(orders_lines(spark, sf), shards=SHARDS), "b1")
+
+
+# --- F: placement ------------------------------------------------------------
+
+POS_MASK = (1 << 33) - 1
+
+
+@query
+def q_shard_order(spark, sf):
+    """rank of each order document inside its shard partition after
+    placement and the descending id sort."""
+    docs = order_shard(by_shard(parsed_docs(orders_lines(spark, sf), shards=SHARDS), SHARDS))
+    pos = F.monotonically_increasing_id().bitwiseAND(F.lit(POS_MASK))
+    return docs.select("shard_id", "_id", (pos + 1).cast("int").alias("rank"))
+
+
+@query
+def q_shard_skew(spark, sf):
+    """shard size spread of the line-item documents."""
+    return shard_skew(parsed_docs(lineitem_lines(spark, sf), shards=SHARDS))
+
+
+# --- H: publish and audits ---------------------------------------------------
+
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/shardload/{name}/{uuid.uuid4().hex}"
+
+
+@query
+def q_write_readback(spark, sf):
+    """H1: write the order documents sharded, read them back per shard."""
+    docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
+    path = _scratch(spark, "write_readback")
+    write_sharded(docs, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_docs"),
+                                        F.min("_id").alias("min_id"), F.max("_id").alias("max_id"))
+
+
+@query
+def q_verify_publish(spark, sf):
+    """H3/H4: publish the order documents, then compare manifest and files."""
+    docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
+    root = _scratch(spark, "publish")
+    build = publish(docs, root)
+    written = read_current(spark, root)
+    return verify_publish(manifest(written, build), written)
+
+
+@query
+def q_bulk_lines(spark, sf):
+    """H7: bulk request body (action + source) of each order document."""
+    docs = parsed_docs(orders_lines(spark, sf), shards=SHARDS)
+    return bulk_lines(docs, "orders", "order")
+
+
+@query
+def q_transfer_acceptance(spark, sf):
+    """H5: accept rule per build and shard over the delivery log."""
+    return transfer_acceptance(transfer_log(spark, sf))
+
+
+@query
+def q_shard_readiness(spark, sf):
+    """Readiness and active replica hosts per snapshot and shard."""
+    return shard_readiness(shard_state(spark, sf))

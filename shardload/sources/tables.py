@@ -160,3 +160,57 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 CUSTOMER_META = "name:string,nation:integer,acctbal:double,segment:string"
 
 FIXTURES["customer"] = customer_lines
+
+
+# --- audit records ------------------------------------------------------------
+# The reference produces these records at run time (file deliveries, shard
+# placement).  They are derived here from ``lineitem`` with fixed rules so
+# that their size follows the data and an SQL oracle can repeat them.
+
+N_HOSTS = 8
+
+
+def transfer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(build_id, index, shard_id, host, is_primary, file_type, file,
+    bytes_expected, bytes_written, ok)``; a file is complete when the bytes
+    written reach the bytes declared."""
+    li = table(spark, sf_dir, "lineitem")
+    host_no = F.pmod(F.col("l_suppkey"), F.lit(N_HOSTS))
+    expected = F.floor(F.col("l_extendedprice")).cast("bigint")
+    short = (F.col("l_discount") >= 0.1) & (F.col("l_tax") >= 0.08)
+    written = expected - F.when(short, F.lit(1)).otherwise(F.lit(0))
+    return li.select(
+        F.year("l_shipdate").alias("build_id"),
+        F.concat(F.lit("idx_"), F.col("l_returnflag")).alias("index"),
+        (F.col("l_linenumber") - 1).alias("shard_id"),
+        F.concat(F.lit("node"), host_no.cast("string")).alias("host"),
+        (host_no == 0).alias("is_primary"),
+        F.when(F.col("l_linestatus") == "F", F.lit("segment")).otherwise(F.lit("translog")).alias("file_type"),
+        F.concat(F.lit("f"), F.col("l_orderkey").cast("string")).alias("file"),
+        expected.alias("bytes_expected"),
+        written.alias("bytes_written"),
+        (written >= expected).alias("ok"))
+
+
+def shard_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(ts, index, shard_id, role, host, assigned, active)`` placement records."""
+    li = table(spark, sf_dir, "lineitem")
+    host_no = F.pmod(F.col("l_suppkey"), F.lit(N_HOSTS))
+    return li.select(
+        F.year("l_shipdate").alias("ts"),
+        F.concat(F.lit("idx_"), F.col("l_returnflag")).alias("index"),
+        (F.col("l_linenumber") - 1).alias("shard_id"),
+        F.when(host_no == 0, F.lit("primary")).otherwise(F.lit("replica")).alias("role"),
+        F.concat(F.lit("node"), host_no.cast("string")).alias("host"),
+        (F.col("l_discount") < 0.1).alias("assigned"),
+        (F.col("l_tax") < 0.08).alias("active"))
+
+
+def documents_docs(spark: SparkSession, sf_dir: str, shards: int) -> DataFrame:
+    """Documents as routed index documents: ``(_doc, _id, shard_id, lang, text)``.
+    The text holds ``,`` and ``:``, so it is indexed directly rather than
+    through the line format."""
+    from shardload.functions.routing_hash import shard_of
+    d = with_doc_key(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), spread=True)
+    return d.select(F.col("doc_id").alias("_doc"), F.col("doc_id").cast("string").alias("_id"),
+                    shard_of(F.col("doc_id").cast("string"), shards).alias("shard_id"), "lang", "text")
