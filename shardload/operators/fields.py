@@ -116,7 +116,9 @@ def parse_docs(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "re
         raise ValueError(f"on_error must be one of {ON_ERROR}")
     # The parse sits in a generator so that a filter on its result cannot be
     # pushed below it and evaluate the whole parse a second time.
-    docs = keyed.select("_doc", "_id", F.explode(F.array(parse_fields(F.col("payload"), delim))).alias("fields"))
+    extra = [c for c in keyed.columns if c not in ("_doc", "_id", "payload")]
+    docs = keyed.select("_doc", "_id", *extra,
+                        F.explode(F.array(parse_fields(F.col("payload"), delim))).alias("fields"))
     if on_error == "reject":
         return docs.where(~has_error(F.col("fields")))
     if on_error == "fail":

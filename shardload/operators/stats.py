@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardload.operators.fields import value_string
+from shardload.session import materialize
 
 NUMERIC = ("integer", "long", "short", "float", "double")
 
@@ -24,28 +25,38 @@ def field_stats(docs: DataFrame) -> DataFrame:
     """G1: per field and type: ``max_doc`` (documents in the set),
     ``doc_count`` (documents with the field), ``sum_doc_freq`` (distinct
     values summed over documents), ``sum_total_term_freq`` (values), and the
-    numeric ``min_v`` / ``max_v`` (short widened)."""
+    numeric ``min_v`` / ``max_v`` (short widened).
+
+    One pass: every document emits its distinct (name, type) pairs, its
+    distinct (name, type, value) triples, all its values and one marker row
+    for ``max_doc``; a single aggregation sums them.  The marker group is
+    read back from the same exchange (reused), not recomputed.
+    """
     valid = F.filter("fields", lambda x: x["name"].isNotNull())
-    per_doc = docs.select(
-        F.transform(valid, lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"))).alias("nt"),
-        F.transform(valid, lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"),
-                                              value_string(x).alias("v"))).alias("ntv"),
-        F.transform(valid, lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"),
-                                              _num(x).alias("num"))).alias("all"))
-    docs_with = (per_doc.select(F.explode(F.array_distinct("nt")).alias("x"))
-                 .groupBy(F.col("x.name").alias("name"), F.col("x.type").alias("type"))
-                 .agg(F.count(F.lit(1)).alias("doc_count")))
-    doc_freq = (per_doc.select(F.explode(F.array_distinct("ntv")).alias("x"))
-                .groupBy(F.col("x.name").alias("name"), F.col("x.type").alias("type"))
-                .agg(F.count(F.lit(1)).alias("sum_doc_freq")))
-    values = (per_doc.select(F.explode("all").alias("x"))
-              .groupBy(F.col("x.name").alias("name"), F.col("x.type").alias("type"))
-              .agg(F.count(F.lit(1)).alias("sum_total_term_freq"),
-                   F.min("x.num").alias("min_v"), F.max("x.num").alias("max_v")))
-    max_doc = docs.agg(F.count(F.lit(1)).alias("max_doc"))
+
+    def row(name, typ, dc, df, ttf, num, marker=False):
+        return F.struct(name.alias("name"), typ.alias("type"), F.lit(dc).alias("dc"), F.lit(df).alias("df"),
+                        F.lit(ttf).alias("ttf"), num.cast("double").alias("num"), F.lit(marker).alias("mk"))
+
+    nt = F.array_distinct(F.transform(valid, lambda x: F.struct(x["name"].alias("n"), x["type"].alias("t"))))
+    ntv = F.array_distinct(F.transform(valid, lambda x: F.struct(x["name"].alias("n"), x["type"].alias("t"),
+                                                                  value_string(x).alias("v"))))
+    rows = F.concat(
+        F.array(row(F.lit(None).cast("string"), F.lit(None).cast("string"), 1, 0, 0, F.lit(None), True)),
+        F.transform(nt, lambda x: row(x["n"], x["t"], 1, 0, 0, F.lit(None))),
+        F.transform(ntv, lambda x: row(x["n"], x["t"], 0, 1, 0, F.lit(None))),
+        F.transform(valid, lambda x: row(x["name"], x["type"], 0, 0, 1, _num(x))))
+    agg = (docs.select(F.explode(rows).alias("r")).select("r.*")
+           .groupBy("name", "type")
+           .agg(F.sum("dc").alias("doc_count"), F.sum("df").alias("sum_doc_freq"),
+                F.sum("ttf").alias("sum_total_term_freq"), F.min("num").alias("min_v"),
+                F.max("num").alias("max_v"), F.bool_or("mk").alias("mk")))
+    # The aggregate has one row per field name and type; it is written once
+    # to the checkpoint folder so the two uses below do not parse twice.
+    agg = materialize(agg)
+    max_doc = agg.where(F.col("mk")).select(F.col("doc_count").alias("max_doc"))
     # One-row side: broadcast by construction, whatever the data size.
-    return (docs_with.join(doc_freq, ["name", "type"]).join(values, ["name", "type"])
-            .crossJoin(F.broadcast(max_doc))
+    return (agg.where(~F.col("mk")).crossJoin(F.broadcast(max_doc))
             .select("name", "type", "max_doc", "doc_count", "sum_doc_freq", "sum_total_term_freq",
                     "min_v", "max_v"))
 

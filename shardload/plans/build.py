@@ -17,9 +17,13 @@ from shardload.sources.lines import keyed_lines
 
 def parsed_docs(lines: DataFrame, delim: str = DEFAULT_DELIM, auto_id: bool = False,
                 on_error: str = "reject", shards: int = DEFAULT_SHARDS) -> DataFrame:
-    """``(_doc, _id, fields, shard_id)`` — parsed and routed, not yet placed."""
-    keyed = keyed_lines(lines, delim=delim, auto_id=auto_id)
-    return route(parse_docs(keyed, delim=delim, on_error=on_error), shards)
+    """``(_doc, _id, shard_id, fields)`` — parsed and routed, not yet placed.
+
+    The routing hash runs on the thin keyed lines, before the parse, so the
+    rows held while Python hashes a batch are ids and payloads, not parsed
+    field arrays."""
+    keyed = route(keyed_lines(lines, delim=delim, auto_id=auto_id), shards)
+    return parse_docs(keyed, delim=delim, on_error=on_error)
 
 
 def shard_docs(lines: DataFrame, index: str, doc_type: str = DEFAULT_TYPE,

@@ -365,7 +365,7 @@ SELECT {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, o_orderkey::VARCH
 FROM orders""")
 
 TRANSFER_LOG = """
-SELECT year(l_shipdate) AS build_id, 'idx_' || l_returnflag AS index, l_linenumber - 1 AS shard_id,
+SELECT CAST(year(l_shipdate) AS INTEGER) AS build_id, 'idx_' || l_returnflag AS index, l_linenumber - 1 AS shard_id,
        'node' || (l_suppkey % 8) AS host, (l_suppkey % 8 = 0) AS is_primary,
        floor(l_extendedprice)::BIGINT - CASE WHEN l_discount >= 0.1 AND l_tax >= 0.08 THEN 1 ELSE 0 END
          >= floor(l_extendedprice)::BIGINT AS ok
@@ -385,7 +385,7 @@ FROM (SELECT build_id, index, shard_id,
       GROUP BY ALL)""")
 
 SHARD_STATE = """
-SELECT year(l_shipdate) AS ts, 'idx_' || l_returnflag AS index, l_linenumber - 1 AS shard_id,
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ts, 'idx_' || l_returnflag AS index, l_linenumber - 1 AS shard_id,
        CASE WHEN l_suppkey % 8 = 0 THEN 'primary' ELSE 'replica' END AS role,
        'node' || (l_suppkey % 8) AS host, l_discount < 0.1 AS assigned, l_tax < 0.08 AS active
 FROM lineitem"""

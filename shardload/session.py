@@ -59,3 +59,11 @@ def checkpoint_dir(spark: SparkSession, fallback_root: str | None = None) -> str
     except Exception:  # core setting not modifiable at run time: the context dir is enough
         pass
     return root
+
+
+def materialize(df):
+    """Cut lineage of a (small) result with a reliable checkpoint in the
+    shared ``spark.checkpoint.dir``, so that several consumers read it
+    without re-running the plan below it."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

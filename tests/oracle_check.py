@@ -50,6 +50,16 @@ def rows_of(cols, rows, exact):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "ShortType": "SMALLINT",
+                 "FloatType": "FLOAT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "BooleanType": "BOOLEAN", "ByteType": "TINYINT"}
+
+
+def spark_types(df):
+    return {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, f.dataType.simpleString())
+            for f in df.schema.fields}
+
+
 def compare(spark, sf_dir: str, names=None) -> dict:
     import __spark_entry__ as E
     qs, os_ = E.queries(), E.oracle_sql()
@@ -66,9 +76,15 @@ def compare(spark, sf_dir: str, names=None) -> dict:
             rec["rows"] = len(s_rows)
             if name in os_:
                 t1 = time.time()
-                res = con.execute(os_[name])
-                d_cols = [d[0] for d in res.description]
-                d_rows = res.fetchall()
+                rel = con.sql(os_[name])
+                d_cols = list(rel.columns)
+                d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+                d_rows = rel.fetchall()
+                s_types = spark_types(df)
+                rec["type_diff"] = {c: [s_types.get(c), d_types.get(c)] for c in d_cols
+                                    if s_types.get(c) != d_types.get(c)}
+                if not rec["type_diff"]:
+                    del rec["type_diff"]
                 rec["duck_s"] = round(time.time() - t1, 2)
                 rec["oracle_rows"] = len(d_rows)
                 rec["cols_ok"] = sorted(s_cols) == sorted(d_cols)
