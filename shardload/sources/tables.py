@@ -48,8 +48,13 @@ def _cell(*cols: Column) -> Column:
 
 
 def _keyed(df: DataFrame, value: Column) -> DataFrame:
-    """Key the table rows (spreading a narrow scan over all cores) and encode."""
-    return with_doc_key(df).select(value.alias("value"), "_doc")
+    """Key the table rows (spreading a narrow scan over all cores) and encode.
+
+    The line is produced by a one-element generator: later filters on it
+    (the keyed-line split) then stay above it instead of being pushed below
+    the spread exchange, where they would build every line a second time on
+    the unspread input."""
+    return with_doc_key(df).select(F.explode(F.array(value)).alias("value"), "_doc")
 
 
 def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,3 +122,27 @@ def test_meta_schema(spark):
     assert (rows["1"]["name"], rows["1"]["age"], rows["1"]["score"], rows["1"]["_bad"]) == ("ann", 7, 1.5, 0)
     assert rows["2"]["age"] is None and rows["2"]["_bad"] == 1
     assert rows["3"]["score"] is None and rows["3"]["_bad"] == 0
+
+
+def _jsplit(s, sep):
+    """Plain-Python statement of Java's split for a literal separator."""
+    if s == "":
+        return [""]
+    t = s
+    while t.endswith(sep):
+        t = t[: -len(sep)]
+    return [] if t == "" else t.split(sep)
+
+
+@pytest.mark.parametrize("delim", ["\t", "|", " ", ",", ":", "::"])
+def test_columns_match_java_split(spark, delim):
+    import random
+    from shardload.operators.fields import columns_of
+    rnd = random.Random(7)
+    alphabet = ["a", ",", delim, ":", "", "b,", ",,", delim * 2]
+    rows = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 8))) for _ in range(800)]
+    rows += ["", ",", delim, f",{delim},", f"a,{delim},b", f"{delim},,{delim}"]
+    df = spark.createDataFrame([(r,) for r in rows], "p string")
+    got = df.select("p", columns_of(F.col("p"), delim).alias("c")).collect()
+    bad = [(r.p, r.c) for r in got if [c for cell in _jsplit(r.p, delim) for c in _jsplit(cell, ",")] != r.c]
+    assert not bad, bad[:5]
