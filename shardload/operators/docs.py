@@ -18,10 +18,16 @@ UID_SEP = "#"
 DOC_VERSION = 1
 
 
+# Characters the JSON writer escapes: quote, backslash and control characters.
+_NEEDS_ESCAPE = r'["\\\x00-\x1f]'
+
+
 def json_string(c: Column) -> Column:
-    """JSON string literal of ``c`` (quoted and escaped by Spark's JSON writer)."""
+    """JSON string literal of ``c``.  Text with nothing to escape is quoted
+    directly; anything else goes through Spark's JSON writer."""
     arr = F.to_json(F.array(c))
-    return F.substr(arr, F.lit(2), F.length(arr) - F.lit(2))
+    escaped = F.substr(arr, F.lit(2), F.length(arr) - F.lit(2))
+    return F.when(c.rlike(_NEEDS_ESCAPE), escaped).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
 
 
 def _json_number(c: Column) -> Column:
@@ -63,8 +69,9 @@ def with_doc_meta(docs: DataFrame, index: str, doc_type: str = DEFAULT_TYPE) ->
 def name_prefixes(name: Column) -> Column:
     """Every dotted prefix of a name, the name itself last (``a``, ``a.b``, ``a.b.c``)."""
     parts = F.split(name, "\\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(parts)),
-                       lambda k: F.array_join(F.slice(parts, F.lit(1), k), "."))
+    dotted = F.transform(F.sequence(F.lit(1), F.size(parts)),
+                         lambda k: F.array_join(F.slice(parts, F.lit(1), k), "."))
+    return F.when(F.instr(name, ".") == 0, F.array(name)).otherwise(dotted)
 
 
 def field_names(fields: Column | str = "fields") -> Column:

@@ -63,3 +63,12 @@ def test_infer_fields_conflicts(spark):
     docs = parse_docs(keyed_lines(lines_df(spark, ["a\tx:1:integer", "b\tx:y", "c\tx:2:integer,x:3:integer"])))
     got = {(r["name"], r["type"]): (r["docs"], r["n_values"]) for r in infer_fields(docs).collect()}
     assert got == {("x", "integer"): (2, 3), ("x", "string"): (1, 1)}
+
+
+def test_json_string_escaping(spark):
+    from shardload.operators.docs import json_string
+    vals = ["plain", 'q"uote', "back\\slash", "tab\there", "nl\nx", "é日本😀", "", "\u0001", "a/b"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = [r["j"] for r in df.select(json_string(F.col("v")).alias("j")).collect()]
+    assert [json.loads(g) for g in got] == vals
+    assert got[0] == '"plain"' and got[8] == '"a/b"'
