@@ -32,7 +32,8 @@ def build_parser() -> argparse.ArgumentParser:
     imp.add_argument("--delim", default="\\t")
     imp.add_argument("--auto-id", action="store_true")
     imp.add_argument("--shards", type=int, default=DEFAULT_SHARDS)
-    imp.add_argument("--split", type=int, default=1, help="sub-partitions per shard for large shards")
+    imp.add_argument("--split", default="auto",
+                     help="sub-partitions per shard: a number, or 'auto' (from the input size)")
     imp.add_argument("--on-error", default="reject", choices=("reject", "fail", "null"))
     imp.add_argument("--format", default="parquet", choices=("parquet", "orc", "json"))
     imp.add_argument("--all-field", action="store_true", help="add the _all catch-all text")
@@ -62,7 +63,8 @@ def main(argv: list[str] | None = None, spark=None) -> str | None:
     delim = _delim(args.delim)
     lines = read_lines(spark, args.input)
     docs = shard_docs(lines, args.index, args.type, delim=delim, auto_id=args.auto_id,
-                      on_error=args.on_error, shards=args.shards, split=args.split, with_all=args.all_field)
+                      on_error=args.on_error, shards=args.shards,
+                      split=args.split if args.split == "auto" else int(args.split), with_all=args.all_field)
     build = publish(docs, args.output, build_id=args.build_id, fmt=args.format)
     if args.rejects and args.on_error == "reject":
         rejects(keyed_lines(read_lines(spark, args.input), delim=delim, auto_id=args.auto_id), delim) \

@@ -48,11 +48,37 @@ def field_value_json(f: Column) -> Column:
         F.lit("null"))
 
 
-def source_json(fields: Column | str = "fields") -> Column:
-    """``_source`` JSON object, fields in input order, repeated names kept."""
+DUP_POLICIES = ("keep", "last", "array")
+
+
+def source_json(fields: Column | str = "fields", dup: str = "keep") -> Column:
+    """``_source`` JSON object of the user fields in input order.
+
+    ``dup='keep'`` writes a repeated name once per value (as the reference
+    does); ``'last'`` keeps only the last value of a name, at the position of
+    that last value; ``'array'`` writes each name once, at its first
+    position, with a JSON array when it has more than one value.
+    """
+    if dup not in DUP_POLICIES:
+        raise ValueError(f"dup must be one of {DUP_POLICIES}")
     fc = F.col(fields) if isinstance(fields, str) else fields
     valid = F.filter(fc, lambda x: x["name"].isNotNull())
-    members = F.transform(valid, lambda x: F.concat(json_string(x["name"]), F.lit(":"), field_value_json(x)))
+    if dup == "keep":
+        members = F.transform(valid, lambda x: F.concat(json_string(x["name"]), F.lit(":"), field_value_json(x)))
+    elif dup == "last":
+        names = F.transform(valid, lambda x: x["name"])
+        n = F.size(valid)
+        last = F.filter(valid, lambda x, i: F.array_position(F.reverse(names), x["name"]) == n - i)
+        members = F.transform(last, lambda x: F.concat(json_string(x["name"]), F.lit(":"), field_value_json(x)))
+    else:
+        names = F.array_distinct(F.transform(valid, lambda x: x["name"]))
+
+        def member(name):
+            vals = F.transform(F.filter(valid, lambda x: x["name"] == name), field_value_json)
+            body = F.when(F.size(vals) == 1, F.get(vals, 0)).otherwise(
+                F.concat(F.lit("["), F.array_join(vals, ","), F.lit("]")))
+            return F.concat(json_string(name), F.lit(":"), body)
+        members = F.transform(names, member)
     return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 

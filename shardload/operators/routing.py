@@ -24,8 +24,19 @@ def route_hash(docs: DataFrame, id_col: str = "_id") -> DataFrame:
     return docs.withColumn("hash", murmur3_id(F.col(id_col)))
 
 
-def by_shard(docs: DataFrame, shards: int, split: int = 1, key: str = "_doc") -> DataFrame:
-    """partition ``p`` holds shard ``p // split``."""
+def auto_split(docs: DataFrame, shards: int) -> int:
+    """Sub-partitions per shard so that each placement task receives about
+    one input partition's worth of documents (input partitions are sized by
+    ``spark.sql.files.maxPartitionBytes``)."""
+    n_in = docs.rdd.getNumPartitions()
+    return max(1, -(-n_in // max(1, shards)))
+
+
+def by_shard(docs: DataFrame, shards: int, split: int | str = 1, key: str = "_doc") -> DataFrame:
+    """partition ``p`` holds shard ``p // split``; ``split='auto'`` sizes
+    the sub-partitions from the input (see ``auto_split``)."""
+    if split == "auto":
+        split = auto_split(docs, shards)
     if split <= 1:
         return docs.repartitionById(shards, F.col("shard_id"))
     sub = F.pmod(F.xxhash64(F.col(key)), F.lit(split)).cast("int")

@@ -72,3 +72,35 @@ def test_json_string_escaping(spark):
     got = [r["j"] for r in df.select(json_string(F.col("v")).alias("j")).collect()]
     assert [json.loads(g) for g in got] == vals
     assert got[0] == '"plain"' and got[8] == '"a/b"'
+
+
+def test_source_json_dup_policies(spark):
+    docs = parse_docs(keyed_lines(lines_df(spark, ["d\ta:1,b:2:integer,a:3,c:x,a:4"])))
+    r = docs.select(source_json("fields", "keep").alias("k"), source_json("fields", "last").alias("l"),
+                    source_json("fields", "array").alias("a")).collect()[0]
+    assert r["k"] == '{"a":"1","b":2,"a":"3","c":"x","a":"4"}'
+    assert r["l"] == '{"b":2,"c":"x","a":"4"}'
+    assert r["a"] == '{"a":["1","3","4"],"b":2,"c":"x"}'
+    assert json.loads(r["a"]) == {"a": ["1", "3", "4"], "b": 2, "c": "x"}
+
+
+def test_stop_words_keep_positions(spark):
+    from shardload.operators.postings import postings, tokenize
+    d = spark.createDataFrame([(1, "1", 0, "The cat and THE hat")], "_doc long, _id string, shard_id int, text string")
+    stop = spark.createDataFrame([("the",), ("and",)], "term string")
+    p = {r["term"]: (r["tf"], r["positions"]) for r in postings(tokenize(d, "text", stop_words=stop)).collect()}
+    assert p == {"cat": (1, [1]), "hat": (1, [4])}
+
+
+def test_wide_predicates_push_down(spark, scratch):
+    import os
+    from shardload.operators.predicates import fuzzy, range_, term
+    path = os.path.join(scratch, "wide")
+    spark.createDataFrame([(1.5, 3), (2.5, 7), (9.0, 11)], "price double, size short").write.parquet(path)
+    w = spark.read.parquet(path)
+    q = w.where(range_("price", "double", 2, 10, include_lo=True, include_hi=False, wide=True)
+                & term("size", 7, "short", wide=True))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(price,2.0)" in plan
+    assert [r["size"] for r in q.collect()] == [7]
+    assert [r["size"] for r in w.where(fuzzy("size", 10, 1, "short", wide=True)).collect()] == [11]

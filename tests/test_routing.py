@@ -100,3 +100,14 @@ def test_split_factor_spreads_a_hot_id(spark):
 def test_shard_skew(spark):
     s = shard_skew(parsed_docs(orders_lines(spark, SF001), shards=5)).collect()[0]
     assert s["n_shards"] == 5 and s["total_docs"] == 1500 and s["skew"] >= 1.0
+
+
+def test_auto_split(spark):
+    from shardload.operators.routing import auto_split
+    docs = parsed_docs(orders_lines(spark, SF001), shards=2)
+    n_in = docs.rdd.getNumPartitions()
+    assert auto_split(docs, 2) == -(-n_in // 2)
+    placed = by_shard(docs, 2, split="auto")
+    assert placed.rdd.getNumPartitions() == 2 * auto_split(docs, 2)
+    parts = placed.select("shard_id", F.spark_partition_id().alias("p")).collect()
+    assert all(r["p"] // auto_split(docs, 2) == r["shard_id"] for r in parts)
