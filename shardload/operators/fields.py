@@ -161,12 +161,18 @@ def value_string(f: Column) -> Column:
 def infer_fields(docs: DataFrame) -> DataFrame:
     """Per field name, the declared types seen, documents and values.
 
-    Distinct documents are counted without a document-key shuffle: each
-    document contributes its distinct (name, type) pairs once.
+    One pass, one aggregation: each document emits its distinct (name, type)
+    pairs once (counted as documents) and every field (counted as values);
+    partial aggregation collapses hot names before the shuffle.
     """
-    per_doc = docs.select(F.explode(F.array_distinct(
-        F.transform("fields", lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"))))).alias("nt"))
-    by_type = per_doc.groupBy(F.col("nt.name").alias("name"), F.col("nt.type").alias("type")).agg(
-        F.count(F.lit(1)).alias("docs"))
-    values = fields_long(docs, keep=()).groupBy("name", "type").agg(F.count(F.lit(1)).alias("n_values"))
-    return by_type.join(values, ["name", "type"])
+    valid = F.filter("fields", lambda x: x["name"].isNotNull())
+
+    def row(n, t, d, v):
+        return F.struct(n.alias("name"), t.alias("type"), F.lit(d).alias("d"), F.lit(v).alias("v"))
+
+    pairs = F.array_distinct(F.transform(valid, lambda x: F.struct(x["name"].alias("n"), x["type"].alias("t"))))
+    rows = F.concat(F.transform(pairs, lambda x: row(x["n"], x["t"], 1, 0)),
+                    F.transform(valid, lambda x: row(x["name"], x["type"], 0, 1)))
+    return (docs.select(F.explode(rows).alias("r")).select("r.*")
+            .groupBy("name", "type")
+            .agg(F.sum("d").alias("docs"), F.sum("v").alias("n_values")))

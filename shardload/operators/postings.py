@@ -73,14 +73,24 @@ NUMERIC_SLOTS = ("i", "l", "s", "f", "d")
 
 def numeric_terms(docs: DataFrame, by_shard: bool = False) -> DataFrame:
     """Exact numeric terms ``(field, type, value, df, ttf)``; the value is
-    the typed number widened to DOUBLE (floats exactly)."""
-    keep = ["_doc"] + (["shard_id"] if by_shard else [])
+    the typed number widened to DOUBLE (floats exactly).
+
+    Each document emits its distinct terms once (document frequency) and all
+    its terms (total frequency); one aggregation with map-side partial sums,
+    so a value held by a third of all documents costs no hot reducer."""
+    keep = ["shard_id"] if by_shard else []
     num = F.filter("fields", lambda x: x["type"].isin("integer", "long", "short", "float", "double")
                    & x["error"].isNull())
     val = lambda x: F.coalesce(*[x[s].cast("double") for s in NUMERIC_SLOTS])
-    per = docs.select(*keep, F.explode(F.transform(num, lambda x: F.struct(
-        x["name"].alias("field"), x["type"].alias("type"), val(x).alias("value")))).alias("t"))
-    per = per.select(*keep, "t.*")
-    gk = ["field", "type", "value"] + (["shard_id"] if by_shard else [])
-    per_doc = per.groupBy(*gk, "_doc").agg(F.count(F.lit(1)).alias("tf"))
-    return per_doc.groupBy(*gk).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
+    terms = F.transform(num, lambda x: F.struct(x["name"].alias("field"), x["type"].alias("type"),
+                                                val(x).alias("value")))
+
+    def row(t, d, c):
+        return F.struct(t["field"].alias("field"), t["type"].alias("type"), t["value"].alias("value"),
+                        F.lit(d).alias("d"), F.lit(c).alias("c"))
+
+    rows = F.concat(F.transform(F.array_distinct(terms), lambda t: row(t, 1, 0)),
+                    F.transform(terms, lambda t: row(t, 0, 1)))
+    gk = ["field", "type", "value"] + keep
+    return (docs.select(*keep, F.explode(rows).alias("r")).select(*keep, "r.*")
+            .groupBy(*gk).agg(F.sum("d").alias("df"), F.sum("c").alias("ttf")))
