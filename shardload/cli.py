@@ -65,7 +65,7 @@ def main(argv: list[str] | None = None, spark=None) -> str | None:
     docs = shard_docs(lines, args.index, args.type, delim=delim, auto_id=args.auto_id,
                       on_error=args.on_error, shards=args.shards,
                       split=args.split if args.split == "auto" else int(args.split), with_all=args.all_field)
-    build = publish(docs, args.output, build_id=args.build_id, fmt=args.format)
+    build = publish(docs, args.output, build_id=args.build_id, fmt=args.format, shards=args.shards)
     if args.rejects and args.on_error == "reject":
         rejects(keyed_lines(read_lines(spark, args.input), delim=delim, auto_id=args.auto_id), delim) \
             .write.mode("errorifexists").parquet(args.rejects)

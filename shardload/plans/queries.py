@@ -395,7 +395,7 @@ def q_verify_publish(spark, sf):
     """H3/H4: publish the order documents, then compare manifest and files."""
     docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
     root = _scratch(spark, "publish")
-    build = publish(docs, root)
+    build = publish(docs, root, shards=SHARDS)
     written = read_current(spark, root)
     return verify_publish(manifest(written, build), written)
 

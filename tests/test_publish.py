@@ -38,7 +38,7 @@ def test_publish_swap_and_drop(spark, scratch):
     docs = shard_docs(orders_lines(spark, SF001), "orders", "order", shards=5)
     b1 = publish(docs, root, build_id="b1")
     assert current_build(spark, root) == "b1"
-    b2 = publish(docs, root, build_id="b2")
+    b2 = publish(docs, root, build_id="b2", shards=5)
     assert current_build(spark, root) == "b2" and b1 != b2
     live = read_current(spark, root)
     v = verify_publish(manifest(live, b2), live).collect()
