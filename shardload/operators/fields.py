@@ -23,8 +23,6 @@ TAG_PREFIX = "col_"
 TAG_VALUE = 1
 INTEGRAL = "^[+-]?[0-9]+$"          # Integer/Long/Short.valueOf take no blanks
 NUMERIC_TYPES = ("integer", "long", "short", "float", "double")
-SLOT = {"integer": "i", "long": "l", "short": "s", "float": "f", "double": "d", "string": "str"}
-SLOT_TYPE = {"i": "int", "l": "bigint", "s": "smallint", "f": "float", "d": "double", "str": "string"}
 
 ON_ERROR = ("fail", "reject", "null")
 

@@ -36,7 +36,7 @@ def shard_docs(lines: DataFrame, index: str, doc_type: str = DEFAULT_TYPE,
     return order_shard(by_shard(docs, shards, split))
 
 
-def numeric_value(f=None):
+def numeric_value():
     """Any numeric slot of a long-form field row, as DOUBLE."""
     return F.coalesce(F.col("i").cast("double"), F.col("l").cast("double"), F.col("s").cast("double"),
                       F.col("f").cast("double"), F.col("d"))

@@ -69,7 +69,7 @@ def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority")))
 
 
-def lineitem_id(li: DataFrame | None = None) -> Column:
+def lineitem_id() -> Column:
     return F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
 
 

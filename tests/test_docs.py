@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import lines_df
-from shardload.operators.docs import (all_text, assemble, doc_values, field_names, sort_numeric,
+from shardload.operators.docs import (all_text, assemble, doc_values, sort_numeric,
                                       source_json, to_wide)
 from shardload.operators.fields import infer_fields, parse_docs
 from shardload.sources.lines import keyed_lines

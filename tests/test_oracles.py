@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle (the correctness gate),
 on the smallest driver tables."""
 
-import pytest
 
 from conftest import SF001
 

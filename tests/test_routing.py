@@ -8,7 +8,6 @@ from shardload.functions.routing_hash import murmur3_utf16
 from shardload.operators.routing import by_shard, order_shard, route, route_hash, shard_skew, split_factor
 from shardload.plans.build import parsed_docs
 from shardload.plans.oracle_sql import murmur3_signed
-from shardload.sources.lines import keyed_lines
 from shardload.sources.tables import orders_lines
 
 # Published murmur3_x86_32 (seed 0) of UTF-16LE strings.
