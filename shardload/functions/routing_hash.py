@@ -8,8 +8,11 @@ encoded length so that the block loop is vectorised over all ids of a length.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
@@ -75,6 +78,11 @@ def murmur3_utf16(ids) -> np.ndarray:
     return out.view(np.int32)
 
 
+# Ship this module's code with the UDF (by value), so Python workers need
+# only NumPy and pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(IntegerType())
 def murmur3_id(ids: pd.Series) -> pd.Series:
     h = pd.Series(murmur3_utf16(ids.tolist()), index=ids.index, dtype="Int32")

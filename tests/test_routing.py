@@ -110,3 +110,21 @@ def test_auto_split(spark):
     assert placed.rdd.getNumPartitions() == 2 * auto_split(docs, 2)
     parts = placed.select("shard_id", F.spark_partition_id().alias("p")).collect()
     assert all(r["p"] // auto_split(docs, 2) == r["shard_id"] for r in parts)
+
+
+def test_udf_runs_without_package_on_worker_path(tmp_path):
+    """The driver imports the repo by path; Python workers must not need it."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "print('ROWS', E.queries()['q_route'](spark, %r).count())\n" % (root, SF001))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS 1500" in out.stdout, out.stderr[-2000:]
