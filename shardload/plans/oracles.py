@@ -399,3 +399,14 @@ FROM (SELECT ts, index, shard_id,
              count(*) FILTER (WHERE role = 'replica' AND assigned AND active) AS n_active_replicas,
              coalesce(array_to_string(list_sort(list_distinct(list(host) FILTER (WHERE role = 'replica' AND assigned AND active))), ','), '') AS replica_hosts
       FROM ({SHARD_STATE}) GROUP BY ALL)""")
+
+oracle("q_index_readiness", f"""
+SELECT ts, index, count(*) AS n_shards, bool_and(ready) AS ready FROM (
+  SELECT ts, index, shard_id,
+         coalesce(bool_or(role = 'primary' AND assigned AND active), false)
+         AND (count(*) FILTER (WHERE role = 'replica') = 0
+              OR count(*) FILTER (WHERE role = 'replica' AND assigned AND active) > 0) AS ready
+  FROM ({SHARD_STATE}) GROUP BY ALL)
+GROUP BY ts, index""")
+
+oracle("q_stream_ingest", ORDERS_BY_SHARD)

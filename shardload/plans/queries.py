@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shardload.operators.docs import (all_text, doc_values, field_names, sort_numeric, source_json,
                                       to_wide, with_doc_meta)
-from shardload.operators.audit import shard_readiness, transfer_acceptance
+from shardload.operators.audit import index_readiness, shard_readiness, transfer_acceptance
 from shardload.operators.fields import fields_long, infer_fields, rejects
 from shardload.operators.postings import numeric_terms, postings, term_stats, tokenize, tokens_of
 from shardload.operators.predicates import exists_, fuzzy, get_by_id, match_term, range_, term
@@ -25,6 +25,7 @@ from shardload.operators.stats import duplicate_ids, field_stats, manifest
 from shardload.plans.build import numeric_value, parsed_docs, shard_docs
 from shardload.plans.publish import bulk_lines, publish, read_current, verify_publish, write_sharded
 from shardload.session import checkpoint_dir
+from shardload.streaming.ingest import ingest_stream
 from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema
 from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
                                       events_lines, lineitem_lines, orders_lines, part_lines, shard_state,
@@ -417,3 +418,23 @@ def q_transfer_acceptance(spark, sf):
 def q_shard_readiness(spark, sf):
     """Readiness and active replica hosts per snapshot and shard."""
     return shard_readiness(shard_state(spark, sf))
+
+
+@query
+def q_index_readiness(spark, sf):
+    """H6: an index snapshot is ready when every shard is."""
+    return index_readiness(shard_state(spark, sf))
+
+
+@query
+def q_stream_ingest(spark, sf):
+    """Order lines written as text files, ingested by the streaming job
+    (``availableNow``), then counted per shard."""
+    base = _scratch(spark, "stream")
+    orders_lines(spark, sf).select("value").write.text(f"{base}/src")
+    q = ingest_stream(spark, f"{base}/src", f"{base}/out", f"{base}/ck", index="orders", doc_type="order",
+                      shards=SHARDS)
+    q.awaitTermination()
+    back = spark.read.parquet(f"{base}/out")
+    return back.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_docs"),
+                                        F.min("_id").alias("min_id"), F.max("_id").alias("max_id"))
