@@ -134,8 +134,9 @@ def rejects(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
     ``(_doc, _id, pos, token, reason)``."""
     cols = columns_of(F.col("payload"), delim)
     staged = keyed.select("_doc", "_id", cols.alias("_cols"))
-    staged = staged.select("_doc", "_id", "_cols",
-                           F.transform(_fields_of_columns(F.col("_cols")), lambda x: x["error"]).alias("_err"))
+    errors = F.transform(_fields_of_columns(F.col("_cols")), lambda x: x["error"])
+    # Generator barrier, as in parse_docs: the filter below must not re-parse.
+    staged = staged.select("_doc", "_id", "_cols", F.explode(F.array(errors)).alias("_err"))
     return (staged.where(F.exists("_err", lambda e: e.isNotNull()))
             .select("_doc", "_id", F.posexplode(F.arrays_zip("_cols", "_err")).alias("pos", "z"))
             .where(F.col("z._err").isNotNull())
@@ -144,7 +145,8 @@ def rejects(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
 
 
 def fields_long(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id"), outer: bool = False) -> DataFrame:
-    """B1 long form: one row per field (``posexplode_outer`` keeps empty documents)."""
+    """B1 long form: one row per field (``outer`` keeps empty documents as
+    one all-null row; positions are in the ``pos`` field)."""
     keep = tuple(c for c in keep if c in docs.columns)
     gen = F.explode_outer("fields") if outer else F.explode("fields")
     return docs.select(*keep, gen.alias("f")).select(*keep, "f.*")
