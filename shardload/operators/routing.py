@@ -43,10 +43,17 @@ def by_shard(docs: DataFrame, shards: int, split: int | str = 1, key: str = "_do
     return docs.repartitionById(shards * split, F.col("shard_id") * F.lit(split) + sub)
 
 
+def java_order_key(c) -> F.Column:
+    """Sort key with Java's ``String.compareTo`` order: unsigned comparison of
+    UTF-16 code units equals byte order of the UTF-16BE encoding (plain UTF-8
+    order differs once supplementary characters meet high BMP characters)."""
+    return F.encode(c, "UTF-16BE")
+
+
 def order_shard(docs: DataFrame) -> DataFrame:
     """inside each shard, documents in descending id order.  The leading
     ``shard_id`` keeps the order through a partitioned write."""
-    return docs.sortWithinPartitions("shard_id", F.col("_id").desc())
+    return docs.sortWithinPartitions(F.col("shard_id"), java_order_key(F.col("_id")).desc())
 
 
 def shard_histogram(docs: DataFrame) -> DataFrame:

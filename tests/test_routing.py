@@ -128,3 +128,12 @@ def test_udf_runs_without_package_on_worker_path(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=600)
     assert "ROWS 1500" in out.stdout, out.stderr[-2000:]
+
+
+def test_shard_order_is_java_order(spark):
+    ids = ["�", "\U0001F600", "a", "b\U0001F600", "b￿"]
+    df = spark.createDataFrame([(i, 0) for i in ids], "_id string, shard_id int").repartition(1)
+    got = [r["_id"] for r in order_shard(df).collect()]
+    java_desc = sorted(ids, key=lambda s: s.encode("utf-16-be"), reverse=True)
+    assert got == java_desc
+    assert got.index("�") < got.index("\U0001F600")     # differs from code-point order
