@@ -39,6 +39,8 @@ def build_parser() -> argparse.ArgumentParser:
     imp.add_argument("--all-field", action="store_true", help="add the _all catch-all text")
     imp.add_argument("--rejects", help="write rejected values here (reject mode)")
     imp.add_argument("--build-id")
+    imp.add_argument("--doc-values", help="write per-shard doc values for name:type,name:type")
+    imp.add_argument("--postings", action="store_true", help="write the per-shard inverted index")
     for name in ("drop", "current"):
         s = sub.add_parser(name)
         s.add_argument("--output", required=True)
@@ -65,7 +67,12 @@ def main(argv: list[str] | None = None, spark=None) -> str | None:
     docs = shard_docs(lines, args.index, args.type, delim=delim, auto_id=args.auto_id,
                       on_error=args.on_error, shards=args.shards,
                       split=args.split if args.split == "auto" else int(args.split), with_all=args.all_field)
-    build = publish(docs, args.output, build_id=args.build_id, fmt=args.format, shards=args.shards)
+    dv = None
+    if args.doc_values:
+        dv = {n.strip(): (t or "string").strip().lower()
+              for n, _, t in (item.partition(":") for item in args.doc_values.split(",") if item.strip())}
+    build = publish(docs, args.output, build_id=args.build_id, fmt=args.format, shards=args.shards,
+                    doc_value_schema=dv, with_postings=args.postings)
     if args.rejects and args.on_error == "reject":
         rejects(keyed_lines(read_lines(spark, args.input), delim=delim, auto_id=args.auto_id), delim) \
             .write.mode("errorifexists").parquet(args.rejects)

@@ -35,6 +35,29 @@ def columns_of(payload: Column, delim: str = DEFAULT_DELIM) -> Column:
     return F.flatten(F.transform(java_split(payload, delim), lambda cell: java_split(cell, ",")))
 
 
+SPARK_TYPE = {"integer": "int", "long": "bigint", "short": "smallint", "float": "float", "double": "double"}
+
+
+def coerce(value: Column, typ: str) -> Column:
+    """Text → typed value with Java's parse rules; null when it does not
+    parse.  Integral types take an optional sign and ASCII digits only (no
+    blanks, no fraction); float and double accept what ``Double.valueOf``
+    accepts (surrounding blanks, exponent, ``NaN``/``Infinity``)."""
+    typ = typ.lower()
+    if typ not in SPARK_TYPE:
+        return value
+    cast = value.try_cast(SPARK_TYPE[typ])
+    if typ in ("integer", "long", "short"):
+        return F.when(value.rlike(INTEGRAL), cast)
+    return cast
+
+
+def split_fields(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
+    """B1 long form of the raw columns: ``(_doc, _id, pos, column)``."""
+    return keyed.select("_doc", "_id", F.posexplode(columns_of(F.col("payload"), delim)).alias("pos", "column")) \
+        .withColumn("pos", F.col("pos").cast("int"))
+
+
 def _parts(c: Column) -> Column:
     """Stage 1: the parts of one column, without building an array.
 
@@ -58,22 +81,19 @@ def _typed(x: Column, pos: Column) -> Column:
            .when(n == 2, F.lit("string"))
            .when(n >= 3, F.when(t.isin(*NUMERIC_TYPES), t).otherwise(F.lit("string"))))
 
-    def slot(type_name: str, spark_type: str, integral: bool = False) -> Column:
-        ok = (n >= 3) & (t == F.lit(type_name))
-        if integral:
-            ok = ok & v.rlike(INTEGRAL)
-        return F.when(ok, v.try_cast(spark_type))
+    def slot(type_name: str) -> Column:
+        return F.when((n >= 3) & (t == F.lit(type_name)), coerce(v, type_name))
 
     return F.struct(
         pos.cast("int").alias("pos"),
         F.when(n == 1, F.concat(F.lit(TAG_PREFIX), a)).when(n >= 2, a).alias("name"),
         typ.alias("type"),
         F.when(n == 1, F.lit(str(TAG_VALUE))).when(n >= 2, v).alias("raw"),
-        F.when(n == 1, F.lit(TAG_VALUE)).otherwise(slot("integer", "int", True)).alias("i"),
-        slot("long", "bigint", True).alias("l"),
-        slot("short", "smallint", True).alias("s"),
-        slot("float", "float").alias("f"),
-        slot("double", "double").alias("d"),
+        F.when(n == 1, F.lit(TAG_VALUE)).otherwise(slot("integer")).alias("i"),
+        slot("long").alias("l"),
+        slot("short").alias("s"),
+        slot("float").alias("f"),
+        slot("double").alias("d"),
         F.when((n == 2) | ((n >= 3) & ~t.isin(*NUMERIC_TYPES)), v).alias("str"),
     )
 
@@ -129,6 +149,11 @@ def parse_docs(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "re
     return docs
 
 
+def typed_fields(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "reject") -> DataFrame:
+    """The survey's name for ``parse_docs``."""
+    return parse_docs(keyed, delim=delim, on_error=on_error)
+
+
 def rejects(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
     """One row per bad column of every rejected document:
     ``(_doc, _id, pos, token, reason)``."""

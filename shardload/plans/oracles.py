@@ -410,3 +410,13 @@ SELECT ts, index, count(*) AS n_shards, bool_and(ready) AS ready FROM (
 GROUP BY ts, index""")
 
 oracle("q_stream_ingest", ORDERS_BY_SHARD)
+
+oracle("q_published_postings", f"""
+SELECT 'status' AS field, lower(o_orderstatus) AS term, {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id,
+       count(*) AS df, count(*) AS ttf
+FROM orders GROUP BY 2, 3""")
+
+oracle("q_published_doc_values", f"""
+SELECT {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, count(*) AS n_docs,
+       min(o_totalprice) AS min_total, max(o_totalprice) AS max_total, count(o_custkey) AS n_cust
+FROM orders GROUP BY 1""")

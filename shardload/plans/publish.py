@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardload.operators.routing import java_order_key
 from shardload.operators.stats import manifest
 
 POINTER = "CURRENT"
@@ -107,8 +108,28 @@ def _observed_counts(docs: DataFrame, shards: int):
     return docs.observe(obs, *metrics), obs
 
 
+def write_doc_values(written: DataFrame, path: str, schema: dict[str, str], fmt: str = "parquet") -> None:
+    """C4/C5 per shard: one ``ARRAY<T>`` column per field of ``schema``,
+    derived from the written documents (no re-parse), same placement."""
+    from shardload.operators.docs import doc_values
+    dv = doc_values(written, schema, keep=("shard_id", "_id"))
+    dv.sortWithinPartitions(F.col("shard_id"), java_order_key(F.col("_id")).desc()) \
+        .write.mode("errorifexists").format(fmt).partitionBy("shard_id").save(path)
+
+
+def write_postings(written: DataFrame, path: str, shards: int, fmt: str = "parquet") -> None:
+    """D1/D2 per shard: the inverted index of every string field, one row
+    per (field, term, document), each shard sorted by field, term and id."""
+    from shardload.operators.postings import analyze_fields, postings
+    from shardload.operators.routing import by_shard
+    post = postings(analyze_fields(written)).drop("_doc")
+    by_shard(post, shards).sortWithinPartitions("shard_id", "field", "term", "_id") \
+        .write.mode("errorifexists").format(fmt).partitionBy("shard_id").save(path)
+
+
 def publish(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
-            shards: int | None = None) -> str:
+            shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
+            with_postings: bool = False) -> str:
     """H3: write a new build, verify it, then switch ``CURRENT`` to it.
 
     With ``shards`` known (up to ``MAX_OBSERVED_SHARDS``) the expected
@@ -135,6 +156,11 @@ def publish(docs: DataFrame, root: str, build_id: str | None = None, fmt: str =
         _delete(spark, path)
         raise IOError(f"build {build_id} failed verification; {root} left unchanged")
     manifest(written, build_id).write.mode("errorifexists").json(path + "_manifest")
+    if doc_value_schema:
+        write_doc_values(written, path + "_doc_values", doc_value_schema, fmt)
+    if with_postings:
+        n = shards if shards is not None else written.agg(F.max("shard_id")).collect()[0][0] + 1
+        write_postings(written, path + "_postings", int(n), fmt)
     _write_text(spark, f"{root.rstrip('/')}/{POINTER}", build_id)
     return build_id
 
@@ -144,8 +170,17 @@ def unpublish(spark: SparkSession, root: str) -> None:
     build = current_build(spark, root)
     _delete(spark, f"{root.rstrip('/')}/{POINTER}")
     if build:
-        _delete(spark, build_path(root, build))
-        _delete(spark, build_path(root, build) + "_manifest")
+        for suffix in ("", "_manifest", "_doc_values", "_postings"):
+            _delete(spark, build_path(root, build) + suffix)
+
+
+def read_current_part(spark: SparkSession, root: str, part: str, fmt: str = "parquet") -> DataFrame:
+    """A side table of the live build: ``manifest``, ``doc_values`` or ``postings``."""
+    build = current_build(spark, root)
+    if build is None:
+        raise FileNotFoundError(f"no published build under {root}")
+    path = f"{build_path(root, build)}_{part}"
+    return spark.read.json(path) if part == "manifest" else spark.read.format(fmt).load(path)
 
 
 def bulk_action(index: str, doc_type: str) -> F.Column:

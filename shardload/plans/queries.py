@@ -23,7 +23,8 @@ from shardload.operators.predicates import exists_, fuzzy, get_by_id, match_term
 from shardload.operators.routing import by_shard, order_shard, route_hash, shard_skew
 from shardload.operators.stats import duplicate_ids, field_stats, manifest
 from shardload.plans.build import numeric_value, parsed_docs, shard_docs
-from shardload.plans.publish import bulk_lines, publish, read_current, verify_publish, write_sharded
+from shardload.plans.publish import (bulk_lines, publish, read_current, read_current_part, verify_publish,
+                                     write_sharded)
 from shardload.session import checkpoint_dir
 from shardload.streaming.ingest import ingest_stream
 from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema
@@ -438,3 +439,28 @@ def q_stream_ingest(spark, sf):
     back = spark.read.parquet(f"{base}/out")
     return back.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_docs"),
                                         F.min("_id").alias("min_id"), F.max("_id").alias("max_id"))
+
+
+@query
+def q_published_postings(spark, sf):
+    """D2 per shard in a published build: term statistics read back from the
+    build's inverted index of the order documents."""
+    docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
+    root = _scratch(spark, "publish_index")
+    publish(docs, root, shards=SHARDS, with_postings=True)
+    post = read_current_part(spark, root, "postings")
+    return post.groupBy("field", "term", "shard_id").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
+
+
+@query
+def q_published_doc_values(spark, sf):
+    """C4 per shard in a published build: ``total`` and ``cust`` doc values
+    read back from the build's doc-value columns."""
+    docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
+    root = _scratch(spark, "publish_dv")
+    publish(docs, root, shards=SHARDS, doc_value_schema={"total": "double", "cust": "long"})
+    dv = read_current_part(spark, root, "doc_values")
+    return dv.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_docs"),
+                                      F.min(F.element_at("total", 1)).alias("min_total"),
+                                      F.max(F.element_at("total", -1)).alias("max_total"),
+                                      F.sum(F.size("cust")).alias("n_cust"))

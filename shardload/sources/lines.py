@@ -19,6 +19,7 @@ from shardload.functions.split import java_split, quote, strip_leading, strip_tr
 TYPE_NAMES = ("integer", "long", "short", "float", "double", "string")
 SPARK_TYPES = {"integer": "int", "long": "bigint", "short": "smallint",
                "float": "float", "double": "double", "string": "string"}
+DDL_TO_TYPE = {v: k for k, v in SPARK_TYPES.items()}
 
 
 def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None = None) -> DataFrame:
@@ -97,6 +98,12 @@ def auto_id_col(lines: DataFrame, seed: str = "") -> Column:
     return F.substring(b64, 1, 22)
 
 
+def auto_id(lines: DataFrame, seed: str = "", delim: str = DEFAULT_DELIM) -> DataFrame:
+    """A3: auto-id mode: every line (except delimiter-only ones) becomes a
+    document with a generated id; the whole line is the payload."""
+    return keyed_lines(lines, delim=delim, auto_id=True, id_seed=seed)
+
+
 def parse_meta(meta: str) -> StructType:
     """A5: ``name:type,name:type`` → Spark schema (driver-side, tiny)."""
     fields = []
@@ -121,17 +128,18 @@ def parse_with_schema(keyed: DataFrame, meta: str | StructType, delim: str = DEF
     value that does not parse is null (``try_cast``), with the count of such
     values in ``_bad``.
     """
+    from shardload.operators.fields import coerce
     schema = parse_meta(meta) if isinstance(meta, str) else meta
     cells = java_split(F.col("payload"), delim)
     cols, bad = [], []
     for k, f in enumerate(schema.fields):
         raw = F.get(cells, k)
-        typed = raw.try_cast(f.dataType)
+        typed = coerce(raw, DDL_TO_TYPE.get(f.dataType.simpleString(), "string")).cast(f.dataType)
         cols.append(typed.alias(f.name))
         bad.append(F.when(raw.isNotNull() & typed.isNull(), 1).otherwise(0))
     bad_sum = bad[0] if len(bad) == 1 else sum(bad[1:], bad[0])
     return keyed.select("_doc", "_id", *cols, bad_sum.alias("_bad"))
 
 
-__all__ = ["read_lines", "keyed_lines", "dropped_lines", "auto_id_col", "with_doc_key",
+__all__ = ["read_lines", "keyed_lines", "dropped_lines", "auto_id", "auto_id_col", "with_doc_key",
            "parse_meta", "parse_with_schema", "has_cells", "quote", "TYPE_NAMES"]

@@ -146,3 +146,21 @@ def test_columns_match_java_split(spark, delim):
     got = df.select("p", columns_of(F.col("p"), delim).alias("c")).collect()
     bad = [(r.p, r.c) for r in got if [c for cell in _jsplit(r.p, delim) for c in _jsplit(cell, ",")] != r.c]
     assert not bad, bad[:5]
+
+
+def test_coerce_and_split_fields(spark):
+    from shardload.operators.fields import coerce, split_fields
+    df = spark.createDataFrame([("7",), (" 7",), ("+7",), ("1.5",), ("1e3",), ("x",), ("40000",)], "v string")
+    got = df.select(coerce(F.col("v"), "integer").alias("i"), coerce(F.col("v"), "short").alias("s"),
+                    coerce(F.col("v"), "double").alias("d")).collect()
+    assert [r["i"] for r in got] == [7, None, 7, None, None, None, 40000]
+    assert [r["s"] for r in got] == [7, None, 7, None, None, None, None]
+    assert [r["d"] for r in got] == [7.0, 7.0, 7.0, 1.5, 1000.0, None, 40000.0]
+    rows = split_fields(keyed_lines(lines_df(spark, ["a\tx:1,y\t\tz"]))).collect()
+    assert [(r["pos"], r["column"]) for r in rows] == [(0, "x:1"), (1, "y"), (2, ""), (3, "z")]
+
+
+def test_meta_schema_java_rules(spark):
+    k = keyed_lines(lines_df(spark, ["1\t 7\t7"]))
+    r = parse_with_schema(k, "a:integer,b:integer").collect()[0]
+    assert (r["a"], r["b"], r["_bad"]) == (None, 7, 1)
