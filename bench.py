@@ -18,7 +18,7 @@ sys.path.insert(0, ROOT)
 
 from shardload.plans import queries as Q  # noqa: E402
 from shardload.plans.build import shard_docs  # noqa: E402
-from shardload.plans.publish import write_sharded  # noqa: E402
+from shardload.plans.publish import publish, write_sharded  # noqa: E402
 from shardload.session import checkpoint_dir, get_spark  # noqa: E402
 from shardload.sources.tables import lineitem_lines, orders_lines  # noqa: E402
 
@@ -62,6 +62,10 @@ def main() -> None:
 
     timed("import_lineitem", lambda: write_sharded(
         shard_docs(lineitem_lines(spark, sf_dir), "lineitem", "item", shards=Q.SHARDS), f"{out}/lineitem"))
+    timed("publish_lineitem", lambda: publish(
+        shard_docs(lineitem_lines(spark, sf_dir), "lineitem", "item", shards=Q.SHARDS, split="auto"),
+        f"{out}/published", shards=Q.SHARDS, with_postings=True,
+        doc_value_schema={"qty": "double", "ship": "short", "code": "string", "num": "integer"}))
     timed("import_orders", lambda: write_sharded(
         shard_docs(orders_lines(spark, sf_dir), "orders", "order", shards=Q.SHARDS), f"{out}/orders"))
     for name in HEADLINE:
