@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, lines_df
 from shardload.operators.predicates import get_by_id, shard_for
+from shardload.operators.routing import route
 from shardload.operators.stats import manifest
 from shardload.plans.build import shard_docs
 from shardload.plans.publish import (bulk_lines, current_build, publish, read_current, unpublish,
@@ -27,8 +28,8 @@ def test_write_one_file_per_shard_in_order(spark, scratch):
         assert ids == sorted(ids, reverse=True)
     back = spark.read.parquet(path)
     assert back.count() == 1500
-    bad = back.where(F.col("shard_id") != F.pmod(F.col("shard_id"), F.lit(5))).count()
-    assert bad == 0
+    rerouted = route(back.select("_id", F.col("shard_id").alias("written")), 5)
+    assert rerouted.where(F.col("shard_id") != F.col("written")).count() == 0
     with pytest.raises(Exception):
         write_sharded(docs, path)           # refuses to overwrite
 
@@ -98,3 +99,14 @@ def test_cli_import(spark, scratch):
     post = [(r["field"], r["term"], r["_id"], r["tf"]) for r in read_current_part(spark, root, "postings").collect()]
     assert post == [("y", "z", "c", 1)]
     assert read_current_part(spark, root, "manifest").count() >= 1
+
+
+def test_source_parses_back_to_fields(spark):
+    import json
+    docs = shard_docs(orders_lines(spark, SF001), "orders", "order", shards=5)
+    for r in docs.select("_source", "fields").collect():
+        src = json.loads(r["_source"])
+        want = {}
+        for f in r["fields"]:
+            want[f["name"]] = next(f[k] for k in ("str", "i", "l", "s", "f", "d") if f[k] is not None)
+        assert src == want
