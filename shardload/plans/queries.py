@@ -222,6 +222,8 @@ def q_sort_double(spark, sf):
     docs = parsed_docs(orders_lines(spark, sf), shards=SHARDS)
     wide = to_wide(docs, {"total": "double"})
     top = sort_numeric(wide, "total", descending=True, then=("_id",)).limit(10)
+    # Distributed top-k (TakeOrderedAndProject); the window below numbers only
+    # the 10 rows it returns.
     return top.select("_id", "total",
                       F.row_number().over(Window.orderBy(F.col("total").desc(), "_id")).alias("rank"))
 
