@@ -45,8 +45,11 @@ def checkpoint_dir(spark: SparkSession, fallback_root: str | None = None) -> str
     is unset, as in local tests, a folder is made under ``fallback_root`` (or a
     fresh temporary folder) and registered with the session.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
         return d
     master = spark.sparkContext.master
     if not master.startswith("local") and fallback_root is None:
