@@ -24,12 +24,17 @@ def route_hash(docs: DataFrame, id_col: str = "_id") -> DataFrame:
     return docs.withColumn("hash", murmur3_id(F.col(id_col)))
 
 
-def auto_split(docs: DataFrame, shards: int) -> int:
+INPUTS_PER_PLACEMENT_TASK = 4
+
+
+def auto_split(docs: DataFrame, shards: int, inputs_per_task: int = INPUTS_PER_PLACEMENT_TASK) -> int:
     """Sub-partitions per shard so that each placement task receives about
-    one input partition's worth of documents (input partitions are sized by
-    ``spark.sql.files.maxPartitionBytes``)."""
+    ``inputs_per_task`` input partitions' worth of documents (input
+    partitions are sized by ``spark.sql.files.maxPartitionBytes``).  Fewer,
+    larger placement tasks keep the map × reduce block count and the number
+    of output files down at very large scale."""
     n_in = docs.rdd.getNumPartitions()
-    return max(1, -(-n_in // max(1, shards)))
+    return max(1, -(-n_in // max(1, shards * inputs_per_task)))
 
 
 def by_shard(docs: DataFrame, shards: int, split: int | str = 1, key: str = "_doc") -> DataFrame:

@@ -105,7 +105,9 @@ def test_auto_split(spark):
     from shardload.operators.routing import auto_split
     docs = parsed_docs(orders_lines(spark, SF001), shards=2)
     n_in = docs.rdd.getNumPartitions()
-    assert auto_split(docs, 2) == -(-n_in // 2)
+    assert auto_split(docs, 2, inputs_per_task=1) == -(-n_in // 2)
+    assert auto_split(docs, 2) == -(-n_in // 8)
+    assert auto_split(docs, 2, inputs_per_task=10**6) == 1
     placed = by_shard(docs, 2, split="auto")
     assert placed.rdd.getNumPartitions() == 2 * auto_split(docs, 2)
     parts = placed.select("shard_id", F.spark_partition_id().alias("p")).collect()
