@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # Fixed value: a token is a maximal run of letters and digits (an
 # approximation of Unicode word breaking), taken from the lower-cased text.
 TOKEN_PATTERN = "[\\p{L}\\p{N}]+"
+MAX_BROADCAST_STOP_WORDS = 100_000
 
 
 def tokens_of(text: Column) -> Column:
@@ -26,15 +27,18 @@ def tokenize(df: DataFrame, text_col: str, keep: tuple[str, ...] = ("_doc", "_id
     """One row per token: ``keep…, field, position, term``.
 
     Positions count every token, so removing stop words leaves gaps as a
-    stop filter does.  ``stop_words`` (column ``term``) is a small fixed list
-    and is broadcast.
+    stop filter does.  ``stop_words`` (column ``term``) is broadcast only
+    when its size is checked to be at most ``MAX_BROADCAST_STOP_WORDS``;
+    a larger list takes an ordinary anti-join.
     """
     keep = tuple(c for c in keep if c in df.columns)
     out = df.select(*keep, F.lit(field or text_col).alias("field"),
                     F.posexplode(tokens_of(F.col(text_col))).alias("position", "term"))
     out = out.withColumn("position", F.col("position").cast("int"))
     if stop_words is not None:
-        out = out.join(F.broadcast(stop_words.select("term").distinct()), "term", "left_anti")
+        stop = stop_words.select("term").distinct()
+        small = stop.limit(MAX_BROADCAST_STOP_WORDS + 1).count() <= MAX_BROADCAST_STOP_WORDS
+        out = out.join(F.broadcast(stop) if small else stop, "term", "left_anti")
     return out
 
 
