@@ -29,8 +29,7 @@ def field_stats(docs: DataFrame) -> DataFrame:
 
     One pass: every document emits its distinct (name, type) pairs, its
     distinct (name, type, value) triples, all its values and one marker row
-    for ``max_doc``; a single aggregation sums them.  The marker group is
-    read back from the same exchange (reused), not recomputed.
+    for ``max_doc``; a single aggregation sums them.
     """
     valid = F.filter("fields", lambda x: x["name"].isNotNull())
 
@@ -52,13 +51,14 @@ def field_stats(docs: DataFrame) -> DataFrame:
                 F.sum("ttf").alias("sum_total_term_freq"), F.min("num").alias("min_v"),
                 F.max("num").alias("max_v"), F.bool_or("mk").alias("mk")))
     # The aggregate has one row per field name and type; it is written once
-    # to the checkpoint folder so the two uses below do not parse twice.
+    # to the checkpoint folder, so the marker row (the document count, one
+    # number) is read from it without re-running the parse.
     agg = materialize(agg)
-    max_doc = agg.where(F.col("mk")).select(F.col("doc_count").alias("max_doc"))
-    # One-row side: broadcast by construction, whatever the data size.
-    return (agg.where(~F.col("mk")).crossJoin(F.broadcast(max_doc))
-            .select("name", "type", "max_doc", "doc_count", "sum_doc_freq", "sum_total_term_freq",
-                    "min_v", "max_v"))
+    marker = agg.where(F.col("mk")).select("doc_count").first()
+    max_doc = marker[0] if marker else 0
+    return (agg.where(~F.col("mk"))
+            .select("name", "type", F.lit(max_doc).cast("bigint").alias("max_doc"), "doc_count",
+                    "sum_doc_freq", "sum_total_term_freq", "min_v", "max_v"))
 
 
 def duplicate_ids(docs: DataFrame, key: str = "_id") -> DataFrame:
