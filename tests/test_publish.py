@@ -110,3 +110,21 @@ def test_source_parses_back_to_fields(spark):
         for f in r["fields"]:
             want[f["name"]] = next(f[k] for k in ("str", "i", "l", "s", "f", "d") if f[k] is not None)
         assert src == want
+
+
+def test_write_bulk_and_cli_drop(spark, scratch):
+    import json
+    from shardload.cli import main
+    from shardload.plans.publish import write_bulk
+    docs = shard_docs(orders_lines(spark, SF001), "orders", "order", shards=5)
+    path = os.path.join(scratch, "bulk")
+    write_bulk(docs, path, "orders", "order")
+    text = spark.read.text(path)
+    assert text.count() == 2 * 1500                      # action line + source line per document
+    first = [r["value"] for r in text.limit(2).collect()]
+    assert json.loads(first[0])["index"]["_index"] == "orders"
+    root = os.path.join(scratch, "dropme")
+    publish(docs, root, build_id="x", shards=5)
+    main(["drop", "--output", root], spark=spark)
+    assert current_build(spark, root) is None
+    assert not os.path.exists(os.path.join(root, "builds", "x"))
