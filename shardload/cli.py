@@ -37,6 +37,8 @@ def build_parser() -> argparse.ArgumentParser:
     imp.add_argument("--on-error", default="reject", choices=("reject", "fail", "null"))
     imp.add_argument("--format", default="parquet", choices=("parquet", "orc", "json"))
     imp.add_argument("--all-field", action="store_true", help="add the _all catch-all text")
+    imp.add_argument("--source-dup", default="keep", choices=("keep", "last", "array"),
+                     help="repeated field names in _source: keep all, last wins, or a JSON array")
     imp.add_argument("--rejects", help="write rejected values here (reject mode)")
     imp.add_argument("--build-id")
     imp.add_argument("--doc-values", help="write per-shard doc values for name:type,name:type")
@@ -66,7 +68,8 @@ def main(argv: list[str] | None = None, spark=None) -> str | None:
     lines = read_lines(spark, args.input)
     docs = shard_docs(lines, args.index, args.type, delim=delim, auto_id=args.auto_id,
                       on_error=args.on_error, shards=args.shards,
-                      split=args.split if args.split == "auto" else int(args.split), with_all=args.all_field)
+                      split=args.split if args.split == "auto" else int(args.split), with_all=args.all_field,
+                      source_dup=args.source_dup)
     dv = None
     if args.doc_values:
         dv = {n.strip(): (t or "string").strip().lower()

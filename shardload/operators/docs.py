@@ -178,10 +178,11 @@ def all_text(fields: Column | str = "fields") -> Column:
 
 
 def assemble(docs: DataFrame, index: str, doc_type: str = DEFAULT_TYPE,
-             with_all: bool = False) -> DataFrame:
-    """Full document row: meta, ``_source``, ``_field_names`` (and ``_all``)."""
+             with_all: bool = False, dup: str = "keep") -> DataFrame:
+    """Full document row: meta, ``_source`` (``dup`` policy for repeated
+    names), ``_field_names`` (and ``_all``)."""
     out = with_doc_meta(docs, index, doc_type).withColumns({
-        "_source": source_json("fields"),
+        "_source": source_json("fields", dup),
         "_field_names": field_names("fields"),
     })
     if with_all:

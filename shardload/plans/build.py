@@ -28,11 +28,12 @@ def parsed_docs(lines: DataFrame, delim: str = DEFAULT_DELIM, auto_id: bool = Fa
 
 def shard_docs(lines: DataFrame, index: str, doc_type: str = DEFAULT_TYPE,
                delim: str = DEFAULT_DELIM, auto_id: bool = False, on_error: str = "reject",
-               shards: int = DEFAULT_SHARDS, split: int | str = 1, with_all: bool = False) -> DataFrame:
+               shards: int = DEFAULT_SHARDS, split: int | str = 1, with_all: bool = False,
+               source_dup: str = "keep") -> DataFrame:
     """Full documents, one partition (or ``split`` partitions) per shard, in
     descending id order inside each shard."""
     docs = parsed_docs(lines, delim, auto_id, on_error, shards)
-    docs = assemble(docs, index, doc_type, with_all=with_all)
+    docs = assemble(docs, index, doc_type, with_all=with_all, dup=source_dup)
     return order_shard(by_shard(docs, shards, split))
 
 

@@ -84,18 +84,21 @@ def test_cli_import(spark, scratch):
     src = os.path.join(scratch, "in")
     os.makedirs(src)
     with open(os.path.join(src, "part-0.txt"), "w") as f:
-        f.write("a\tx:1:integer\nb\tx:bad:integer\nc\ty:z\nshort\n")
+        f.write("a\tx:1:integer,x:2:integer\nb\tx:bad:integer\nc\ty:z\nshort\n")
     root = os.path.join(scratch, "out")
     rej = os.path.join(scratch, "rej")
     build = main(["import", "--input", src, "--output", root, "--index", "ix", "--shards", "3",
-                  "--rejects", rej, "--doc-values", "x:integer,y:string", "--postings"], spark=spark)
+                  "--rejects", rej, "--doc-values", "x:integer,y:string", "--postings",
+                  "--source-dup", "array"], spark=spark)
     live = read_current(spark, root)
     assert sorted(r["_id"] for r in live.collect()) == ["a", "c"]
     assert [r["_id"] for r in spark.read.parquet(rej).collect()] == ["b"]
     assert main(["current", "--output", root], spark=spark) == build
     from shardload.plans.publish import read_current_part
     dv = {r["_id"]: (r["x"], r["y"]) for r in read_current_part(spark, root, "doc_values").collect()}
-    assert dv == {"a": ([1], []), "c": ([], ["z"])}
+    assert dv == {"a": ([1, 2], []), "c": ([], ["z"])}
+    src = {r["_id"]: r["_source"] for r in live.collect()}
+    assert src["a"] == '{"x":[1,2]}' 
     post = [(r["field"], r["term"], r["_id"], r["tf"]) for r in read_current_part(spark, root, "postings").collect()]
     assert post == [("y", "z", "c", 1)]
     assert read_current_part(spark, root, "manifest").count() >= 1
