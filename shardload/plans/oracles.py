@@ -420,3 +420,22 @@ oracle("q_published_doc_values", f"""
 SELECT {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, count(*) AS n_docs,
        min(o_totalprice) AS min_total, max(o_totalprice) AS max_total, count(o_custkey) AS n_cust
 FROM orders GROUP BY 1""")
+
+
+def _li_json_head() -> str:
+    d = epoch_days_sql("l_shipdate")
+    return ("'{\"qty\":', l_quantity::VARCHAR, ',\"line\":', l_linenumber, ',\"part\":', l_partkey, "
+            "',\"disc\":', CAST(l_discount AS FLOAT)::VARCHAR, ',\"tax\":', CAST(l_tax AS FLOAT)::VARCHAR, "
+            "',\"flag\":', to_json(l_returnflag), ',\"price\":', l_extendedprice::VARCHAR, "
+            f"',\"ship\":', {d}, ',\"status\":', to_json(l_linestatus), "
+            "',', to_json('col_' || l_returnflag), ':1'")
+
+
+oracle("q_source_dup", f"""
+SELECT {LI_ID} AS _id,
+       concat({_li_json_head()}, ',"code":', to_json(l_returnflag),
+              ',"num":', CAST(trunc(l_quantity) AS INTEGER), '}}') AS src_last,
+       concat({_li_json_head()}, ',"code":[', to_json(l_returnflag), ',', to_json(l_linestatus), ',',
+              to_json(l_returnflag), '],"num":[', l_linenumber, ',', CAST(trunc(l_quantity) AS INTEGER), ']}}')
+         AS src_array
+FROM lineitem""")

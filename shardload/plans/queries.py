@@ -466,3 +466,12 @@ def q_published_doc_values(spark, sf):
                                       F.min(F.element_at("total", 1)).alias("min_total"),
                                       F.max(F.element_at("total", -1)).alias("max_total"),
                                       F.sum(F.size("cust")).alias("n_cust"))
+
+
+@query
+def q_source_dup(spark, sf):
+    """C1 policies for repeated names (``code`` ×3, ``num`` ×2 per line item):
+    last value wins, and values collected into JSON arrays."""
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
+    return docs.select("_id", source_json("fields", "last").alias("src_last"),
+                       source_json("fields", "array").alias("src_array"))
