@@ -131,3 +131,15 @@ def test_write_bulk_and_cli_drop(spark, scratch):
     main(["drop", "--output", root], spark=spark)
     assert current_build(spark, root) is None
     assert not os.path.exists(os.path.join(root, "builds", "x"))
+
+
+def test_cli_fail_mode_publishes_nothing(spark, scratch):
+    from shardload.cli import main
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "p.txt"), "w") as f:
+        f.write("a\tx:1:integer\nb\tx:bad:integer\n")
+    root = os.path.join(scratch, "out")
+    with pytest.raises(Exception):
+        main(["import", "--input", src, "--output", root, "--index", "ix", "--on-error", "fail"], spark=spark)
+    assert current_build(spark, root) is None

@@ -139,3 +139,11 @@ def test_shard_order_is_java_order(spark):
     java_desc = sorted(ids, key=lambda s: s.encode("utf-16-be"), reverse=True)
     assert got == java_desc
     assert got.index("�") < got.index("\U0001F600")     # differs from code-point order
+
+
+def test_numpy_hash_random_unicode():
+    import random
+    rnd = random.Random(3)
+    pool = [0x41, 0x7A, 0xE9, 0x3B1, 0x4E2D, 0xFFFD, 0x1F600, 0x10348, 0x20000]
+    ids = ["".join(chr(rnd.choice(pool)) for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
+    assert [int(x) for x in murmur3_utf16(ids)] == [_py_murmur(s) for s in ids]
