@@ -439,3 +439,5 @@ SELECT {LI_ID} AS _id,
               to_json(l_returnflag), '],"num":[', l_linenumber, ',', CAST(trunc(l_quantity) AS INTEGER), ']}}')
          AS src_array
 FROM lineitem""")
+
+oracle("q_range_wide", ORACLES["q_range"])

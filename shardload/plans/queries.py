@@ -475,3 +475,16 @@ def q_source_dup(spark, sf):
     docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
     return docs.select("_id", source_json("fields", "last").alias("src_last"),
                        source_json("fields", "array").alias("src_array"))
+
+
+@query
+def q_range_wide(spark, sf):
+    """E2 on a written wide table: the same range as ``q_range`` on scalar
+    columns, so the bounds reach the Parquet scan as pushed filters."""
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
+    path = _scratch(spark, "wide")
+    to_wide(docs, {"ship": "short", "qty": "double"}).write.parquet(path)
+    wide = spark.read.parquet(path)
+    return (wide.where(range_("ship", "short", 9500, 9600, include_lo=True, include_hi=False, wide=True)
+                       & range_("qty", "double", lo=45, include_lo=False, wide=True))
+            .select("_id"))
