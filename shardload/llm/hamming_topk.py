@@ -134,7 +134,7 @@ def vector_topk(vectors: DataFrame, k: int = K, bits: int = 64, every: int = 100
 
 
 ORACLE = f"""
-WITH c AS (SELECT vec_id, list_aggregate(list_transform(range(0, 64), i -> CASE WHEN embedding[i + 1] > 0
+WITH c AS (SELECT vec_id, list_aggregate(list_transform(range(0, 64), lambda i: CASE WHEN embedding[i + 1] > 0
              THEN (1::HUGEINT << i::INT) ELSE 0::HUGEINT END), 'sum')::HUGEINT AS code
            FROM embeddings WHERE len(embedding) > 0),
 pairs AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbor_id, bit_count(xor(q.code, r.code))::INT AS distance
