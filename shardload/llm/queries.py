@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shardload.llm import hamming_topk, license_scan, line_dedup
+from shardload.llm import hamming_topk, language_id, license_scan, line_dedup, quality
+from shardload.llm.common import id_bucket
 from shardload.sources.tables import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 5) == 0
+    model = language_id.fit(docs, ~held_out)
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model,
+                               keep=("doc_id", "held_out"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, counts=True).drop("source")
@@ -21,7 +31,15 @@ def op5_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_topk.vector_topk(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op4_license_scan, op5_hamming_topk)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 4) == 2
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return (quality.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep=("doc_id", "held_out"))
+            .withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int")))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_line_dedup, op4_license_scan, op5_hamming_topk, op10_quality)}
 
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
