@@ -1,4 +1,5 @@
-"""Quality classifier: naive Bayes support vectors (character n-grams).
+"""Quality classifier: naive Bayes support vectors (character n-grams of
+orders 1 to 3, and bigrams that say a word twice).
 
 N-gram indicators are scaled by class log-count ratios, then a linear
 hinge-loss model is fitted by dual coordinate descent; a logistic curve over the
@@ -16,6 +17,8 @@ null labels do not; repeated rows are scored each for itself; extra columns pass
 
 from __future__ import annotations
 
+import itertools
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +31,10 @@ from shardload.llm import ngrams
 from shardload.llm.common import saved, share, small
 
 ORDERS, BITS = (1, 2, 3), 16
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 6000
+#: Word bigrams of twice the same word, by their share of a text's bigrams: one indicator per level.
+ECHO_LEVELS = (0.0, 0.05, 0.2, 0.4)
+FEATURES = (1 << BITS) + len(ECHO_LEVELS)
 #: Smoothing of the counts, the cost of a margin error, passes over the sample.
 SMOOTH, COST, EPOCHS = 1.0, 1.0, 20
 ACCEPT = 0.7
@@ -45,7 +51,7 @@ class Model:
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per class, in how many of a task's rows a bucket occurs; indicators of the sampled rows."""
-    count = np.zeros((2, 1 << BITS), dtype=np.int64)
+    count = np.zeros((2, FEATURES), dtype=np.int64)
 
     def rows(buckets, neg, pos, label, feats):
         return pa.RecordBatch.from_arrays([
@@ -66,14 +72,22 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(at.astype(np.int32), count[0, at], count[1, at], none, none)
 
 
+def _echoes(text: str | None) -> list[int]:
+    words = (text or "").split()
+    same = sum(map(operator.eq, words, itertools.islice(words, 1, None)))
+    return [(1 << BITS) + k for k, level in enumerate(ECHO_LEVELS) if same > level * (len(words) - 1)] if same else []
+
+
 def _indicators(texts: list) -> Iterator[tuple[int, np.ndarray]]:
-    """The distinct buckets of every text, in order."""
-    seen = np.zeros(1 << BITS, dtype=bool)
+    """The distinct n-gram buckets of every text, in order."""
+    seen = np.zeros(FEATURES, dtype=bool)
     last = None
     for i, b in ngrams.blocks(texts, ORDERS, BITS):
         if last is not None and i != last:
             yield last, np.flatnonzero(seen)
             seen[:] = False
+        if i != last:
+            seen[_echoes(texts[i])] = True
         last = i
         seen[b] = True
     if last is not None:
@@ -135,13 +149,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id
     for r in rows.groupBy("__label").count().collect():
         n[r["__label"]] = r["count"]
     share_of_1 = (n[1] + 1) / (sum(n) + 2)
-    zero = np.zeros(1 << BITS)
+    zero = np.zeros(FEATURES)
     if not min(n):
         return Model(zero, zero, 0.0, 0.0, float(np.log(share_of_1 / (1 - share_of_1))))
     picked = share(F.col("__id"), min(1.0, sample_rows / sum(n)))
     got = saved(rows.select("__text", "__label", picked.alias("sampled")).mapInArrow(
         _gather, "bucket int, neg long, pos long, label int, feats binary"), "quality")
-    count = np.zeros((2, 1 << BITS))
+    count = np.zeros((2, FEATURES))
     for b, neg, pos in got.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("neg"), F.sum("pos")).collect():
         count[:, b] = neg, pos
     neg, pos = count + SMOOTH

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.llm import hamming_topk, language_id, license_scan, line_dedup, quality
+from shardload.llm import hamming_topk, language_id, license_scan, line_dedup, packing, quality
 from shardload.llm.common import id_bucket
 from shardload.sources.tables import table
 
@@ -31,6 +32,11 @@ def op5_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_topk.vector_topk(table(spark, sf_dir, "embeddings"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = id_bucket(F.col("doc_id"), 4) == 2
@@ -39,7 +45,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int")))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_line_dedup, op4_license_scan, op5_hamming_topk, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_line_dedup, op4_license_scan, op5_hamming_topk,
+                                 op6_packing, op10_quality)}
 
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
