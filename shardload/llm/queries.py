@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.llm import hamming_topk, language_id, license_scan, line_dedup, packing, quality
+from shardload.llm import decontamination, hamming_topk, language_id, license_scan, line_dedup, packing, quality
 from shardload.llm.common import id_bucket
 from shardload.sources.tables import table
 
@@ -19,6 +19,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                keep=("doc_id", "held_out"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, counts=True).drop("source")
@@ -45,8 +49,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int")))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_line_dedup, op4_license_scan, op5_hamming_topk,
-                                 op6_packing, op10_quality)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_decontamination, op3_line_dedup, op4_license_scan, op5_hamming_topk, op6_packing, op10_quality)}
 
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
