@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.llm import decontamination, hamming_topk, language_id, license_scan, line_dedup, near_dedup, packing, quality
+from shardload.llm import decontamination, hamming_topk, language_id, license_scan, line_dedup, near_dedup, packing, pii, quality
 from shardload.llm.common import id_bucket
 from shardload.sources.tables import table
 
@@ -41,6 +41,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
 
@@ -54,7 +58,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontamination, op3_line_dedup, op4_license_scan, op5_hamming_topk, op6_packing,
+    op1_language_id, op2_decontamination, op3_line_dedup, op4_license_scan, op5_hamming_topk, op6_packing, op7_pii,
     op9_near_dedup, op10_quality)}
 
 ORACLES = {
