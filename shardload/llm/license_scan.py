@@ -13,10 +13,12 @@ places and labels cover whole texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import math
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.llm.common import lower_ascii, saved
+from shardload.llm.common import lower_ascii, saved, small
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -92,22 +94,32 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: d
                  F.filter(F.array(*found), lambda x: x.isNotNull()).alias("base"), "present", hits.alias("hits"))
     d = saved(d, "licence-words")
 
-    # IDF of the template words over all documents; the rarest of each template are looked up.
-    total = d.agg(F.count(F.lit(1)).alias("docs"))
-    df = d.select(F.explode("present").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    rarity = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("idf"), "word", "tpos"))
-    index = (index.join(F.broadcast(df), "word", "left").join(F.broadcast(total))
-             .withColumn("idf", F.log((F.col("docs") + 1) / (F.coalesce("df", F.lit(0)) + 1)))
-             .withColumn("rare", rarity <= RARE_WORDS))
-    index = F.broadcast(index.select("label", "word", "tpos", "in_phrase", "phrase_len", "template_len", "rare"))
-
-    places = (d.where(F.col("hits").isNotNull()).select("row", F.explode("hits").alias("hit"))
-              .select("row", "hit.word", "hit.pos").join(index, "word")
-              .groupBy("row", "label", (F.col("pos") - F.col("tpos")).alias("offset"))
-              .agg(F.sum(F.col("rare").cast("int")).alias("n_rare"), F.count(F.lit(1)).alias("n"),
-                   F.sum(F.col("in_phrase").cast("int")).alias("n_phrase"),
+    # IDF of the template words over all documents (one count per word); the rarest of each template are looked up.
+    total = d.count()
+    df = {r.word: r.n for r in d.select(F.explode("present").alias("word")).groupBy("word")
+          .agg(F.count(F.lit(1)).alias("n")).collect()}
+    idf = {w: math.log((total + 1) / (df.get(w, 0) + 1)) for w in vocabulary}
+    rare = {(label, w) for label, (notice, _) in templates.items()
+            for w in sorted(set(notice.split()), key=lambda w: (-idf[w], w))[:RARE_WORDS]}
+    index = F.broadcast(index.withColumn("rare", F.concat_ws(" ", "label", "word").isin([" ".join(x) for x in rare])))
+
+    # Postings of the rare words that agree on where the template would start.
+    looked_up = F.filter("hits", lambda x: x.word.isin(sorted({w for _, w in rare})))
+    starts = (d.where(F.col("hits").isNotNull()).select("row", F.explode(looked_up).alias("hit"))
+              .select("row", "hit.word", "hit.pos").join(index.where("rare"), "word")
+              .groupBy("row", "label", (F.col("pos") - F.col("tpos")).alias("at"))
+              .agg(F.count(F.lit(1)).alias("n_rare")).where(F.col("n_rare") >= MIN_RARE))
+    starts = small(saved(starts, "licence-starts"))
+
+    # There, all words of the template are compared; the key phrase must be complete.
+    places = (d.where(F.col("hits").isNotNull()).select("row", "hits").join(starts, "row")
+              .select("row", "label", "at", F.explode("hits").alias("hit"))
+              .select("row", "label", "at", "hit.word", (F.col("hit.pos") - F.col("at")).alias("tpos"))
+              .join(index, ["label", "word", "tpos"])
+              .groupBy("row", "label", "at")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("in_phrase").cast("int")).alias("n_phrase"),
                    F.first("phrase_len").alias("phrase_len"), F.first("template_len").alias("template_len"))
-              .where((F.col("n_rare") >= MIN_RARE) & (F.col("n_phrase") == F.col("phrase_len"))))
+              .where(F.col("n_phrase") == F.col("phrase_len")))
     matched = places.groupBy("row").agg(F.collect_set("label").alias("more"),
                                         F.max(F.col("n") / F.col("template_len")).alias("best"))
     base = F.array_sort(F.array_distinct(F.transform("base", lambda x: x.label)))
