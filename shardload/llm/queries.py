@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.llm import decontamination, hamming_topk, language_id, license_scan, line_dedup, near_dedup, packing, pii, quality
+from shardload.llm import decontamination, hamming_topk, language_id, license_scan, line_dedup, lm_score, near_dedup, packing, pii, quality
 from shardload.llm.common import id_bucket
 from shardload.sources.tables import table
 
@@ -45,6 +45,14 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 5) == 1
+    model, words = lm_score.fit(docs, ~held_out, public_tokenizers.path("word_bpe_49k.json"), vocabulary=49_408)
+    scored = lm_score.score(docs, model, words)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
 
@@ -58,7 +66,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontamination, op3_line_dedup, op4_license_scan, op5_hamming_topk, op6_packing, op7_pii,
+    op1_language_id, op2_decontamination, op3_line_dedup, op4_license_scan, op5_hamming_topk, op6_packing, op7_pii, op8_lm_score,
     op9_near_dedup, op10_quality)}
 
 ORACLES = {
