@@ -55,9 +55,10 @@ class WordIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         plain = _PLAIN.fullmatch(word)
-        if plain and len(word) < 64 and (word.isascii() or unicodedata.is_normalized("NFC", word)):
-            core, tail = plain.groups()
-            ids = self._run(core.lower()) + (self._run(tail) if tail else b"")
+        core, tail = plain.groups() if plain and len(word) < 64 else ("", "")
+        low = core.lower()
+        if core and len(low) == len(core) and (word.isascii() or unicodedata.is_normalized("NFC", word)):
+            ids = self._run(low) + (self._run(tail) if tail else b"")
         else:
             ids = self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
         if len(self) >= CACHE_WORDS:
