@@ -1,7 +1,7 @@
 """Command line (H8), run with ``spark-submit`` or ``python -m shardload.cli``.
 
     import  --input PATH --output ROOT --index NAME [--type T] [--delim D]
-            [--auto-id] [--shards N] [--split K] [--on-error reject|fail|null]
+            [--auto-id] [--meta FILE] [--shards N] [--split K] [--on-error fail|reject|null]
             [--format parquet|orc|json] [--all-field] [--rejects PATH]
     drop    --output ROOT
     current --output ROOT
@@ -34,12 +34,15 @@ def build_parser() -> argparse.ArgumentParser:
     imp.add_argument("--shards", type=int, default=DEFAULT_SHARDS)
     imp.add_argument("--split", default="auto",
                      help="sub-partitions per shard: a number, or 'auto' (from the input size)")
-    imp.add_argument("--on-error", default="reject", choices=("reject", "fail", "null"))
+    imp.add_argument("--on-error", default="fail", choices=("fail", "reject", "null"),
+                     help="a bad value fails the import; or its document is kept apart; or the value is null")
     imp.add_argument("--format", default="parquet", choices=("parquet", "orc", "json"))
     imp.add_argument("--all-field", action="store_true", help="add the _all catch-all text")
     imp.add_argument("--source-dup", default="keep", choices=("keep", "last", "array"),
                      help="repeated field names in _source: keep all, last wins, or a JSON array")
-    imp.add_argument("--rejects", help="write rejected values here (reject mode)")
+    imp.add_argument("--rejects", help="also write the build's rejected values here (reject mode)")
+    imp.add_argument("--meta", help="file with name:type,name:type for positional cells")
+    imp.add_argument("--stop-words", default="english", choices=("english", "none"))
     imp.add_argument("--build-id")
     imp.add_argument("--doc-values", help="write per-shard doc values for name:type,name:type")
     imp.add_argument("--postings", action="store_true", help="write the per-shard inverted index")
@@ -61,24 +64,31 @@ def main(argv: list[str] | None = None, spark=None) -> str | None:
         build = current_build(spark, args.output)
         print(build or "")
         return build
-    from shardload.operators.fields import rejects
-    from shardload.plans.build import shard_docs
-    from shardload.sources.lines import keyed_lines, read_lines
+    from shardload.operators.routing import auto_split
+    from shardload.plans.build import shard_docs, shard_fields
+    from shardload.plans.publish import check_doc_values, input_bytes, read_current_part
+    from shardload.sources.lines import keyed_lines, numbered_lines, read_lines
     delim = _delim(args.delim)
-    lines = read_lines(spark, args.input)
-    docs = shard_docs(lines, args.index, args.type, delim=delim, auto_id=args.auto_id,
-                      on_error=args.on_error, shards=args.shards,
-                      split=args.split if args.split == "auto" else int(args.split), with_all=args.all_field,
-                      source_dup=args.source_dup)
     dv = None
     if args.doc_values:
         dv = {n.strip(): (t or "string").strip().lower()
               for n, _, t in (item.partition(":") for item in args.doc_values.split(",") if item.strip())}
+        check_doc_values(dv)
+    lines = numbered_lines(spark, args.input) if args.auto_id else read_lines(spark, args.input)
+    split = auto_split(input_bytes(spark, args.input), args.shards) if args.split == "auto" else int(args.split)
+    build_args = dict(shards=args.shards, split=split, with_all=args.all_field, source_dup=args.source_dup)
+    if args.meta:
+        meta = "".join(r.value for r in spark.read.text(args.meta, wholetext=True).collect()).replace("\n", ",")
+        docs = shard_fields(keyed_lines(lines, delim, args.auto_id), args.index, args.type, meta=meta, delim=delim,
+                            on_error=args.on_error, **build_args)
+    else:
+        docs = shard_docs(lines, args.index, args.type, delim=delim, auto_id=args.auto_id, on_error=args.on_error,
+                          **build_args)
     build = publish(docs, args.output, build_id=args.build_id, fmt=args.format, shards=args.shards,
-                    doc_value_schema=dv, with_postings=args.postings)
+                    doc_value_schema=dv, with_postings=args.postings, split=split,
+                    stop_words=() if args.stop_words == "none" else None)
     if args.rejects and args.on_error == "reject":
-        rejects(keyed_lines(read_lines(spark, args.input), delim=delim, auto_id=args.auto_id), delim) \
-            .write.mode("errorifexists").parquet(args.rejects)
+        read_current_part(spark, args.output, "rejects", args.format).write.mode("errorifexists").parquet(args.rejects)
     print(build)
     return build
 

@@ -22,6 +22,7 @@ from shardload.functions.split import java_split
 TAG_PREFIX = "col_"
 TAG_VALUE = 1
 INTEGRAL = "^[+-]?[0-9]+$"          # Integer/Long/Short.valueOf take no blanks
+NAMED_NUMBER = "^[+-]?(NaN|Infinity)$"  # Double/Float.valueOf, upper and lower case as written
 NUMERIC_TYPES = ("integer", "long", "short", "float", "double")
 
 ON_ERROR = ("fail", "reject", "null")
@@ -49,7 +50,9 @@ def coerce(value: Column, typ: str) -> Column:
     cast = value.try_cast(SPARK_TYPE[typ])
     if typ in ("integer", "long", "short"):
         return F.when(value.rlike(INTEGRAL), cast)
-    return cast
+    # The cast takes more spellings of these two than Java; every one holds an n.
+    named = F.lower(value).contains("n")
+    return F.when(~named | F.trim(value).rlike(NAMED_NUMBER), cast)
 
 
 def split_fields(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
@@ -122,19 +125,97 @@ def parse_fields(payload: Column, delim: str = DEFAULT_DELIM) -> Column:
     return _fields_of_columns(columns_of(payload, delim))
 
 
+def fail_on_error(fields: Column, doc_id: Column) -> Column:
+    """The fields as they are; a bad value raises when its field is evaluated."""
+    message = F.concat(F.lit("bad field value in document "), doc_id)
+    return F.transform(fields, lambda x: x.withField(
+        "error", F.when(x["error"].isNull(), x["error"]).otherwise(F.raise_error(message).cast("string"))))
+
+
+BAD = "_bad"
+
+
+def bad_values(fields: Column, payload: Column, delim: str = DEFAULT_DELIM) -> Column:
+    """``array<struct<pos, token, reason>>`` of a document's bad columns; null if it has none."""
+    bad = F.filter(fields, lambda x: x["error"].isNotNull())
+    return F.when(has_error(fields), F.transform(bad, lambda x: F.struct(
+        x["pos"].alias("pos"), F.get(columns_of(payload, delim), x["pos"]).alias("token"), x["error"].alias("reason"))))
+
+
+def kept(docs: DataFrame) -> DataFrame:
+    """The documents without bad values of a build in ``reject`` mode; of any other, all."""
+    return docs.where(F.col(BAD).isNull()).drop(BAD) if BAD in docs.columns else docs
+
+
+def rejected(docs: DataFrame) -> DataFrame:
+    """``(_doc, _id, shard_id, pos, token, reason)`` of the rejected documents of a build."""
+    if BAD not in docs.columns:
+        raise ValueError("the build was not made in reject mode")
+    return docs.where(F.col(BAD).isNotNull()).select("_doc", "_id", "shard_id", F.explode(BAD).alias("b")) \
+        .select("_doc", "_id", "shard_id", "b.*")
+
+
 def has_error(fields: Column) -> Column:
     return F.exists(fields, lambda x: x["error"].isNotNull())
 
 
-def parse_docs(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "reject") -> DataFrame:
+def check_on_error(on_error: str) -> None:
+    if on_error not in ON_ERROR:
+        raise ValueError(f"on_error must be one of {ON_ERROR}")
+
+
+def parse_in_place(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "fail") -> DataFrame:
+    """``fields`` in place of ``payload``, by projections only: the rows keep
+    their partition and order.  No document is lost: ``fail`` raises, ``null``
+    keeps bad fields with null slots, ``reject`` marks documents in ``_bad``
+    (see ``kept`` and ``rejected``)."""
+    check_on_error(on_error)
+    docs = keyed.withColumn("fields", parse_fields(F.col("payload"), delim))
+    if on_error == "reject":
+        docs = docs.withColumn(BAD, bad_values(F.col("fields"), F.col("payload"), delim))
+    elif on_error == "fail":
+        docs = docs.withColumn("fields", fail_on_error(F.col("fields"), F.col("_id")))
+    return docs.drop("payload")
+
+
+def parse_meta_fields(keyed: DataFrame, meta: str, delim: str = DEFAULT_DELIM, on_error: str = "fail") -> DataFrame:
+    """A5: ``fields`` from positional cells typed by ``name:type,name:type``:
+    cell ``k`` is the field of the ``k``-th name, an absent cell gives none, a
+    type that is not a number type is a string.  Bad cells as in ``parse_in_place``."""
+    check_on_error(on_error)
+    names = [m.strip().partition(":") for m in meta.split(",") if m.strip()]
+    cells = java_split(F.col("payload"), delim)
+
+    def one(k: int, name: str, typ: str) -> Column:
+        typ, raw = typ.strip().lower() or "string", F.get(cells, F.lit(k))
+        typ = typ if typ in NUMERIC_TYPES else "string"
+        slots = [F.when(F.lit(t == typ), coerce(raw, t)).alias(slot) for slot, t in zip("ilsfd", NUMERIC_TYPES)]
+        value = coerce(raw, typ)
+        return F.when(raw.isNotNull(), F.struct(
+            F.lit(k).alias("pos"), F.lit(name.strip()).alias("name"), F.lit(typ).alias("type"), raw.alias("raw"), *slots,
+            F.when(F.lit(typ == "string"), raw).alias("str"),
+            F.when(value.isNull(), F.lit("bad_" + typ)).alias("error")))
+
+    fields = F.filter(F.array(*[one(k, n, t) for k, (n, _, t) in enumerate(names)]), lambda x: x.isNotNull())
+    docs = keyed.withColumn("fields", fields)
+    if on_error == "reject":
+        bad = F.filter("fields", lambda x: x["error"].isNotNull())
+        docs = docs.withColumn(BAD, F.when(has_error(F.col("fields")), F.transform(bad, lambda x: F.struct(
+            x["pos"].alias("pos"), x["raw"].alias("token"), x["error"].alias("reason")))))
+    elif on_error == "fail":
+        docs = docs.withColumn("fields", fail_on_error(F.col("fields"), F.col("_id")))
+    return docs.drop("payload")
+
+
+def parse_docs(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "fail") -> DataFrame:
     """Keyed lines → ``(_doc, _id, fields)``.
 
     ``on_error``: ``fail`` raises on the first bad value (the reference's
-    behaviour), ``reject`` drops documents with a bad value (see ``rejects``),
+    behaviour), ``reject`` leaves documents with a bad value out (``rejects``
+    has them; a build in this mode keeps them beside the others),
     ``null`` keeps them with the bad fields' value slots null.
     """
-    if on_error not in ON_ERROR:
-        raise ValueError(f"on_error must be one of {ON_ERROR}")
+    check_on_error(on_error)
     # The parse sits in a generator so that a filter on its result cannot be
     # pushed below it and evaluate the whole parse a second time.
     extra = [c for c in keyed.columns if c not in ("_doc", "_id", "payload")]
@@ -149,7 +230,7 @@ def parse_docs(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "re
     return docs
 
 
-def typed_fields(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "reject") -> DataFrame:
+def typed_fields(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "fail") -> DataFrame:
     """The survey's name for ``parse_docs``."""
     return parse_docs(keyed, delim=delim, on_error=on_error)
 
@@ -183,6 +264,29 @@ def value_string(f: Column) -> Column:
                       f["f"].cast("string"), f["d"].cast("string"))
 
 
+# Distinct values inside a row are taken over one string each: Spark keeps a hash
+# set of strings, but compares structs pair by pair.
+_LENGTH = 10
+
+
+def distinct_key(name: Column, typ: Column, value: Column | None = None) -> Column:
+    """Name, type and value as one string: two fixed-width lengths, then the parts."""
+    width = lambda c: F.lpad(F.length(c).cast("string"), _LENGTH, "0")
+    return F.concat(width(name), width(typ), name, typ, *([F.coalesce(value, F.lit("\0"))] if value is not None else []))
+
+
+def key_part(key: Column, part: int) -> Column:
+    """Name (0) or type (1) of a ``distinct_key``."""
+    n = [F.substring(key, 1 + k * _LENGTH, _LENGTH).cast("int") for k in (0, 1)]
+    return F.substr(key, F.lit(2 * _LENGTH + 1) + (n[0] if part else F.lit(0)), n[part])
+
+
+def key_value(key: Column) -> Column:
+    """The value of a ``distinct_key``."""
+    n = [F.substring(key, 1 + k * _LENGTH, _LENGTH).cast("int") for k in (0, 1)]
+    return F.substr(key, F.lit(2 * _LENGTH + 1) + n[0] + n[1])
+
+
 def infer_fields(docs: DataFrame) -> DataFrame:
     """Per field name, the declared types seen, documents and values.
 
@@ -195,8 +299,8 @@ def infer_fields(docs: DataFrame) -> DataFrame:
     def row(n, t, d, v):
         return F.struct(n.alias("name"), t.alias("type"), F.lit(d).alias("d"), F.lit(v).alias("v"))
 
-    pairs = F.array_distinct(F.transform(valid, lambda x: F.struct(x["name"].alias("n"), x["type"].alias("t"))))
-    rows = F.concat(F.transform(pairs, lambda x: row(x["n"], x["t"], 1, 0)),
+    pairs = F.array_distinct(F.transform(valid, lambda x: distinct_key(x["name"], x["type"])))
+    rows = F.concat(F.transform(pairs, lambda k: row(key_part(k, 0), key_part(k, 1), 1, 0)),
                     F.transform(valid, lambda x: row(x["name"], x["type"], 0, 1)))
     return (docs.select(F.explode(rows).alias("r")).select("r.*")
             .groupBy("name", "type")

@@ -8,13 +8,18 @@ one row.  Per-term statistics are plain counts over that table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: a token is a maximal run of letters and digits (an
 # approximation of Unicode word breaking), taken from the lower-cased text.
 TOKEN_PATTERN = "[\\p{L}\\p{N}]+"
-MAX_BROADCAST_STOP_WORDS = 100_000
+
+# The English stop words of the default analyzer.
+ENGLISH_STOP_WORDS = (
+    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it", "no", "not", "of",
+    "on", "or", "such", "that", "the", "their", "then", "there", "these", "they", "this", "to", "was", "will", "with",
+)
 
 
 def tokens_of(text: Column) -> Column:
@@ -27,34 +32,40 @@ def tokenize(df: DataFrame, text_col: str, keep: tuple[str, ...] = ("_doc", "_id
     """One row per token: ``keep…, field, position, term``.
 
     Positions count every token, so removing stop words leaves gaps as a
-    stop filter does.  ``stop_words`` (column ``term``) is broadcast only
-    when its size is checked to be at most ``MAX_BROADCAST_STOP_WORDS``;
-    a larger list takes an ordinary anti-join.
+    stop filter does.  ``stop_words`` (column ``term``) is an anti-join, which
+    the optimizer broadcasts if the list is small.
     """
     keep = tuple(c for c in keep if c in df.columns)
     out = df.select(*keep, F.lit(field or text_col).alias("field"),
                     F.posexplode(tokens_of(F.col(text_col))).alias("position", "term"))
     out = out.withColumn("position", F.col("position").cast("int"))
     if stop_words is not None:
-        stop = stop_words.select("term").distinct()
-        small = stop.limit(MAX_BROADCAST_STOP_WORDS + 1).count() <= MAX_BROADCAST_STOP_WORDS
-        out = out.join(F.broadcast(stop) if small else stop, "term", "left_anti")
+        out = out.join(stop_words.select("term"), "term", "left_anti")
     return out
 
 
 def string_values(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id", "shard_id")) -> DataFrame:
-    """String fields of parsed documents in long form ``keep…, field, value``."""
+    """String fields of parsed documents in long form ``keep…, field, pos, value``."""
     keep = tuple(c for c in keep if c in docs.columns)
     return (docs.select(*keep, F.explode(F.filter("fields", lambda x: x["type"] == "string")).alias("f"))
-            .select(*keep, F.col("f.name").alias("field"), F.col("f.str").alias("value")))
+            .select(*keep, F.col("f.name").alias("field"), F.col("f.pos").alias("pos"), F.col("f.str").alias("value")))
+
 
+def analyze_fields(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id", "shard_id"),
+                   stop_words: tuple[str, ...] = ()) -> DataFrame:
+    """D1 over every string field of parsed documents.  The values of a field
+    continue its position count; stop words leave gaps.
 
-def analyze_fields(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id", "shard_id")) -> DataFrame:
-    """D1 over every string field of parsed documents; positions restart per value."""
+    The one shuffle moves values, not tokens: the running position needs a
+    document's field together, and the postings' grouping is satisfied by that."""
     vals = string_values(docs, keep)
     keep = tuple(c for c in keep if c in vals.columns)
-    return (vals.select(*keep, "field", F.posexplode(tokens_of(F.col("value"))).alias("position", "term"))
-            .withColumn("position", F.col("position").cast("int")))
+    before = F.sum(F.size("tokens")).over(
+        Window.partitionBy("_doc", "field").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    rows = vals.withColumn("tokens", tokens_of(F.col("value"))).withColumn("before", F.coalesce(before, F.lit(0)))
+    out = (rows.select(*keep, "field", "before", F.posexplode("tokens").alias("position", "term"))
+           .select(*keep, "field", (F.col("before") + F.col("position")).cast("int").alias("position"), "term"))
+    return out.where(~F.col("term").isin(*stop_words)) if stop_words else out
 
 
 def postings(tokens: DataFrame, by_shard: bool = True) -> DataFrame:
@@ -72,29 +83,72 @@ def term_stats(post: DataFrame, by_shard: bool = False) -> DataFrame:
     return post.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
 
 
-NUMERIC_SLOTS = ("i", "l", "s", "f", "d")
+def _in_row_counts(all_keys: Column) -> Column:
+    """``array<struct<key, df, ttf>>``: every distinct key once for its document
+    and every key once for itself, ready for one aggregation."""
+    def rows(keys: Column, df: int, ttf: int) -> Column:
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(df).alias("df"), F.lit(ttf).alias("ttf")))
+    return F.concat(rows(F.array_distinct(all_keys), 1, 0), rows(all_keys, 0, 1))
+
+
+def term_counts(df: DataFrame, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """D3 from texts, without postings: ``(field, term, keep…, df, ttf)``.  A
+    document's terms are told apart inside the row (a hash set of strings), so
+    the only shuffle moves partial sums per term."""
+    tokens = F.explode(F.array(tokens_of(F.col(text_col)))).alias("t")
+    return (df.select(*keep, tokens).select(*keep, F.explode(_in_row_counts(F.col("t"))).alias("r"))
+            .groupBy(F.lit(text_col).alias("field"), F.col("r.key").alias("term"), *keep)
+            .agg(F.sum("r.df").alias("df"), F.sum("r.ttf").alias("ttf")))
+
+
+NUMERIC = ("integer", "long", "short", "float", "double")
+
+
+def whole(x: Column) -> Column:
+    """The value of an integral field as BIGINT."""
+    return F.coalesce(x["l"], x["i"].cast("bigint"), x["s"].cast("bigint"))
+
+
+def real(x: Column) -> Column:
+    """The value of a float or double field as DOUBLE (a float widens exactly)."""
+    return F.coalesce(x["d"], x["f"].cast("double"))
+
+
+def negative_zero(c: Column) -> Column:
+    return (c == 0.0) & c.cast("string").startswith("-")
+
+
+def numeric_postings(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id", "shard_id")) -> DataFrame:
+    """D4 with documents: ``(field, type, whole, real, neg_zero, keep…, tf)``.
+    Integral terms are exact BIGINTs, the others DOUBLEs; ``-0.0`` is a term of
+    its own (``neg_zero``), as the index's order keeps it apart."""
+    keep = tuple(c for c in keep if c in docs.columns)
+    num = F.filter("fields", lambda x: x["type"].isin(*NUMERIC) & x["error"].isNull())
+    rows = docs.select(*keep, F.explode(num).alias("x")).select(
+        F.col("x.name").alias("field"), F.col("x.type").alias("type"), whole(F.col("x")).alias("whole"),
+        real(F.col("x")).alias("real"), *keep)
+    rows = rows.withColumn("neg_zero", F.coalesce(negative_zero(F.col("real")), F.lit(False)))
+    return rows.groupBy("field", "type", "whole", "real", "neg_zero", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def numeric_terms(docs: DataFrame, by_shard: bool = False) -> DataFrame:
-    """Exact numeric terms ``(field, type, value, df, ttf)``; the value is
-    the typed number widened to DOUBLE (floats exactly).
+    """Exact numeric terms ``(field, type, whole, real, neg_zero, df, ttf)``.
+
+    Terms are grouped as one string (field, type, canonical text of the value),
+    which is exact for every number type; it is decoded once per term.  Each
+    document emits its distinct terms once and all its terms, so a value held
+    by a third of all documents costs no hot reducer and a document with many
+    fields no pairwise comparison."""
+    from shardload.operators.fields import distinct_key, key_part, key_value, value_string
 
-    Each document emits its distinct terms once (document frequency) and all
-    its terms (total frequency); one aggregation with map-side partial sums,
-    so a value held by a third of all documents costs no hot reducer."""
     keep = ["shard_id"] if by_shard else []
-    num = F.filter("fields", lambda x: x["type"].isin("integer", "long", "short", "float", "double")
-                   & x["error"].isNull())
-    val = lambda x: F.coalesce(*[x[s].cast("double") for s in NUMERIC_SLOTS])
-    terms = F.transform(num, lambda x: F.struct(x["name"].alias("field"), x["type"].alias("type"),
-                                                val(x).alias("value")))
-
-    def row(t, d, c):
-        return F.struct(t["field"].alias("field"), t["type"].alias("type"), t["value"].alias("value"),
-                        F.lit(d).alias("d"), F.lit(c).alias("c"))
-
-    rows = F.concat(F.transform(F.array_distinct(terms), lambda t: row(t, 1, 0)),
-                    F.transform(terms, lambda t: row(t, 0, 1)))
-    gk = ["field", "type", "value"] + keep
-    return (docs.select(*keep, F.explode(rows).alias("r")).select(*keep, "r.*")
-            .groupBy(*gk).agg(F.sum("d").alias("df"), F.sum("c").alias("ttf")))
+    num = F.filter("fields", lambda x: x["type"].isin(*NUMERIC) & x["error"].isNull())
+    keys = F.transform(num, lambda x: distinct_key(x["name"], x["type"], value_string(x)))
+    rows = docs.select(*keep, F.explode(F.array(keys)).alias("k")).select(*keep, F.explode(_in_row_counts(F.col("k"))).alias("r"))
+    sums = rows.groupBy(F.col("r.key").alias("key"), *keep).agg(F.sum("r.df").alias("df"), F.sum("r.ttf").alias("ttf"))
+    typ, text = key_part(F.col("key"), 1), key_value(F.col("key"))
+    value = (F.when(typ == "float", text.try_cast("float").cast("double"))
+             .when(typ == "double", text.try_cast("double")))
+    return sums.select(key_part(F.col("key"), 0).alias("field"), typ.alias("type"),
+                       F.when(~typ.isin("float", "double"), text.try_cast("bigint")).alias("whole"),
+                       value.alias("real"), (text == "-0.0").alias("neg_zero"), *keep, "df", "ttf")

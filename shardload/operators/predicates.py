@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardload.functions.routing_hash import murmur3_utf16
-from shardload.operators.docs import SLOT_OF_TYPE, field_names
+from shardload.operators.docs import SLOT_OF_TYPE, SYSTEM_FIELDS
 
 SPARK_TYPE = {"integer": "int", "long": "bigint", "short": "smallint", "float": "float", "double": "double",
               "string": "string"}
@@ -37,9 +37,10 @@ def term(field: str, value, typ: str, wide: bool = False) -> Column:
 
 def range_(field: str, typ: str, lo=None, hi=None, include_lo: bool = True, include_hi: bool = True,
            wide: bool = False) -> Column:
-    """Range with open (None), inclusive or exclusive bounds."""
+    """Range with open (None), inclusive or exclusive bounds.  An open
+    upper bound ends at infinity, so NaN is in no range but one up to NaN."""
     def test(c):
-        cond = F.lit(True)
+        cond = ~F.isnan(c) if hi is None and typ in ("float", "double") else F.lit(True)
         if lo is not None:
             lv = _typed_lit(lo, typ)
             cond = cond & ((c >= lv) if include_lo else (c > lv))
@@ -63,8 +64,17 @@ def fuzzy(field: str, value, spread, typ: str, wide: bool = False) -> Column:
 
 
 def exists_(field: str) -> Column:
-    """The document has the field (or a field below the dotted path)."""
-    return F.array_contains(field_names("fields"), field)
+    """The document has the field (or a field below the dotted path);
+    only names are compared.  System fields are in every document."""
+    if any(name == field or name.startswith(field + ".") for name in SYSTEM_FIELDS):
+        return F.lit(True)
+    return F.exists("fields", lambda x: F.coalesce(
+        (x["name"] == field) | F.startswith(x["name"], F.lit(field + ".")), F.lit(False)))
+
+
+def exists_in_build(field: str) -> Column:
+    """E4 on a published build: its stored field names."""
+    return F.array_contains("_field_names", field)
 
 
 def match_term(docs: DataFrame, post: DataFrame, field: str, word: str) -> DataFrame:

@@ -1,10 +1,9 @@
 """Shard routing and placement.
 
-One exchange in the whole build: ``by_shard`` places each row in the
-partition of its shard (``repartitionById``: the partition id *is* the shard,
-no second hash).  A shard that is too big for one task is split into
-``split`` sub-partitions by a hash of the per-line document key, so even a
-single hot id spreads over ``split`` tasks.
+One exchange in the whole build: ``by_shard`` places the thin keyed lines
+before they are parsed, each in the partition of its shard
+(``repartitionById``: the partition id *is* the shard, no second hash).  Shards
+too big for one task are cut into ``split`` ranges of ids.
 """
 
 from __future__ import annotations
@@ -24,28 +23,13 @@ def route_hash(docs: DataFrame, id_col: str = "_id") -> DataFrame:
     return docs.withColumn("hash", murmur3_id(F.col(id_col)))
 
 
-INPUTS_PER_PLACEMENT_TASK = 4
+BYTES_PER_PLACEMENT_TASK = 512 << 20
 
 
-def auto_split(docs: DataFrame, shards: int, inputs_per_task: int = INPUTS_PER_PLACEMENT_TASK) -> int:
-    """Sub-partitions per shard so that each placement task receives about
-    ``inputs_per_task`` input partitions' worth of documents (input
-    partitions are sized by ``spark.sql.files.maxPartitionBytes``).  Fewer,
-    larger placement tasks keep the map × reduce block count and the number
-    of output files down at very large scale."""
-    n_in = docs.rdd.getNumPartitions()
-    return max(1, -(-n_in // max(1, shards * inputs_per_task)))
-
-
-def by_shard(docs: DataFrame, shards: int, split: int | str = 1, key: str = "_doc") -> DataFrame:
-    """partition ``p`` holds shard ``p // split``; ``split='auto'`` sizes
-    the sub-partitions from the input (see ``auto_split``)."""
-    if split == "auto":
-        split = auto_split(docs, shards)
-    if split <= 1:
-        return docs.repartitionById(shards, F.col("shard_id"))
-    sub = F.pmod(F.xxhash64(F.col(key)), F.lit(split)).cast("int")
-    return docs.repartitionById(shards * split, F.col("shard_id") * F.lit(split) + sub)
+def auto_split(input_bytes: int, shards: int, bytes_per_task: int = BYTES_PER_PLACEMENT_TASK) -> int:
+    """Sub-partitions per shard so that a placement task receives about
+    ``bytes_per_task`` of input text.  The order of a shard does not depend on it."""
+    return max(1, -(-input_bytes // max(1, shards * bytes_per_task)))
 
 
 def java_order_key(c) -> F.Column:
@@ -55,10 +39,22 @@ def java_order_key(c) -> F.Column:
     return F.encode(c, "UTF-16BE")
 
 
+def by_shard(docs: DataFrame, shards: int, split: int = 1) -> DataFrame:
+    """the one exchange.  ``split=1``: partition ``p`` is shard ``p``.
+    Otherwise ``shards * split`` ranges of (shard, id, document key): the files
+    of a shard follow one another in order, and an id of any size is split by
+    the document key."""
+    if split <= 1:
+        return docs.repartitionById(shards, F.col("shard_id"))
+    return docs.repartitionByRange(shards * split, F.col("shard_id"), java_order_key(F.col("_id")).desc(), F.col("_doc"))
+
+
 def order_shard(docs: DataFrame) -> DataFrame:
-    """inside each shard, documents in descending id order.  The leading
-    ``shard_id`` keeps the order through a partitioned write."""
-    return docs.sortWithinPartitions(F.col("shard_id"), java_order_key(F.col("_id")).desc())
+    """inside each shard, documents in descending id order, equal ids in
+    document order.  The leading ``shard_id`` keeps the order through a
+    partitioned write."""
+    tie = [F.col("_doc")] if "_doc" in docs.columns else []
+    return docs.sortWithinPartitions(F.col("shard_id"), java_order_key(F.col("_id")).desc(), *tie)
 
 
 def shard_histogram(docs: DataFrame) -> DataFrame:
@@ -73,9 +69,3 @@ def shard_skew(docs: DataFrame) -> DataFrame:
                  F.min("n_docs").alias("min_docs"),
                  F.sum("n_docs").alias("total_docs"),
                  F.round(F.max("n_docs") / F.avg("n_docs"), 6).alias("skew"))
-
-
-def split_factor(est_docs: int, shards: int, docs_per_task: int = 5_000_000) -> int:
-    """Sub-partitions per shard so that no task holds more than ``docs_per_task``."""
-    per_shard = max(1, est_docs // max(1, shards))
-    return max(1, -(-per_shard // docs_per_task))

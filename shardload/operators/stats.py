@@ -1,8 +1,8 @@
 """Statistics over built documents.
 
 Distinct counts per document are taken inside the document row
-(``array_distinct`` before ``explode``), so no aggregation needs a
-document-key shuffle and a hot id or field costs only partial aggregates.
+(``array_distinct`` over strings before ``explode``), so no aggregation needs
+a document-key shuffle and a hot id or field costs only partial aggregates.
 """
 
 from __future__ import annotations
@@ -10,46 +10,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardload.operators.fields import value_string
+from shardload.operators.fields import distinct_key, key_part, value_string
+from shardload.operators.postings import real, whole
 from shardload.session import materialize
 
-NUMERIC = ("integer", "long", "short", "float", "double")
-
-
-def _num(x):
-    return F.coalesce(x["i"].cast("double"), x["l"].cast("double"), x["s"].cast("double"),
-                      x["f"].cast("double"), x["d"])
-
-
 def field_stats(docs: DataFrame) -> DataFrame:
     """G1: per field and type: ``max_doc`` (documents in the set),
     ``doc_count`` (documents with the field), ``sum_doc_freq`` (distinct
     values summed over documents), ``sum_total_term_freq`` (values), and the
-    numeric ``min_v`` / ``max_v`` (short widened).
+    exact range: ``min_l`` / ``max_l`` of integral, ``min_d`` / ``max_d`` of
+    float and double fields.
 
     One pass: every document emits its distinct (name, type) pairs, its
-    distinct (name, type, value) triples, all its values and one marker row
-    for ``max_doc``; a single aggregation sums them.
+    distinct (name, type, value) triples (one string each, in a hash set), all
+    its values and one marker row for ``max_doc``; a single aggregation sums
+    them.
     """
+    null = F.lit(None)
     valid = F.filter("fields", lambda x: x["name"].isNotNull())
+    parts = F.explode(F.array(F.struct(
+        valid.alias("x"),
+        F.array_distinct(F.transform(valid, lambda x: distinct_key(x["name"], x["type"]))).alias("nt"),
+        F.array_distinct(F.transform(valid, lambda x: distinct_key(x["name"], x["type"], value_string(x)))).alias("ntv"),
+    ))).alias("p")
 
-    def row(name, typ, dc, df, ttf, num, marker=False):
+    def row(name, typ, dc, df, ttf, w=null, r=null, marker=False):
         return F.struct(name.alias("name"), typ.alias("type"), F.lit(dc).alias("dc"), F.lit(df).alias("df"),
-                        F.lit(ttf).alias("ttf"), num.cast("double").alias("num"), F.lit(marker).alias("mk"))
+                        F.lit(ttf).alias("ttf"), w.cast("bigint").alias("w"), r.cast("double").alias("r"),
+                        F.lit(marker).alias("mk"))
 
-    nt = F.array_distinct(F.transform(valid, lambda x: F.struct(x["name"].alias("n"), x["type"].alias("t"))))
-    ntv = F.array_distinct(F.transform(valid, lambda x: F.struct(x["name"].alias("n"), x["type"].alias("t"),
-                                                                  value_string(x).alias("v"))))
     rows = F.concat(
-        F.array(row(F.lit(None).cast("string"), F.lit(None).cast("string"), 1, 0, 0, F.lit(None), True)),
-        F.transform(nt, lambda x: row(x["n"], x["t"], 1, 0, 0, F.lit(None))),
-        F.transform(ntv, lambda x: row(x["n"], x["t"], 0, 1, 0, F.lit(None))),
-        F.transform(valid, lambda x: row(x["name"], x["type"], 0, 0, 1, _num(x))))
-    agg = (docs.select(F.explode(rows).alias("r")).select("r.*")
+        F.array(row(null.cast("string"), null.cast("string"), 1, 0, 0, marker=True)),
+        F.transform("p.nt", lambda k: row(key_part(k, 0), key_part(k, 1), 1, 0, 0)),
+        F.transform("p.ntv", lambda k: row(key_part(k, 0), key_part(k, 1), 0, 1, 0)),
+        F.transform("p.x", lambda x: row(x["name"], x["type"], 0, 0, 1, whole(x), real(x))))
+    agg = (docs.select(parts).select(F.explode(rows).alias("r")).select("r.*")
            .groupBy("name", "type")
            .agg(F.sum("dc").alias("doc_count"), F.sum("df").alias("sum_doc_freq"),
-                F.sum("ttf").alias("sum_total_term_freq"), F.min("num").alias("min_v"),
-                F.max("num").alias("max_v"), F.bool_or("mk").alias("mk")))
+                F.sum("ttf").alias("sum_total_term_freq"),
+                F.min("w").alias("min_l"), F.max("w").alias("max_l"), F.min("r").alias("min_d"),
+                F.max("r").alias("max_d"), F.bool_or("mk").alias("mk")))
     # The aggregate has one row per field name and type; it is written once
     # to the checkpoint folder, so the marker row (the document count, one
     # number) is read from it without re-running the parse.
@@ -58,7 +58,7 @@ def field_stats(docs: DataFrame) -> DataFrame:
     max_doc = marker[0] if marker else 0
     return (agg.where(~F.col("mk"))
             .select("name", "type", F.lit(max_doc).cast("bigint").alias("max_doc"), "doc_count",
-                    "sum_doc_freq", "sum_total_term_freq", "min_v", "max_v"))
+                    "sum_doc_freq", "sum_total_term_freq", "min_l", "max_l", "min_d", "max_d"))
 
 
 def duplicate_ids(docs: DataFrame, key: str = "_id") -> DataFrame:

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from shardload import DEFAULT_DELIM, DEFAULT_SHARDS, DEFAULT_TYPE
 from shardload.operators.docs import assemble
-from shardload.operators.fields import parse_docs
+from shardload.operators.fields import parse_docs, parse_in_place, parse_meta_fields
 from shardload.operators.routing import by_shard, order_shard, route
 from shardload.sources.lines import keyed_lines
 
 
 def parsed_docs(lines: DataFrame, delim: str = DEFAULT_DELIM, auto_id: bool = False,
-                on_error: str = "reject", shards: int = DEFAULT_SHARDS) -> DataFrame:
+                on_error: str = "fail", shards: int = DEFAULT_SHARDS) -> DataFrame:
     """``(_doc, _id, shard_id, fields)`` — parsed and routed, not yet placed.
 
     The routing hash runs on the thin keyed lines, before the parse, so the
@@ -26,15 +26,28 @@ def parsed_docs(lines: DataFrame, delim: str = DEFAULT_DELIM, auto_id: bool = Fa
     return parse_docs(keyed, delim=delim, on_error=on_error)
 
 
+def placed_lines(keyed: DataFrame, shards: int = DEFAULT_SHARDS, split: int = 1) -> DataFrame:
+    """``(_doc, _id, payload, shard_id)`` in its shard's partition and order."""
+    return order_shard(by_shard(route(keyed, shards), shards, split))
+
+
 def shard_docs(lines: DataFrame, index: str, doc_type: str = DEFAULT_TYPE,
-               delim: str = DEFAULT_DELIM, auto_id: bool = False, on_error: str = "reject",
-               shards: int = DEFAULT_SHARDS, split: int | str = 1, with_all: bool = False,
+               delim: str = DEFAULT_DELIM, auto_id: bool = False, on_error: str = "fail",
+               shards: int = DEFAULT_SHARDS, split: int = 1, with_all: bool = False,
                source_dup: str = "keep") -> DataFrame:
-    """Full documents, one partition (or ``split`` partitions) per shard, in
-    descending id order inside each shard."""
-    docs = parsed_docs(lines, delim, auto_id, on_error, shards)
-    docs = assemble(docs, index, doc_type, with_all=with_all, dup=source_dup)
-    return order_shard(by_shard(docs, shards, split))
+    """Full documents, one partition (or ``split`` ranges) per shard, in
+    descending id order inside each shard.  Lines are placed and sorted as
+    they are; parse and assembly are projections above, so one exchange moves
+    the text once and the order holds."""
+    placed = placed_lines(keyed_lines(lines, delim=delim, auto_id=auto_id), shards, split)
+    return assemble(parse_in_place(placed, delim, on_error), index, doc_type, with_all=with_all, dup=source_dup)
+
+
+def shard_fields(keyed: DataFrame, index: str, doc_type: str = DEFAULT_TYPE, shards: int = DEFAULT_SHARDS,
+                 split: int = 1, with_all: bool = False, source_dup: str = "keep", **parse) -> DataFrame:
+    """``shard_docs`` for keyed lines whose cells an external schema types (``meta``)."""
+    return assemble(parse_meta_fields(placed_lines(keyed, shards, split), **parse), index, doc_type,
+                    with_all=with_all, dup=source_dup)
 
 
 def numeric_value():

@@ -7,6 +7,7 @@ Column names and types match the Spark result.
 
 from __future__ import annotations
 
+from shardload.sources.tables import SPECIAL_DOUBLES
 from shardload.plans.oracle_sql import (epoch_days_sql, epoch_seconds_sql, java_split_sql,
                                         murmur3_signed, shard_sql)
 
@@ -232,12 +233,33 @@ SELECT {LI_ID} AS _id,
        CAST(len(list_distinct([l_returnflag, l_linestatus, l_returnflag])) AS INTEGER) AS n_values
 FROM lineitem""")
 
-oracle("q_sort_double", """
-SELECT _id, total, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT o_orderkey::VARCHAR AS _id, o_totalprice AS total,
-         row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey::VARCHAR) AS rank
-  FROM orders)
-WHERE rank <= 10""")
+SPECIAL = ("CASE o_orderkey % 50 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in SPECIAL_DOUBLES.items())
+           + " ELSE o_totalprice::VARCHAR END")
+GOOD = "o_orderkey % 50 < 45"
+# Descending index order: NaN, Infinity, numbers, 0.0, -0.0, negative numbers.
+oracle("q_sort_double", f"""
+SELECT o_orderkey::VARCHAR AS _id, {SPECIAL} AS total,
+       row_number() OVER (ORDER BY CAST({SPECIAL} AS DOUBLE) DESC, (o_orderkey % 50 = 3)::INT, o_orderkey::VARCHAR) AS rank
+FROM orders WHERE o_orderkey % 50 < 40""")
+
+oracle("q_bad_numbers", f"""
+SELECT o_orderkey::VARCHAR AS _id, concat('total:', {SPECIAL}, ':double') AS token, 'bad_double' AS reason
+FROM orders WHERE NOT {GOOD}""")
+
+oracle("q_num_terms_exact", f"""
+SELECT field, type, whole, real, neg_zero, count(*) AS df, count(*) AS ttf FROM (
+  SELECT 'total' AS field, 'double' AS type, NULL::BIGINT AS whole, {SPECIAL} AS real,
+         ({SPECIAL}) = '-0.0' AS neg_zero FROM orders WHERE {GOOD}
+  UNION ALL SELECT 'big', 'long', 9007199254740992 + o_orderkey % 7, NULL, false FROM orders WHERE {GOOD})
+GROUP BY ALL""")
+
+oracle("q_field_stats_exact", f"""
+SELECT 'big' AS name, 'long' AS type, count(*) AS max_doc, count(*) AS doc_count, count(*) AS sum_doc_freq,
+       count(*) AS sum_total_term_freq, min(9007199254740992 + o_orderkey % 7) AS min_l,
+       max(9007199254740992 + o_orderkey % 7) AS max_l, NULL::VARCHAR AS min_d, NULL::VARCHAR AS max_d
+FROM orders WHERE {GOOD}
+UNION ALL
+SELECT 'total', 'double', count(*), count(*), count(*), count(*), NULL, NULL, '-Infinity', 'NaN' FROM orders WHERE {GOOD}""")
 
 oracle("q_wide", f"""
 SELECT {LI_ID} AS _id, l_quantity AS qty, l_linenumber AS line, l_partkey AS part,
@@ -276,11 +298,21 @@ oracle("q_term_stats", f"""
 SELECT field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ttf FROM ({POSTINGS}) GROUP BY field, term""")
 
 oracle("q_num_terms", """
-SELECT field, type, value, count(*) AS df, count(*) AS ttf FROM (
-  SELECT 'size' AS field, 'short' AS type, p_size::DOUBLE AS value FROM part
-  UNION ALL SELECT 'price', 'float', CAST(p_retailprice AS FLOAT)::DOUBLE FROM part
-  UNION ALL SELECT 'col_' || p_name, 'integer', 1.0 FROM part)
-GROUP BY field, type, value""")
+SELECT field, type, whole, real, false AS neg_zero, count(*) AS df, count(*) AS ttf FROM (
+  SELECT 'size' AS field, 'short' AS type, p_size::BIGINT AS whole, NULL::DOUBLE AS real FROM part
+  UNION ALL SELECT 'price', 'float', NULL, CAST(p_retailprice AS FLOAT)::DOUBLE FROM part
+  UNION ALL SELECT 'col_' || p_name, 'integer', 1, NULL FROM part)
+GROUP BY field, type, whole, real""")
+
+PART_SHARD = shard_sql("p_partkey::VARCHAR", SHARDS)
+oracle("q_num_postings", f"""
+SELECT 'size' AS field, 'short' AS type, p_size::BIGINT AS whole, {PART_SHARD} AS shard_id,
+       p_partkey::VARCHAR AS _id, 1::BIGINT AS tf FROM part
+UNION ALL SELECT 'col_' || p_name, 'integer', 1, {PART_SHARD}, p_partkey::VARCHAR, 1 FROM part""")
+
+oracle("q_match_published", f"""
+SELECT p_partkey::VARCHAR AS _id, {PART_SHARD} AS shard_id FROM part
+WHERE list_contains(regexp_extract_all(lower(p_type), '{TOKEN_RE}'), 'economy')""")
 
 # --- E: predicates -----------------------------------------------------------
 
@@ -320,9 +352,12 @@ oracle("q_field_stats", f"""
 WITH f AS ({lineitem_fields()}),
      d AS (SELECT DISTINCT dk, name, type, num, str FROM f)
 SELECT a.name, a.type, (SELECT count(*) FROM lineitem) AS max_doc, a.doc_count, b.sum_doc_freq,
-       a.sum_total_term_freq, a.min_v, a.max_v
+       a.sum_total_term_freq, a.min_l, a.max_l, a.min_d, a.max_d
 FROM (SELECT name, type, count(DISTINCT dk) AS doc_count, count(*) AS sum_total_term_freq,
-             min(num) AS min_v, max(num) AS max_v FROM f GROUP BY name, type) a
+             CAST(min(CASE WHEN type IN ('integer', 'long', 'short') THEN num END) AS BIGINT) AS min_l,
+             CAST(max(CASE WHEN type IN ('integer', 'long', 'short') THEN num END) AS BIGINT) AS max_l,
+             min(CASE WHEN type IN ('float', 'double') THEN num END) AS min_d,
+             max(CASE WHEN type IN ('float', 'double') THEN num END) AS max_d FROM f GROUP BY name, type) a
 JOIN (SELECT name, type, count(*) AS sum_doc_freq FROM d GROUP BY name, type) b USING (name, type)""")
 
 oracle("q_duplicate_ids", """
@@ -340,6 +375,8 @@ oracle("q_shard_order", f"""
 SELECT shard_id, _id, CAST(row_number() OVER (PARTITION BY shard_id ORDER BY _id DESC) AS INTEGER) AS rank
 FROM (SELECT {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id, o_orderkey::VARCHAR AS _id FROM orders)""")
 
+oracle("q_split_order", ORACLES["q_shard_order"])
+
 oracle("q_shard_skew", f"""
 SELECT CAST(count(*) AS BIGINT) AS n_shards, max(n) AS max_docs, min(n) AS min_docs, sum(n)::BIGINT AS total_docs,
        round(max(n) / avg(n), 6) AS skew
@@ -409,7 +446,20 @@ SELECT ts, index, count(*) AS n_shards, bool_and(ready) AS ready FROM (
   FROM ({SHARD_STATE}) GROUP BY ALL)
 GROUP BY ts, index""")
 
-oracle("q_stream_ingest", ORDERS_BY_SHARD)
+oracle("q_stream_ingest", f"SELECT *, n_docs AS n_keys, 2::BIGINT AS n_batches FROM ({ORDERS_BY_SHARD})")
+
+DOC_META_SHARD = shard_sql("doc_id::VARCHAR", SHARDS)
+oracle("q_publish_rejects", f"""
+SELECT shard_id, n_docs, n_rejected, n_rejected AS found, CASE WHEN n_rejected > 0 THEN 'bad_short' END AS reason
+FROM (SELECT range::INT AS shard_id FROM range({SHARDS})) LEFT JOIN (
+  SELECT {DOC_META_SHARD} AS shard_id, count(*) FILTER (n_chars <= 32767) AS n_docs,
+         count(*) FILTER (n_chars > 32767) AS n_rejected FROM documents GROUP BY 1) USING (shard_id)""")
+
+oracle("q_meta_import", """
+SELECT 'name' AS name, 'string' AS type, count(*) AS n, 0 AS n_bad, NULL::BIGINT AS sum_short, count(*) AS n_str FROM customer
+UNION ALL SELECT 'nation', 'short', count(*), 0, CAST(sum(c_nationkey) AS BIGINT), 0 FROM customer
+UNION ALL SELECT 'acctbal', 'integer', count(*), count(*) FILTER (contains(c_acctbal::VARCHAR, '.')), NULL, 0 FROM customer
+UNION ALL SELECT 'segment', 'string', count(*), 0, NULL, count(*) FROM customer""")
 
 oracle("q_published_postings", f"""
 SELECT 'status' AS field, lower(o_orderstatus) AS term, {shard_sql('o_orderkey::VARCHAR', SHARDS)} AS shard_id,

@@ -5,23 +5,27 @@ Layout under a dataset root::
     <root>/builds/<build_id>/shard_id=<n>/part-….parquet   one build
     <root>/CURRENT                                          id of the live build
 
-A build is written next to the live one, verified against its manifest, and
-only then made live by replacing the small ``CURRENT`` file.  A failed build
-is deleted and the old one stays live (the reference deletes the old dataset
-before building the new one).
+A build is written next to the live one, verified against what the write has
+seen, and only then made live by replacing the small ``CURRENT`` file in one
+step.  Whatever fails before that deletes the new build; the old one stays live.
+In ``reject`` mode the documents with bad values are written with the others,
+marked in ``_bad``: reading the build leaves them out, ``rejects`` returns them.
 """
 
 from __future__ import annotations
 
+import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.operators.routing import java_order_key
+from shardload.operators.fields import BAD, kept, rejected
+from shardload.operators.routing import by_shard, java_order_key, order_shard
 from shardload.operators.stats import manifest
 
 POINTER = "CURRENT"
+SIDE_TABLES = ("", "_manifest", "_doc_values", "_postings", "_numeric_terms")
 
 
 def write_sharded(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
@@ -38,15 +42,21 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace ``path`` in one step: readers find the old text or the new one."""
     fs, p, jvm = _fs(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(path + "." + uuid.uuid4().hex + ".tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise IOError(f"could not replace {path}")
+    if fs.getScheme() == "file":
+        os.replace(tmp.toUri().getPath(), p.toUri().getPath())
+        return
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    p = fs.makeQualified(p)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(tmp), p, options)
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
@@ -68,6 +78,15 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the input files (paths may be globs)."""
+    total = 0
+    for path in paths:
+        fs, p, _ = _fs(spark, path)
+        total += sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(p) or [])
+    return total
+
+
 def build_path(root: str, build_id: str) -> str:
     return f"{root.rstrip('/')}/builds/{build_id}"
 
@@ -80,7 +99,7 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
     build = current_build(spark, root)
     if build is None:
         raise FileNotFoundError(f"no published build under {root}")
-    return spark.read.format(fmt).load(build_path(root, build))
+    return kept(spark.read.format(fmt).load(build_path(root, build)))
 
 
 def verify_publish(expected: DataFrame, written: DataFrame) -> DataFrame:
@@ -94,18 +113,23 @@ def verify_publish(expected: DataFrame, written: DataFrame) -> DataFrame:
             .withColumn("ok", F.col("expected") == F.col("found")))
 
 
-MAX_OBSERVED_SHARDS = 4096
+def _totals() -> list[F.Column]:
+    """Rows, rejected rows and an order-free checksum of keys and shards: the
+    same number of aggregates whatever the number of shards."""
+    return [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("_doc", "_id", "shard_id")).alias("checksum")]
 
 
-def _observed_counts(docs: DataFrame, shards: int):
-    """Attach per-shard document counts that Spark gathers while the write
-    runs (no second pass over the input)."""
-    from pyspark.sql import Observation
-    obs = Observation("shardload_build")
-    sid = F.col("shard_id")
-    metrics = [F.count(F.lit(1)).alias("n")] + [
-        F.sum(F.when(sid == k, 1).otherwise(0)).alias(f"s{k}") for k in range(shards)]
-    return docs.observe(obs, *metrics), obs
+def build_manifest(written: DataFrame, build_id: str, shards: int | None = None) -> DataFrame:
+    """G3 of a build: ``manifest`` of the kept documents with ``n_rejected``, a row for every shard."""
+    rows = manifest(kept(written), build_id)
+    bad = F.count(F.col(BAD)) if BAD in written.columns else F.lit(0).cast("long")
+    rejects = written.groupBy("shard_id").agg(bad.alias("n_rejected"))
+    rows = rows.join(rejects, "shard_id", "full_outer")
+    if shards is not None:
+        rows = rows.join(written.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard_id")),
+                         "shard_id", "full_outer")
+    zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_docs", "n_ids", "n_rejected")}
+    return rows.withColumns({"build_id": F.lit(build_id), "generation": F.coalesce("generation", F.lit(1)), **zero})
 
 
 def write_doc_values(written: DataFrame, path: str, schema: dict[str, str], fmt: str = "parquet") -> None:
@@ -117,50 +141,68 @@ def write_doc_values(written: DataFrame, path: str, schema: dict[str, str], fmt:
         .write.mode("errorifexists").format(fmt).partitionBy("shard_id").save(path)
 
 
-def write_postings(written: DataFrame, path: str, shards: int, fmt: str = "parquet") -> None:
-    """D1/D2 per shard: the inverted index of every string field, one row
-    per (field, term, document), each shard sorted by field, term and id."""
-    from shardload.operators.postings import analyze_fields, postings
-    from shardload.operators.routing import by_shard
-    post = postings(analyze_fields(written)).drop("_doc")
-    by_shard(post, shards).sortWithinPartitions("shard_id", "field", "term", "_id") \
+def write_postings(written: DataFrame, path: str, shards: int, split: int = 1, fmt: str = "parquet",
+                   stop_words: tuple[str, ...] | None = None) -> None:
+    """D1/D2 per shard: the inverted index of every string field, one row per
+    (field, term, document), sorted by field, term and id; ``shards * split``
+    ranges of them."""
+    from shardload.operators.postings import ENGLISH_STOP_WORDS, analyze_fields, postings
+    post = postings(analyze_fields(written, stop_words=ENGLISH_STOP_WORDS if stop_words is None else stop_words))
+    order = ("shard_id", "field", "term", "_id", "_doc")
+    post.repartitionByRange(shards * max(1, split), *order).sortWithinPartitions(*order) \
+        .write.mode("errorifexists").format(fmt).partitionBy("shard_id").save(path)
+
+
+def write_numeric_terms(written: DataFrame, path: str, shards: int, split: int = 1, fmt: str = "parquet") -> None:
+    """D4 per shard: every numeric term with its documents, sorted by field and value."""
+    from shardload.operators.postings import numeric_postings
+    order = ("shard_id", "field", "type", "whole", "real", "_id", "_doc")
+    numeric_postings(written).repartitionByRange(shards * max(1, split), *order).sortWithinPartitions(*order) \
         .write.mode("errorifexists").format(fmt).partitionBy("shard_id").save(path)
 
 
+def check_doc_values(schema: dict[str, str] | None) -> None:
+    from shardload.operators.docs import SLOT_OF_TYPE
+    for name, typ in (schema or {}).items():
+        if typ not in SLOT_OF_TYPE:
+            raise ValueError(f"doc values of {name}: unknown type {typ!r}, known are {', '.join(SLOT_OF_TYPE)}")
+
+
 def publish(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
             shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
-            with_postings: bool = False) -> str:
+            with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None) -> str:
     """H3: write a new build, verify it, then switch ``CURRENT`` to it.
 
-    With ``shards`` known (up to ``MAX_OBSERVED_SHARDS``) the expected
-    per-shard counts are observed during the write itself; otherwise they are
-    recounted from the plan (a second pass).  Any shortfall deletes the build
-    and raises; the live build is untouched.  Returns the build id.
+    Rows and a checksum are observed while the build is written and compared
+    with the files.  Any shortfall or failure deletes the build and raises;
+    the live build is untouched.  Returns the build id.
     """
+    check_doc_values(doc_value_schema)
     spark = docs.sparkSession
     build_id = build_id or uuid.uuid4().hex[:12]
     path = build_path(root, build_id)
-    observed = shards is not None and shards <= MAX_OBSERVED_SHARDS
-    if observed:
-        docs, obs = _observed_counts(docs, shards)
-    write_sharded(docs, path, fmt=fmt, mode="errorifexists")
-    written = spark.read.format(fmt).load(path)
-    if observed:
-        m = obs.get
-        rows = [(k, int(m[f"s{k}"] or 0)) for k in range(shards) if m[f"s{k}"]]
-        expected = spark.createDataFrame(rows, "shard_id int, n_docs long")
-    else:
-        expected = manifest(docs, build_id)
-    bad = verify_publish(expected, written).where(~F.col("ok")).limit(1).count()
-    if bad:
-        _delete(spark, path)
-        raise IOError(f"build {build_id} failed verification; {root} left unchanged")
-    manifest(written, build_id).write.mode("errorifexists").json(path + "_manifest")
-    if doc_value_schema:
-        write_doc_values(written, path + "_doc_values", doc_value_schema, fmt)
-    if with_postings:
-        n = shards if shards is not None else written.agg(F.max("shard_id")).collect()[0][0] + 1
-        write_postings(written, path + "_postings", int(n), fmt)
+    fs, p, _ = _fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(f"{path} already exists")
+    try:
+        observed = Observation("shardload_build")
+        write_sharded(docs.observe(observed, *_totals()), path, fmt=fmt, mode="errorifexists")
+        written = spark.read.schema(docs.schema).format(fmt).load(path)
+        found, expected = written.agg(*_totals()).first().asDict(), observed.get
+        if any((found[k] or 0) != (expected.get(k) or 0) for k in found):
+            raise IOError(f"build {build_id} failed verification ({expected} written, {found} found)")
+        build_manifest(written, build_id, shards).write.mode("errorifexists").json(path + "_manifest")
+        good = kept(written)
+        if doc_value_schema:
+            write_doc_values(good, path + "_doc_values", doc_value_schema, fmt)
+        if with_postings:
+            n = shards if shards is not None else (good.agg(F.max("shard_id")).first()[0] or 0) + 1
+            write_postings(good, path + "_postings", int(n), split, fmt, stop_words)
+            write_numeric_terms(good, path + "_numeric_terms", int(n), split, fmt)
+    except BaseException:
+        for suffix in SIDE_TABLES:
+            _delete(spark, path + suffix)
+        raise
     _write_text(spark, f"{root.rstrip('/')}/{POINTER}", build_id)
     return build_id
 
@@ -170,15 +212,18 @@ def unpublish(spark: SparkSession, root: str) -> None:
     build = current_build(spark, root)
     _delete(spark, f"{root.rstrip('/')}/{POINTER}")
     if build:
-        for suffix in ("", "_manifest", "_doc_values", "_postings"):
+        for suffix in SIDE_TABLES:
             _delete(spark, build_path(root, build) + suffix)
 
 
 def read_current_part(spark: SparkSession, root: str, part: str, fmt: str = "parquet") -> DataFrame:
-    """A side table of the live build: ``manifest``, ``doc_values`` or ``postings``."""
+    """A side table of the live build: ``manifest``, ``doc_values``,
+    ``postings``, ``numeric_terms``, or ``rejects`` of a build in reject mode."""
     build = current_build(spark, root)
     if build is None:
         raise FileNotFoundError(f"no published build under {root}")
+    if part == "rejects":
+        return rejected(spark.read.format(fmt).load(build_path(root, build)))
     path = f"{build_path(root, build)}_{part}"
     return spark.read.json(path) if part == "manifest" else spark.read.format(fmt).load(path)
 
@@ -198,7 +243,11 @@ def bulk_lines(docs: DataFrame, index: str, doc_type: str) -> DataFrame:
                        F.concat(bulk_action(index, doc_type), F.lit("\n"), source_json("fields")).alias("bulk"))
 
 
-def write_bulk(docs: DataFrame, path: str, index: str, doc_type: str) -> None:
-    """H7: bulk bodies as text, one directory per shard."""
+def write_bulk(docs: DataFrame, path: str, index: str, doc_type: str, shards: int | None = None, split: int = 1) -> None:
+    """H7: bulk bodies as text, one directory per shard.  With ``shards`` the
+    documents are placed first (they need not be), so a shard's bodies are in
+    ``split`` files and in order."""
+    if shards is not None:
+        docs = order_shard(by_shard(docs, shards, split))
     bulk_lines(docs, index, doc_type).select("shard_id", F.col("bulk").alias("value")) \
         .write.mode("errorifexists").partitionBy("shard_id").text(path)

@@ -17,23 +17,24 @@ from pyspark.sql import functions as F
 from shardload.operators.docs import (all_text, doc_values, field_names, sort_numeric, source_json,
                                       to_wide, with_doc_meta)
 from shardload.operators.audit import index_readiness, shard_readiness, transfer_acceptance
-from shardload.operators.fields import fields_long, infer_fields, rejects
-from shardload.operators.postings import numeric_terms, postings, term_stats, tokenize, tokens_of
-from shardload.operators.predicates import exists_, fuzzy, get_by_id, match_term, range_, term
-from shardload.operators.routing import by_shard, order_shard, route_hash, shard_skew
+from shardload.operators.fields import fields_long, infer_fields, parse_meta_fields, rejects
+from shardload.operators.postings import numeric_terms, postings, term_counts, tokenize, tokens_of
+from shardload.operators.predicates import exists_, exists_in_build, fuzzy, get_by_id, match_term, range_, term
+from shardload.operators.routing import by_shard, order_shard, route, route_hash, shard_histogram, shard_skew
 from shardload.operators.stats import duplicate_ids, field_stats, manifest
 from shardload.plans.build import numeric_value, parsed_docs, shard_docs
 from shardload.plans.publish import (bulk_lines, publish, read_current, read_current_part, verify_publish,
                                      write_sharded)
 from shardload.session import checkpoint_dir
 from shardload.streaming.ingest import ingest_stream
-from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema
+from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema, read_lines
 from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
                                       events_lines, lineitem_lines, orders_lines, part_lines, shard_state,
-                                      text_lines, transfer_log)
+                                      special_lines, table, text_lines, transfer_log)
 
 SHARDS = 5
 SPACE = " "
+POS_MASK = (1 << 33) - 1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,12 +44,18 @@ def query(fn):
     return fn
 
 
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/shardload/{name}/{uuid.uuid4().hex}"
+
+
 # --- A: sources --------------------------------------------------------------
 
 @query
 def q_scan_lines(spark, sf):
-    """A1: every line of every document text."""
-    return text_lines(spark, sf).select("value")
+    """A1: the document texts written as text files, scanned line by line."""
+    path = _scratch(spark, "text")
+    table(spark, sf, "documents").select(F.col("text").alias("value")).write.text(path)
+    return read_lines(spark, path).select("value")
 
 
 @query
@@ -66,7 +73,7 @@ def q_dropped_lines(spark, sf):
 @query
 def q_custom_delim(spark, sf):
     """A4: text lines split on a space; field count per (name, type)."""
-    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS)
+    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS, on_error="reject")
     return (fields_long(docs, keep=()).groupBy("name", "type")
             .agg(F.count(F.lit(1)).alias("n")))
 
@@ -166,7 +173,7 @@ def q_meta_schema(spark, sf):
 def q_empty_docs(spark, sf):
     """Documents are kept even with no user field; per fixture, documents
     and documents without fields (long form with ``explode_outer``)."""
-    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS)
+    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS, on_error="reject")
     return docs.agg(F.count(F.lit(1)).alias("n_docs"),
                     F.count(F.when(F.size("fields") == 0, 1)).alias("n_empty"),
                     F.sum(F.greatest(F.size("fields"), F.lit(1))).alias("n_outer_rows"))
@@ -191,7 +198,7 @@ def q_doc_meta(spark, sf):
 @query
 def q_field_names(spark, sf):
     """Documents per ``_field_names`` entry (dotted prefixes included)."""
-    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS)
+    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS, on_error="reject")
     return (docs.select(F.explode(field_names("fields")).alias("field"))
             .groupBy("field").agg(F.count(F.lit(1)).alias("n_docs")))
 
@@ -216,16 +223,32 @@ def q_docvalues_str(spark, sf):
     return dv.select("_id", F.array_join("code", ",").alias("code_values"), F.size("code").alias("n_values"))
 
 
+def _ranked(df: DataFrame, name: str) -> DataFrame:
+    """``rank`` (from 1) of every row of a sorted frame: positions inside the
+    written partitions plus the rows of the partitions before (one count each)."""
+    path = _scratch(df.sparkSession, name)
+    at = F.monotonically_increasing_id()
+    df.withColumn("_p", F.shiftright(at, 33)).withColumn("_i", at.bitwiseAND(F.lit(POS_MASK))).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    before = F.sum("n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    parts = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).select("_p", F.coalesce(before, F.lit(0)).alias("_b"))
+    return rows.join(parts, "_p").withColumn("rank", F.col("_b") + F.col("_i") + 1).drop("_p", "_i", "_b")
+
+
 @query
 def q_sort_double(spark, sf):
-    """Top 10 orders by ``total`` (descending, index order for doubles)."""
-    docs = parsed_docs(orders_lines(spark, sf), shards=SHARDS)
-    wide = to_wide(docs, {"total": "double"})
-    top = sort_numeric(wide, "total", descending=True, then=("_id",)).limit(10)
-    # Distributed top-k (TakeOrderedAndProject); the window below numbers only
-    # the 10 rows it returns.
-    return top.select("_id", "total",
-                      F.row_number().over(Window.orderBy(F.col("total").desc(), "_id")).alias("rank"))
+    """All orders by ``total`` (descending, index order for doubles), with
+    NaN, both infinities and both zeros among the values."""
+    docs = parsed_docs(special_lines(spark, sf), shards=SHARDS, on_error="null")
+    wide = to_wide(docs.where(F.col("_id").cast("long") % 50 < 40), {"total": "double"})
+    ranked = _ranked(sort_numeric(wide, "total", descending=True, then=("_id",)), "sorted")
+    return ranked.select("_id", F.col("total").cast("string").alias("total"), "rank")
+
+
+@query
+def q_bad_numbers(spark, sf):
+    """Spellings of NaN and infinity that are not Java's are rejects."""
+    return rejects(keyed_lines(special_lines(spark, sf))).select("_id", "token", "reason")
 
 
 @query
@@ -274,7 +297,7 @@ def q_postings(spark, sf):
 @query
 def q_term_stats(spark, sf):
     """D3: document frequency and total term frequency per term."""
-    return term_stats(postings(_doc_tokens(spark, sf)))
+    return term_counts(table(spark, sf, "documents"), "text")
 
 
 @query
@@ -283,6 +306,23 @@ def q_num_terms(spark, sf):
     return numeric_terms(parsed_docs(part_lines(spark, sf), shards=SHARDS))
 
 
+@query
+def q_num_terms_exact(spark, sf):
+    """Longs above 2^53, NaN, infinities and both zeros stay terms of their own."""
+    docs = parsed_docs(special_lines(spark, sf), shards=SHARDS, on_error="reject")
+    return numeric_terms(docs).withColumn("real", F.col("real").cast("string"))
+
+
+@query
+def q_num_postings(spark, sf):
+    """D4 in a published build: documents of the numeric terms of ``size`` and ``col_…``."""
+    docs = shard_docs(part_lines(spark, sf), "parts", "part", shards=SHARDS)
+    root = _scratch(spark, "publish_numeric")
+    publish(docs, root, shards=SHARDS, with_postings=True)
+    terms = read_current_part(spark, root, "numeric_terms")
+    return terms.where(F.col("whole").isNotNull()).select("field", "type", "whole", "shard_id", "_id", "tf")
+
+
 # --- E: predicates -----------------------------------------------------------
 
 @query
@@ -318,7 +358,7 @@ def q_fuzzy(spark, sf):
 @query
 def q_exists(spark, sf):
     """Text documents that have the field ``col_the`` (or a dotted child)."""
-    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS)
+    docs = parsed_docs(text_lines(spark, sf), delim=SPACE, shards=SHARDS, on_error="reject")
     return docs.where(exists_("col_the")).select("_id", F.size("fields").alias("n_fields"))
 
 
@@ -332,9 +372,22 @@ def q_match_term(spark, sf):
 
 @query
 def q_get_by_id(spark, sf):
-    """One order document by id, its shard computed up front."""
-    docs = parsed_docs(orders_lines(spark, sf), shards=SHARDS)
-    return get_by_id(docs, "42", SHARDS).select("_id", "shard_id", F.size("fields").alias("n_fields"))
+    """One order document of a published build by id; only its shard's
+    folder is read."""
+    root = _scratch(spark, "publish_get")
+    publish(shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS), root, shards=SHARDS)
+    return get_by_id(read_current(spark, root), "42", SHARDS).select("_id", "shard_id", F.size("fields").alias("n_fields"))
+
+
+@query
+def q_match_published(spark, sf):
+    """E4/E5 on a published build: documents whose ``type`` holds a term, from
+    the stored postings, and that have the field ``brand``."""
+    root = _scratch(spark, "publish_match")
+    publish(shard_docs(part_lines(spark, sf), "parts", "part", shards=SHARDS, split=2), root, shards=SHARDS, split=2,
+            with_postings=True)
+    docs = read_current(spark, root).where(exists_in_build("brand"))
+    return match_term(docs, read_current_part(spark, root, "postings"), "type", "economy").select("_id", "shard_id")
 
 
 # --- G: statistics -----------------------------------------------------------
@@ -345,6 +398,13 @@ def q_field_stats(spark, sf):
     return field_stats(parsed_docs(lineitem_lines(spark, sf), shards=SHARDS))
 
 
+@query
+def q_field_stats_exact(spark, sf):
+    """G1 over longs above 2^53 and special doubles: nothing is rounded."""
+    docs = parsed_docs(special_lines(spark, sf), shards=SHARDS, on_error="reject")
+    return field_stats(docs).withColumns({c: F.col(c).cast("string") for c in ("min_d", "max_d")})
+
+
 @query
 def q_duplicate_ids(spark, sf):
     """Event documents sharing an id (user)."""
@@ -359,9 +419,6 @@ def q_manifest(spark, sf):
 
 # --- F: placement ------------------------------------------------------------
 
-POS_MASK = (1 << 33) - 1
-
-
 @query
 def q_shard_order(spark, sf):
     """rank of each order document inside its shard partition after
@@ -372,16 +429,24 @@ def q_shard_order(spark, sf):
 
 
 @query
-def q_shard_skew(spark, sf):
-    """shard size spread of the line-item documents."""
-    return shard_skew(parsed_docs(lineitem_lines(spark, sf), shards=SHARDS))
+def q_split_order(spark, sf):
+    """F3 on written files: with three ranges per shard, the rank of each order
+    document over a shard's files, taken in file order."""
+    docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS, split=3)
+    path = _scratch(spark, "split_order")
+    write_sharded(docs, path)
+    rows = spark.read.parquet(path).select("shard_id", "_id", F.col("_metadata.file_name").alias("f"),
+                                           F.col("_metadata.row_index").alias("r"))
+    return rows.select("shard_id", "_id", F.row_number().over(Window.partitionBy("shard_id").orderBy("f", "r")).alias("rank"))
 
 
-# --- H: publish and audits ---------------------------------------------------
+@query
+def q_shard_skew(spark, sf):
+    """shard size spread of the line-item documents, from the routed lines."""
+    return shard_skew(route(keyed_lines(lineitem_lines(spark, sf)), SHARDS))
 
-def _scratch(spark, name):
-    return f"{checkpoint_dir(spark).rstrip('/')}/shardload/{name}/{uuid.uuid4().hex}"
 
+# --- H: publish and audits ---------------------------------------------------
 
 @query
 def q_write_readback(spark, sf):
@@ -396,12 +461,39 @@ def q_write_readback(spark, sf):
 
 @query
 def q_verify_publish(spark, sf):
-    """H3/H4: publish the order documents, then compare manifest and files."""
-    docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
+    """H3/H4: publish the order documents, then compare the input's lines per
+    shard with the files."""
+    lines = orders_lines(spark, sf)
     root = _scratch(spark, "publish")
-    build = publish(docs, root, shards=SHARDS)
-    written = read_current(spark, root)
-    return verify_publish(manifest(written, build), written)
+    publish(shard_docs(lines, "orders", "order", shards=SHARDS), root, shards=SHARDS)
+    expected = shard_histogram(route(keyed_lines(lines), SHARDS))
+    return verify_publish(expected, read_current(spark, root))
+
+
+@query
+def q_publish_rejects(spark, sf):
+    """A published build in reject mode loses no document: kept and
+    rejected ones per shard, from the manifest and from the stored rejects."""
+    docs = shard_docs(docmeta_lines(spark, sf), "docs", "doc", shards=SHARDS, on_error="reject")
+    root = _scratch(spark, "publish_rejects")
+    publish(docs, root, shards=SHARDS)
+    found = read_current_part(spark, root, "rejects").groupBy(F.col("shard_id").cast("int").alias("shard_id")).agg(
+        F.count_distinct("_doc").alias("found"), F.min("reason").alias("reason"))
+    kept_rows = read_current_part(spark, root, "manifest").select(
+        F.col("shard_id").cast("int").alias("shard_id"), "n_docs", "n_rejected")
+    return kept_rows.join(found, "shard_id", "left").select(
+        "shard_id", "n_docs", "n_rejected", F.coalesce("found", F.lit(0)).cast("long").alias("found"), "reason")
+
+
+@query
+def q_meta_import(spark, sf):
+    """A5 as an import: customer cells typed by a metadata list whose second
+    number type does not fit; kept and rejected values per field."""
+    docs = parse_meta_fields(route(keyed_lines(customer_lines(spark, sf)), SHARDS),
+                             "name:string,nation:short,acctbal:integer,segment:text", on_error="null")
+    return (fields_long(docs, keep=()).groupBy("name", "type")
+            .agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("n_bad"), F.sum("s").alias("sum_short"),
+                 F.count("str").alias("n_str")))
 
 
 @query
@@ -431,16 +523,18 @@ def q_index_readiness(spark, sf):
 
 @query
 def q_stream_ingest(spark, sf):
-    """Order lines written as text files, ingested by the streaming job
-    (``availableNow``), then counted per shard."""
+    """Order lines in two text files, ingested by the streaming job in two
+    batches, then counted per shard; every document has a key of its own."""
     base = _scratch(spark, "stream")
-    orders_lines(spark, sf).select("value").write.text(f"{base}/src")
+    orders_lines(spark, sf).select("value").repartition(2).write.text(f"{base}/src")
     q = ingest_stream(spark, f"{base}/src", f"{base}/out", f"{base}/ck", index="orders", doc_type="order",
-                      shards=SHARDS)
+                      shards=SHARDS, max_files_per_trigger=1)
     q.awaitTermination()
     back = spark.read.parquet(f"{base}/out")
     return back.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_docs"),
-                                        F.min("_id").alias("min_id"), F.max("_id").alias("max_id"))
+                                        F.min("_id").alias("min_id"), F.max("_id").alias("max_id"),
+                                        F.count_distinct("_doc").alias("n_keys"),
+                                        F.count_distinct("batch_id").alias("n_batches"))
 
 
 @query

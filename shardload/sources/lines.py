@@ -8,7 +8,7 @@ document key everywhere downstream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -31,22 +31,34 @@ def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None
     return df.select("value", F.col("_metadata.file_path").alias("_file"))
 
 
-def with_doc_key(lines: DataFrame, spread: bool = True) -> DataFrame:
+def with_doc_key(lines: DataFrame, spread: bool = False) -> DataFrame:
     """Attach ``_doc``: partition-local position, stable under task retry for a
     deterministic scan (same splits give the same keys).
 
-    With ``spread``, an input that arrives in fewer partitions than the
-    cluster has cores (one unsplittable file or row group, a gzip file) is
-    hash-partitioned on ``_doc`` so that the CPU-heavy parse runs on every
-    core.  Hash placement is deterministic, so a retried task sees the same
-    rows.  Inputs that are already wide enough are left as they are.
+    With ``spread``, the keyed lines are hash-partitioned on ``_doc``: for an
+    input of few partitions (one unsplittable file or row group, a gzip file)
+    whose CPU-heavy parse should run on every core.  Hash placement is
+    deterministic, so a retried task sees the same rows.
     """
     keyed = lines.withColumn("_doc", F.monotonically_increasing_id())
-    if spread:
-        cores = lines.sparkSession.sparkContext.defaultParallelism
-        if lines.rdd.getNumPartitions() < cores:
-            keyed = keyed.repartition(cores, "_doc")
-    return keyed
+    return keyed.repartition(F.col("_doc")) if spread else keyed
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str], line_sep: str | None = None) -> DataFrame:
+    """A1 with ``_line``, the line's number in its file from 0, whatever the
+    splits: lines are counted per file block first (one row a block), then each
+    block's lines start where the blocks before it end."""
+    reader = spark.read.format("text")
+    if line_sep is not None:
+        reader = reader.option("lineSep", line_sep)
+    lines = reader.load(path).select("value", F.col("_metadata.file_path").alias("_file"),
+                                     F.col("_metadata.file_block_start").alias("_block"),
+                                     F.monotonically_increasing_id().alias("_at"))
+    before = F.sum("n").over(Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = (lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("_first"))
+              .select("_file", "_block", "_first", F.coalesce(before, F.lit(0)).alias("_before")))
+    return lines.join(blocks, ["_file", "_block"]).select(
+        "value", "_file", (F.col("_before") + F.col("_at") - F.col("_first")).alias("_line"))
 
 
 def has_cells(value: Column, delim: str) -> Column:
@@ -90,10 +102,12 @@ def auto_id_col(lines: DataFrame, seed: str = "") -> Column:
     """A3: 22-character URL-safe base64 id (16 bytes), stable per line.
 
     A random UUID would change when a task is retried; this one is a digest of
-    (file, line key, seed), so a re-run of the same split gives the same id.
+    (seed, file, line number) for ``numbered_lines``, the same on any cluster,
+    or else of the line key, the same for the same split.
     """
     file_part = F.col("_file") if "_file" in lines.columns else F.lit("")
-    digest = F.unhex(F.md5(F.concat_ws("\u0001", F.lit(seed), file_part, F.col("_doc").cast("string"))))
+    line = F.col("_line" if "_line" in lines.columns else "_doc").cast("string")
+    digest = F.unhex(F.md5(F.concat_ws("\u0001", F.lit(seed), file_part, line)))
     b64 = F.translate(F.base64(digest), "+/", "-_")
     return F.substring(b64, 1, 22)
 

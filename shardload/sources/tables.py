@@ -54,7 +54,7 @@ def _keyed(df: DataFrame, value: Column) -> DataFrame:
     (the keyed-line split) then stay above it instead of being pushed below
     the spread exchange, where they would build every line a second time on
     the unspread input."""
-    return with_doc_key(df).select(F.explode(F.array(value)).alias("value"), "_doc")
+    return with_doc_key(df, spread=True).select(F.explode(F.array(value)).alias("value"), "_doc")
 
 
 def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +96,23 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
               _kv("num", F.col("l_quantity").cast("int"), "integer"))))
 
 
+# Doubles of ``special_lines`` by order key modulo 50; the last five are not Java's spellings.
+SPECIAL_DOUBLES = {0: "NaN", 1: "Infinity", 2: "-Infinity", 3: "-0.0", 4: "0.0",
+                   45: "inf", 46: "nan", 47: "-INFINITY", 48: "+Inf", 49: "infinity"}
+
+
+def special_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``o_orderkey \\t total:<double>,big:<long>``: special doubles among the
+    totals, longs from 2^53 up."""
+    o = table(spark, sf_dir, "orders")
+    total = F.col("o_totalprice").cast("string")
+    for k, text in SPECIAL_DOUBLES.items():
+        total = F.when(F.col("o_orderkey") % 50 == k, F.lit(text)).otherwise(total)
+    return _keyed(o, _line(F.col("o_orderkey").cast("string"),
+                           _cell(_kv("total", total, "double"),
+                                 _kv("big", F.lit(1 << 53) + F.col("o_orderkey") % 7, "long"))))
+
+
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``p_partkey \\t size:<short>,price:<float>,brand:<s>,type:<s> \\t <name tag>``."""
     p = table(spark, sf_dir, "part")
@@ -140,7 +157,7 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     would give them (``\\n``, ``\\r\\n`` and ``\\r`` end a line)."""
     d = table(spark, sf_dir, "documents").select("text")
     lines = d.select(F.explode(F.split(F.col("text"), LINE_BREAK, -1)).alias("value"))
-    return with_doc_key(lines).select("value", "_doc")
+    return with_doc_key(lines, spread=True).select("value", "_doc")
 
 
 FIXTURES = {

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shardload import DEFAULT_DELIM, DEFAULT_SHARDS, DEFAULT_TYPE
 from shardload.plans.build import shard_docs
+from shardload.sources.lines import with_doc_key
 
 
 def stream_lines(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -26,17 +27,23 @@ def stream_lines(spark: SparkSession, src_dir: str, max_files_per_trigger: int |
 
 def ingest_stream(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str, index: str,
                   doc_type: str = DEFAULT_TYPE, delim: str = DEFAULT_DELIM, auto_id: bool = False,
-                  shards: int = DEFAULT_SHARDS, on_error: str = "reject", available_now: bool = True,
+                  shards: int = DEFAULT_SHARDS, split: int = 1, on_error: str = "fail",
+                  max_files_per_trigger: int | None = None, available_now: bool = True,
                   processing_time: str | None = None, fmt: str = "parquet") -> StreamingQuery:
-    """Start the ingest; ``available_now`` processes what is there and stops."""
+    """Start the ingest; ``available_now`` processes what is there and stops.
+
+    ``_doc`` is ``<batch>-<line key>``, so it is unique over all batches.  A bad
+    value fails the batch (``fail``), or its document is written marked in
+    ``_bad`` (``reject``; see ``fields.kept`` and ``fields.rejected``)."""
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        docs = shard_docs(batch, index, doc_type, delim=delim, auto_id=auto_id, on_error=on_error,
-                          shards=shards)
+        lines = with_doc_key(batch).withColumn("_doc", F.concat(F.lit(f"{epoch}-"), F.col("_doc").cast("string")))
+        docs = shard_docs(lines, index, doc_type, delim=delim, auto_id=auto_id, on_error=on_error,
+                          shards=shards, split=split)
         (docs.write.mode("overwrite").format(fmt).partitionBy("shard_id")
          .save(f"{out_dir.rstrip('/')}/batch_id={epoch}"))
 
-    writer = stream_lines(spark, src_dir).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = stream_lines(spark, src_dir, max_files_per_trigger).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:

@@ -46,7 +46,7 @@ def test_field_stats_and_duplicates(spark):
                                                      "b\ty:s"])))
     st = {r["name"]: r for r in field_stats(docs).collect()}
     assert (st["x"]["max_doc"], st["x"]["doc_count"], st["x"]["sum_doc_freq"], st["x"]["sum_total_term_freq"]) == (3, 2, 3, 4)
-    assert (st["x"]["min_v"], st["x"]["max_v"]) == (1.0, 5.0)
+    assert (st["x"]["min_l"], st["x"]["max_l"], st["x"]["min_d"]) == (1, 5, None)
     assert [(r["_id"], r["n_docs"]) for r in duplicate_ids(docs).collect()] == [("a", 2)]
 
 

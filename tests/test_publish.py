@@ -88,7 +88,7 @@ def test_cli_import(spark, scratch):
     root = os.path.join(scratch, "out")
     rej = os.path.join(scratch, "rej")
     build = main(["import", "--input", src, "--output", root, "--index", "ix", "--shards", "3",
-                  "--rejects", rej, "--doc-values", "x:integer,y:string", "--postings",
+                  "--on-error", "reject", "--rejects", rej, "--doc-values", "x:integer,y:string", "--postings",
                   "--source-dup", "array"], spark=spark)
     live = read_current(spark, root)
     assert sorted(r["_id"] for r in live.collect()) == ["a", "c"]

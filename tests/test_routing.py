@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, lines_df
 from shardload.functions.routing_hash import murmur3_utf16
-from shardload.operators.routing import by_shard, order_shard, route, route_hash, shard_skew, split_factor
-from shardload.plans.build import parsed_docs
+from shardload.operators.routing import by_shard, order_shard, route, route_hash, shard_skew
+from shardload.plans.build import parsed_docs, shard_docs
 from shardload.plans.oracle_sql import murmur3_signed
 from shardload.sources.tables import orders_lines
 
@@ -85,15 +85,26 @@ def test_placement_partition_is_shard(spark):
         assert ids == sorted(ids, reverse=True)
 
 
-def test_split_factor_spreads_a_hot_id(spark):
-    hot = ["hot\tx:%d" % i for i in range(300)] + ["cold%d\tx:1" % i for i in range(30)]
-    docs = parsed_docs(lines_df(spark, hot), shards=3)
-    placed = by_shard(docs, 3, split=4)
-    parts = placed.select("shard_id", F.spark_partition_id().alias("p")).collect()
-    assert all(r["p"] // 4 == r["shard_id"] for r in parts)
-    hot_shard = [r for r in docs.select("_id", "shard_id").collect() if r["_id"] == "hot"][0]["shard_id"]
-    assert len({r["p"] for r in parts if r["shard_id"] == hot_shard}) > 1
-    assert split_factor(10_000_000, 5, 1_000_000) == 2
+def test_split_ranges_spread_a_hot_id_and_keep_the_order(spark):
+    hot = ["hot\tx:%d" % i for i in range(300)] + ["cold%d\tx:1" % i for i in range(60)]
+    docs = shard_docs(lines_df(spark, hot), "i", shards=3, split=4)
+    rows = docs.select("shard_id", "_id", "_doc", F.spark_partition_id().alias("p")).collect()
+    hot_rows = [r for r in rows if r["_id"] == "hot"]
+    assert len(rows) == 360 and len({r["p"] for r in hot_rows}) > 1
+    for shard in range(3):
+        own = [r for r in rows if r["shard_id"] == shard]       # collected partition by partition
+        assert [r["p"] for r in own] == sorted(r["p"] for r in own)
+        ids = [r["_id"] for r in own]
+        assert ids == sorted(ids, reverse=True)
+        ties = [r["_doc"] for r in own if r["_id"] == "hot"]
+        assert ties == sorted(ties)
+
+
+def test_one_exchange_of_thin_rows(spark):
+    for split in (1, 3):
+        docs = shard_docs(lines_df(spark, ["a\tx:1:integer"]), "i", shards=2, split=split)
+        plan = docs._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.index("_source") < plan.index("Exchange") < plan.index("payload")
 
 
 def test_shard_skew(spark):
@@ -101,17 +112,9 @@ def test_shard_skew(spark):
     assert s["n_shards"] == 5 and s["total_docs"] == 1500 and s["skew"] >= 1.0
 
 
-def test_auto_split(spark):
+def test_auto_split():
     from shardload.operators.routing import auto_split
-    docs = parsed_docs(orders_lines(spark, SF001), shards=2)
-    n_in = docs.rdd.getNumPartitions()
-    assert auto_split(docs, 2, inputs_per_task=1) == -(-n_in // 2)
-    assert auto_split(docs, 2) == -(-n_in // 8)
-    assert auto_split(docs, 2, inputs_per_task=10**6) == 1
-    placed = by_shard(docs, 2, split="auto")
-    assert placed.rdd.getNumPartitions() == 2 * auto_split(docs, 2)
-    parts = placed.select("shard_id", F.spark_partition_id().alias("p")).collect()
-    assert all(r["p"] // auto_split(docs, 2) == r["shard_id"] for r in parts)
+    assert auto_split(0, 4) == 1 and auto_split(4 << 30, 4, 512 << 20) == 2 and auto_split((4 << 30) + 1, 4, 512 << 20) == 3
 
 
 def test_udf_runs_without_package_on_worker_path(tmp_path):
