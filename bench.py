@@ -25,7 +25,7 @@ from shardload.sources.tables import lineitem_lines, orders_lines  # noqa: E402
 HEADLINE = [
     "q_shard_hist", "q_typed_fields", "q_route", "q_source_json", "q_field_names", "q_docvalues_num",
     "q_term_stats", "q_postings", "q_num_terms", "q_field_stats", "q_range", "q_duplicate_ids",
-    "q_manifest", "q_shard_skew", "q_transfer_acceptance", "q_shard_readiness", "q_rejects",
+    "q_manifest", "q_shard_skew", "q_rejects", "q_publish_rejects", "q_split_order", "q_sort_double",
 ]
 
 
@@ -63,8 +63,8 @@ def main() -> None:
     timed("import_lineitem", lambda: write_sharded(
         shard_docs(lineitem_lines(spark, sf_dir), "lineitem", "item", shards=Q.SHARDS), f"{out}/lineitem"))
     timed("publish_lineitem", lambda: publish(
-        shard_docs(lineitem_lines(spark, sf_dir), "lineitem", "item", shards=Q.SHARDS, split="auto"),
-        f"{out}/published", shards=Q.SHARDS, with_postings=True,
+        shard_docs(lineitem_lines(spark, sf_dir), "lineitem", "item", shards=Q.SHARDS, split=2),
+        f"{out}/published", shards=Q.SHARDS, with_postings=True, split=2,
         doc_value_schema={"qty": "double", "ship": "short", "code": "string", "num": "integer"}))
     timed("import_orders", lambda: write_sharded(
         shard_docs(orders_lines(spark, sf_dir), "orders", "order", shards=Q.SHARDS), f"{out}/orders"))
