@@ -174,10 +174,8 @@ def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int)
     return found
 
 
-def groups(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, text_hash, n_shingles, component_id, kept)`` for every row of
-    ``docs``; ``component_id`` is the smallest id that links of at least
-    ``percent`` similarity reach."""
+def _grouped(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
+    """``groups`` and ``root``, the class that names a row's group (null: the row is its own)."""
     rows = saved(describe(docs, doc_id, text), "sets")
     able = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     firsts = able.groupBy("c", "c2").agg(F.min("doc_id").alias("id"))
@@ -188,27 +186,35 @@ def groups(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text
                    "wanted")
     sets = saved(_full_sets(docs, small(wanted), doc_id, text), "full-sets")
     links = _links(lists, classes, sets, percent)
-    ids = classes.select("c", "doc_id")
+    ids = classes.select("c", F.col("c").alias("root"), F.col("doc_id").alias("component"))
     if links is not None:
         root = saved(components(links).withColumnRenamed("node", "c"), "components")
-        least = root.join(ids, "c").groupBy("root").agg(F.min("doc_id").alias("least"))
-        moved = root.join(least, "root").select("c", "least")
-        ids = ids.join(moved, "c", "left").select("c", F.coalesce("least", "doc_id").alias("doc_id"))
-    ids = small(saved(ids.select("c", F.col("doc_id").alias("component")), "class-components"))
+        least = root.join(classes, "c").groupBy("root").agg(F.min("doc_id").alias("least"))
+        moved = root.join(least, "root").select("c", F.col("root").alias("new"), "least")
+        ids = ids.join(moved, "c", "left").select("c", F.coalesce("new", "root").alias("root"),
+                                                  F.coalesce("least", "component").alias("component"))
+    ids = small(saved(ids, "class-components"))
     able = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     own = F.when(able, F.col("component")).otherwise(F.col("doc_id"))
     return (rows.drop("sig").join(ids, "c", "left")
             .select("doc_id", "text_hash", "n_shingles", own.alias("component_id"),
-                    F.col("doc_id").eqNullSafe(own).alias("kept")))
+                    F.col("doc_id").eqNullSafe(own).alias("kept"), F.when(able, F.col("root")).alias("root")))
+
+
+def groups(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, text_hash, n_shingles, component_id, kept)`` for every row of
+    ``docs``; ``component_id`` is the smallest id that links of at least
+    ``percent`` similarity reach."""
+    return _grouped(docs, percent, doc_id, text).drop("root")
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of every group: the smallest id, of equal ids the
     smallest text hash, of equal rows any.  Rows without a set all stay."""
-    rows = saved(groups(docs, percent, doc_id, text).where("n_shingles > 0 AND doc_id IS NOT NULL"), "groups")
-    best = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("best"))
-    marks = (rows.groupBy("doc_id", "text_hash", "component_id").agg(F.count(F.lit(1)).alias("n"))
-             .join(best, "component_id")
+    rows = saved(_grouped(docs, percent, doc_id, text).where("root IS NOT NULL"), "groups")
+    best = rows.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("best"))
+    marks = (rows.groupBy("doc_id", "text_hash", "root").agg(F.count(F.lit(1)).alias("n"))
+             .join(best, "root")
              .select("doc_id", "text_hash", "n", (F.struct("doc_id", "text_hash") == F.col("best")).alias("best"))
              .where("n > 1 OR NOT best"))
     marks = saved(marks, "marks")

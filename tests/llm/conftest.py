@@ -1,14 +1,11 @@
-import random
+import os
+import sys
 
 import pytest
 
-WORDS = "the quick brown fox jumps over lazy dog and runs through green fields while rivers sing under pale moons".split()
-
-
-def prose(seed, n):
-    rnd = random.Random(seed)
-    return " ".join(rnd.choice(WORDS) + str(rnd.randrange(40)) for _ in range(n))
+sys.path.insert(0, os.path.dirname(__file__))
 
+from llm_helpers import prose  # noqa: E402
 
 @pytest.fixture(scope="session")
 def edge_docs(spark):

@@ -1,0 +1,115 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from shardload.llm import near_dedup as N
+from shardload.llm.graph import components
+
+from llm_helpers import prose
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def shingles(text):
+    w = WORD.findall((text or "").translate(LOWER))
+    return frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def brute(rows, percent):
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and rows[i][0] is not None and rows[j][0] is not None \
+                    and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                parent[find(i)] = find(j)
+    out = []
+    for i, (d, _) in enumerate(rows):
+        ids = [rows[k][0] for k in range(len(rows)) if find(k) == find(i) and rows[k][0] is not None]
+        own = min(ids) if sets[i] and d is not None else d
+        out.append((d, len(sets[i]), own, d == own))
+    return out
+
+
+def corpus(seed, n=60):
+    """Exact copies, near copies by chains of small edits, a passage many share, short texts."""
+    rnd = random.Random(seed)
+    rows, shared = [], prose(999, 55).split()
+    for g in range(n // 6):
+        words = prose(g, rnd.choice([3, 5, 40, 120])).split()
+        if g % 3 == 0:
+            words = shared + words[:rnd.randrange(10, 40)]
+        for k in range(rnd.choice([1, 4, 9])):
+            rows.append(" ".join(words).upper() if k % 3 == 1 else "\n".join(words))
+            words = list(words)
+            words[rnd.randrange(len(words))] = f"edit{g}x{k}"
+    rnd.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_against_brute_force(spark, percent):
+    rows = corpus(percent) + [(900, None), (901, " "), (902, "A b"), (903, "a\tB")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in N.groups(df, percent).drop("text_hash").collect())
+    assert got == sorted(brute(rows, percent))
+    kept = N.keep_one(df, percent)
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in sorted(brute(rows, percent)) if r[3]]
+
+
+def test_edges(edge_docs, no_docs):
+    got = N.groups(edge_docs).collect()
+    rows = [(r.doc_id, r.text) for r in edge_docs.collect()]
+    want = brute(rows, 80)
+    key = lambda r: tuple(str(x) for x in r)
+    # a null id is linked with nothing and kept
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got), key=key) == sorted(
+        [(d, n, c, True if d is None else k) for d, n, c, k in want], key=key)
+    kept = N.keep_one(edge_docs)
+    assert kept.columns == edge_docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted("1 2 3 4 4 None 5 6 7 None".split())
+    assert N.groups(no_docs).count() == 0 and N.keep_one(no_docs).count() == 0
+
+
+def test_needed_is_far_below_the_expected_matches():
+    from math import comb
+    for percent in (80, 85):
+        j, t = percent / 100, N.needed(percent)
+        miss = sum(comb(64, k) * j ** k * (1 - j) ** (64 - k) for k in range(t))
+        assert miss < 2e-5
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(0)
+    a = rng.integers(0, 2 ** 64, 4000, dtype=np.uint64)
+    sig = N._signatures([a[:3000], a[1000:]])
+    assert abs((sig[0] == sig[1]).mean() - 0.5) < 0.2
+
+
+def test_components(spark):
+    rnd = random.Random(3)
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100 + rnd.randrange(30), 100 + rnd.randrange(30)) for _ in range(25)]
+    edges += [(500, 600 + k) for k in range(50)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = {}
+    for a, b in edges:
+        if a != b:
+            root.setdefault(a, a), root.setdefault(b, b)
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            if a != b and root[a] != root[b]:
+                root[a] = root[b] = min(root[a], root[b])
+                changed = True
+    assert got == root
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

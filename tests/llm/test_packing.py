@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from shardload.llm import packing
-from shardload.llm.subwords import WordIds
+from shardload.llm.subwords import RunIds
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -89,6 +89,6 @@ def test_edges(spark, edge_docs, no_docs):
 @pytest.mark.parametrize("text", ["a\x1cb", "x\xa0y z　w", "<|endoftext|> a<|endoftext|>b", "é É", "it's we'll'd",
                                   "ΣΑΣ İx ǅ", "日本 語", "a" * 300, "́x", "1234 5", "%%%!!", "​q"])
 def test_ids_equal_the_whole_text(text):
-    words, tok = WordIds(PATH), Tokenizer.from_file(PATH)
+    words, tok = RunIds(PATH), Tokenizer.from_file(PATH)
     for _ in range(2):
         assert np.frombuffer(words.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
