@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardload.llm.common import BROADCAST_ROWS, saved, small
-from shardload.llm.subwords import WordIds
+from shardload.llm.subwords import RunIds
 
 SIZE, END_ID = 2048, 1
 #: Bytes of ids handed on at once.
@@ -112,7 +112,7 @@ def tokenised(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int = E
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ranks, full, task = WordIds(tokenizer), Counter(), 0, TaskContext.get().partitionId()
+        words, ranks, full, task = RunIds(tokenizer), Counter(), 0, TaskContext.get().partitionId()
         for batch in batches:
             a, held, cols = 0, 0, [[] for _ in range(5)]
             texts = batch.column(1).to_pylist()

@@ -1,7 +1,9 @@
-"""Ids of a lower-casing word BPE file, word by word with a cache.
+"""Ids of a lower-casing word BPE file, run by run with a cache.
 
-The tokenizer never joins characters across white space, so a text's ids are
-those of its words one after another; a word met before costs one lookup."""
+The tokenizer cuts a text into runs (letters, single numbers, other marks) and
+never joins characters across them, so a text's ids are those of its runs one
+after another; a run met before costs one lookup.  Texts beyond Latin letters,
+or in need of its normalizer, go to the tokenizer whole."""
 
 from __future__ import annotations
 
@@ -11,13 +13,16 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words held per worker; the cache starts anew when it is full.
-CACHE_WORDS = 400_000
+#: Runs held per worker and generation.  A full cache becomes the older generation, from which
+#: runs still in use come back; those that were not used since the last change are given up.
+CACHE_RUNS = 300_000
 
-# The only characters that str.split() takes for white space and the tokenizer does not.
-_CONTROLS = re.compile("[\x1c-\x1f]")
-# Letters up to U+024F, then ASCII punctuation: two runs for the tokenizer, without contractions.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?|%$*&#()]*)")
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+_NUMBERS = "0-9²³¹¼-¾"
+_RUNS = re.compile(f"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
+# Code points whose kind is not plain from _RUNS, whose lower case depends on the library or on what
+# follows, or that only one side takes for white space.
+_OTHER = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e]")
 
 
 def _byte_letters() -> list[str]:
@@ -31,43 +36,30 @@ def _byte_letters() -> list[str]:
     return letters
 
 
-class WordIds(dict):
-    """word -> its ids as little-endian bytes of ``dtype``."""
+class RunIds(dict):
+    """run -> its ids as little-endian bytes of ``dtype``."""
 
     def __init__(self, path: str, dtype: str = "<u4"):
         super().__init__()
-        self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
+        self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.cores: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(np.dtype(dtype).itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.older: dict[str, bytes] = {}
 
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
-
-    def _run(self, run: str) -> bytes:
-        ids = self.cores.get(run)
+    def __missing__(self, run: str) -> bytes:
+        ids = self.older.get(run)
         if ids is None:
-            if len(self.cores) >= CACHE_WORDS:
-                self.cores.clear()
             mapped = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
-            ids = self.cores[run] = self._bytes([t.id for t in self.model.tokenize(mapped)])
-        return ids
-
-    def __missing__(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        core, tail = plain.groups() if plain and len(word) < 64 else ("", "")
-        low = core.lower()
-        if core and len(low) == len(core) and (word.isascii() or unicodedata.is_normalized("NFC", word)):
-            ids = self._run(low) + (self._run(tail) if tail else b"")
-        else:
-            ids = self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(self) >= CACHE_WORDS:
+            ids = b"".join([self.packed[t.id] for t in self.model.tokenize(mapped)])
+        if len(self) >= CACHE_RUNS:
+            self.older = dict(self)
             self.clear()
-        if len(word) < 64:
-            self[word] = ids
+        if len(run) < 64:
+            self[run] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _CONTROLS.search(text):
-            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.__getitem__, text.split()))
+        if "<|" in text or _OTHER.search(text) or not unicodedata.is_normalized("NFC", text):
+            return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+        return b"".join(map(self.__getitem__, _RUNS.findall(text.lower())))
