@@ -19,7 +19,7 @@ sys.path.insert(0, ROOT)
 from shardload.plans import queries as Q  # noqa: E402
 from shardload.plans.build import shard_docs  # noqa: E402
 from shardload.plans.publish import publish, write_sharded  # noqa: E402
-from shardload.session import checkpoint_dir, get_spark  # noqa: E402
+from shardload.session import checkpoint_dir, get_spark, purge_scratch  # noqa: E402
 from shardload.sources.tables import lineitem_lines, orders_lines  # noqa: E402
 
 HEADLINE = [
@@ -75,6 +75,7 @@ def main() -> None:
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                       "cpus": cpus}))
+    purge_scratch(spark)
     spark.stop()
 
 

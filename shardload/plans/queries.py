@@ -7,7 +7,6 @@ columns are named exactly as in the matching oracle SQL.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +24,7 @@ from shardload.operators.stats import duplicate_ids, field_stats, manifest
 from shardload.plans.build import numeric_value, parsed_docs, shard_docs
 from shardload.plans.publish import (bulk_lines, publish, read_current, read_current_part, verify_publish,
                                      write_sharded)
-from shardload.session import checkpoint_dir
+from shardload.session import scratch_path
 from shardload.streaming.ingest import ingest_stream
 from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema, read_lines
 from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
@@ -44,16 +43,12 @@ def query(fn):
     return fn
 
 
-def _scratch(spark, name):
-    return f"{checkpoint_dir(spark).rstrip('/')}/shardload/{name}/{uuid.uuid4().hex}"
-
-
 # --- A: sources --------------------------------------------------------------
 
 @query
 def q_scan_lines(spark, sf):
     """A1: the document texts written as text files, scanned line by line."""
-    path = _scratch(spark, "text")
+    path = scratch_path(spark, "text")
     table(spark, sf, "documents").select(F.col("text").alias("value")).write.text(path)
     return read_lines(spark, path).select("value")
 
@@ -226,7 +221,7 @@ def q_docvalues_str(spark, sf):
 def _ranked(df: DataFrame, name: str) -> DataFrame:
     """``rank`` (from 1) of every row of a sorted frame: positions inside the
     written partitions plus the rows of the partitions before (one count each)."""
-    path = _scratch(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name)
     at = F.monotonically_increasing_id()
     df.withColumn("_p", F.shiftright(at, 33)).withColumn("_i", at.bitwiseAND(F.lit(POS_MASK))).write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
@@ -317,7 +312,7 @@ def q_num_terms_exact(spark, sf):
 def q_num_postings(spark, sf):
     """D4 in a published build: documents of the numeric terms of ``size`` and ``col_…``."""
     docs = shard_docs(part_lines(spark, sf), "parts", "part", shards=SHARDS)
-    root = _scratch(spark, "publish_numeric")
+    root = scratch_path(spark, "publish_numeric")
     publish(docs, root, shards=SHARDS, with_postings=True)
     terms = read_current_part(spark, root, "numeric_terms")
     return terms.where(F.col("whole").isNotNull()).select("field", "type", "whole", "shard_id", "_id", "tf")
@@ -374,7 +369,7 @@ def q_match_term(spark, sf):
 def q_get_by_id(spark, sf):
     """One order document of a published build by id; only its shard's
     folder is read."""
-    root = _scratch(spark, "publish_get")
+    root = scratch_path(spark, "publish_get")
     publish(shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS), root, shards=SHARDS)
     return get_by_id(read_current(spark, root), "42", SHARDS).select("_id", "shard_id", F.size("fields").alias("n_fields"))
 
@@ -383,7 +378,7 @@ def q_get_by_id(spark, sf):
 def q_match_published(spark, sf):
     """E4/E5 on a published build: documents whose ``type`` holds a term, from
     the stored postings, and that have the field ``brand``."""
-    root = _scratch(spark, "publish_match")
+    root = scratch_path(spark, "publish_match")
     publish(shard_docs(part_lines(spark, sf), "parts", "part", shards=SHARDS, split=2), root, shards=SHARDS, split=2,
             with_postings=True)
     docs = read_current(spark, root).where(exists_in_build("brand"))
@@ -433,7 +428,7 @@ def q_split_order(spark, sf):
     """F3 on written files: with three ranges per shard, the rank of each order
     document over a shard's files, taken in file order."""
     docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS, split=3)
-    path = _scratch(spark, "split_order")
+    path = scratch_path(spark, "split_order")
     write_sharded(docs, path)
     rows = spark.read.parquet(path).select("shard_id", "_id", F.col("_metadata.file_name").alias("f"),
                                            F.col("_metadata.row_index").alias("r"))
@@ -452,7 +447,7 @@ def q_shard_skew(spark, sf):
 def q_write_readback(spark, sf):
     """H1: write the order documents sharded, read them back per shard."""
     docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
-    path = _scratch(spark, "write_readback")
+    path = scratch_path(spark, "write_readback")
     write_sharded(docs, path)
     back = spark.read.parquet(path)
     return back.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_docs"),
@@ -464,7 +459,7 @@ def q_verify_publish(spark, sf):
     """H3/H4: publish the order documents, then compare the input's lines per
     shard with the files."""
     lines = orders_lines(spark, sf)
-    root = _scratch(spark, "publish")
+    root = scratch_path(spark, "publish")
     publish(shard_docs(lines, "orders", "order", shards=SHARDS), root, shards=SHARDS)
     expected = shard_histogram(route(keyed_lines(lines), SHARDS))
     return verify_publish(expected, read_current(spark, root))
@@ -475,7 +470,7 @@ def q_publish_rejects(spark, sf):
     """A published build in reject mode loses no document: kept and
     rejected ones per shard, from the manifest and from the stored rejects."""
     docs = shard_docs(docmeta_lines(spark, sf), "docs", "doc", shards=SHARDS, on_error="reject")
-    root = _scratch(spark, "publish_rejects")
+    root = scratch_path(spark, "publish_rejects")
     publish(docs, root, shards=SHARDS)
     found = read_current_part(spark, root, "rejects").groupBy(F.col("shard_id").cast("int").alias("shard_id")).agg(
         F.count_distinct("_doc").alias("found"), F.min("reason").alias("reason"))
@@ -525,7 +520,7 @@ def q_index_readiness(spark, sf):
 def q_stream_ingest(spark, sf):
     """Order lines in two text files, ingested by the streaming job in two
     batches, then counted per shard; every document has a key of its own."""
-    base = _scratch(spark, "stream")
+    base = scratch_path(spark, "stream")
     orders_lines(spark, sf).select("value").repartition(2).write.text(f"{base}/src")
     q = ingest_stream(spark, f"{base}/src", f"{base}/out", f"{base}/ck", index="orders", doc_type="order",
                       shards=SHARDS, max_files_per_trigger=1)
@@ -542,7 +537,7 @@ def q_published_postings(spark, sf):
     """D2 per shard in a published build: term statistics read back from the
     build's inverted index of the order documents."""
     docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
-    root = _scratch(spark, "publish_index")
+    root = scratch_path(spark, "publish_index")
     publish(docs, root, shards=SHARDS, with_postings=True)
     post = read_current_part(spark, root, "postings")
     return post.groupBy("field", "term", "shard_id").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
@@ -553,7 +548,7 @@ def q_published_doc_values(spark, sf):
     """C4 per shard in a published build: ``total`` and ``cust`` doc values
     read back from the build's doc-value columns."""
     docs = shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS)
-    root = _scratch(spark, "publish_dv")
+    root = scratch_path(spark, "publish_dv")
     publish(docs, root, shards=SHARDS, doc_value_schema={"total": "double", "cust": "long"})
     dv = read_current_part(spark, root, "doc_values")
     return dv.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_docs"),
@@ -576,7 +571,7 @@ def q_range_wide(spark, sf):
     """E2 on a written wide table: the same range as ``q_range`` on scalar
     columns, so the bounds reach the Parquet scan as pushed filters."""
     docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
-    path = _scratch(spark, "wide")
+    path = scratch_path(spark, "wide")
     to_wide(docs, {"ship": "short", "qty": "double"}).write.parquet(path)
     wide = spark.read.parquet(path)
     return (wide.where(range_("ship", "short", 9500, 9600, include_lo=True, include_hi=False, wide=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,26 @@ def checkpoint_dir(spark: SparkSession, fallback_root: str | None = None) -> str
     return root
 
 
+_made: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared checkpoint folder."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shardload/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def purge_scratch(spark: SparkSession) -> int:
+    """Delete what ``scratch_path`` named in this process.  For the end of a
+    job: frames that read from these folders can no longer be evaluated."""
+    n = 0
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def materialize(df):
     """Cut lineage of a (small) result with a reliable checkpoint in the
     shared ``spark.checkpoint.dir``, so that several consumers read it

@@ -13,11 +13,12 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from shardload.session import checkpoint_dir, get_spark
+    from shardload.session import checkpoint_dir, get_spark, purge_scratch
     scratch = tempfile.mkdtemp(prefix="shardload-test-")
     s = get_spark("local[4]", 4, extra={"spark.driver.memory": "8g", "spark.local.dir": scratch})
     checkpoint_dir(s, fallback_root=os.path.join(scratch, "ckpt"))
     yield s
+    purge_scratch(s)
     s.stop()
 
 

@@ -76,6 +76,17 @@ def test_many_fields_in_one_document(spark):
     assert field_stats(docs).agg(F.sum("sum_doc_freq")).first()[0] == 32_000
 
 
+def test_repeated_names_in_a_long_document(spark):
+    import json
+
+    from shardload.operators.docs import source_json
+    line = "d\t" + ",".join(f"f{k % 5000}:{k}:integer" for k in range(20_000)) + ",z:1"
+    row = docs_of(spark, [line]).select(source_json("fields", "last").alias("last"), source_json("fields", "array").alias("all")).first()
+    assert list(json.loads(row.last).items()) == [(f"f{k}", 15_000 + k) for k in range(5000)] + [("z", "1")]
+    assert list(json.loads(row.all).items()) == [
+        (f"f{k}", [k, 5000 + k, 10_000 + k, 15_000 + k]) for k in range(5000)] + [("z", "1")]
+
+
 def test_exists_compares_names(spark):
     docs = docs_of(spark, ["1\ta.b:x", "2\tab:x", "3\ta:x"])
     ids = lambda f: sorted(r._id for r in docs.where(exists_(f)).collect())
