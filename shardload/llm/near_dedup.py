@@ -9,11 +9,13 @@ skipped, and of the others only a prefix is posted, rarest first: it must share
 a pair with the partner's prefix.  Candidates then count their collisions;
 those with enough are compared by their full sets.
 
-Posting lists are not expanded into all pairs.  Members that are known to be
-connected need no comparison, so each round compares the members of a list with
-1, 2, 4, ... pivots only, pairs already connected being left out.  A list is
-done when its members are all connected or have all been pivots.  No link that
-joins two groups is lost, and a list of copies costs its length.
+Posting lists are not expanded into all pairs of rows.  Every list has a pivot
+(the member with the most shared values); all members of all lists of a pivot
+are compared with it, and what is linked with it is connected.  Only members
+that are not linked with it still have to be compared, with each other and with
+the linked ones: this happens inside tasks, in blocks of bounded size, where
+pairs that are already connected are skipped and at most one link a member is
+handed on.  No link that joins two groups is lost; a list of copies costs its length.
 
 Defined results: A-Z are lower-cased and words end at white space; fewer than
 five words are one shingle; a null text or one without words has an empty set
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -39,6 +41,8 @@ from shardload.llm.graph import components
 
 SHINGLE, PERCENT = 5, 80
 COORDINATES = 64
+#: Rows and shingles of one part of a group whose members are compared inside a task.
+UNIT_ROWS, UNIT_SHINGLES = 1024, 2_000_000
 
 _rng = np.random.default_rng(4711)
 _XOR = _rng.integers(0, 2 ** 64, COORDINATES, dtype=np.uint64)
@@ -102,18 +106,16 @@ def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def _posted(classes: DataFrame, percent: int) -> DataFrame:
-    """``(key, c)``: the prefix of every class, in lists of at least two."""
-    from pyspark.sql import Window
-
+    """``(key, c, shared)``: the prefix of every class, in lists of at least two;
+    ``shared`` is the number of the class's values that other classes have."""
     key = F.shiftleft(F.col("at.pos").cast("long"), 32).bitwiseOR(F.col("at.col").cast("long").bitwiseAND((1 << 32) - 1))
     posts = saved(classes.select("c", F.posexplode("sig")).select("c", F.struct("pos", "col").alias("at"))
                   .select("c", key.alias("key")), "postings")
-    shared = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    own = posts.join(shared, "key")
+    often = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     nth = F.row_number().over(Window.partitionBy("c").orderBy("n", "key"))
     size = F.count(F.lit(1)).over(Window.partitionBy("c"))
-    return (own.withColumn("nth", nth).withColumn("size", size)
-            .where(F.col("nth") <= F.col("size") - (needed(percent) - 1)).select("key", "c"))
+    return (posts.join(often, "key").withColumn("nth", nth).withColumn("shared", size)
+            .where(F.col("nth") <= F.col("shared") - (needed(percent) - 1)).select("key", "c", "shared"))
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -132,46 +134,108 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Da
     return rows.select("c", "text").mapInArrow(run, "c long, shingles array<long>").dropDuplicates(["c"])
 
 
-def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links between classes that connect all that is connected; none if there is no list."""
+def _agree(a: str, b: str) -> Column:
+    """Collisions of two signatures."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
+
+
+def _compare(percent: int):
+    """In a task: the rows of a unit ``(p, kind, i, j)`` follow one another.  Members of
+    part ``i`` are compared with those of part ``j`` (``kind`` 0; all of them if i = j) or with
+    linked ones (``kind`` 1), unless they are connected; a link is handed on where it connects."""
     enough = needed(percent)
-    labels = lists.select("c").distinct().withColumn("label", F.col("c"))
-    tested = found = None
-    for r in range(64):
-        cur = lists.join(labels, "c")
-        live = cur.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-        cur = saved(cur.join(live, "key", "left_semi"), f"lists{r}")
-        if cur.isEmpty():
-            break
-        # up to 2^r pivots a list, the least class of each of 2^r parts
-        pivots = (cur.groupBy("key", F.pmod(F.xxhash64("c", F.lit(r)), F.lit(1 << r)).alias("part"))
-                  .agg(F.min(F.struct("c", "label")).alias("p")).select("key", "p.c", "p.label"))
-        pairs = (cur.alias("m").join(pivots.alias("p"), "key").where("m.label <> p.label")
-                 .select(F.least("m.c", "p.c").alias("a"), F.greatest("m.c", "p.c").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        sig = classes.select("c", "sig")
-        agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
-        pairs = saved(pairs.join(sig.select(F.col("c").alias("a"), F.col("sig").alias("sa")), "a")
-                      .join(sig.select(F.col("c").alias("b"), F.col("sig").alias("sb")), "b")
-                      .select("a", "b", (agree >= enough).alias("near")), f"pairs{r}")
-        both = F.size(F.array_intersect("x", "y"))
-        near = (pairs.where("near").select("a", "b")
-                .join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a")
-                .join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b")
-                .select("a", "b", both.alias("i"), (F.size("x") + F.size("y") - both).alias("u"))
-                .where(100 * F.col("i") >= percent * F.col("u")))
-        new = saved(near.select("a", "b"), f"links{r}")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        found = new if found is None else found.unionByName(new)
-        # a label is always the class of some connected member
-        linked = new.unionByName(new.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        theirs = (linked.join(labels.select(F.col("c").alias("b"), "label"), "b")
-                  .groupBy(F.col("a").alias("c")).agg(F.min("label").alias("other")))
-        labels = saved(labels.join(theirs, "c", "left")
-                       .select("c", F.least("label", F.coalesce("other", "label")).alias("label")), f"labels{r}")
-        lists = cur.join(pivots.select("key", "c"), ["key", "c"], "left_anti").select("key", "c")
-    return found
+
+    def links(side, c, sig, sizes, flat, same: bool) -> list[tuple[int, int]]:
+        _, ids = np.unique(flat, return_inverse=True)
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        mine, label, out = np.zeros(len(ids) and ids.max() + 1, dtype=bool), np.arange(len(c)), []
+        if not same:  # linked members are connected through the pivot
+            label[side == 2] = np.flatnonzero(side == 2)[0] if (side == 2).any() else 0
+        for x in np.flatnonzero(side == 0):
+            near = (sig == sig[x]).sum(axis=1) >= enough
+            near &= (np.arange(len(c)) > x) if same else (side != 0)
+            others = np.flatnonzero(near)
+            if not len(others):
+                continue
+            mine[ids[edges[x]:edges[x + 1]]] = True
+            for y in others:
+                if label[x] == label[y]:
+                    continue
+                both = int(mine[ids[edges[y]:edges[y + 1]]].sum())
+                if 100 * both >= percent * (sizes[x] + sizes[y] - both):
+                    out.append((int(c[x]), int(c[y])))
+                    label[label == label[y]] = label[x]
+            mine[ids[edges[x]:edges[x + 1]]] = False
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        unit = None
+
+        def done():
+            found = []
+            if unit is not None and len(held) > 1:
+                side = np.array([h[0] for h in held])
+                found = links(side, np.array([h[1] for h in held]), np.stack([h[2] for h in held]),
+                              np.array([len(h[3]) for h in held]), np.concatenate([h[3] for h in held]),
+                              unit[1] == 0 and unit[2] == unit[3])
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()),
+                                               pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            p, kind, i, j, side, c = (batch.column(k).to_numpy() for k in range(6))
+            sigs, sets = batch.column(6), batch.column(7)
+            for r in range(batch.num_rows):
+                if (p[r], kind[r], i[r], j[r]) != unit:
+                    yield done()
+                    unit = (p[r], kind[r], i[r], j[r])
+                held.append((side[r], c[r], sigs[r].values.to_numpy(), sets[r].values.to_numpy()))
+        yield done()
+
+    return run
+
+
+def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between classes that connect all that is connected."""
+    pivots = lists.groupBy("key").agg(F.max(F.struct("shared", "c"))["c"].alias("p"))
+    members = lists.join(pivots, "key").where("c <> p").select("p", "c").distinct()
+    full = sets.join(classes.select("c", "sig"), "c")
+    both = F.size(F.array_intersect("x", "y"))
+    star = (members.join(full.select(F.col("c").alias("p"), F.col("sig").alias("sp"), F.col("shingles").alias("x")), "p")
+            .join(full.select("c", "sig", F.col("shingles").alias("y")), "c")
+            .withColumn("near", _agree("sp", "sig") >= needed(percent))
+            .select("p", "c", F.size("y").alias("n"), F.when(F.col("near"), F.struct(both.alias("i"), (
+                F.size("x") + F.size("y") - both).alias("u"))).alias("o"))
+            .select("p", "c", "n", F.coalesce(100 * F.col("o.i") >= percent * F.col("o.u"), F.lit(False)).alias("linked")))
+    star = saved(star, "stars")
+    linked = star.where("linked").select(F.col("p").alias("a"), F.col("c").alias("b"))
+
+    # What is not linked with its pivot is dealt to parts of bounded size, and so is what it is compared with.
+    def parts(on: Column) -> Column:
+        n, weight = F.sum(on.cast("int")), F.sum(F.when(on, F.col("n")).otherwise(0))
+        return F.greatest(F.ceil(n / UNIT_ROWS), F.ceil(weight / UNIT_SHINGLES)).cast("int")
+
+    is_linked = F.col("linked")
+    stars = saved(star.groupBy("p").agg(parts(~is_linked).alias("free_parts"), parts(is_linked).alias("linked_parts"),
+                                        F.count(F.lit(1)).alias("size")).where("free_parts > 0 AND size > 1"), "open-stars")
+    part = lambda n: F.pmod(F.xxhash64("c"), F.greatest(F.col(n), F.lit(1))).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    unit = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"),
+                                             j.cast("int").alias("j"), side.cast("int").alias("side"))
+    own = F.col("part")
+    free = F.transform(upto("free_parts"), lambda k: unit(0, F.least(own, k), F.greatest(own, k), F.when(own <= k, 0).otherwise(1)))
+    met = F.when(F.col("linked_parts") > 0, F.transform(upto("linked_parts"), lambda k: unit(1, own, k, F.lit(0)))).otherwise(
+        F.array().cast("array<struct<kind:int,i:int,j:int,side:int>>"))
+    rest = F.transform(upto("free_parts"), lambda k: unit(1, k, own, F.lit(2)))
+    dealt = (star.drop("n").join(small(stars), "p")
+             .withColumn("part", F.when(is_linked, part("linked_parts")).otherwise(part("free_parts")))
+             .select("p", "c", F.explode(F.when(is_linked, rest).otherwise(F.concat(free, met))).alias("u"))
+             .select("p", "u.kind", "u.i", "u.j", "u.side", "c"))
+    key = ["p", "kind", "i", "j"]
+    met = (dealt.join(full.select("c", "sig", "shingles"), "c").select(*key, "side", "c", "sig", "shingles")
+           .repartition(*key).sortWithinPartitions(*key, "side", "c").mapInArrow(_compare(percent), "a long, b long"))
+    return linked.unionByName(saved(met, "links"))
 
 
 def _grouped(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -186,13 +250,11 @@ def _grouped(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame
                    "wanted")
     sets = saved(_full_sets(docs, small(wanted), doc_id, text), "full-sets")
     links = _links(lists, classes, sets, percent)
-    ids = classes.select("c", F.col("c").alias("root"), F.col("doc_id").alias("component"))
-    if links is not None:
-        root = saved(components(links).withColumnRenamed("node", "c"), "components")
-        least = root.join(classes, "c").groupBy("root").agg(F.min("doc_id").alias("least"))
-        moved = root.join(least, "root").select("c", F.col("root").alias("new"), "least")
-        ids = ids.join(moved, "c", "left").select("c", F.coalesce("new", "root").alias("root"),
-                                                  F.coalesce("least", "component").alias("component"))
+    root = saved(components(links).withColumnRenamed("node", "c"), "components")
+    least = root.join(classes, "c").groupBy("root").agg(F.min("doc_id").alias("least"))
+    moved = root.join(least, "root")
+    ids = classes.join(moved, "c", "left").select("c", F.coalesce("root", "c").alias("root"),
+                                                  F.coalesce("least", "doc_id").alias("component"))
     ids = small(saved(ids, "class-components"))
     able = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     own = F.when(able, F.col("component")).otherwise(F.col("doc_id"))

@@ -56,8 +56,9 @@ def corpus(seed, n=60):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("percent", [80, 85])
-def test_against_brute_force(spark, percent):
+@pytest.mark.parametrize("percent,unit", [(80, 1024), (85, 1024), (85, 2)])
+def test_against_brute_force(spark, monkeypatch, percent, unit):
+    monkeypatch.setattr(N, "UNIT_ROWS", unit)  # groups of more than two are compared part by part
     rows = corpus(percent) + [(900, None), (901, " "), (902, "A b"), (903, "a\tB")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted(tuple(r) for r in N.groups(df, percent).drop("text_hash").collect())
