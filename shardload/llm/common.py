@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardload.session import checkpoint_dir
+from shardload.session import scratch_path
 
 #: Rows up to which a side may be broadcast (a few columns of fixed width).
 BROADCAST_ROWS = 500_000
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder of ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends
     there, so a lost executor costs one read, and later uses share one result."""
-    path = scratch(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
