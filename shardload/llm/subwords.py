@@ -36,6 +36,10 @@ def _byte_letters() -> list[str]:
     return letters
 
 
+def _plain_ascii(text: str) -> bool:
+    return not ("\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text)
+
+
 class RunIds(dict):
     """run -> its ids as little-endian bytes of ``dtype``."""
 
@@ -60,6 +64,26 @@ class RunIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if "<|" in text or _OTHER.search(text) or not unicodedata.is_normalized("NFC", text):
+        if "<|" in text or not (_plain_ascii(text) if text.isascii() else (
+                not _OTHER.search(text) and unicodedata.is_normalized("NFC", text))):
             return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
         return b"".join(map(self.__getitem__, _RUNS.findall(text.lower())))
+
+
+class WordIds(dict):
+    """word in UTF-8 -> its ids: a second cache above that of the runs."""
+
+    def __init__(self, path: str, dtype: str = "<u2"):
+        super().__init__()
+        self.runs, self.older = RunIds(path, dtype), {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.runs.encode(word.decode("utf-8", "surrogatepass"))
+        if len(self) >= CACHE_RUNS:
+            self.older = dict(self)
+            self.clear()
+        if len(word) < 64:
+            self[word] = ids
+        return ids
