@@ -26,7 +26,7 @@ from shardload.plans.publish import (bulk_lines, publish, read_current, read_cur
                                      write_sharded)
 from shardload.session import scratch_path
 from shardload.streaming.ingest import ingest_stream
-from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema, read_lines
+from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema, read_lines, with_doc_key
 from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
                                       events_lines, lineitem_lines, orders_lines, part_lines, shard_state,
                                       special_lines, table, text_lines, transfer_log)
@@ -292,7 +292,7 @@ def q_postings(spark, sf):
 @query
 def q_term_stats(spark, sf):
     """D3: document frequency and total term frequency per term."""
-    return term_counts(table(spark, sf, "documents"), "text")
+    return term_counts(with_doc_key(table(spark, sf, "documents").select("text"), spread=True), "text")
 
 
 @query
