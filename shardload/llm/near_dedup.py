@@ -155,17 +155,21 @@ def _compare(percent: int):
             near = (sig == sig[x]).sum(axis=1) >= enough
             near &= (np.arange(len(c)) > x) if same else (side != 0)
             others = np.flatnonzero(near)
+            if not len(others):
+                continue
+            others = others[label[others] != label[x]]
             if not len(others):
                 continue
             mine[ids[edges[x]:edges[x + 1]]] = True
-            for y in others:
-                if label[x] == label[y]:
-                    continue
-                both = int(mine[ids[edges[y]:edges[y + 1]]].sum())
-                if 100 * both >= percent * (sizes[x] + sizes[y] - both):
+            if len(others) > 32:
+                both = np.add.reduceat(mine[ids].astype(np.int32), edges[:-1])[others]
+            else:
+                both = np.array([mine[ids[edges[y]:edges[y + 1]]].sum() for y in others])
+            mine[ids[edges[x]:edges[x + 1]]] = False
+            for y in others[100 * both >= percent * (sizes[x] + sizes[others] - both)]:
+                if label[x] != label[y]:
                     out.append((int(c[x]), int(c[y])))
                     label[label == label[y]] = label[x]
-            mine[ids[edges[x]:edges[x + 1]]] = False
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
