@@ -1,8 +1,8 @@
 """Licence scan with a positional rare-token index (DataFrame functions only).
 
 Every text is cut into words once.  Exact phrases give the base labels.  For
-the rest, template words are posted with their positions; a file's highest-IDF
-template words are looked up, postings that agree on the relative position are
+the rest, template words are posted with their positions; a file's own
+highest-IDF template words are looked up, postings that agree on the relative position are
 intersected, and a label is given only where the template's mandatory key
 phrase stands complete at that position.
 
@@ -43,7 +43,8 @@ TEMPLATES = {
     "cc-by-sa": ("licensed under cc by sa 4 0", "cc by sa"),
 }
 
-#: Highest-IDF words of each template that are looked up, and how many of them must agree.
+#: Highest-IDF words of a template in a file that are looked up there, and how many must agree.  As
+#: many words of its key phrase are always among them, so every complete key phrase is reached.
 RARE_WORDS, MIN_RARE = 4, 2
 
 
@@ -94,21 +95,32 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: d
                  F.filter(F.array(*found), lambda x: x.isNotNull()).alias("base"), "present", hits.alias("hits"))
     d = saved(d, "licence-words")
 
-    # IDF of the template words over all documents (one count per word); the rarest of each template are looked up.
+    # IDF of the template words over all documents (one count per word).  In files with all words of
+    # a key phrase, the rarest words of that template among those of the file are looked up.
     total = d.count()
     df = {r.word: r.n for r in d.select(F.explode("present").alias("word")).groupBy("word")
           .agg(F.count(F.lit(1)).alias("n")).collect()}
     idf = {w: math.log((total + 1) / (df.get(w, 0) + 1)) for w in vocabulary}
-    rare = {(label, w) for label, (notice, _) in templates.items()
-            for w in sorted(set(notice.split()), key=lambda w: (-idf[w], w))[:RARE_WORDS]}
-    index = F.broadcast(index.withColumn("rare", F.concat_ws(" ", "label", "word").isin([" ".join(x) for x in rare])))
-
-    # Postings of the rare words that agree on where the template would start.
-    looked_up = F.filter("hits", lambda x: x.word.isin(sorted({w for _, w in rare})))
-    starts = (d.where(F.col("hits").isNotNull()).select("row", F.explode(looked_up).alias("hit"))
-              .select("row", "hit.word", "hit.pos").join(index.where("rare"), "word")
-              .groupBy("row", "label", (F.col("pos") - F.col("tpos")).alias("at"))
-              .agg(F.count(F.lit(1)).alias("n_rare")).where(F.col("n_rare") >= MIN_RARE))
+    rarest = lambda text: sorted(set(text.split()), key=lambda w: (-idf[w], w))
+    words = lambda ws: F.array(*map(F.lit, ws))
+    wanted = []
+    for label, (notice, phrase) in templates.items():
+        key = rarest(phrase)
+        least = min(MIN_RARE, len(key))
+        of_file = F.slice(F.array_intersect(words(rarest(notice)), "present"), 1, RARE_WORDS)
+        wanted.append(F.when(F.size(F.array_intersect(words(key), "present")) == len(key), F.struct(
+            F.lit(label).alias("label"), F.lit(least).alias("least"),
+            F.array_union(words(key[:MIN_RARE]), of_file).alias("words"))))
+    index = F.broadcast(index)
+
+    # Postings of these words that agree on where the template would start.
+    looked_up = F.filter("hits", lambda x: F.array_contains("wanted.words", x.word))
+    starts = (d.where(F.col("hits").isNotNull())
+              .select("row", "hits", F.explode(F.filter(F.array(*wanted), lambda x: x.isNotNull())).alias("wanted"))
+              .select("row", "wanted.label", "wanted.least", F.explode(looked_up).alias("hit"))
+              .select("row", "label", "least", "hit.word", "hit.pos").join(index, ["label", "word"])
+              .groupBy("row", "label", "least", (F.col("pos") - F.col("tpos")).alias("at"))
+              .agg(F.count(F.lit(1)).alias("n_rare")).where(F.col("n_rare") >= F.col("least")).drop("least"))
     starts = small(saved(starts, "licence-starts"))
 
     # There, all words of the template are compared; the key phrase must be complete.

@@ -36,3 +36,16 @@ def test_edges(edge_docs, no_docs):
     got = license_scan.scan(edge_docs).collect()
     assert len(got) == edge_docs.count() and max(r.n_words for r in got) == 250_000
     assert license_scan.scan(no_docs).count() == 0
+
+
+def test_every_complete_key_phrase_is_found(spark):
+    """Also without the rest of its notice, and whatever words no file has."""
+    texts = ["Mozilla Public License v 2.0", "Redistribution and use in source and binary forms", "the permitted modification",
+             "x cc by sa y", "GNU General Public License version 3 or, at your option", "public license mozilla v 2",
+             "without the gnu general public license version 3 and mozilla public license v 2", "cc-by-nc", "by nc cc"]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    for i, t in enumerate(texts):
+        words = " " + " ".join(WORD.findall(t.translate(LOWER))) + " "
+        want = {label for label, (_, phrase) in license_scan.TEMPLATES.items() if f" {phrase} " in words}
+        assert set(filter(None, got[i].labels.split(","))) == want, t
+        assert (got[i].score > 0) == bool(want)
