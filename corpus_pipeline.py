@@ -24,8 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts without their source's boilerplate lines; ``n_chars`` follows the text."""
-    clean = line_dedup.drop_boilerplate(docs)
+    """The texts without their source's boilerplate lines; ``n_chars`` follows the text.
+    Copies count as one page, so that a large group of them is left for the next stage."""
+    clean = line_dedup.drop_boilerplate(docs, copies_once=True)
     if "n_chars" in clean.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean

@@ -8,7 +8,8 @@ Defined results: lines end at ``\\n`` and are compared without outer spaces;
 blank lines always stay; a line counts once per page however often it occurs;
 a null text stays null (it counts as a page without lines); a null host is a
 host of its own; a page that is all boilerplate keeps its row with the text ''
-or its blank lines; repeated rows are pages of their own; extra columns pass
+or its blank lines; repeated rows are pages of their own
+unless ``copies_once`` is set (the lines are removed from all rows alike); extra columns pass
 through unchanged, whatever their names.
 """
 
@@ -28,17 +29,21 @@ def _line_keys(text: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``(host, lines ARRAY<BIGINT>)``: hashes of every host's boilerplate lines.
+    With ``copies_once`` pages of one text count as one page of their host.
 
     A host's array is short by construction: every entry is on more than
     ``max_ratio`` of its pages, so there are fewer entries than the mean number
     of lines per page divided by ``max_ratio``."""
     d = docs.select(F.col(host).alias("h"), F.col(text).alias("t"))
+    d = d.select("h", "t", F.array_distinct(_line_keys(F.col("t"))).alias("keys"))
+    if copies_once:
+        d = saved(d.groupBy("h", F.md5("t").alias("t")).agg(F.first("keys").alias("keys")), "line-pages")
     pages = d.groupBy("h").agg(F.count(F.lit(1)).alias("pages"))
     blank = F.xxhash64(F.lit(""))
     lines = (d.where(F.col("t").isNotNull())
-             .select("h", F.explode(F.array_distinct(_line_keys(F.col("t")))).alias("line"))
+             .select("h", F.explode("keys").alias("line"))
              .where(F.col("line") != blank)
              .groupBy("h", "line").agg(F.count(F.lit(1)).alias("n"))
              .where(F.col("n") >= min_pages))
@@ -48,11 +53,11 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_r
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO,
-                     min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
+                     min_pages: int = MIN_PAGES, counts: bool = False, copies_once: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text``; with ``counts``
     also ``n_lines`` and ``n_dropped`` (null text: 0 and 0), which must not be
     columns of ``docs`` then."""
-    marks = small(saved(boilerplate(docs, host, text, max_ratio, min_pages), "boilerplate"), 20_000)
+    marks = small(saved(boilerplate(docs, host, text, max_ratio, min_pages, copies_once), "boilerplate"), 20_000)
     marks = marks.select(F.struct("h", "lines").alias("__boilerplate"))
     joined = docs.join(marks, F.col(f"`{host}`").eqNullSafe(F.col("__boilerplate.h")), "left")
     bad = F.col("__boilerplate.lines")

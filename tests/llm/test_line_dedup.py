@@ -1,5 +1,6 @@
 import duckdb
 
+import corpus_pipeline
 from shardload.llm import line_dedup
 
 
@@ -46,3 +47,15 @@ def test_oracle_on_a_fixture(spark):
     want = sorted(con.execute(line_dedup.ORACLE).fetchall())
     got = line_dedup.drop_boilerplate(df, counts=True).select("doc_id", "text", "n_lines", "n_dropped").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_a_large_group_of_copies_survives_the_pipeline(spark):
+    copy = "first line of the copies\n" + "\n".join(f"their line {k} with words of its own" for k in range(12))
+    rows = [(i, "a", copy) for i in range(40)] + [
+        (40 + i, "a", "menu\n" + "\n".join(f"page {i} part {k} word{i * 37 + k}" for k in range(8))) for i in range(80)]
+    df = spark.createDataFrame([(*r, len(r[2])) for r in rows], "doc_id long, source string, text string, n_chars int")
+    clean = corpus_pipeline.line_stage(spark, df, "")
+    assert {r.text for r in clean.where("doc_id < 40").collect()} == {copy}
+    assert all("menu" not in r.text for r in clean.collect())
+    kept = corpus_pipeline.near_duplicate_stage(spark, clean, "").collect()
+    assert [r.text for r in kept if r.doc_id < 40] == [copy]
