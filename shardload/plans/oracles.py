@@ -242,6 +242,11 @@ SELECT o_orderkey::VARCHAR AS _id, {SPECIAL} AS total,
        row_number() OVER (ORDER BY CAST({SPECIAL} AS DOUBLE) DESC, (o_orderkey % 50 = 3)::INT, o_orderkey::VARCHAR) AS rank
 FROM orders WHERE o_orderkey % 50 < 40""")
 
+oracle("q_sort_double_all", f"""
+SELECT o_orderkey::VARCHAR AS _id, total,
+       row_number() OVER (ORDER BY CAST(total AS DOUBLE) DESC NULLS LAST, (o_orderkey % 50 = 3)::INT, o_orderkey::VARCHAR) AS rank
+FROM (SELECT o_orderkey, CASE WHEN {GOOD} THEN {SPECIAL} END AS total FROM orders)""")
+
 oracle("q_bad_numbers", f"""
 SELECT o_orderkey::VARCHAR AS _id, concat('total:', {SPECIAL}, ':double') AS token, 'bad_double' AS reason
 FROM orders WHERE NOT {GOOD}""")

@@ -18,3 +18,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_the_sort_of_all_orders_ranks_all(spark):
+    import duckdb
+
+    import __spark_entry__ as E
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{SF001}/orders.parquet')")
+    want = con.sql(E.oracle_sql()["q_sort_double_all"]).fetchall()
+    got = [tuple(r) for r in E.queries()["q_sort_double_all"](spark, SF001).collect()]
+    number = lambda t: None if t is None else str(float(t))
+    assert sorted((r, i, number(t)) for i, t, r in got) == sorted((r, i, number(t)) for i, t, r in want)
+    n = con.sql("SELECT count(*), count(*) FILTER (o_orderkey % 50 >= 45) FROM orders").fetchall()[0]
+    assert (len(got), sum(t is None for _, t, _ in got)) == n
