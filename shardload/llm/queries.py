@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.llm import decontamination, hamming_topk, language_id, license_scan, line_dedup, lm_score, near_dedup, packing, pii, quality
+from shardload.llm import decontamination, hamming_topk, language_id, license_scan, line_dedup, lm_score, near_dedup, packing, pii, quality, token_counts
 from shardload.llm.common import id_bucket
 from shardload.sources.tables import table
 
@@ -65,9 +65,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int")))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontamination, op3_line_dedup, op4_license_scan, op5_hamming_topk, op6_packing, op7_pii, op8_lm_score,
-    op9_near_dedup, op10_quality)}
+    op9_near_dedup, op10_quality, op12_token_counts)}
 
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
