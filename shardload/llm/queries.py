@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.llm import decontamination, hamming_topk, language_id, license_scan, line_dedup, lm_score, near_dedup, packing, pii, quality, token_counts
+from shardload.llm import centroids, decontamination, hamming_topk, language_id, license_scan, line_dedup, lm_score, near_dedup, packing, pii, quality, token_counts
 from shardload.llm.common import id_bucket
 from shardload.sources.tables import table
 
@@ -69,11 +69,16 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontamination, op3_line_dedup, op4_license_scan, op5_hamming_topk, op6_packing, op7_pii, op8_lm_score,
-    op9_near_dedup, op10_quality, op12_token_counts)}
+    op9_near_dedup, op10_quality, op12_token_counts, op13_centroids)}
 
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op5_hamming_topk": hamming_topk.ORACLE,
+    "op13_centroids": centroids.ORACLE,
 }
