@@ -6,8 +6,8 @@ the apex above it, its coordinates in the span and its height over it follow fro
 the distances alone.  For two apexes the distance with both heights on one side is
 a lower bound of the true one, with the heights on opposite sides an upper bound.
 In each round a vector is compared, exactly and in integers, with the centroid of
-least upper bound and then only with those whose lower bound does not exceed that
-distance.  What a task hands on is a row of sums for each centroid.
+least lower bound and then only with those whose lower bound exceeds neither that
+distance nor the least upper bound.  What a task hands on is a row of sums for each centroid.
 
 Defined results: only vectors with exactly ``dims`` components, none null, NaN or
 infinite, take part, others give no row; repeated rows are vectors of their own;
@@ -96,10 +96,10 @@ def nearest(vectors: np.ndarray, apex: np.ndarray, centroids: np.ndarray, at: np
     """Number and squared distance of the nearest centroid of every vector, and how many comparisons it took.
     ``at`` are the apexes of the centroids."""
     low, high = bounds(apex, at)
-    cluster = np.argmin(high, axis=1).astype(np.int32)
+    cluster = np.argmin(low, axis=1).astype(np.int32)
     diff = vectors - centroids[cluster]
     best = np.einsum("ij,ij->i", diff, diff)
-    near = low <= best[:, None]
+    near = low <= np.minimum(best, high.min(axis=1))[:, None]
     near[np.arange(len(near)), cluster] = False
     for j in range(len(centroids)):
         rows = np.flatnonzero(near[:, j])
