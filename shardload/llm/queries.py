@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.llm import centroids, decontamination, hamming_topk, language_id, license_scan, line_dedup, lm_score, near_dedup, packing, pii, quality, token_counts
+from shardload.llm import centroids, conversation_trie, decontamination, hamming_topk, language_id, license_scan, line_dedup, lm_score, near_dedup, packing, pii, quality, token_counts
 from shardload.llm.common import id_bucket
 from shardload.sources.tables import table
 
@@ -65,6 +65,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int")))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -75,10 +79,11 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontamination, op3_line_dedup, op4_license_scan, op5_hamming_topk, op6_packing, op7_pii, op8_lm_score,
-    op9_near_dedup, op10_quality, op12_token_counts, op13_centroids)}
+    op9_near_dedup, op10_quality, op11_conversation_trie, op12_token_counts, op13_centroids)}
 
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op5_hamming_topk": hamming_topk.ORACLE,
+    "op11_conversation_trie": conversation_trie.ORACLE,
     "op13_centroids": centroids.ORACLE,
 }
