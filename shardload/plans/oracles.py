@@ -496,3 +496,28 @@ SELECT {LI_ID} AS _id,
 FROM lineitem""")
 
 oracle("q_range_wide", ORACLES["q_range"])
+
+
+# --- lookups, search and verification on published builds ----------------------
+
+ORDER_SHARD = shard_sql("o_orderkey::VARCHAR", SHARDS)
+
+oracle("q_lookup_ids", f"""
+SELECT o_orderkey::VARCHAR AS _id, {ORDER_SHARD} AS shard_id, 5 AS n_fields FROM orders WHERE o_orderkey IN (42, 777, 14999)""")
+
+oracle("q_lookup_join", f"""
+SELECT o_orderkey::VARCHAR AS _id, {ORDER_SHARD} AS shard_id, 5 AS n_fields
+FROM orders WHERE o_orderkey IN (SELECT c_custkey FROM customer)""")
+
+oracle("q_search", f"""
+SELECT p_partkey::VARCHAR AS _id, {PART_SHARD} AS shard_id FROM part
+WHERE list_contains(regexp_extract_all(lower(p_type), '{TOKEN_RE}'), 'economy') AND p_size >= 10 AND p_size < 30
+  AND CAST(p_retailprice AS FLOAT) BETWEEN CAST(850 AS FLOAT) AND CAST(1150 AS FLOAT)""")
+
+oracle("q_search_common", f"""
+SELECT o_orderkey::VARCHAR AS _id, {ORDER_SHARD} AS shard_id FROM orders
+WHERE lower(o_orderstatus) = 'o' AND o_totalprice > 200000 AND {epoch_days_sql('o_orderdate')} <= 9800""")
+
+oracle("q_build_files", f"SELECT *, 0::BIGINT AS n_faults FROM ({ORDERS_BY_SHARD})")
+
+oracle("q_stream_publish", f"SELECT *, n_docs AS n_keys, 2::BIGINT AS n_epochs FROM ({ORDERS_BY_SHARD})")

@@ -3,19 +3,24 @@
 Layout under a dataset root::
 
     <root>/builds/<build_id>/shard_id=<n>/part-….parquet   one build
+    <root>/builds/<build_id>_files                          its files: rows, bytes, id range, digest
+    <root>/builds/<build_id>_runs                           or the builds it is made of (a stream's)
     <root>/CURRENT                                          id of the live build
 
 A build is written next to the live one, verified against what the write has
 seen, and only then made live by replacing the small ``CURRENT`` file in one
-step.  Whatever fails before that deletes the new build; the old one stays live.
+step.  Verified means content: every stored column of every row is in the digest
+(``plans.files``).  Whatever fails before that deletes the new build; the old one stays live.
 In ``reject`` mode the documents with bad values are written with the others,
 marked in ``_bad``: reading the build leaves them out, ``rejects`` returns them.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,16 +28,21 @@ from pyspark.sql import functions as F
 from shardload.operators.fields import BAD, kept, rejected
 from shardload.operators.routing import by_shard, java_order_key, order_shard
 from shardload.operators.stats import manifest
+from shardload.plans.files import SUMS, digest_sums, scan_files, shard_digests
 
 POINTER = "CURRENT"
-SIDE_TABLES = ("", "_manifest", "_doc_values", "_postings", "_numeric_terms")
+SIDE_TABLES = ("", "_manifest", "_files", "_doc_values", "_postings", "_numeric_terms", "_schema", "_runs")
+# Writer settings: lookups by id skip row groups that do not hold it.
+BLOOM = {"parquet": {"parquet.bloom.filter.enabled#_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"},
+         "orc": {"orc.bloom.filter.columns": "_id"}}
 
 
 def write_sharded(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """H1/H2: one directory per shard; input already placed by ``by_shard``
     and ordered by ``order_shard``, so each task writes one shard file in
     descending id order.  ``errorifexists`` refuses to overwrite."""
-    docs.write.mode(mode).format(fmt).partitionBy("shard_id").save(path)
+    bloom = BLOOM.get(fmt, {}) if "_id" in docs.columns else {}
+    docs.write.mode(mode).format(fmt).options(**bloom).partitionBy("shard_id").save(path)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -95,11 +105,34 @@ def current_build(spark: SparkSession, root: str) -> str | None:
     return _read_text(spark, f"{root.rstrip('/')}/{POINTER}")
 
 
-def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+def live_build(spark: SparkSession, root: str) -> str:
     build = current_build(spark, root)
     if build is None:
         raise FileNotFoundError(f"no published build under {root}")
-    return kept(spark.read.format(fmt).load(build_path(root, build)))
+    return build
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
+def build_runs(spark: SparkSession, root: str, build: str) -> list[str]:
+    """The builds whose files make up ``build``: itself, or the runs of a stream's snapshot."""
+    text = _read_text(spark, build_path(root, build) + "_runs")
+    return [build] if text is None else json.loads(text)["runs"]
+
+
+def _load(spark: SparkSession, root: str, build: str, part: str, fmt: str) -> DataFrame:
+    """Files or a side table of all runs of a build."""
+    runs = [spark.read.format(fmt).load(build_path(root, run) + part) for run in build_runs(spark, root, build)]
+    if not runs:
+        raise FileNotFoundError(f"build {build} has no documents")
+    return reduce(DataFrame.unionByName, runs)
+
+
+def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    return kept(_load(spark, root, live_build(spark, root), "", fmt))
 
 
 def verify_publish(expected: DataFrame, written: DataFrame) -> DataFrame:
@@ -113,14 +146,9 @@ def verify_publish(expected: DataFrame, written: DataFrame) -> DataFrame:
             .withColumn("ok", F.col("expected") == F.col("found")))
 
 
-def _totals() -> list[F.Column]:
-    """Rows, rejected rows and an order-free checksum of keys and shards: the
-    same number of aggregates whatever the number of shards."""
-    return [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("_doc", "_id", "shard_id")).alias("checksum")]
-
-
-def build_manifest(written: DataFrame, build_id: str, shards: int | None = None) -> DataFrame:
-    """G3 of a build: ``manifest`` of the kept documents with ``n_rejected``, a row for every shard."""
+def build_manifest(written: DataFrame, build_id: str, shards: int | None = None, files: DataFrame | None = None) -> DataFrame:
+    """G3 of a build: ``manifest`` of the kept documents with ``n_rejected``, a row for every shard; with the
+    files' table also the digest of each shard's content, and the number of shards that ids are routed by."""
     rows = manifest(kept(written), build_id)
     bad = F.count(F.col(BAD)) if BAD in written.columns else F.lit(0).cast("long")
     rejects = written.groupBy("shard_id").agg(bad.alias("n_rejected"))
@@ -128,16 +156,20 @@ def build_manifest(written: DataFrame, build_id: str, shards: int | None = None)
     if shards is not None:
         rows = rows.join(written.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard_id")),
                          "shard_id", "full_outer")
+    if files is not None:
+        rows = rows.join(shard_digests(files), "shard_id", "left").withColumn("shards", F.lit(shards).cast("int"))
     zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_docs", "n_ids", "n_rejected")}
     return rows.withColumns({"build_id": F.lit(build_id), "generation": F.coalesce("generation", F.lit(1)), **zero})
 
 
-def write_doc_values(written: DataFrame, path: str, schema: dict[str, str], fmt: str = "parquet") -> None:
-    """C4/C5 per shard: one ``ARRAY<T>`` column per field of ``schema``,
-    derived from the written documents (no re-parse), same placement."""
+def write_doc_values(written: DataFrame, path: str, schema: dict[str, str], shards: int, split: int = 1,
+                     fmt: str = "parquet") -> None:
+    """C4/C5 per shard: ``(_id, _doc)`` and one ``ARRAY<T>`` column per field of ``schema``, derived from the
+    written documents (no re-parse), in ranges of the documents' own order."""
     from shardload.operators.docs import doc_values
-    dv = doc_values(written, schema, keep=("shard_id", "_id"))
-    dv.sortWithinPartitions(F.col("shard_id"), java_order_key(F.col("_id")).desc()) \
+    dv = doc_values(written, schema, keep=("shard_id", "_id", "_doc"))
+    order = (F.col("shard_id"), java_order_key(F.col("_id")).desc(), F.col("_doc"))
+    dv.repartitionByRange(shards * max(1, split), *order).sortWithinPartitions(*order) \
         .write.mode("errorifexists").format(fmt).partitionBy("shard_id").save(path)
 
 
@@ -168,64 +200,101 @@ def check_doc_values(schema: dict[str, str] | None) -> None:
             raise ValueError(f"doc values of {name}: unknown type {typ!r}, known are {', '.join(SLOT_OF_TYPE)}")
 
 
-def publish(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
-            shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
-            with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None) -> str:
-    """H3: write a new build, verify it, then switch ``CURRENT`` to it.
+def _faulty_shards(docs: DataFrame, files: DataFrame) -> str:
+    """Which shards of a failed build differ from its documents, and their files (for the message)."""
+    want = docs.groupBy("shard_id").agg(*digest_sums(docs.columns))
+    found = files.groupBy("shard_id").agg(F.sum("n_rows").alias("n_rows"), F.bit_xor("digest_xor").alias("digest_xor"),
+                                          F.sum("digest_sum").alias("digest_sum"), F.array_sort(F.collect_list("file")).alias("files"))
+    both = want.join(found.select("shard_id", "files", *[F.col(c).alias(f"f_{c}") for c in SUMS]), "shard_id", "full_outer")
+    bad = both.where(~F.expr(" AND ".join(f"{c} <=> f_{c}" for c in SUMS))).orderBy("shard_id").limit(20).collect()
+    return "; ".join(f"shard {r.shard_id}: {', '.join(r.files or ['no files'])}" for r in bad) or "no shard by itself"
+
+
+def write_build(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
+                shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
+                with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None) -> str:
+    """H1/H4: write a new build and its side tables and verify it; nothing is made live.
 
-    Rows and a checksum are observed while the build is written and compared
-    with the files.  Any shortfall or failure deletes the build and raises;
-    the live build is untouched.  Returns the build id.
-    """
+    Rows and a digest of their content are observed while the build is written and
+    compared with the files.  Any difference or failure deletes the build and raises.
+    Returns the build id."""
     check_doc_values(doc_value_schema)
     spark = docs.sparkSession
     build_id = build_id or uuid.uuid4().hex[:12]
     path = build_path(root, build_id)
-    fs, p, _ = _fs(spark, path)
-    if fs.exists(p):
+    if exists(spark, path):
         raise FileExistsError(f"{path} already exists")
     try:
         observed = Observation("shardload_build")
-        write_sharded(docs.observe(observed, *_totals()), path, fmt=fmt, mode="errorifexists")
+        write_sharded(docs.observe(observed, *digest_sums(docs.columns)), path, fmt=fmt, mode="errorifexists")
         written = spark.read.schema(docs.schema).format(fmt).load(path)
-        found, expected = written.agg(*_totals()).first().asDict(), observed.get
-        if any((found[k] or 0) != (expected.get(k) or 0) for k in found):
-            raise IOError(f"build {build_id} failed verification ({expected} written, {found} found)")
-        build_manifest(written, build_id, shards).write.mode("errorifexists").json(path + "_manifest")
+        _write_text(spark, path + "_schema", docs.schema.json())
+        scan_files(written).write.mode("errorifexists").json(path + "_files")
+        files = read_files(spark, root, build_id)
+        found = files.agg(F.sum("n_rows").alias("n_rows"), F.bit_xor("digest_xor").alias("digest_xor"),
+                          F.sum("digest_sum").alias("digest_sum")).first().asDict()
+        if any((found[k] or 0) != (observed.get.get(k) or 0) for k in SUMS):
+            raise IOError(f"build {build_id} failed verification ({observed.get} written, {found} found): {_faulty_shards(docs, files)}")
+        build_manifest(written, build_id, shards, files).write.mode("errorifexists").json(path + "_manifest")
         good = kept(written)
+        n = shards
+        if n is None and (doc_value_schema or with_postings):
+            n = int(good.agg(F.max("shard_id")).first()[0] or 0) + 1
         if doc_value_schema:
-            write_doc_values(good, path + "_doc_values", doc_value_schema, fmt)
+            write_doc_values(good, path + "_doc_values", doc_value_schema, n, split, fmt)
         if with_postings:
-            n = shards if shards is not None else (good.agg(F.max("shard_id")).first()[0] or 0) + 1
-            write_postings(good, path + "_postings", int(n), split, fmt, stop_words)
-            write_numeric_terms(good, path + "_numeric_terms", int(n), split, fmt)
+            write_postings(good, path + "_postings", n, split, fmt, stop_words)
+            write_numeric_terms(good, path + "_numeric_terms", n, split, fmt)
     except BaseException:
-        for suffix in SIDE_TABLES:
-            _delete(spark, path + suffix)
+        delete_build(spark, root, build_id)
         raise
-    _write_text(spark, f"{root.rstrip('/')}/{POINTER}", build_id)
+    return build_id
+
+
+def delete_build(spark: SparkSession, root: str, build: str) -> None:
+    for suffix in SIDE_TABLES:
+        _delete(spark, build_path(root, build) + suffix)
+
+
+def set_current(spark: SparkSession, root: str, build: str) -> None:
+    _write_text(spark, f"{root.rstrip('/')}/{POINTER}", build)
+
+
+def publish(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
+            shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
+            with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None) -> str:
+    """H3: write a new build, verify it (``write_build``), then switch ``CURRENT`` to it.
+    On any failure the live build is untouched.  Returns the build id."""
+    build_id = write_build(docs, root, build_id, fmt, shards, doc_value_schema, with_postings, split, stop_words)
+    set_current(docs.sparkSession, root, build_id)
     return build_id
 
 
 def unpublish(spark: SparkSession, root: str) -> None:
-    """Drop the live build (the dataset disappears as a whole)."""
+    """Drop the live build with its runs (the dataset disappears as a whole)."""
     build = current_build(spark, root)
+    runs = build_runs(spark, root, build) if build else []
     _delete(spark, f"{root.rstrip('/')}/{POINTER}")
-    if build:
-        for suffix in SIDE_TABLES:
-            _delete(spark, build_path(root, build) + suffix)
+    for one in {build, *runs} if build else ():
+        delete_build(spark, root, one)
+
+
+def read_files(spark: SparkSession, root: str, build: str) -> DataFrame:
+    """The files of a build (one row each), as they were when it was written."""
+    from shardload.plans.files import FILES_SCHEMA
+    paths = [build_path(root, run) + "_files" for run in build_runs(spark, root, build)]
+    return spark.read.schema(FILES_SCHEMA).json(paths)
 
 
 def read_current_part(spark: SparkSession, root: str, part: str, fmt: str = "parquet") -> DataFrame:
-    """A side table of the live build: ``manifest``, ``doc_values``,
+    """A side table of the live build: ``manifest``, ``files``, ``doc_values``,
     ``postings``, ``numeric_terms``, or ``rejects`` of a build in reject mode."""
-    build = current_build(spark, root)
-    if build is None:
-        raise FileNotFoundError(f"no published build under {root}")
+    build = live_build(spark, root)
     if part == "rejects":
-        return rejected(spark.read.format(fmt).load(build_path(root, build)))
-    path = f"{build_path(root, build)}_{part}"
-    return spark.read.json(path) if part == "manifest" else spark.read.format(fmt).load(path)
+        return rejected(_load(spark, root, build, "", fmt))
+    if part == "files":
+        return read_files(spark, root, build)
+    return _load(spark, root, build, f"_{part}", "json" if part == "manifest" else fmt)
 
 
 def bulk_action(index: str, doc_type: str) -> F.Column:

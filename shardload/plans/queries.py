@@ -22,10 +22,13 @@ from shardload.operators.predicates import exists_, exists_in_build, fuzzy, get_
 from shardload.operators.routing import by_shard, order_shard, route, route_hash, shard_histogram, shard_skew
 from shardload.operators.stats import duplicate_ids, field_stats, manifest
 from shardload.plans.build import numeric_value, parsed_docs, shard_docs
+from shardload.plans.files import documents_by_id, verify_build
+from shardload.plans.search import Range, Term, around, search
 from shardload.plans.publish import (bulk_lines, publish, read_current, read_current_part, verify_publish,
                                      write_sharded)
 from shardload.session import scratch_path
 from shardload.streaming.ingest import ingest_stream
+from shardload.streaming.publish import publish_stream, snapshot
 from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema, read_lines, with_doc_key
 from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
                                       events_lines, lineitem_lines, orders_lines, part_lines, shard_state,
@@ -586,3 +589,73 @@ def q_range_wide(spark, sf):
     return (wide.where(range_("ship", "short", 9500, 9600, include_lo=True, include_hi=False, wide=True)
                        & range_("qty", "double", lo=45, include_lo=False, wide=True))
             .select("_id"))
+
+
+# --- lookups, search and verification on published builds ----------------------
+
+def _published_orders(spark, sf, name, **options):
+    root = scratch_path(spark, name)
+    publish(shard_docs(orders_lines(spark, sf), "orders", "order", shards=SHARDS, split=3), root, shards=SHARDS, split=3, **options)
+    return root
+
+
+@query
+def q_lookup_ids(spark, sf):
+    """E6 with data skipping: order documents by a list of ids; only the files whose
+    shard and id range fit are opened."""
+    root = _published_orders(spark, sf, "publish_lookup")
+    return documents_by_id(spark, root, ["42", "777", "14999", "42", "none such"]).select(
+        "_id", "shard_id", F.size("fields").alias("n_fields"))
+
+
+@query
+def q_lookup_join(spark, sf):
+    """E6 for a table of ids: the order documents whose id is a customer's key."""
+    root = _published_orders(spark, sf, "publish_lookup_join")
+    ids = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("_id"))
+    return documents_by_id(spark, root, ids).select("_id", "shard_id", F.size("fields").alias("n_fields"))
+
+
+@query
+def q_search(spark, sf):
+    """E5 with E2 and E3 on a published build: ``type`` holds a term, ``size`` lies in [10, 30)
+    and ``price`` within 1000 ± 150."""
+    root = scratch_path(spark, "publish_search")
+    publish(shard_docs(part_lines(spark, sf), "parts", "part", shards=SHARDS, split=2), root, shards=SHARDS, split=2,
+            with_postings=True)
+    return search(spark, root, Term("type", "economy"), Range("size", "short", 10, 30, include_hi=False),
+                  around("price", 1000.0, 150.0, "float")).select("_id", "shard_id")
+
+
+@query
+def q_search_common(spark, sf):
+    """E5 with E2: a term that about half of all orders hold, and open and exclusive ranges."""
+    root = _published_orders(spark, sf, "publish_search_common", with_postings=True)
+    return search(spark, root, Term("status", "o"), Range("total", "double", 200000.0, include_lo=False),
+                  Range("day", "integer", None, 9800)).select("_id", "shard_id")
+
+
+@query
+def q_build_files(spark, sf):
+    """H4: the files of a build, added up per shard, and how many of them are not as they were written."""
+    root = _published_orders(spark, sf, "publish_files")
+    faults = verify_build(spark, root).groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_faults"))
+    sums = read_current_part(spark, root, "files").groupBy("shard_id").agg(
+        F.sum("n_rows").alias("n_docs"), F.min("min_id").alias("min_id"), F.max("max_id").alias("max_id"))
+    return sums.join(faults, "shard_id", "left").select("shard_id", "n_docs", "min_id", "max_id",
+                                                        F.coalesce("n_faults", F.lit(0)).cast("long").alias("n_faults"))
+
+
+@query
+def q_stream_publish(spark, sf):
+    """Order lines in two files, two batches that go live one after the other and are merged
+    into one run; then the whole stream again from the start, which changes nothing."""
+    base = scratch_path(spark, "stream_publish")
+    orders_lines(spark, sf).select("value").repartition(2).write.text(f"{base}/src")
+    for replay in range(2):
+        publish_stream(spark, f"{base}/src", f"{base}/root", f"{base}/ck{replay}", index="orders", doc_type="order", shards=SHARDS,
+                       merge_at=2, max_files_per_trigger=1).awaitTermination()
+    state = snapshot(spark, f"{base}/root")
+    return read_current(spark, f"{base}/root").groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.min("_id").alias("min_id"), F.max("_id").alias("max_id"),
+        F.count_distinct("_doc").alias("n_keys"), F.lit(len(state["epochs"])).cast("long").alias("n_epochs"))
