@@ -14,6 +14,7 @@ ranges skip the rest.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,6 +119,18 @@ def _schema_of(spark: SparkSession, root: str, run: str):
     return StructType.fromJson(json.loads(_read_text(spark, build_path(root, run) + "_schema")))
 
 
+def open_files(spark: SparkSession, root: str, hits: list, fmt: str) -> DataFrame:
+    """The documents in some files of a build, named by rows ``(run, file)``; columns as ``read_current`` has them."""
+    from shardload.plans.publish import build_path
+    by_run: dict[str, list[str]] = {}
+    for r in hits:
+        by_run.setdefault(r.run, []).append(f"{build_path(root, r.run)}/{r.file}")
+    parts = [spark.read.schema(_schema_of(spark, root, run)).format(fmt).option("basePath", build_path(root, run)).load(sorted(paths))
+             for run, paths in sorted(by_run.items())]
+    docs = kept(reduce(DataFrame.unionByName, parts))
+    return docs.select(*[c for c in docs.columns if c != "shard_id"], "shard_id")
+
+
 def shard_faults(spark: SparkSession, root: str, build: str | None = None, fmt: str = "parquet") -> DataFrame:
     """H4, the upper levels of the tree: ``(shard_id, expected, found)`` of the shards whose files no longer add up to the
     digest in the manifest."""
@@ -139,7 +152,7 @@ def documents_by_id(spark: SparkSession, root: str, ids: list[str] | DataFrame,
 
     The files' table says which files can hold one: the shard that the id is routed to, and a range around it.  Only
     these are opened.  ``shards`` is needed only for a build published without it."""
-    from shardload.plans.publish import build_path, live_build, read_current, read_current_part
+    from shardload.plans.publish import read_current, read_current_part
     listed = None
     if not isinstance(ids, DataFrame):
         listed = sorted({i for i in ids if i is not None})
@@ -157,14 +170,7 @@ def documents_by_id(spark: SparkSession, root: str, ids: list[str] | DataFrame,
     hits = near.select("run", "file").distinct().collect()  # names of files to open
     if not hits:
         return read_current(spark, root, fmt).where(F.lit(False))
-    by_run: dict[str, list[str]] = {}
-    for r in hits:
-        by_run.setdefault(r.run, []).append(f"{build_path(root, r.run)}/{r.file}")
-    found = None
-    for run, paths in sorted(by_run.items()):
-        one = spark.read.schema(_schema_of(spark, root, run)).format(fmt).option("basePath", build_path(root, run)).load(sorted(paths))
-        found = one if found is None else found.unionByName(one, allowMissingColumns=True)
-    found = kept(found)
+    found = open_files(spark, root, hits, fmt)
     if listed is not None and len(listed) <= LISTED:
         return found.where(F.col("_id") == listed[0] if len(listed) == 1 else F.col("_id").isin(listed))
     return found.join(asked.select("_id"), "_id", "left_semi").select(found.columns)

@@ -19,7 +19,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.operators.fields import kept
 from shardload.operators.postings import tokens_of
 from shardload.session import scratch_path
 
@@ -118,8 +117,8 @@ def intersect(tables: dict[str, DataFrame], clauses: list[Term | Range]) -> Data
 
 def _documents(spark: SparkSession, root: str, build: str, found: DataFrame, fmt: str) -> DataFrame:
     """The stored documents of ``found``, from the files that can hold them."""
-    from shardload.plans.files import _schema_of
-    from shardload.plans.publish import build_path, build_runs, read_files
+    from shardload.plans.files import open_files
+    from shardload.plans.publish import read_current, read_files
     n = found.count()
     files = read_files(spark, root, build)
     # A matched id and its shard, in the range of a file; equal ids count once.
@@ -127,16 +126,8 @@ def _documents(spark: SparkSession, root: str, build: str, found: DataFrame, fmt
     near = files.join(ids, "shard_id").where("_id BETWEEN min_id AND max_id") if n <= BROADCAST else files.join(
         found.groupBy("shard_id").agg(F.min("_id").alias("low"), F.max("_id").alias("high")), "shard_id").where("low <= max_id AND high >= min_id")
     hits = near.select("run", "file").distinct().collect() if n else []  # names of files to open
-    by_run: dict[str, list[str]] = {}
-    for r in hits:
-        by_run.setdefault(r.run, []).append(f"{build_path(root, r.run)}/{r.file}")
-    if not by_run:
-        return kept(spark.createDataFrame([], _schema_of(spark, root, build_runs(spark, root, build)[0])))
-    docs = [spark.read.schema(_schema_of(spark, root, run)).format(fmt).option("basePath", build_path(root, run)).load(sorted(paths))
-            for run, paths in sorted(by_run.items())]
-    docs = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), docs)
+    docs = open_files(spark, root, hits, fmt) if hits else read_current(spark, root, fmt).where(F.lit(False))
     keys = found.select("shard_id", "_doc")
-    docs = kept(docs)
     return docs.join(F.broadcast(keys) if n <= BROADCAST else keys, ["shard_id", "_doc"], "left_semi").select(docs.columns)
 
 
