@@ -138,6 +138,10 @@ def field_names(fields: Column | str = "fields") -> Column:
     return F.array_distinct(F.concat(system, user))
 
 
+def _named(fields: Column, name: str) -> Column:
+    return F.filter(fields, lambda x: x["name"] == F.lit(name))
+
+
 def _values_of(fields: Column, name: str, slot: str) -> Column:
     return F.transform(F.filter(fields, lambda x: (x["name"] == F.lit(name)) & x[slot].isNotNull()),
                        lambda x: x[slot])
@@ -183,20 +187,84 @@ def sort_numeric(df: DataFrame, col: str, descending: bool = False, then: tuple[
     return df.orderBy(*keys, *[F.col(t) for t in then])
 
 
-def to_wide(docs: DataFrame, schema: dict[str, str], multi: str = "first",
-            keep=("_id",)) -> DataFrame:
+# The lattice of number types: within a chain the wider one; a float meets an integer
+# where every digit of both is kept, else both are text.
+_INTEGRAL, _REAL = ("short", "integer", "long"), ("float", "double")
+#: Columns of a discovered schema at most; more raise, none is left out.
+MAX_COLUMNS = 2000
+
+
+def join_types(types) -> str:
+    """The least type that holds every value of the given ones exactly (``string`` holds all)."""
+    types = set(types)
+    whole, real = (max((chain.index(t) for t in types if t in chain), default=None) for chain in (_INTEGRAL, _REAL))
+    if not types or not types <= {*_INTEGRAL, *_REAL}:
+        return "string"
+    if real is None:
+        return _INTEGRAL[whole]
+    if whole is None:
+        return _REAL[real]
+    if _INTEGRAL[whole] == "long":
+        return "string"  # a double does not hold every long, nor a long a fraction
+    return "float" if (_INTEGRAL[whole], _REAL[real]) == ("short", "float") else "double"
+
+
+def discover_schema(docs: DataFrame, max_columns: int = MAX_COLUMNS) -> dict[str, str]:
+    """C8 for C7: ``name -> type`` of the dynamic fields in order of name, one pass over the documents.
+
+    Tags are not columns: a name that begins with the tag prefix and is an integer wherever it occurs is one
+    (bare tokens make unboundedly many).  A name with several declared types gets their join."""
+    from shardload.operators.fields import TAG_PREFIX, infer_fields
+    types = infer_fields(docs).groupBy("name").agg(F.collect_set("type").alias("types"))  # at most six a name
+    tag = F.col("name").startswith(TAG_PREFIX) & (F.size("types") == 1) & F.array_contains("types", "integer")
+    found = types.where(~tag).limit(max_columns + 1).collect()
+    if len(found) > max_columns:
+        raise ValueError(f"more than {max_columns} field names; give a schema")
+    return {r["name"]: join_types(r["types"]) for r in sorted(found, key=lambda r: r["name"])}
+
+
+def _as_type(x: Column, typ: str) -> Column:
+    """The value of a field as ``typ``, one that holds its own type."""
+    from shardload.operators.fields import SPARK_TYPE, value_string
+    if typ == "string":
+        return value_string(x)
+    down = {t for t in (*_INTEGRAL, *_REAL) if join_types((t, typ)) == typ}
+    return F.coalesce(*[x[SLOT_OF_TYPE[t]].cast(SPARK_TYPE[typ]) for t in sorted(down)])
+
+
+def column_names(names, keep=()) -> dict[str, str]:
+    """``name -> column``.  Spark's column names ignore case; a name that meets a kept column or an earlier name gets
+    a number behind it."""
+    taken, out = {k.lower() for k in keep}, {}
+    for name in names:
+        column, n = name, 2
+        while column.lower() in taken:
+            column, n = f"{name}__{n}", n + 1
+        taken.add(column.lower())
+        out[name] = column
+    return out
+
+
+def to_wide(docs: DataFrame, schema: dict[str, str] | None = None, multi: str = "first",
+            keep=("_id",), max_columns: int = MAX_COLUMNS) -> DataFrame:
     """Typed wide columns from the dynamic fields.
 
-    ``multi='first'`` keeps the first value in input order, ``'array'`` all
-    values in input order.  The schema is explicit (or from ``infer_fields``):
-    tag tokens make field names unbounded, so no implicit pivot.
-    """
-    fc = F.col("fields")
-    cols = []
+    ``multi='first'`` keeps the first value in input order, ``'array'`` all values in input order.  With a
+    ``schema`` a column takes the values declared with its type.  Without one the schema is discovered
+    (``discover_schema``) and a column takes every value of its name, widened to the joined type; a bad value is null."""
+    fc, cols = F.col("fields"), []
+    keep = [c for c in keep if c in docs.columns]
+    discovered = schema is None
+    if discovered:
+        schema = discover_schema(docs, max_columns)
+    columns = column_names(schema, keep) if discovered else {n: n for n in schema}
     for name, typ in schema.items():
-        vals = _values_of(fc, name, SLOT_OF_TYPE[typ])
-        cols.append((F.get(vals, 0) if multi == "first" else vals).alias(name))
-    return docs.select(*[c for c in keep if c in docs.columns], *cols)
+        if discovered:
+            vals = F.filter(F.transform(_named(fc, name), lambda x: _as_type(x, typ)), lambda v: v.isNotNull())
+        else:
+            vals = _values_of(fc, name, SLOT_OF_TYPE[typ])
+        cols.append((F.get(vals, 0) if multi == "first" else vals).alias(columns[name]))
+    return docs.select(*keep, *cols)
 
 
 def all_text(fields: Column | str = "fields") -> Column:

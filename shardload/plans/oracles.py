@@ -521,3 +521,15 @@ WHERE lower(o_orderstatus) = 'o' AND o_totalprice > 200000 AND {epoch_days_sql('
 oracle("q_build_files", f"SELECT *, 0::BIGINT AS n_faults FROM ({ORDERS_BY_SHARD})")
 
 oracle("q_stream_publish", f"SELECT *, n_docs AS n_keys, 2::BIGINT AS n_epochs FROM ({ORDERS_BY_SHARD})")
+
+oracle("q_wide_discovered", """
+SELECT o_orderkey::VARCHAR AS _id, CAST(o_orderkey % 3 AS INTEGER) AS "N", CAST(CASE WHEN o_orderkey % 2 = 0
+    THEN (9007199254740992 + o_orderkey % 7)::VARCHAR ELSE '0.5' END AS VARCHAR) AS big, CAST(o_orderkey % 100 AS BIGINT) AS n__2,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'a' || (o_orderkey % 5)::VARCHAR ELSE '7' END AS s, (o_orderkey % 8) / 4.0::DOUBLE AS x,
+  CAST(o_orderkey % 90 AS FLOAT) AS y, CAST(o_orderkey % 80 AS DOUBLE) AS z
+FROM orders""")
+
+oracle("q_discover_schema", """
+SELECT name, joined, n_types, (SELECT count(*) FROM orders) AS n_values
+FROM (VALUES ('N', 'integer', 1::BIGINT), ('big', 'string', 2), ('n', 'long', 3), ('s', 'string', 2), ('x', 'double', 2), ('y', 'float', 2),
+  ('z', 'double', 2)) t(name, joined, n_types)""")

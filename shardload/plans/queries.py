@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shardload.operators.docs import (all_text, doc_values, field_names, sort_numeric, source_json,
+from shardload.operators.docs import (all_text, discover_schema, doc_values, field_names, sort_numeric, source_json,
                                       to_wide, with_doc_meta)
 from shardload.operators.audit import index_readiness, shard_readiness, transfer_acceptance
 from shardload.operators.fields import fields_long, infer_fields, parse_meta_fields, rejects
@@ -31,7 +31,7 @@ from shardload.streaming.ingest import ingest_stream
 from shardload.streaming.publish import publish_stream, snapshot
 from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema, read_lines, with_doc_key
 from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
-                                      events_lines, lineitem_lines, orders_lines, part_lines, shard_state,
+                                      events_lines, lineitem_lines, mixed_lines, orders_lines, part_lines, shard_state,
                                       special_lines, table, text_lines, transfer_log)
 
 SHARDS = 5
@@ -659,3 +659,19 @@ def q_stream_publish(spark, sf):
     return read_current(spark, f"{base}/root").groupBy("shard_id").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min("_id").alias("min_id"), F.max("_id").alias("max_id"),
         F.count_distinct("_doc").alias("n_keys"), F.lit(len(state["epochs"])).cast("long").alias("n_epochs"))
+
+
+@query
+def q_wide_discovered(spark, sf):
+    """C7 without a schema (uses C8): names with conflicting declared types get the join of these, tags
+    are no columns, and a name that differs in case only is a column of its own."""
+    return to_wide(parsed_docs(mixed_lines(spark, sf), shards=SHARDS))
+
+
+@query
+def q_discover_schema(spark, sf):
+    """C8 resolved: the joined type of every name that is a column, with its values and declared types."""
+    docs = parsed_docs(mixed_lines(spark, sf), shards=SHARDS)
+    joined = F.create_map(*[F.lit(x) for pair in discover_schema(docs).items() for x in pair])
+    return (infer_fields(docs).withColumn("joined", F.try_element_at(joined, "name")).where("joined IS NOT NULL")
+            .groupBy("name", "joined").agg(F.count(F.lit(1)).alias("n_types"), F.sum("n_values").alias("n_values")))

@@ -113,6 +113,25 @@ def special_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  _kv("big", F.lit(1 << 53) + F.col("o_orderkey") % 7, "long"))))
 
 
+def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose names are declared with a type that changes from line to line:
+    ``n`` short/integer/long, ``x`` float/double, ``y`` short/float, ``z`` integer/float, ``big`` long (from 2^53 up) and
+    double, ``s`` string/integer, ``N`` (another name than ``n``) integer, and the priority as a tag."""
+    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    pick = lambda m, *options: F.element_at(F.array(*options), (key % m + 1).cast("int"))
+    typed = lambda name, value, *types: F.concat(F.lit(name + ":"), value.cast("string"), F.lit(":"), pick(len(types), *map(F.lit, types)))
+    return _keyed(o, _line(
+        key.cast("string"),
+        _cell(typed("n", key % 100, "short", "integer", "long"),
+              typed("x", (key % 8).cast("double") / 4, "float", "double"),
+              typed("y", key % 90, "short", "float"),
+              typed("z", key % 80, "integer", "float"),
+              pick(2, F.concat(F.lit("big:"), (F.lit(1 << 53) + key % 7).cast("string"), F.lit(":long")), F.lit("big:0.5:double")),
+              pick(2, F.concat(F.lit("s:a"), (key % 5).cast("string")), F.lit("s:7:integer")),
+              _kv("N", key % 3, "integer")),
+        F.col("o_orderpriority")))
+
+
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``p_partkey \\t size:<short>,price:<float>,brand:<s>,type:<s> \\t <name tag>``."""
     p = table(spark, sf_dir, "part")

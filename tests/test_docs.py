@@ -104,3 +104,36 @@ def test_wide_predicates_push_down(spark, scratch):
     assert "PushedFilters" in plan and "GreaterThanOrEqual(price,2.0)" in plan
     assert [r["size"] for r in q.collect()] == [7]
     assert [r["size"] for r in w.where(fuzzy("size", 10, 1, "short", wide=True)).collect()] == [11]
+
+
+def test_join_of_types_is_a_lattice():
+    import itertools
+
+    from shardload.operators.docs import join_types
+    types = ("short", "integer", "long", "float", "double", "string")
+    for a, b, c in itertools.product(types, repeat=3):
+        assert join_types([a]) == a and join_types([a, b]) == join_types([b, a])
+        assert join_types([join_types([a, b]), c]) == join_types([a, join_types([b, c])]) == join_types([a, b, c])
+    assert join_types(["long", "double"]) == "string" and join_types(["integer", "float"]) == "double"
+    assert join_types(["short", "float"]) == "float" and join_types([]) == "string"
+
+
+def test_wide_without_a_schema(spark):
+    import pytest
+
+    from conftest import lines_df
+    from shardload.operators.docs import discover_schema, to_wide
+    from shardload.plans.build import parsed_docs
+    docs = parsed_docs(lines_df(spark, [
+        "1\ta:1:short,a:70000:integer,b:9007199254740993:long,tag,_ID:x", "2\ta:5:long,b:0.25:double,A:2.5:float,col_q:w",
+        "3\t,,", "4\ta:bad:integer,c:NaN:double,c:1:float"]), on_error="null")
+    assert discover_schema(docs) == {"A": "float", "_ID": "string", "a": "long", "b": "string", "c": "double", "col_q": "string"}
+    rows = {r[0]: r for r in to_wide(docs).collect()}
+    assert to_wide(docs).columns == ["_id", "A", "_ID__2", "a__2", "b", "c", "col_q"]
+    assert tuple(rows["1"])[1:] == (None, "x", 1, "9007199254740993", None, None)
+    assert tuple(rows["2"])[1:] == (2.5, None, 5, "0.25", None, "w")
+    assert tuple(rows["3"])[1:] == (None,) * 6 and rows["4"][3] is None and str(rows["4"][5]) == "nan"
+    assert {r[0]: r[3] for r in to_wide(docs, multi="array").collect()} == {"1": [1, 70000], "2": [5], "3": [], "4": []}
+    with pytest.raises(ValueError, match="more than 3"):
+        to_wide(docs, max_columns=3)
+    assert to_wide(docs.where("_id = 'none'")).columns == ["_id"]
