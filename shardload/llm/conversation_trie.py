@@ -344,6 +344,7 @@ def nodes(conversations: DataFrame) -> DataFrame:
     own = saved(turns.withColumnRenamed("c", "rep").join(reps, "rep"), "trie-paths")
     at = ["depth", "f1", "f2"]
     shared = own.groupBy(*at).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(*at, F.lit(True).alias("shared"))
+    shared = saved(shared, "trie-prefixes-shared")  # read back, so that both sides of the join are plain and a hot prefix is split
     own = saved(own.join(shared, at, "left").withColumn("shared", F.coalesce("shared", F.lit(False))), "trie-shared")
     paths = own.where("shared").groupBy("rep").agg(F.sort_array(F.collect_list(path)).alias("path"))
     paths = reps.join(paths, "rep", "left").withColumn("path", F.transform(
