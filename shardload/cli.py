@@ -43,6 +43,8 @@ def build_parser() -> argparse.ArgumentParser:
     imp.add_argument("--rejects", help="also write the build's rejected values here (reject mode)")
     imp.add_argument("--meta", help="file with name:type,name:type for positional cells")
     imp.add_argument("--stop-words", default="english", choices=("english", "none"))
+    imp.add_argument("--analyzer", default="standard", choices=("standard", "plain"),
+                     help="words by Unicode word breaking, or runs of letters and digits")
     imp.add_argument("--build-id")
     imp.add_argument("--doc-values", help="write per-shard doc values for name:type,name:type")
     imp.add_argument("--postings", action="store_true", help="write the per-shard inverted index")
@@ -86,7 +88,7 @@ def main(argv: list[str] | None = None, spark=None) -> str | None:
                           **build_args)
     build = publish(docs, args.output, build_id=args.build_id, fmt=args.format, shards=args.shards,
                     doc_value_schema=dv, with_postings=args.postings, split=split,
-                    stop_words=() if args.stop_words == "none" else None)
+                    stop_words=() if args.stop_words == "none" else None, analyzer=args.analyzer)
     if args.rejects and args.on_error == "reject":
         read_current_part(spark, args.output, "rejects", args.format).write.mode("errorifexists").parquet(args.rejects)
     print(build)

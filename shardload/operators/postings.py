@@ -27,8 +27,62 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
+# The character classes of Unicode word breaking (Annex 29), as Java regex classes.
+# Marks and format characters belong to what stands before them (Extend, Format, ZWJ).
+_EXTEND = r"\p{M}\u200C\u200D\uFF9E\uFF9F\x{1F3FB}-\x{1F3FF}[\p{Cf}&&[^\u200B]]"
+_COMPLEX = (r"[\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}\p{IsTai_Le}\p{IsNew_Tai_Lue}\p{IsTai_Tham}\p{IsTai_Viet}&&[\p{L}]]")
+_KATAKANA = r"[\p{IsKatakana}&&[^\uFF9E\uFF9F]]\u3031-\u3035\u309B\u309C\u30A0\u30FC\uFF70"
+_LETTER = (r"[\p{IsAlphabetic}&&[^\p{IsIdeographic}\p{IsHiragana}" + _KATAKANA + r"\p{M}" + _COMPLEX + r"\p{Nd}\uFF9E\uFF9F]]"
+           r"\u02C2-\u02C5\u02D2-\u02D7\u02DE\u02DF\u02ED\u02EF-\u02FF")
+_HEBREW = r"[\p{IsHebrew}&&[\p{Lo}]]"
+_NUMERIC = r"\p{Nd}\u066B"
+_JOINER = r"\p{Pc}\u202F"
+_MID_ANY = r".\u2018\u2019\u2024\uFE52\uFF07\uFF0E'"
+_MID_LETTER = _MID_ANY + r":\u00B7\u0387\u05F4\u2027\uFE13\uFE55\uFF1A"
+_MID_NUMBER = _MID_ANY + r",;\u037E\u0589\u060C\u060D\u066C\u07F8\u2044\uFE10\uFE14\uFE50\uFE54\uFF0C\uFF1B"
+#: Longest token; what is longer is cut there.  Also the most parts that a token is joined of.
+MAX_TOKEN = 255
+
+
+def _word_pattern() -> str:
+    """The rules as one automaton: a token begins with joiners and a run of letters and numbers or of katakana, and goes
+    on over joiners, over one mark between two letters or two numbers, and over the quotes inside Hebrew words;
+    an ideograph or hiragana stands alone, a run of a script without spaces is one token.  A run is one possessive
+    step, whatever its length, and the number of steps is bounded, so no text exhausts the stack."""
+    c = lambda x: f"[{x}]"
+    more = lambda x: f"[{x}{_EXTEND}]*+"
+    rest = more("")
+    alnum, kana = c(_LETTER + _NUMERIC) + more(_LETTER + _NUMERIC), c(_KATAKANA) + more(_KATAKANA)
+    after = lambda x: f"(?<=[{x}][{_EXTEND}]{{0,8}})"
+    tail = more(_LETTER + _NUMERIC)
+    steps = [c(_JOINER) + more(_JOINER) + f"(?:{alnum}|{kana})?+",
+             after(_LETTER) + c(_MID_LETTER) + rest + c(_LETTER) + tail,
+             after(_NUMERIC) + c(_MID_NUMBER) + rest + c(_NUMERIC) + tail,
+             after(_HEBREW) + '"' + rest + c(_HEBREW) + tail]
+    word = f"(?:{c(_JOINER)}{more(_JOINER)})?+(?:{alnum}|{kana})(?:{'|'.join(steps)}){{0,{MAX_TOKEN}}}+(?:{after(_HEBREW)}'{rest})?+"
+    return "|".join([word, r"[\p{IsHan}\p{IsIdeographic}\p{IsHiragana}]" + rest, _COMPLEX + more(_COMPLEX)])
+
+
+WORD_PATTERN = _word_pattern()
+
+
+def word_tokens(text: Column) -> Column:
+    """D1, standard analysis: the words of a text by Unicode word breaking, lower-cased, cut after ``MAX_TOKEN``
+    characters.  ``don't`` and ``3.14`` are one token each; a mark or space alone is none."""
+    def cut(t: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.length(t) - 1) / MAX_TOKEN).cast("int"))
+        return F.when(F.length(t) <= MAX_TOKEN, F.array(t)).otherwise(
+            F.transform(starts, lambda k: F.substr(t, k * MAX_TOKEN + 1, F.lit(MAX_TOKEN))))
+    words = F.regexp_extract_all(text, F.lit(WORD_PATTERN), 0)
+    return F.flatten(F.transform(words, lambda t: cut(F.lower(t))))
+
+
+#: Analyses by name: ``plain`` takes runs of letters and digits, ``standard`` breaks words as Unicode does.
+ANALYZERS = {"plain": tokens_of, "standard": word_tokens}
+
+
 def tokenize(df: DataFrame, text_col: str, keep: tuple[str, ...] = ("_doc", "_id", "shard_id"),
-             field: str | None = None, stop_words: DataFrame | None = None) -> DataFrame:
+             field: str | None = None, stop_words: DataFrame | None = None, analyzer: str = "plain") -> DataFrame:
     """One row per token: ``keep…, field, position, term``.
 
     Positions count every token, so removing stop words leaves gaps as a
@@ -37,7 +91,7 @@ def tokenize(df: DataFrame, text_col: str, keep: tuple[str, ...] = ("_doc", "_id
     """
     keep = tuple(c for c in keep if c in df.columns)
     out = df.select(*keep, F.lit(field or text_col).alias("field"),
-                    F.posexplode(tokens_of(F.col(text_col))).alias("position", "term"))
+                    F.posexplode(ANALYZERS[analyzer](F.col(text_col))).alias("position", "term"))
     out = out.withColumn("position", F.col("position").cast("int"))
     if stop_words is not None:
         out = out.join(stop_words.select("term"), "term", "left_anti")
@@ -52,7 +106,7 @@ def string_values(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id", "shar
 
 
 def analyze_fields(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id", "shard_id"),
-                   stop_words: tuple[str, ...] = ()) -> DataFrame:
+                   stop_words: tuple[str, ...] = (), analyzer: str = "plain") -> DataFrame:
     """D1 over every string field of parsed documents.  The values of a field
     continue its position count; stop words leave gaps.
 
@@ -62,7 +116,7 @@ def analyze_fields(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id", "sha
     keep = tuple(c for c in keep if c in vals.columns)
     before = F.sum(F.size("tokens")).over(
         Window.partitionBy("_doc", "field").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    rows = vals.withColumn("tokens", tokens_of(F.col("value"))).withColumn("before", F.coalesce(before, F.lit(0)))
+    rows = vals.withColumn("tokens", ANALYZERS[analyzer](F.col("value"))).withColumn("before", F.coalesce(before, F.lit(0)))
     out = (rows.select(*keep, "field", "before", F.posexplode("tokens").alias("position", "term"))
            .select(*keep, "field", (F.col("before") + F.col("position")).cast("int").alias("position"), "term"))
     return out.where(~F.col("term").isin(*stop_words)) if stop_words else out
@@ -91,11 +145,11 @@ def _in_row_counts(all_keys: Column) -> Column:
     return F.concat(rows(F.array_distinct(all_keys), 1, 0), rows(all_keys, 0, 1))
 
 
-def term_counts(df: DataFrame, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def term_counts(df: DataFrame, text_col: str, keep: tuple[str, ...] = (), analyzer: str = "plain") -> DataFrame:
     """D3 from texts, without postings: ``(field, term, keep…, df, ttf)``.  A
     document's terms are told apart inside the row (a hash set of strings), so
     the only shuffle moves partial sums per term."""
-    tokens = F.explode(F.array(tokens_of(F.col(text_col)))).alias("t")
+    tokens = F.explode(F.array(ANALYZERS[analyzer](F.col(text_col)))).alias("t")
     return (df.select(*keep, tokens).select(*keep, F.explode(_in_row_counts(F.col("t"))).alias("r"))
             .groupBy(F.lit(text_col).alias("field"), F.col("r.key").alias("term"), *keep)
             .agg(F.sum("r.df").alias("df"), F.sum("r.ttf").alias("ttf")))

@@ -533,3 +533,11 @@ oracle("q_discover_schema", """
 SELECT name, joined, n_types, (SELECT count(*) FROM orders) AS n_values
 FROM (VALUES ('N', 'integer', 1::BIGINT), ('big', 'string', 2), ('n', 'long', 3), ('s', 'string', 2), ('x', 'double', 2), ('y', 'float', 2),
   ('z', 'double', 2)) t(name, joined, n_types)""")
+
+# The same words for the scripts of ``documents``: chains of letters and of numbers, as RE2 has no look-behind.
+WORD_RE = r"_*(?:\p{L}+(?:[.:''’]\p{L}+)*|\p{Nd}+(?:[.,;''’]\p{Nd}+)*|_+)+"
+
+oracle("q_word_terms", rf"""
+SELECT term, count(DISTINCT doc_id) AS df, count(*) AS ttf
+FROM (SELECT doc_id, lower(unnest(regexp_extract_all(text, '{WORD_RE}'))) AS term FROM documents)
+WHERE regexp_matches(term, '[\p{{L}}\p{{Nd}}]') GROUP BY term""")

@@ -174,12 +174,13 @@ def write_doc_values(written: DataFrame, path: str, schema: dict[str, str], shar
 
 
 def write_postings(written: DataFrame, path: str, shards: int, split: int = 1, fmt: str = "parquet",
-                   stop_words: tuple[str, ...] | None = None) -> None:
+                   stop_words: tuple[str, ...] | None = None, analyzer: str = "standard") -> None:
     """D1/D2 per shard: the inverted index of every string field, one row per
     (field, term, document), sorted by field, term and id; ``shards * split``
-    ranges of them."""
+    ranges of them.  ``analyzer`` as in ``operators.postings.ANALYZERS``."""
     from shardload.operators.postings import ENGLISH_STOP_WORDS, analyze_fields, postings
-    post = postings(analyze_fields(written, stop_words=ENGLISH_STOP_WORDS if stop_words is None else stop_words))
+    post = postings(analyze_fields(written, stop_words=ENGLISH_STOP_WORDS if stop_words is None else stop_words,
+                                   analyzer=analyzer))
     order = ("shard_id", "field", "term", "_id", "_doc")
     post.repartitionByRange(shards * max(1, split), *order).sortWithinPartitions(*order) \
         .write.mode("errorifexists").format(fmt).partitionBy("shard_id").save(path)
@@ -212,7 +213,8 @@ def _faulty_shards(docs: DataFrame, files: DataFrame) -> str:
 
 def write_build(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
                 shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
-                with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None) -> str:
+                with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None,
+                analyzer: str = "standard") -> str:
     """H1/H4: write a new build and its side tables and verify it; nothing is made live.
 
     Rows and a digest of their content are observed while the build is written and
@@ -243,7 +245,7 @@ def write_build(docs: DataFrame, root: str, build_id: str | None = None, fmt: st
         if doc_value_schema:
             write_doc_values(good, path + "_doc_values", doc_value_schema, n, split, fmt)
         if with_postings:
-            write_postings(good, path + "_postings", n, split, fmt, stop_words)
+            write_postings(good, path + "_postings", n, split, fmt, stop_words, analyzer)
             write_numeric_terms(good, path + "_numeric_terms", n, split, fmt)
     except BaseException:
         delete_build(spark, root, build_id)
@@ -262,10 +264,11 @@ def set_current(spark: SparkSession, root: str, build: str) -> None:
 
 def publish(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
             shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
-            with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None) -> str:
+            with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None,
+            analyzer: str = "standard") -> str:
     """H3: write a new build, verify it (``write_build``), then switch ``CURRENT`` to it.
     On any failure the live build is untouched.  Returns the build id."""
-    build_id = write_build(docs, root, build_id, fmt, shards, doc_value_schema, with_postings, split, stop_words)
+    build_id = write_build(docs, root, build_id, fmt, shards, doc_value_schema, with_postings, split, stop_words, analyzer)
     set_current(docs.sparkSession, root, build_id)
     return build_id
 

@@ -675,3 +675,10 @@ def q_discover_schema(spark, sf):
     joined = F.create_map(*[F.lit(x) for pair in discover_schema(docs).items() for x in pair])
     return (infer_fields(docs).withColumn("joined", F.try_element_at(joined, "name")).where("joined IS NOT NULL")
             .groupBy("name", "joined").agg(F.count(F.lit(1)).alias("n_types"), F.sum("n_values").alias("n_values")))
+
+
+@query
+def q_word_terms(spark, sf):
+    """D1/D3 by Unicode word breaking: document frequency and total frequency of the words of all texts."""
+    docs = with_doc_key(table(spark, sf, "documents").select("text"), spread=True)
+    return term_counts(docs, "text", analyzer="standard").select("term", "df", "ttf")

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardload.operators.postings import tokens_of
+from shardload.operators.postings import ANALYZERS, ENGLISH_STOP_WORDS
 from shardload.session import scratch_path
 
 #: Matches (shard, key, id) up to which a side is broadcast.
@@ -60,10 +60,10 @@ def around(field: str, value, spread, typ: str) -> Range:
     return Range(field, typ, int(value) - int(spread), int(value) + int(spread))
 
 
-def words(spark: SparkSession, field: str, text: str) -> list[Term]:
-    """The terms that the analysis makes of a query text: all of them have to match."""
-    row = spark.range(1).select(tokens_of(F.lit(text)).alias("t")).first()
-    return [Term(field, t) for t in dict.fromkeys(row.t)]
+def words(spark: SparkSession, field: str, text: str, analyzer: str = "standard", stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS) -> list[Term]:
+    """The terms that the analysis of the build makes of a query text: all of them have to match."""
+    row = spark.range(1).select(ANALYZERS[analyzer](F.lit(text)).alias("t")).first()
+    return [Term(field, t) for t in dict.fromkeys(row.t) if t not in stop_words]
 
 
 def _run(tables: dict[str, DataFrame], clause: Term | Range) -> DataFrame:
