@@ -47,6 +47,7 @@ def build_parser() -> argparse.ArgumentParser:
                      help="words by Unicode word breaking, or runs of letters and digits")
     imp.add_argument("--build-id")
     imp.add_argument("--doc-values", help="write per-shard doc values for name:type,name:type")
+    imp.add_argument("--stats", action="store_true", help="store field and term statistics of each shard")
     imp.add_argument("--postings", action="store_true", help="write the per-shard inverted index")
     for name in ("drop", "current"):
         s = sub.add_parser(name)
@@ -88,7 +89,7 @@ def main(argv: list[str] | None = None, spark=None) -> str | None:
                           **build_args)
     build = publish(docs, args.output, build_id=args.build_id, fmt=args.format, shards=args.shards,
                     doc_value_schema=dv, with_postings=args.postings, split=split,
-                    stop_words=() if args.stop_words == "none" else None, analyzer=args.analyzer)
+                    stop_words=() if args.stop_words == "none" else None, analyzer=args.analyzer, with_stats=args.stats)
     if args.rejects and args.on_error == "reject":
         read_current_part(spark, args.output, "rejects", args.format).write.mode("errorifexists").parquet(args.rejects)
     print(build)

@@ -14,18 +14,48 @@ from shardload.operators.fields import distinct_key, key_part, value_string
 from shardload.operators.postings import real, whole
 from shardload.session import materialize
 
+STATE = ("doc_count", "sum_doc_freq", "sum_total_term_freq", "min_l", "max_l", "min_d", "max_d")
+
+
+def field_states(docs: DataFrame, by_shard: bool = True) -> DataFrame:
+    """G1 as partial states: ``(shard_id, name, type, doc_count, …, max_d)``, and of each shard a row without a name
+    whose ``doc_count`` counts its documents.  A document lies in one shard, so states of different shards, or of
+    documents added later, add up (``merge_field_states``) without a look at the documents."""
+    return _field_rows(docs, ["shard_id"] if by_shard else [])
+
+
+def merge_field_states(states: DataFrame, shards: list[int] | None = None) -> DataFrame:
+    """G1 of a set of shards (None: all) from their stored states; columns as ``field_stats``."""
+    own = states if shards is None else states.where(F.col("shard_id").isin(list(shards)))
+    max_doc = own.where("name IS NULL").agg(F.sum("doc_count")).first()[0] or 0
+    sums = own.where("name IS NOT NULL").groupBy("name", "type").agg(
+        *[F.sum(c).alias(c) for c in STATE[:3]], *[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in STATE[3:]])
+    return sums.select("name", "type", F.lit(max_doc).cast("bigint").alias("max_doc"), *STATE)
+
+
+def merge_term_states(states: DataFrame, shards: list[int] | None = None) -> DataFrame:
+    """D3 of a set of shards from stored ``(shard_id, field, term, df, ttf)``."""
+    own = states if shards is None else states.where(F.col("shard_id").isin(list(shards)))
+    return own.groupBy("field", "term").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
+
+
 def field_stats(docs: DataFrame) -> DataFrame:
     """G1: per field and type: ``max_doc`` (documents in the set),
     ``doc_count`` (documents with the field), ``sum_doc_freq`` (distinct
     values summed over documents), ``sum_total_term_freq`` (values), and the
     exact range: ``min_l`` / ``max_l`` of integral, ``min_d`` / ``max_d`` of
     float and double fields.
+    """
+    # The states have one row per field name and type; they are written once to the
+    # checkpoint folder, so the document count (one number) is read without re-running the parse.
+    return merge_field_states(materialize(field_states(docs, by_shard=False)))
 
-    One pass: every document emits its distinct (name, type) pairs, its
+
+def _field_rows(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """One pass: every document emits its distinct (name, type) pairs, its
     distinct (name, type, value) triples (one string each, in a hash set), all
     its values and one marker row for ``max_doc``; a single aggregation sums
-    them.
-    """
+    them."""
     null = F.lit(None)
     valid = F.filter("fields", lambda x: x["name"].isNotNull())
     parts = F.explode(F.array(F.struct(
@@ -34,31 +64,19 @@ def field_stats(docs: DataFrame) -> DataFrame:
         F.array_distinct(F.transform(valid, lambda x: distinct_key(x["name"], x["type"], value_string(x)))).alias("ntv"),
     ))).alias("p")
 
-    def row(name, typ, dc, df, ttf, w=null, r=null, marker=False):
+    def row(name, typ, dc, df, ttf, w=null, r=null):
         return F.struct(name.alias("name"), typ.alias("type"), F.lit(dc).alias("dc"), F.lit(df).alias("df"),
-                        F.lit(ttf).alias("ttf"), w.cast("bigint").alias("w"), r.cast("double").alias("r"),
-                        F.lit(marker).alias("mk"))
+                        F.lit(ttf).alias("ttf"), w.cast("bigint").alias("w"), r.cast("double").alias("r"))
 
     rows = F.concat(
-        F.array(row(null.cast("string"), null.cast("string"), 1, 0, 0, marker=True)),
+        F.array(row(null.cast("string"), null.cast("string"), 1, 0, 0)),
         F.transform("p.nt", lambda k: row(key_part(k, 0), key_part(k, 1), 1, 0, 0)),
         F.transform("p.ntv", lambda k: row(key_part(k, 0), key_part(k, 1), 0, 1, 0)),
         F.transform("p.x", lambda x: row(x["name"], x["type"], 0, 0, 1, whole(x), real(x))))
-    agg = (docs.select(parts).select(F.explode(rows).alias("r")).select("r.*")
-           .groupBy("name", "type")
-           .agg(F.sum("dc").alias("doc_count"), F.sum("df").alias("sum_doc_freq"),
-                F.sum("ttf").alias("sum_total_term_freq"),
-                F.min("w").alias("min_l"), F.max("w").alias("max_l"), F.min("r").alias("min_d"),
-                F.max("r").alias("max_d"), F.bool_or("mk").alias("mk")))
-    # The aggregate has one row per field name and type; it is written once
-    # to the checkpoint folder, so the marker row (the document count, one
-    # number) is read from it without re-running the parse.
-    agg = materialize(agg)
-    marker = agg.where(F.col("mk")).select("doc_count").first()
-    max_doc = marker[0] if marker else 0
-    return (agg.where(~F.col("mk"))
-            .select("name", "type", F.lit(max_doc).cast("bigint").alias("max_doc"), "doc_count",
-                    "sum_doc_freq", "sum_total_term_freq", "min_l", "max_l", "min_d", "max_d"))
+    return (docs.select(*keep, parts).select(*keep, F.explode(rows).alias("r")).select(*keep, "r.*")
+            .groupBy(*keep, "name", "type")
+            .agg(F.sum("dc").alias("doc_count"), F.sum("df").alias("sum_doc_freq"), F.sum("ttf").alias("sum_total_term_freq"),
+                 F.min("w").alias("min_l"), F.max("w").alias("max_l"), F.min("r").alias("min_d"), F.max("r").alias("max_d")))
 
 
 def duplicate_ids(docs: DataFrame, key: str = "_id") -> DataFrame:

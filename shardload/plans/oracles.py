@@ -541,3 +541,14 @@ oracle("q_word_terms", rf"""
 SELECT term, count(DISTINCT doc_id) AS df, count(*) AS ttf
 FROM (SELECT doc_id, lower(unnest(regexp_extract_all(text, '{WORD_RE}'))) AS term FROM documents)
 WHERE regexp_matches(term, '[\p{{L}}\p{{Nd}}]') GROUP BY term""")
+
+oracle("q_stored_field_stats", f"""
+SELECT name, type, (SELECT count(*) FROM orders) AS max_doc, count(*) AS doc_count, count(*) AS sum_doc_freq, count(*) AS sum_total_term_freq,
+  CAST(min(CASE WHEN type IN ('long', 'integer') THEN num END) AS BIGINT) AS min_l,
+  CAST(max(CASE WHEN type IN ('long', 'integer') THEN num END) AS BIGINT) AS max_l,
+  min(CASE WHEN type = 'double' THEN num END) AS min_d, max(CASE WHEN type = 'double' THEN num END) AS max_d
+FROM ({orders_fields()}) GROUP BY name, type""")
+
+oracle("q_stored_term_stats", f"""
+SELECT 'status' AS field, lower(o_orderstatus) AS term, count(*) AS df, count(*) AS ttf
+FROM orders WHERE {ORDER_SHARD} IN (1, 3) GROUP BY o_orderstatus""")

@@ -31,7 +31,7 @@ from shardload.operators.stats import manifest
 from shardload.plans.files import SUMS, digest_sums, scan_files, shard_digests
 
 POINTER = "CURRENT"
-SIDE_TABLES = ("", "_manifest", "_files", "_doc_values", "_postings", "_numeric_terms", "_schema", "_runs")
+SIDE_TABLES = ("", "_manifest", "_files", "_doc_values", "_postings", "_numeric_terms", "_field_stats", "_term_stats", "_schema", "_runs")
 # Writer settings: lookups by id skip row groups that do not hold it.
 BLOOM = {"parquet": {"parquet.bloom.filter.enabled#_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"},
          "orc": {"orc.bloom.filter.columns": "_id"}}
@@ -194,6 +194,17 @@ def write_numeric_terms(written: DataFrame, path: str, shards: int, split: int =
         .write.mode("errorifexists").format(fmt).partitionBy("shard_id").save(path)
 
 
+def write_stats(written: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """G1/D3 per shard as mergeable states: fields, and the terms of the index if the build has one (``_postings``)."""
+    from shardload.operators.postings import term_stats
+    from shardload.operators.stats import field_states
+    spark = written.sparkSession
+    field_states(written).write.mode("errorifexists").format(fmt).save(path + "_field_stats")
+    if exists(spark, path + "_postings"):
+        term_stats(spark.read.format(fmt).load(path + "_postings"), by_shard=True) \
+            .write.mode("errorifexists").format(fmt).save(path + "_term_stats")
+
+
 def check_doc_values(schema: dict[str, str] | None) -> None:
     from shardload.operators.docs import SLOT_OF_TYPE
     for name, typ in (schema or {}).items():
@@ -214,7 +225,7 @@ def _faulty_shards(docs: DataFrame, files: DataFrame) -> str:
 def write_build(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
                 shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
                 with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None,
-                analyzer: str = "standard") -> str:
+                analyzer: str = "standard", with_stats: bool = False) -> str:
     """H1/H4: write a new build and its side tables and verify it; nothing is made live.
 
     Rows and a digest of their content are observed while the build is written and
@@ -247,6 +258,8 @@ def write_build(docs: DataFrame, root: str, build_id: str | None = None, fmt: st
         if with_postings:
             write_postings(good, path + "_postings", n, split, fmt, stop_words, analyzer)
             write_numeric_terms(good, path + "_numeric_terms", n, split, fmt)
+        if with_stats:
+            write_stats(good, path, fmt)
     except BaseException:
         delete_build(spark, root, build_id)
         raise
@@ -265,10 +278,10 @@ def set_current(spark: SparkSession, root: str, build: str) -> None:
 def publish(docs: DataFrame, root: str, build_id: str | None = None, fmt: str = "parquet",
             shards: int | None = None, doc_value_schema: dict[str, str] | None = None,
             with_postings: bool = False, split: int = 1, stop_words: tuple[str, ...] | None = None,
-            analyzer: str = "standard") -> str:
+            analyzer: str = "standard", with_stats: bool = False) -> str:
     """H3: write a new build, verify it (``write_build``), then switch ``CURRENT`` to it.
     On any failure the live build is untouched.  Returns the build id."""
-    build_id = write_build(docs, root, build_id, fmt, shards, doc_value_schema, with_postings, split, stop_words, analyzer)
+    build_id = write_build(docs, root, build_id, fmt, shards, doc_value_schema, with_postings, split, stop_words, analyzer, with_stats)
     set_current(docs.sparkSession, root, build_id)
     return build_id
 
@@ -290,8 +303,8 @@ def read_files(spark: SparkSession, root: str, build: str) -> DataFrame:
 
 
 def read_current_part(spark: SparkSession, root: str, part: str, fmt: str = "parquet") -> DataFrame:
-    """A side table of the live build: ``manifest``, ``files``, ``doc_values``,
-    ``postings``, ``numeric_terms``, or ``rejects`` of a build in reject mode."""
+    """A side table of the live build: ``manifest``, ``files``, ``doc_values``, ``postings``, ``numeric_terms``,
+    ``field_stats`` and ``term_stats`` (states of the shards), or ``rejects`` of a build in reject mode."""
     build = live_build(spark, root)
     if part == "rejects":
         return rejected(_load(spark, root, build, "", fmt))

@@ -20,7 +20,7 @@ from shardload.operators.fields import fields_long, infer_fields, parse_meta_fie
 from shardload.operators.postings import numeric_terms, postings, term_counts, tokenize, tokens_of
 from shardload.operators.predicates import exists_, exists_in_build, fuzzy, get_by_id, match_term, range_, term
 from shardload.operators.routing import by_shard, order_shard, route, route_hash, shard_histogram, shard_skew
-from shardload.operators.stats import duplicate_ids, field_stats, manifest
+from shardload.operators.stats import duplicate_ids, field_stats, manifest, merge_field_states, merge_term_states
 from shardload.plans.build import numeric_value, parsed_docs, shard_docs
 from shardload.plans.files import documents_by_id, verify_build
 from shardload.plans.search import Range, Term, around, search
@@ -28,7 +28,7 @@ from shardload.plans.publish import (bulk_lines, publish, read_current, read_cur
                                      write_sharded)
 from shardload.session import scratch_path
 from shardload.streaming.ingest import ingest_stream
-from shardload.streaming.publish import publish_stream, snapshot
+from shardload.streaming.publish import apply_batch, publish_stream, snapshot
 from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema, read_lines, with_doc_key
 from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
                                       events_lines, lineitem_lines, mixed_lines, orders_lines, part_lines, shard_state,
@@ -682,3 +682,25 @@ def q_word_terms(spark, sf):
     """D1/D3 by Unicode word breaking: document frequency and total frequency of the words of all texts."""
     docs = with_doc_key(table(spark, sf, "documents").select("text"), spread=True)
     return term_counts(docs, "text", analyzer="standard").select("term", "df", "ttf")
+
+
+def _two_batches(spark, sf, name, **side):
+    """The order lines published as two batches, odd and even keys."""
+    lines, root = orders_lines(spark, sf).select("value"), scratch_path(spark, name)
+    odd = F.substring_index("value", "\t", 1).cast("long") % 2 == 1
+    for epoch, part in enumerate((odd, ~odd)):
+        apply_batch(lines.where(part), root, epoch, "orders", "order", shards=SHARDS, with_stats=True, **side)
+    return root
+
+
+@query
+def q_stored_field_stats(spark, sf):
+    """G1 kept with the build: states of the shards of two batches, merged without a look at the documents."""
+    return merge_field_states(read_current_part(spark, _two_batches(spark, sf, "stored_stats"), "field_stats"))
+
+
+@query
+def q_stored_term_stats(spark, sf):
+    """D3 kept with the build: the terms of shards 1 and 3, merged over two batches."""
+    root = _two_batches(spark, sf, "stored_terms", with_postings=True)
+    return merge_term_states(read_current_part(spark, root, "term_stats"), [1, 3])

@@ -104,3 +104,19 @@ def test_stream_from_files(spark, scratch):
                          merge_at=2).awaitTermination(600)
         assert read_current(spark, root).select("_id").distinct().count() == read_current(spark, root).count() == 1500
     assert sorted(S.snapshot(spark, root)["epochs"]) == ["0", "1", "2"]
+
+
+def test_stored_states_equal_a_rescan(spark, scratch):
+    from shardload.operators.postings import analyze_fields, postings, term_stats
+    from shardload.operators.stats import field_stats, merge_field_states, merge_term_states
+    root = os.path.join(scratch, "ds")
+    for epoch in range(3):
+        S.apply_batch(lines_of(spark, epoch), root, epoch, "ix", shards=4, merge_at=2, with_postings=True, with_stats=True)
+    docs = read_current(spark, root)
+    fields, terms = (read_current_part(spark, root, p) for p in ("field_stats", "term_stats"))
+    for shards in (None, [1], [0, 2, 3], []):
+        own = docs if shards is None else docs.where(F.col("shard_id").isin(shards))
+        key = lambda df: sorted(map(str, df.collect()))
+        assert key(merge_field_states(fields, shards)) == key(field_stats(own))
+        want = term_stats(postings(analyze_fields(own, analyzer="standard")))
+        assert key(merge_term_states(terms, shards)) == key(want)
