@@ -34,6 +34,7 @@ def build_parser() -> argparse.ArgumentParser:
     imp.add_argument("--shards", type=int, default=DEFAULT_SHARDS)
     imp.add_argument("--split", default="auto",
                      help="sub-partitions per shard: a number, or 'auto' (from the input size)")
+    imp.add_argument("--range-bytes", type=int, help="cut each shard by the bytes of its lines instead, about so many a task")
     imp.add_argument("--on-error", default="fail", choices=("fail", "reject", "null"),
                      help="a bad value fails the import; or its document is kept apart; or the value is null")
     imp.add_argument("--format", default="parquet", choices=("parquet", "orc", "json"))
@@ -79,7 +80,8 @@ def main(argv: list[str] | None = None, spark=None) -> str | None:
         check_doc_values(dv)
     lines = numbered_lines(spark, args.input) if args.auto_id else read_lines(spark, args.input)
     split = auto_split(input_bytes(spark, args.input), args.shards) if args.split == "auto" else int(args.split)
-    build_args = dict(shards=args.shards, split=split, with_all=args.all_field, source_dup=args.source_dup)
+    build_args = dict(shards=args.shards, split=split, with_all=args.all_field, source_dup=args.source_dup,
+                      range_bytes=args.range_bytes)
     if args.meta:
         meta = "".join(r.value for r in spark.read.text(args.meta, wholetext=True).collect()).replace("\n", ",")
         docs = shard_fields(keyed_lines(lines, delim, args.auto_id), args.index, args.type, meta=meta, delim=delim,

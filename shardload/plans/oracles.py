@@ -552,3 +552,7 @@ FROM ({orders_fields()}) GROUP BY name, type""")
 oracle("q_stored_term_stats", f"""
 SELECT 'status' AS field, lower(o_orderstatus) AS term, count(*) AS df, count(*) AS ttf
 FROM orders WHERE {ORDER_SHARD} IN (1, 3) GROUP BY o_orderstatus""")
+
+oracle("q_placed_by_bytes", f"""
+SELECT shard_id, _id, CAST(octet_length(encode(payload)) AS BIGINT) AS bytes, row_number() OVER (PARTITION BY shard_id ORDER BY _id DESC) AS rank
+FROM (SELECT {shard_sql('doc_id::VARCHAR', SHARDS)} AS shard_id, doc_id::VARCHAR AS _id, replace(text, chr(9), ' ') AS payload FROM documents)""")

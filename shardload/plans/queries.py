@@ -21,7 +21,7 @@ from shardload.operators.postings import numeric_terms, postings, term_counts, t
 from shardload.operators.predicates import exists_, exists_in_build, fuzzy, get_by_id, match_term, range_, term
 from shardload.operators.routing import by_shard, order_shard, route, route_hash, shard_histogram, shard_skew
 from shardload.operators.stats import duplicate_ids, field_stats, manifest, merge_field_states, merge_term_states
-from shardload.plans.build import numeric_value, parsed_docs, shard_docs
+from shardload.plans.build import numeric_value, parsed_docs, placed_lines, shard_docs
 from shardload.plans.files import documents_by_id, verify_build
 from shardload.plans.search import Range, Term, around, search
 from shardload.plans.publish import (bulk_lines, publish, read_current, read_current_part, verify_publish,
@@ -30,7 +30,7 @@ from shardload.session import scratch_path
 from shardload.streaming.ingest import ingest_stream
 from shardload.streaming.publish import apply_batch, publish_stream, snapshot
 from shardload.sources.lines import dropped_lines, keyed_lines, parse_with_schema, read_lines, with_doc_key
-from shardload.sources.tables import (CUSTOMER_META, customer_lines, docmeta_lines, documents_docs,
+from shardload.sources.tables import (CUSTOMER_META, TAB, customer_lines, docmeta_lines, documents_docs,
                                       events_lines, lineitem_lines, mixed_lines, orders_lines, part_lines, shard_state,
                                       special_lines, table, text_lines, transfer_log)
 
@@ -704,3 +704,19 @@ def q_stored_term_stats(spark, sf):
     """D3 kept with the build: the terms of shards 1 and 3, merged over two batches."""
     root = _two_batches(spark, sf, "stored_terms", with_postings=True)
     return merge_term_states(read_current_part(spark, root, "term_stats"), [1, 3])
+
+
+@query
+def q_placed_by_bytes(spark, sf):
+    """F2 by weight with F3: the texts as lines of very different lengths, in ranges of about 64 KB; the rank of each
+    document over its shard's ranges, and the shard's share of all bytes."""
+    docs = table(spark, sf, "documents").select(F.concat_ws(TAB, F.col("doc_id").cast("string"), F.regexp_replace("text", TAB, " ")).alias("value"))
+    placed = placed_lines(keyed_lines(with_doc_key(docs, spread=True)), SHARDS, range_bytes=64 << 10)
+    path, at = scratch_path(spark, "placed"), F.monotonically_increasing_id()
+    placed.select("shard_id", "_id", F.octet_length("payload").cast("long").alias("bytes"), F.shiftright(at, 33).alias("_p"),
+                  at.bitwiseAND(F.lit(POS_MASK)).alias("_i")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    # a partition holds one range of one shard; a row for each of them
+    before = F.sum("n").over(Window.partitionBy("shard_id").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    parts = rows.groupBy("shard_id", "_p").agg(F.count(F.lit(1)).alias("n")).select("shard_id", "_p", F.coalesce(before, F.lit(0)).alias("_b"))
+    return rows.join(parts, ["shard_id", "_p"]).select("shard_id", "_id", "bytes", (F.col("_b") + F.col("_i") + 1).alias("rank"))

@@ -151,3 +151,52 @@ def test_numpy_hash_random_unicode():
     pool = [0x41, 0x7A, 0xE9, 0x3B1, 0x4E2D, 0xFFFD, 0x1F600, 0x10348, 0x20000]
     ids = ["".join(chr(rnd.choice(pool)) for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
     assert [int(x) for x in murmur3_utf16(ids)] == [_py_murmur(s) for s in ids]
+
+
+def _ranges(df):
+    """partition -> its rows in order."""
+    out = {}
+    for p, r in df.rdd.mapPartitionsWithIndex(lambda p, rows: ((p, r) for r in rows)).collect():
+        out.setdefault(p, []).append(r)
+    return out
+
+
+def test_ranges_by_bytes(spark):
+    """A shard of long lines gets more ranges than one of short lines; rows and order are those of one range a shard."""
+    import random
+
+    from shardload.plans.build import placed_lines
+    from shardload.sources.lines import keyed_lines
+    rnd = random.Random(1)
+    ids = [f"k{n}" for n in range(1500)] + ["hot"] * 400 + ["é\U0001F600", "￮"]
+    from shardload.operators.predicates import shard_for
+    lines = [f"{i}\tx:{'y' * (2000 if shard_for(i, 4) == 2 else rnd.randrange(20))}" for i in ids]
+    df = lines_df(spark, lines).repartition(3)
+    keyed = keyed_lines(df)
+    size = {s: sum(len(x) for x in lines if shard_for(x.split("\t")[0], 4) == s) for s in range(4)}
+    target = 50_000
+    got = _ranges(placed_lines(keyed, 4, range_bytes=target))
+    whole = _ranges(placed_lines(keyed, 4))
+    by_shard: dict = {}
+    for p in sorted(got):
+        assert len({r["shard_id"] for r in got[p]}) == 1
+        by_shard.setdefault(got[p][0]["shard_id"], []).append(got[p])
+    for s in range(4):
+        assert [tuple(r) for part in by_shard[s] for r in part] == [tuple(r) for r in whole[s]]
+        n = len(by_shard[s])
+        assert abs(n - max(1, size[s] / target)) <= 0.3 * size[s] / target + 1, (s, n, size[s])
+        for part in by_shard[s]:
+            assert sum(len(r["payload"]) + len(r["_id"]) for r in part) < 1.7 * target
+    assert len(by_shard[2]) > 5 * min(len(v) for v in by_shard.values())
+
+
+def test_one_id_is_cut_by_the_document_key(spark):
+    from shardload.plans.build import placed_lines
+    from shardload.sources.lines import keyed_lines
+    keyed = keyed_lines(lines_df(spark, [f"same\tx:{'z' * 500}{k}" for k in range(600)] + ["other\tq:1"]))
+    got = _ranges(placed_lines(keyed, 3, range_bytes=30_000))
+    parts = [got[p] for p in sorted(got) if got[p][0]["_id"] == "same"]
+    assert len(parts) >= 7 and max(map(len, parts)) < 120
+    docs = [r["_doc"] for part in parts for r in part if r["_id"] == "same"]
+    assert docs == sorted(docs) and len(docs) == 600
+    assert sum(map(len, _ranges(placed_lines(keyed.where("_id = 'none'"), 3, range_bytes=1000)).values())) == 0
