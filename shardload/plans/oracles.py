@@ -240,7 +240,7 @@ GOOD = "o_orderkey % 50 < 45"
 oracle("q_sort_double", f"""
 SELECT o_orderkey::VARCHAR AS _id, {SPECIAL} AS total,
        row_number() OVER (ORDER BY CAST({SPECIAL} AS DOUBLE) DESC, (o_orderkey % 50 = 3)::INT, o_orderkey::VARCHAR) AS rank
-FROM orders WHERE o_orderkey % 50 < 40""")
+FROM orders WHERE {GOOD}""")
 
 oracle("q_sort_double_all", f"""
 SELECT o_orderkey::VARCHAR AS _id, total,

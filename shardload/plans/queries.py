@@ -235,10 +235,10 @@ def _ranked(df: DataFrame, name: str) -> DataFrame:
 
 @query
 def q_sort_double(spark, sf):
-    """The orders with a key below 40 modulo 50 by ``total`` (descending, index order
-    for doubles), with NaN, both infinities and both zeros among the values."""
-    docs = parsed_docs(special_lines(spark, sf), shards=SHARDS, on_error="null")
-    wide = to_wide(docs.where(F.col("_id").cast("long") % 50 < 40), {"total": "double"})
+    """The orders by ``total`` (descending, index order for doubles), with NaN, both infinities and both
+    zeros among the values; documents with a bad value are rejected (``q_sort_double_all`` keeps them)."""
+    docs = parsed_docs(special_lines(spark, sf), shards=SHARDS, on_error="reject")
+    wide = to_wide(docs, {"total": "double"})
     ranked = _ranked(sort_numeric(wide, "total", descending=True, then=("_id",)), "sorted")
     return ranked.select("_id", F.col("total").cast("string").alias("total"), "rank")
 
