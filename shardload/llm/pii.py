@@ -1,13 +1,17 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four kinds have a fixed form (e-mail, IPv4, payment card, phone) and are the
-seed entities.  Every seed, and every other token with a digit or an at sign,
-is an instance; the words next to it and a ``key=`` within it are its lexical
-patterns.  Spark scores the graph of patterns and instances in rounds: a
-pattern's confidence for a kind is the mean over its distinct instances (one
-more counted as wrong), an instance's is what its patterns leave unlikely not to
-be.  Patterns with enough support and confidence then name the unseen instances
-next to them, as their kind, or ``id`` if only the kinds together reach it.
+seed entities; so are, as ``id``, long tokens of mixed letters and digits that stand
+behind a key (``name = …``, ``name: …``, ``name=…``).  Every seed, and every other token
+with a digit or an at sign, is an instance; the words next to it and a ``key=`` within
+it are its lexical patterns.  Spark scores the graph of patterns and instances in
+rounds.  An instance is judged if it is a seed or if the round before found it; a
+pattern's confidence for a kind is the mean over its judged distinct instances, with
+those not judged counted as wrong in part (``UNKNOWN``) and one more as wrong; an
+instance's is what its patterns leave unlikely not to be.  Patterns with enough judged
+instances and confidence then name what stands next to them and has no fixed form, as
+their kind, or ``id`` if only the kinds together reach it.  A token behind a key is named
+by its pattern only: the seed rule alone adds no span.
 
 Defined results: a null text is empty (no spans, the hash of ''); spans are code
 points, end exclusive; spans found by pattern never overlap a seed; repeated
@@ -30,6 +34,10 @@ from shardload.llm.common import saved, small
 KINDS = ("email", "ip", "card", "phone")
 OTHER = "id"
 ROUNDS, MIN_SUPPORT, MIN_CONFIDENCE = 3, 5, 0.8
+#: Weight of an instance that is not judged.
+UNKNOWN = 0.5
+#: Shape of a secret: its length, and how many letters, digits and different characters it has at least.
+SECRET_LENGTH, SECRET_MIX, SECRET_CHARACTERS = (16, 512), 3, 8
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -38,7 +46,8 @@ _DIGITS = re.compile("[0-9]+")
 _TOKEN = re.compile(r"\S+")
 _HINT = re.compile("[0-9@]")
 _KEY = re.compile(r"([A-Za-z_]{1,32}[=:])(?=.)")
-_EDGE = ".,;:!?()[]{}<>\"'"
+_EDGE = ".,;:!?()[]{}<>\"'#$%&*|"
+_SECRET = re.compile(r"[A-Za-z0-9+/=_-]+\Z")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -111,6 +120,13 @@ def _short(s: str) -> str:
     return s if len(s) <= 40 else hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
+def _secret(token: str) -> bool:
+    """A long token of mixed letters and digits."""
+    letters, digits = sum(map(str.isalpha, token)), sum(map(str.isdigit, token))
+    return (SECRET_LENGTH[0] <= len(token) <= SECRET_LENGTH[1] and min(letters, digits) >= SECRET_MIX
+            and len(set(token.lower())) >= SECRET_CHARACTERS and _SECRET.match(token) is not None)
+
+
 def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int | None, int, list[str]]]:
     """``(start, end, kind number or None, hash of the instance, patterns)``."""
     if not _HINT.search(text):
@@ -133,6 +149,7 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
             if s < e:
                 own = [(s, None, e)]
         before = [_short(text[x:y]) for x, y in tokens[max(0, k - 2):k]]
+        behind_key = k > 0 and text[tokens[k - 1][1] - 1] in "=:"
         for s, kind, e in own:
             patterns = ["1 " + before[-1]] if before else []
             if len(before) == 2:
@@ -145,6 +162,10 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
                 patterns.append("= " + key.group(1).lower())
                 if kind is None:
                     s = max(s, key.end())
+                    while s < e - 1 and text[s] in _EDGE:
+                        s += 1
+            if kind is None and (behind_key or key) and _secret(text[s:e]):
+                kind = len(KINDS)
             value = hashlib.blake2b(text[s:e].encode("utf-8", "surrogatepass"), digest_size=8).digest()
             out.append((s, e, kind, int.from_bytes(value, "little", signed=True), patterns))
     return out
@@ -167,26 +188,31 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trusted(found: DataFrame, rounds: int = ROUNDS, support: int = MIN_SUPPORT,
-            confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """``(pattern, rank)``: the patterns to trust.  ``found``: ``(value, kind,
-    pattern)``, a row per occurrence of an instance beside a pattern."""
-    n = len(KINDS)
-    edges = saved(found.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-edges")
-    known = [F.when(F.col("kind") == k, 1.0).otherwise(0.0).alias(f"s{k}") for k in range(n)]
-    scored = edges.select("pattern", "value", "kind", *known)
+            confidence: float = MIN_CONFIDENCE, unknown: float = UNKNOWN) -> DataFrame:
+    """``(pattern, rank)``: the patterns to trust.  ``found``: ``(value, kind, pattern)``, a row per
+    occurrence of an instance beside a pattern; a value is of a kind if it is so anywhere."""
+    n = len(KINDS) + 1
+    seeds_of = found.where("kind IS NOT NULL").groupBy("value").agg(F.max("kind").alias("kind"))
+    edges = saved(found.select("pattern", "value").distinct().join(seeds_of, "value", "left"), "pii-edges")
+    scored = edges.select("pattern", F.col("kind").isNotNull().alias("judged"),
+                          *[F.when(F.col("kind") == k, 1.0).otherwise(0.0).alias(f"s{k}") for k in range(n)])
     for r in range(rounds):
-        conf = scored.groupBy("pattern").agg(
-            F.count("kind").alias("support"), *[(F.sum(f"s{k}") / (F.count(F.lit(1)) + 1)).alias(f"c{k}") for k in range(n)])
+        judged = F.count(F.when(F.col("judged"), 1))
+        weight = judged + unknown * (F.count(F.lit(1)) - judged) + 1
+        conf = scored.groupBy("pattern").agg(judged.alias("support"), *[
+            (F.sum(F.when(F.col("judged"), F.col(f"s{k}")).otherwise(0.0)) / weight).alias(f"c{k}") for k in range(n)])
         conf = saved(conf.where(F.col("support") >= support), f"pii-patterns{r}")
         if r + 1 == rounds:
             break
-        lift = edges.join(conf, "pattern").where("kind IS NULL").groupBy("value").agg(
+        lift = edges.where("kind IS NULL").join(conf, "pattern").groupBy("value").agg(
             *[(1 - F.exp(F.sum(F.log1p(-F.col(f"c{k}"))))).alias(f"v{k}") for k in range(n)])
-        scored = edges.join(lift, "value", "left").select("pattern", "value", "kind", *[
-            F.when(F.col("kind") == k, 1.0).when(F.col("kind").isNull(), F.coalesce(f"v{k}", F.lit(0.0))).otherwise(0.0)
-            .alias(f"s{k}") for k in range(n)])
+        lift = lift.where(F.greatest(*[F.col(f"v{k}") for k in range(n)]) >= confidence)  # the instances found
+        scored = edges.join(lift, "value", "left").select(
+            "pattern", (F.col("kind").isNotNull() | F.col("v0").isNotNull()).alias("judged"), *[
+                F.when(F.col("kind") == k, 1.0).when(F.col("kind").isNull(), F.coalesce(f"v{k}", F.lit(0.0))).otherwise(0.0)
+                .alias(f"s{k}") for k in range(n)])
     best = F.greatest(*[F.col(f"c{k}") for k in range(n)])
-    rank = F.when(best < confidence, n)
+    rank = F.when(best < confidence, n - 1)
     for k in range(n):
         rank = rank.when(F.col(f"c{k}") == best, k)
     total = sum((F.col(f"c{k}") for k in range(n)), F.lit(0.0))
@@ -211,7 +237,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     one = rows.where(F.size("found") > 0).select("row", F.explode("found").alias("x")).select(
         "row", "x.start", "x.end", "x.kind", "x.value", F.explode("x.patterns").alias("pattern"))
     trust = small(saved(trusted(one.select("value", "kind", "pattern")), "pii-trusted"))
-    more = (one.where("kind IS NULL").join(trust, "pattern").groupBy("row", "start", "end").agg(F.min("rank").alias("rank"))
+    more = (one.where(F.coalesce("kind", F.lit(len(KINDS))) == len(KINDS)).join(trust, "pattern").groupBy("row", "start", "end").agg(F.min("rank").alias("rank"))
             .groupBy("row").agg(F.collect_list(F.struct("start", "rank", "end")).alias("more")))
     of = lambda k: F.size(F.filter("base", lambda x: x["rank"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     return rows.drop("found").join(more, "row", "left").select(

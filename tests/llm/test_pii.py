@@ -65,3 +65,90 @@ def test_edges(edge_docs, no_docs):
     got = pii.find(edge_docs).collect()
     assert len(got) == edge_docs.count()
     assert pii.find(no_docs).count() == 0
+
+
+def trusted_plain(found, rounds, support, confidence, unknown):
+    """The scores of the graph, one pattern and one value at a time."""
+    n = len(pii.KINDS) + 1
+    kind = {}
+    for value, k, _ in found:
+        if k is not None:
+            kind[value] = max(kind.get(value, k), k)
+    edges = {(p, v) for v, _, p in found}
+    score = {v: [float(k == kind[v]) for k in range(n)] for v in kind}
+    for r in range(rounds):
+        conf = {}
+        for p in {p for p, _ in edges}:
+            values = [v for q, v in edges if q == p]
+            judged = [score[v] for v in values if v in score]
+            if len(judged) >= support:
+                conf[p] = [sum(s[k] for s in judged) / (len(judged) + unknown * (len(values) - len(judged)) + 1) for k in range(n)]
+        if r + 1 == rounds:
+            break
+        score = {v: s for v, s in score.items() if v in kind}
+        for v in {v for _, v in edges} - set(kind):
+            left = [1.0] * n
+            for p, w in edges:
+                if w == v and p in conf:
+                    left = [a * (1 - c) for a, c in zip(left, conf[p])]
+            if max(1 - a for a in left) >= confidence:
+                score[v] = [1 - a for a in left]
+    out = {}
+    for p, c in conf.items():
+        if sum(c) >= confidence:
+            out[p] = c.index(max(c)) if max(c) >= confidence else n - 1
+    return out
+
+
+def test_scores_against_a_plain_version(spark):
+    for seed in range(4):
+        rnd = random.Random(seed)
+        kinds = {v: rnd.choice([0, 1, 4]) for v in range(60) if rnd.random() < 0.7}
+        found = []
+        for p in range(14):
+            own = rnd.choice([0, 1, 4])
+            for v in range(60):
+                if rnd.random() < 0.3 and (kinds.get(v, own) == own or rnd.random() < 0.1):
+                    found += [(v, kinds.get(v) if rnd.random() < 0.9 else None, f"p{p}")] * rnd.randrange(1, 3)
+        df = spark.createDataFrame(found, "value long, kind int, pattern string")
+        settings = (rnd.choice([1, 2, 3]), 3, 0.7, 0.4)
+        got = {r.pattern: r["rank"] for r in pii.trusted(df, *settings).collect()}
+        want = trusted_plain(found, *settings)
+        assert got == want and (seed or want)
+
+
+def test_found_instances_are_support_in_the_next_round(spark):
+    """A chain: seeds name values beside ``a``, and these, found, carry the pattern ``b``, which has too few seeds."""
+    found = [(v, 0, "a") for v in range(30)] + [(v, None, "a") for v in range(100, 106)]
+    found += [(v, None, "b") for v in range(100, 106)] + [(0, 0, "b"), (200, None, "b")]
+    df = spark.createDataFrame(found, "value long, kind int, pattern string")
+    assert {r.pattern for r in pii.trusted(df, 1, 5, 0.7).collect()} == {"a"}
+    assert {r.pattern for r in pii.trusted(df, 2, 5, 0.7).collect()} == {"a", "b"}
+
+
+def test_secrets_behind_a_key(spark):
+    rnd = random.Random(4)
+    secret = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(40))
+    secrets = [secret() for _ in range(12)]
+    rows = [(k, f'word{"xyz"[k % 3]} then token = "{s}"### more words here') for k, s in enumerate(secrets)]
+    rows += [(50, f"a hash {secret()} with no key"), (51, "Licensed under the Apache License, Version 2.0."), (52, "x = 5 and y = 7 or z: 12"),
+             (53, f"apikey={secret()}")]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, s in enumerate(secrets):
+        at = rows[k][1].index(s)
+        assert [tuple(x) for x in got[k].spans] == [(at, 4, at + 40)] and not got[k].base
+    assert not any(got[k].spans for k in (50, 51, 52, 53))  # one secret behind a key does not make a pattern
+
+
+def test_planted_secrets_and_clean_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    planted = caught = 0
+    for r in docs.collect():
+        spans = {(a, b) for a, _, b in got[r.doc_id]}
+        for m in re.finditer('(?i)token = "([0-9a-f]{16,})"', r.text or ""):
+            planted += 1
+            caught += m.span(1) in spans
+        if not plain(r.text or "") and not re.search("(?i)token = |[0-9]{12}", r.text or ""):
+            assert not spans
+    assert planted > 100 and caught >= 0.9 * planted
