@@ -44,6 +44,7 @@ _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile("[0-9]+")
 _TOKEN = re.compile(r"\S+")
+_WORD = re.compile(r"\w")
 _HINT = re.compile("[0-9@]")
 _KEY = re.compile(r"([A-Za-z_]{1,32}[=:])(?=.)")
 _EDGE = ".,;:!?()[]{}<>\"'#$%&*|"
@@ -151,11 +152,12 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
         before = [_short(text[x:y]) for x, y in tokens[max(0, k - 2):k]]
         behind_key = k > 0 and text[tokens[k - 1][1] - 1] in "=:"
         for s, kind, e in own:
-            patterns = ["1 " + before[-1]] if before else []
-            if len(before) == 2:
+            # marks alone are no context
+            patterns = ["1 " + before[-1]] if before and _WORD.search(before[-1]) else []
+            if len(before) == 2 and _WORD.search(" ".join(before)):
                 patterns.append("2 " + " ".join(before))
             after = next((_short(text[x:y]) for x, y in tokens[k + 1:k + 2] if x >= e), None)
-            if after:
+            if after and _WORD.search(after):
                 patterns.append("> " + after)
             key = _KEY.match(text, tokens[k][0], tokens[k][1])
             if key and key.end() < e:
