@@ -6,8 +6,8 @@ hinge-loss model is fitted by dual coordinate descent; a logistic curve over the
 margins of rows it has not seen turns them into probabilities.
 
 The log-count ratios come from every labelled training row.  The linear model is
-fitted on a bounded sample of them (``SAMPLE_ROWS`` rows expected, a quarter
-more at most); every fifth sampled row is kept for the curve.
+fitted on a bounded sample of them (``SAMPLE_ROWS`` rows expected, drawn by a hash of id
+and text; a quarter more at most, those of least hash); every fifth sampled row is kept for the curve.
 
 Defined results: a null or empty text is scored from the bias alone; if the
 training rows lack a class, every score is the share of label 1, counted with
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardload.llm import ngrams
-from shardload.llm.common import saved, share, small
+from shardload.llm.common import saved, small
 
 ORDERS, BITS = (1, 2, 3), 16
 SAMPLE_ROWS = 6000
@@ -152,7 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id
     zero = np.zeros(FEATURES)
     if not min(n):
         return Model(zero, zero, 0.0, 0.0, float(np.log(share_of_1 / (1 - share_of_1))))
-    picked = share(F.col("__id"), min(1.0, sample_rows / sum(n)))
+    # by id and text: rows that share an id do not all come together
+    picked = F.pmod(F.xxhash64("__id", "__text"), F.lit(1 << 30)) < int(min(1.0, sample_rows / sum(n)) * (1 << 30))
     got = saved(rows.select("__text", "__label", picked.alias("sampled")).mapInArrow(
         _gather, "bucket int, neg long, pos long, label int, feats binary"), "quality")
     count = np.zeros((2, FEATURES))
@@ -161,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id
     neg, pos = count + SMOOTH
     ratio = np.log(pos / pos.sum()) - np.log(neg / neg.sum())
     sample = [(np.frombuffer(r.feats, np.uint32), r.label) for r in
-              got.where("feats IS NOT NULL").select("label", "feats").limit(sample_rows * 5 // 4).collect()]
+              got.where("feats IS NOT NULL").select("label", "feats").orderBy(F.xxhash64("label", "feats"), "label", "feats")
+              .limit(sample_rows * 5 // 4).collect()]
     sample.sort(key=lambda r: (r[1], len(r[0]), r[0].tobytes()))  # the order in which tasks ended must not matter
     held = sample[::5] if len(sample) >= 50 else sample
     w, bias = _dual_descent([r for k, r in enumerate(sample) if held is sample or k % 5], ratio)
