@@ -444,7 +444,10 @@ def q_split_order(spark, sf):
     write_sharded(docs, path)
     rows = spark.read.parquet(path).select("shard_id", "_id", F.col("_metadata.file_name").alias("f"),
                                            F.col("_metadata.row_index").alias("r"))
-    return rows.select("shard_id", "_id", F.row_number().over(Window.partitionBy("shard_id").orderBy("f", "r")).alias("rank"))
+    # the rows of the files before (one row a file), plus the place in the file
+    before = F.sum("n").over(Window.partitionBy("shard_id").orderBy("f").rowsBetween(Window.unboundedPreceding, -1))
+    files = rows.groupBy("shard_id", "f").agg(F.count(F.lit(1)).alias("n")).select("shard_id", "f", F.coalesce(before, F.lit(0)).alias("b"))
+    return rows.join(files, ["shard_id", "f"]).select("shard_id", "_id", (F.col("b") + F.col("r") + 1).cast("int").alias("rank"))
 
 
 @query
