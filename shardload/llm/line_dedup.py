@@ -4,7 +4,7 @@ Group by host; a line's ratio is the number of the host's pages that contain it
 over all pages of the host.  Lines above the ratio are boilerplate of that host
 and are removed from its pages.
 
-Defined results: lines end at ``\\n`` and are compared without outer spaces;
+Defined results: lines end at ``\\n`` and are compared without outer spaces, by a 64-bit hash;
 blank lines always stay; a line counts once per page however often it occurs;
 a null text stays null (it counts as a page without lines); a null host is a
 host of its own; a page that is all boilerplate keeps its row with the text ''
@@ -22,6 +22,10 @@ from shardload.llm.common import saved, small
 
 MAX_RATIO = 0.08
 MIN_PAGES = 5
+#: Hosts, and boilerplate lines of all hosts, up to which these are broadcast.
+BROADCAST_HOSTS, BROADCAST_LINES = 20_000, 500_000
+#: Lines of a host that a look-up walks one by one; more are dealt to so many arrays.
+FEW, BUCKETS = 32, 256
 
 
 def _line_keys(text: Column) -> Column:
@@ -52,17 +56,32 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_r
             .groupBy(F.col("l.h").alias("h")).agg(F.collect_list("line").alias("lines")))
 
 
+def _buckets(lines: Column) -> Column:
+    """The lines of a host in ``BUCKETS`` arrays by hash (a few lines in one), so that a look-up walks only its own."""
+    return F.when(F.size(lines) <= FEW, F.array(lines)).otherwise(F.transform(
+        F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.filter(lines, lambda x: F.pmod(x, F.lit(BUCKETS)) == b)))
+
+
+def _holds(buckets: Column, line: Column) -> Column:
+    at = F.when(F.size(buckets) == 1, F.lit(0)).otherwise(F.pmod(line, F.lit(BUCKETS)).cast("int"))
+    return F.array_contains(F.get(buckets, at), line)
+
+
 def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO,
                      min_pages: int = MIN_PAGES, counts: bool = False, copies_once: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text``; with ``counts``
     also ``n_lines`` and ``n_dropped`` (null text: 0 and 0), which must not be
     columns of ``docs`` then."""
-    marks = small(saved(boilerplate(docs, host, text, max_ratio, min_pages, copies_once), "boilerplate"), 20_000)
+    marks = saved(boilerplate(docs, host, text, max_ratio, min_pages, copies_once), "boilerplate")
+    entries = marks.agg(F.sum(F.size("lines"))).first()[0] or 0
+    marks = marks.select("h", _buckets(F.col("lines")).alias("lines"))
+    if entries <= BROADCAST_LINES:
+        marks = small(marks, BROADCAST_HOSTS)  # else a join by host, whose hot hosts are split
     marks = marks.select(F.struct("h", "lines").alias("__boilerplate"))
     joined = docs.join(marks, F.col(f"`{host}`").eqNullSafe(F.col("__boilerplate.h")), "left")
     bad = F.col("__boilerplate.lines")
     all_lines = F.split(F.col(f"`{text}`"), "\n", -1)
-    kept = F.filter(all_lines, lambda x: ~F.array_contains(bad, F.xxhash64(F.trim(x))))
+    kept = F.filter(all_lines, lambda x: ~_holds(bad, F.xxhash64(F.trim(x))))
     out = [F.when(bad.isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n")).alias(text)
            if c == text else F.col(f"`{c}`") for c in docs.columns]
     if counts:

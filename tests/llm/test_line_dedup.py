@@ -59,3 +59,18 @@ def test_a_large_group_of_copies_survives_the_pipeline(spark):
     assert all("menu" not in r.text for r in clean.collect())
     kept = corpus_pipeline.near_duplicate_stage(spark, clean, "").collect()
     assert [r.text for r in kept if r.doc_id < 40] == [copy]
+
+
+def test_hosts_with_many_boilerplate_lines(spark, monkeypatch):
+    """A wide host's lines are looked up in buckets; beyond the bound on lines the hosts are joined, not broadcast."""
+    rows = [("wide", "\n".join([*(f"fixed {k}" for k in range(700)), f"own {i}"])) for i in range(8)]
+    rows += [("thin", f"menu\nbody {i}") for i in range(8)] + [(None, f"x\n{i}") for i in range(6)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, source string, text string")
+    want = by_hand(rows, line_dedup.MAX_RATIO * 3, line_dedup.MIN_PAGES)
+    for bound in (line_dedup.BROADCAST_LINES, 100):
+        monkeypatch.setattr(line_dedup, "BROADCAST_LINES", bound)
+        out = line_dedup.drop_boilerplate(df, max_ratio=line_dedup.MAX_RATIO * 3, counts=True)
+        got = {r.doc_id: r for r in out.collect()}
+        assert [got[i].text for i in range(len(rows))] == want and got[0].n_dropped == 700
+        joins = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("strategy=broadcast" in joins) == (bound > 100)
