@@ -8,6 +8,11 @@ block has at most two.  What it finds is verified by the exact similarity of
 the shingles weighted by their counts.  Only windows that hold a shingle of an
 item get a fingerprint, as any other has similarity 0.
 
+The documents are read once, whatever the number of items: a bit filter of the items'
+shingles (``FILTER_BITS`` at most) says which texts may hold one; their shingles are
+joined with those of the items, and each text is compared with the items that it shares
+one with, inside tasks.  Equal texts are compared once.  The items stay in a table.
+
 Defined results: items and documents with fewer than ``SHINGLE`` words (null and
 empty ones too) match nothing; a document shorter than an item is one window;
 per document and item the best window is returned, the first of equals;
@@ -17,6 +22,7 @@ repeated rows, of either side, match each for itself; extra columns are ignored
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,20 +32,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardload.llm import wordhash
-from shardload.llm.common import saved
+from shardload.llm.common import saved, small
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, PER_BLOCK = 8, 2
 RADIUS = BLOCKS * (PER_BLOCK + 1) - 1
-#: Items sent to the tasks at once, expected; a larger benchmark is taken in blocks of this size.
+#: Items that a text is compared with at once, expected.
 ITEMS = 2000
+#: Width of the places in the bit filter: two for each shingle, 64 bits a shingle up to the larger bound.
+FILTER_BITS = (16, 24)
 
 _BITS = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 
 
 @dataclass
 class Items:
-    """A block of benchmark items, ready for lookups."""
+    """Benchmark items that a text is compared with, ready for lookups."""
     ids: list = field(default_factory=list)
     grams: list = field(default_factory=list)     # sorted shingle hashes of an item, with repeats
     known: np.ndarray = None                      # all distinct shingle hashes, sorted
@@ -144,62 +152,112 @@ def _each(texts: list, items: Items) -> Iterator[tuple[int, dict]]:
                     yield first + k, found
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items]:
-    rows = saved(benchmark.where(F.col(text).isNotNull()).select(F.col(item_id).alias("id"), F.col(text).alias("text")),
-                 "benchmark")
-    n = max(1, -(-rows.count() // ITEMS))
-    for b in range(n):
-        part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b)
-        yield index(sorted((tuple(r) for r in part.collect()), key=repr))
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(item, gram)``: the distinct shingles of every item."""
+    for batch in batches:
+        numbers, found = batch.column(0).to_numpy(), []
+        for first, off, h in wordhash.words(batch.column(1).to_pylist(), wordhash.NOT_ALNUM):
+            grams = wordhash.shingles(h, SHINGLE) if len(h) >= SHINGLE else h[:0]
+            found += [(numbers[first + k], np.unique(grams[off[k]:off[k + 1] - SHINGLE + 1]))
+                      for k in np.flatnonzero(np.diff(off) >= SHINGLE)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.repeat([i for i, _ in found], [len(g) for _, g in found]).astype(np.int64)),
+            pa.array(np.concatenate([g for _, g in found]).view(np.int64) if found else np.zeros(0, np.int64))], ["item", "gram"])
+
+
+class _Filter:
+    """Two bit tables of the shingles' upper bits and of the bits below these."""
+
+    def __init__(self, grams: DataFrame):
+        low, high = FILTER_BITS
+        self.bits = min(high, max(low, (64 * grams.count()).bit_length()))
+        places = [F.shiftrightunsigned(F.shiftleft("gram", self.bits * k), 64 - self.bits) for k in range(2)]
+        self.tables = [self._table(grams.select(p.alias("p")).distinct().toArrow()["p"].to_numpy()) for p in places]
+
+    def _table(self, places: np.ndarray) -> np.ndarray:
+        held = np.zeros(1 << self.bits, dtype=bool)  # at most 2^FILTER_BITS places, whatever the items
+        held[places] = True
+        return np.packbits(held)
+
+    def open(self):
+        tables, down, bits = [np.unpackbits(t).view(bool) for t in self.tables], np.uint64(64 - self.bits), np.uint64(self.bits)
+
+        def places(grams: np.ndarray) -> np.ndarray:
+            at = np.flatnonzero(tables[0][(grams >> down).astype(np.int64)])
+            return at[tables[1][((grams[at] << bits) >> down).astype(np.int64)]]
+        return places
+
+
+def _candidates(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """``(doc_id, digest, text, grams)`` of the rows of ``docs(doc_id, text)`` that may hold an item's shingle."""
+    held = _Filter(grams)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = held.open()
+        for batch in batches:
+            texts, rows, own = batch.column(1).to_pylist(), [], []
+            for first, off, h in wordhash.words(texts, wordhash.NOT_ALNUM):
+                if len(h) < SHINGLE:
+                    continue
+                g = wordhash.shingles(h, SHINGLE)
+                at = places(g)
+                begin, end = np.searchsorted(at, off[:-1]), np.searchsorted(at, off[1:] - SHINGLE + 1)
+                for k in np.flatnonzero(end > begin):  # shingles over the end of a text are none
+                    rows.append(first + k)
+                    own.append(np.unique(g[at[begin[k]:end[k]]]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(rows, pa.int64())),
+                pa.array([hashlib.md5(texts[r].encode("utf-8", "surrogatepass")).hexdigest() for r in rows], pa.string()),
+                batch.column(1).take(pa.array(rows, pa.int64())), pa.array(own, pa.list_(pa.int64()))],
+                ["doc_id", "digest", "text", "grams"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return saved(docs.mapInArrow(run, f"doc_id {kind}, digest string, text string, grams array<long>"), "contaminated-texts")
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best window of every text for each item that is similar to it."""
+    for batch in batches:
+        out = []
+        for digest, text, items in zip(*(c.to_pylist() for c in batch.columns)):
+            block = index(sorted((x["item"], x["words"]) for x in items))
+            for _, found in _each([text], block):
+                out += [(digest, block.ids[k], first, len(block.grams[k]) + SHINGLE - 1, s) for k, (s, first) in found.items()]
+        columns = list(zip(*out)) or [()] * 5
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                         ["digest", "item", "first_word", "n_words", "similarity"])
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidates, ``(digest, item, first_word, n_words, similarity)``, and the numbered items."""
+    items = saved(benchmark.where(F.col(item_text).isNotNull()).select(
+        F.col(item_id).alias("item_id"), F.col(item_text).alias("words"), F.monotonically_increasing_id().alias("item")), "benchmark")
+    grams = saved(items.select("item", "words").mapInArrow(_grams, "item long, gram long"), "benchmark-shingles")
+    texts = _candidates(docs, grams)
+    one = saved(texts.select("digest", "text", "grams").dropDuplicates(["digest"]), "contaminated-distinct")
+    parts = max(1, -(-items.count() // ITEMS))
+    pairs = one.select("digest", F.explode("grams").alias("gram")).join(grams, "gram").select("digest", "item").distinct()
+    own = (pairs.join(items.select("item", "words"), "item").withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
+           .groupBy("digest", "part").agg(F.collect_list(F.struct("item", "words")).alias("items")))
+    rows = one.select("digest", "text").join(own, "digest").select("digest", "text", "items")
+    found = rows.mapInArrow(_compared, "digest string, item long, first_word long, n_words long, similarity double")
+    return texts, saved(found, "contaminated"), items
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
             item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``(doc_id, item_id, first_word, n_words, similarity)``: every document and item with a similar window."""
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-    schema = StructType([StructField("doc_id", docs.schema[doc_id].dataType),
-                         StructField("item_id", benchmark.schema[item_id].dataType),
-                         StructField("first_word", LongType()), StructField("n_words", LongType()),
-                         StructField("similarity", DoubleType())])
-    arrow = {f.name: f.dataType for f in schema}
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-
-    def over(items: Items):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows, out = [], []
-                for i, found in _each(batch.column(1).to_pylist(), items):
-                    for k, (s, start) in sorted(found.items()):
-                        rows.append(i)
-                        out.append((items.ids[k], start, len(items.grams[k]) + SHINGLE - 1, s))
-                ids, first, n, s = zip(*out) if out else ((), (), (), ())
-                from pyspark.sql.pandas.types import to_arrow_type
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, to_arrow_type(arrow["item_id"])),
-                    pa.array(first, pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.float64())], schema.names)
-        return run
-
-    result = None
-    for items in _blocks(benchmark, item_id, item_text):
-        part = source.mapInArrow(over(items), schema)
-        result = part if result is None else result.unionByName(part)
-    return result
+    texts, found, items = _found(source, benchmark, item_id, item_text)
+    return (texts.select("doc_id", "digest").join(small(found), "digest").join(items.select("item", "item_id"), "item")
+            .select("doc_id", "item_id", "first_word", "n_words", "similarity"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                       item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` without a window similar to a benchmark item, all columns unchanged."""
-    at = docs.columns.index(text)
-
-    def without(items: Items):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                clean = np.ones(batch.num_rows, dtype=bool)
-                for i, _ in _each(batch.column(at).to_pylist(), items):
-                    clean[i] = False
-                yield batch.filter(pa.array(clean))
-        return run
-
-    for items in _blocks(benchmark, item_id, item_text):
-        docs = docs.mapInArrow(without(items), docs.schema)
-    return docs
+    source = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    _, found, _ = _found(source, benchmark, item_id, item_text)
+    bad = small(saved(found.select(F.struct("digest").alias("__bad")).distinct(), "contaminated-digests"))
+    return docs.join(bad, F.md5(F.col(f"`{text}`").cast("binary")) == F.col("__bad.digest"), "left_anti")

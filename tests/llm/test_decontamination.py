@@ -101,3 +101,43 @@ def test_edges(spark, edge_docs, no_docs):
     assert [(r.doc_id, r.item_id, r.similarity) for r in got] == [(4, 3, 1.0)] * 2
     assert D.matches(no_docs, bench).count() == 0 and D.matches(edge_docs, bench.where("item_id = 9")).count() == 0
     assert D.drop_contaminated(edge_docs, bench).count() == edge_docs.count() - 1
+
+
+def test_many_items_one_scan(spark, scratch):
+    """20,000 items: the documents are read once for all of them, and the result is that of a plain search."""
+    rnd = random.Random(8)
+    bench = [(k, prose(10_000 + k, rnd.choice([6, 15]))) for k in range(20_000)]
+    docs = [(d, prose(90_000 + d, 30) + " " + bench[d * 37][1] * (d % 2) + " tail of it") for d in range(120)]
+    path = f"{scratch}/docs"
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(4).write.parquet(path)
+    source = spark.read.parquet(path)
+    counted = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            counted.add(b.num_rows)
+            yield b
+    out = D.matches(source.mapInArrow(count, source.schema), spark.createDataFrame(bench, "item_id long, text string").repartition(5))
+    got = {(r.doc_id, r.item_id) for r in out.collect()}
+    assert counted.value == len(docs)
+    near = {i: set(grams(t)) for i, t in docs}
+    by_gram = {}
+    for j, t in bench:
+        for g in grams(t):
+            by_gram.setdefault(g, set()).add(j)
+    some = {(i, j) for i, g in near.items() for x in g for j in by_gram.get(x, ())}
+    want = set()
+    text, items = dict(docs), dict(bench)
+    for i, j in some:
+        want |= set(brute([(i, text[i])], [(j, items[j])]))
+    assert got == want and len(got) >= 60
+
+
+def test_copies_of_a_text_match_each_for_itself(spark):
+    item = prose(3, 40)
+    rows = [(k, f"start {item} end") for k in range(300)] + [(None, f"start {item} end"), (900, "clean text of some words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([("a", item), ("a", item), ("b", prose(4, 40))], "item_id string, text string")
+    got = D.matches(docs, bench).collect()
+    assert Counter(r.item_id for r in got) == {"a": 602}
+    assert [r.doc_id for r in D.drop_contaminated(docs, bench).collect()] == [900]
