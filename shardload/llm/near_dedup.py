@@ -19,7 +19,8 @@ handed on.  No link that joins two groups is lost; a list of copies costs its le
 
 Defined results: A-Z are lower-cased and words end at white space; fewer than
 five words are one shingle; a null text or one without words has an empty set
-and is linked with nothing; a row with a null id is linked with nothing either
+and is linked with nothing; ids are read as BIGINT (a text that is no number raises);
+a row with a null id is linked with nothing either
 (component null, kept); rows that share an id and a text are in one component;
 extra columns pass through ``keep_one`` unchanged.
 """
