@@ -26,6 +26,8 @@ HEADLINE = [
     "q_shard_hist", "q_typed_fields", "q_route", "q_source_json", "q_field_names", "q_docvalues_num",
     "q_term_stats", "q_postings", "q_num_terms", "q_field_stats", "q_range", "q_duplicate_ids",
     "q_manifest", "q_shard_skew", "q_rejects", "q_publish_rejects", "q_split_order", "q_sort_double",
+    "q_lookup_ids", "q_search_common", "q_build_files", "q_stream_publish", "q_wide_discovered", "q_word_terms", "q_stored_field_stats",
+    "q_placed_by_bytes",
 ]
 
 
