@@ -14,8 +14,10 @@ ranges skip the rest.
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -146,6 +148,44 @@ def shard_faults(spark: SparkSession, root: str, build: str | None = None, fmt:
     return faults
 
 
+class _Ranges:
+    """Which files can hold an id: of each shard the ranges by their least id, and the greatest id up to each."""
+
+    def __init__(self, files: list):
+        self.shards: dict[int, tuple[list, list, list]] = {}
+        for k, r in sorted(enumerate(files), key=lambda x: (x[1]["shard_id"], x[1]["min_id"].encode("utf-8", "surrogatepass"))):
+            low, high, which = self.shards.setdefault(r["shard_id"], ([], [], []))
+            greatest = r["max_id"].encode("utf-8", "surrogatepass")
+            low.append(r["min_id"].encode("utf-8", "surrogatepass"))
+            high.append((greatest, max(greatest, high[-1][1]) if high else greatest))
+            which.append(k)
+
+    def holding(self, shard: int, doc_id: str) -> list[int]:
+        low, high, which = self.shards.get(shard, ((), (), ()))
+        key = doc_id.encode("utf-8", "surrogatepass")
+        at, found = bisect_right(low, key) - 1, []
+        while at >= 0 and high[at][1] >= key:
+            if high[at][0] >= key:
+                found.append(which[at])
+            at -= 1
+        return found
+
+
+def files_holding(files: DataFrame, asked: DataFrame | list[tuple[int, str]]) -> list:
+    """Rows ``(run, file)`` of the files that can hold one of the asked ``(shard_id, _id)``.  The driver holds the
+    files' ranges (a row each); a table of ids is looked up in tasks, by bisection, and only file numbers come back."""
+    rows = files.where("min_id IS NOT NULL").select("run", "file", "shard_id", "min_id", "max_id").collect()
+    ranges = _Ranges(rows)
+    if isinstance(asked, list):
+        return [rows[k] for k in sorted({k for shard, i in asked for k in ranges.holding(shard, i)})]
+
+    def look_up(shard: pd.Series, doc_id: pd.Series) -> pd.Series:
+        return pd.Series([ranges.holding(s, i) for s, i in zip(shard, doc_id)], dtype=object)
+
+    hit = F.explode(F.pandas_udf(look_up, "array<int>")("shard_id", "_id")).alias("k")
+    return [rows[r.k] for r in sorted(asked.select(hit).distinct().collect())]
+
+
 def documents_by_id(spark: SparkSession, root: str, ids: list[str] | DataFrame, shards: int | None = None,
                     fmt: str = "parquet") -> DataFrame:
     """The documents of the live build with these ids (a list, or a column ``_id``).
@@ -161,17 +201,18 @@ def documents_by_id(spark: SparkSession, root: str, ids: list[str] | DataFrame,
         shards = said.agg(F.max("shards")).first()[0] if "shards" in said.columns else None
         if shards is None:
             raise ValueError("the build does not say by how many shards ids were routed")
+    files = read_current_part(spark, root, "files", fmt)
     if listed is None:
-        asked = ids.select("_id").where("_id IS NOT NULL").distinct().withColumn("shard_id", shard_of("_id", int(shards)))
+        ids = ids.select("_id").where("_id IS NOT NULL").distinct()
+        hits = files_holding(files, ids.withColumn("shard_id", shard_of("_id", int(shards))))
     else:
-        asked = spark.createDataFrame([(i, shard_for(i, int(shards))) for i in listed], "_id string, shard_id int")
-    files = read_current_part(spark, root, "files", fmt)
-    near = asked.withColumnRenamed("_id", "asked").join(files, "shard_id").where("asked BETWEEN min_id AND max_id")
-    hits = near.select("run", "file").distinct().collect()  # names of files to open
+        hits = files_holding(files, [(shard_for(i, int(shards)), i) for i in listed])
+        if len(listed) > LISTED:
+            ids = spark.createDataFrame([(i,) for i in listed], "_id string")
     if not hits:
         return read_current(spark, root, fmt).where(F.lit(False))
     found = open_files(spark, root, hits, fmt)
     if listed is not None and len(listed) <= LISTED:
         return found.where(F.col("_id") == listed[0] if len(listed) == 1 else F.col("_id").isin(listed))
-    return found.join(asked.select("_id"), "_id", "left_semi").select(found.columns)
+    return found.join(ids.select("_id"), "_id", "left_semi").select(found.columns)
 

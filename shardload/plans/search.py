@@ -117,15 +117,11 @@ def intersect(tables: dict[str, DataFrame], clauses: list[Term | Range]) -> Data
 
 def _documents(spark: SparkSession, root: str, build: str, found: DataFrame, fmt: str) -> DataFrame:
     """The stored documents of ``found``, from the files that can hold them."""
-    from shardload.plans.files import open_files
+    from shardload.plans.files import files_holding, open_files
     from shardload.plans.publish import read_current, read_files
     n = found.count()
     files = read_files(spark, root, build)
-    # A matched id and its shard, in the range of a file; equal ids count once.
-    ids = found.select("shard_id", "_id").distinct()
-    near = files.join(ids, "shard_id").where("_id BETWEEN min_id AND max_id") if n <= BROADCAST else files.join(
-        found.groupBy("shard_id").agg(F.min("_id").alias("low"), F.max("_id").alias("high")), "shard_id").where("low <= max_id AND high >= min_id")
-    hits = near.select("run", "file").distinct().collect() if n else []  # names of files to open
+    hits = files_holding(files, found.select("shard_id", "_id").distinct()) if n else []
     docs = open_files(spark, root, hits, fmt) if hits else read_current(spark, root, fmt).where(F.lit(False))
     keys = found.select("shard_id", "_doc")
     return docs.join(F.broadcast(keys) if n <= BROADCAST else keys, ["shard_id", "_doc"], "left_semi").select(docs.columns)

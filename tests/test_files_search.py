@@ -228,3 +228,17 @@ def test_numbers_at_the_edges(spark, scratch):
     assert ids(*words(spark, "t", "QUICK, fox!")) == ["f"] and ids(Term("t", "quick"), Range("v", "double")) == []
     with pytest.raises(ValueError):
         search(spark, root)
+
+
+def test_ranges_hold_every_id():
+    """Overlapping and nested ranges, in the order of the stored minima and maxima (UTF-8 bytes)."""
+    import random
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("ab￮\U0001F600é") for _ in range(rnd.randrange(1, 4)))
+    key = lambda s: s.encode()
+    files = [dict(zip(("shard_id", "min_id", "max_id"), (rnd.randrange(3), *sorted((word(), word()), key=key)))) for _ in range(60)]
+    ranges = files_module._Ranges(files)
+    for _ in range(500):
+        s, i = rnd.randrange(4), word()
+        want = [k for k, f in enumerate(files) if f["shard_id"] == s and key(f["min_id"]) <= key(i) <= key(f["max_id"])]
+        assert sorted(ranges.holding(s, i)) == want
