@@ -13,9 +13,13 @@ Posting lists are not expanded into all pairs of rows.  Every list has a pivot
 (the member with the most shared values); all members of all lists of a pivot
 are compared with it, and what is linked with it is connected.  Only members
 that are not linked with it still have to be compared, with each other and with
-the linked ones: this happens inside tasks, in blocks of bounded size, where
+the linked ones.  Few of them are compared inside a task, where
 pairs that are already connected are skipped and at most one link a member is
-handed on.  No link that joins two groups is lost; a list of copies costs its length.
+handed on.  Of many, those can be similar that share one of their rarest shingles, as many
+as the threshold leaves open: they are posted under these, and the shorter lists are worked
+off in the same way, with pivots of their own (``DEPTH`` times; what is still left then is compared in
+blocks of bounded size).  Pages of one template, far below the threshold, share no rare shingle.
+No link that joins two groups is lost; a list of copies costs its length.
 
 Defined results: A-Z are lower-cased and words end at white space; fewer than
 five words are one shingle; a null text or one without words has an empty set
@@ -44,6 +48,8 @@ SHINGLE, PERCENT = 5, 80
 COORDINATES = 64
 #: Rows and shingles of one part of a group whose members are compared inside a task.
 UNIT_ROWS, UNIT_SHINGLES = 1024, 2_000_000
+#: How often lists of many unlinked members are posted anew by rare shingles.
+DEPTH = 3
 
 _rng = np.random.default_rng(4711)
 _XOR = _rng.integers(0, 2 ** 64, COORDINATES, dtype=np.uint64)
@@ -201,7 +207,24 @@ def _compare(percent: int):
     return run
 
 
-def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rarest(star: DataFrame, wide: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(key, c, shared)``: the members of the ``wide`` stars under their rarest shingles, in lists that have an
+    unlinked member.  Of two sets of at least the similarity one shares all but so many of its shingles with the other:
+    with all shingles in one order, that of their frequency in the star, the first ones must meet."""
+    rows = (star.join(wide.select("p"), "p").select("p", "c", "n", "linked").join(sets, "c")
+            .select("p", "c", "n", "linked", F.explode("shingles").alias("s")))
+    rows = saved(rows, "rare-shingles")
+    often = rows.groupBy("p", "s").agg(F.count(F.lit(1)).alias("df"))
+    nth = F.row_number().over(Window.partitionBy("p", "c").orderBy("df", "s"))
+    first = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
+    rows = rows.join(often, ["p", "s"]).withColumn("nth", nth).where((F.col("nth") <= first) & (F.col("df") > 1))
+    rows = rows.select(F.xxhash64("p", "s").alias("key"), "c", "linked")
+    able = rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.count(F.when(~F.col("linked"), 1)).alias("free")).where("k > 1 AND free > 0")
+    rows = saved(rows.join(able, "key").select("key", "c").distinct(), "rare-lists")
+    return rows.join(rows.groupBy("c").agg(F.count(F.lit(1)).alias("shared")), "c").select("key", "c", "shared")
+
+
+def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, depth: int = 0) -> DataFrame:
     """Links ``(a, b)`` between classes that connect all that is connected."""
     pivots = lists.groupBy("key").agg(F.max(F.struct("shared", "c"))["c"].alias("p"))
     members = lists.join(pivots, "key").where("c <> p").select("p", "c").distinct()
@@ -224,6 +247,11 @@ def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int)
     is_linked = F.col("linked")
     stars = saved(star.groupBy("p").agg(parts(~is_linked).alias("free_parts"), parts(is_linked).alias("linked_parts"),
                                         F.count(F.lit(1)).alias("size")).where("free_parts > 0 AND size > 1"), "open-stars")
+    wide = stars.where("free_parts > 1")
+    if depth < DEPTH and not wide.isEmpty():
+        more = saved(_rarest(star, wide, sets, percent), "rare-postings")
+        linked = linked.unionByName(_links(more, classes, sets, percent, depth + 1))
+        stars = stars.where("free_parts = 1")
     part = lambda n: F.pmod(F.xxhash64("c"), F.greatest(F.col(n), F.lit(1))).cast("int")
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     unit = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"),

@@ -114,3 +114,60 @@ def test_components(spark):
                 changed = True
     assert got == root
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def template_pages(n, common=79, own=25):
+    """Pages of one template, about 0.6 alike, and a few pairs of them that are near copies."""
+    words = prose(1234, common).split()
+    rows = [" ".join(words[:common // 2] + [f"own{k}x{j}" for j in range(own)] + words[common // 2:]) for k in range(n)]
+    for k in range(0, n, 10):
+        rows.append(rows[k].replace(f"own{k}x3", "changed"))
+    return list(enumerate(rows))
+
+
+def test_pages_of_one_template_cost_their_number(spark, monkeypatch):
+    """What is compared inside tasks does not grow with the square of the members that are not linked."""
+    monkeypatch.setattr(N, "UNIT_ROWS", 16)
+    compared, compare = [], N._compare
+
+    def counted(percent):
+        run, rows = compare(percent), spark.sparkContext.accumulator(0)
+        compared.append(rows)
+
+        def counting(batches):
+            def seen():
+                for b in batches:
+                    rows.add(b.num_rows)
+                    yield b
+            yield from run(seen())
+        return counting
+
+    monkeypatch.setattr(N, "_compare", counted)
+    sizes = {}
+    for n in (150, 300):
+        compared.clear()
+        rows = template_pages(n)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = sorted(tuple(r) for r in N.groups(df, 80).drop("text_hash").collect())
+        assert got == sorted(brute(rows, 80)) and sum(not r[3] for r in got) == n // 10
+        sizes[n] = sum(a.value for a in compared)
+    assert sizes[300] <= 2.5 * sizes[150] + 50 and sizes[300] < 2 * 330
+
+
+def test_many_groups_of_near_copies_in_one_template(spark, monkeypatch):
+    """Groups that are linked inside but not with the pivot, under few and many rounds of rare shingles."""
+    monkeypatch.setattr(N, "UNIT_ROWS", 4)
+    rnd, rows = random.Random(9), []
+    words = prose(77, 60).split()
+    for g in range(12):
+        own = [f"g{g}w{j}" for j in range(30)]
+        for k in range(8):
+            edited = list(own)
+            edited[rnd.randrange(30)] = f"e{g}x{k}"
+            rows.append(" ".join(words[:30] + edited + words[30:]))
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for depth in (0, 1, 3):
+        monkeypatch.setattr(N, "DEPTH", depth)
+        got = sorted(tuple(r) for r in N.groups(df, 85).drop("text_hash").collect())
+        assert got == sorted(brute(rows, 85))
