@@ -117,8 +117,8 @@ def verify_build(spark: SparkSession, root: str, build: str | None = None, fmt:
 
 def _schema_of(spark: SparkSession, root: str, run: str):
     """The columns as they were written (text formats would be read back with other types)."""
-    from shardload.plans.publish import _read_text, build_path
-    return StructType.fromJson(json.loads(_read_text(spark, build_path(root, run) + "_schema")))
+    from shardload.plans.publish import _read_text, meta_path
+    return StructType.fromJson(json.loads(_read_text(spark, meta_path(root, run, "_schema"))))
 
 
 def open_files(spark: SparkSession, root: str, hits: list, fmt: str) -> DataFrame:

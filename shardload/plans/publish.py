@@ -3,8 +3,9 @@
 Layout under a dataset root::
 
     <root>/builds/<build_id>/shard_id=<n>/part-….parquet   one build
-    <root>/builds/<build_id>_files                          its files: rows, bytes, id range, digest
-    <root>/builds/<build_id>_runs                           or the builds it is made of (a stream's)
+    <root>/meta/<build_id>_files                            its files: rows, bytes, id range, digest
+    <root>/meta/<build_id>_schema                           the columns as they were written
+    <root>/meta/<build_id>_runs                             or the builds it is made of (a stream's)
     <root>/CURRENT                                          id of the live build
 
 A build is written next to the live one, verified against what the write has
@@ -31,7 +32,8 @@ from shardload.operators.stats import manifest
 from shardload.plans.files import SUMS, digest_sums, scan_files, shard_digests
 
 POINTER = "CURRENT"
-SIDE_TABLES = ("", "_manifest", "_files", "_doc_values", "_postings", "_numeric_terms", "_field_stats", "_term_stats", "_schema", "_runs")
+SIDE_TABLES = ("", "_manifest", "_doc_values", "_postings", "_numeric_terms", "_field_stats", "_term_stats")
+META = ("_files", "_schema", "_runs")
 # Writer settings: lookups by id skip row groups that do not hold it.
 BLOOM = {"parquet": {"parquet.bloom.filter.enabled#_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"},
          "orc": {"orc.bloom.filter.columns": "_id"}}
@@ -60,6 +62,9 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
     if fs.getScheme() == "file":
         os.replace(tmp.toUri().getPath(), p.toUri().getPath())
+        checksum = os.path.join(os.path.dirname(path_of := tmp.toUri().getPath()), f".{os.path.basename(path_of)}.crc")
+        if os.path.exists(checksum):  # of the temporary name
+            os.remove(checksum)
         return
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
@@ -101,6 +106,10 @@ def build_path(root: str, build_id: str) -> str:
     return f"{root.rstrip('/')}/builds/{build_id}"
 
 
+def meta_path(root: str, build_id: str, part: str) -> str:
+    return f"{root.rstrip('/')}/meta/{build_id}{part}"
+
+
 def current_build(spark: SparkSession, root: str) -> str | None:
     return _read_text(spark, f"{root.rstrip('/')}/{POINTER}")
 
@@ -119,7 +128,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def build_runs(spark: SparkSession, root: str, build: str) -> list[str]:
     """The builds whose files make up ``build``: itself, or the runs of a stream's snapshot."""
-    text = _read_text(spark, build_path(root, build) + "_runs")
+    text = _read_text(spark, meta_path(root, build, "_runs"))
     return [build] if text is None else json.loads(text)["runs"]
 
 
@@ -241,8 +250,8 @@ def write_build(docs: DataFrame, root: str, build_id: str | None = None, fmt: st
         observed = Observation("shardload_build")
         write_sharded(docs.observe(observed, *digest_sums(docs.columns)), path, fmt=fmt, mode="errorifexists")
         written = spark.read.schema(docs.schema).format(fmt).load(path)
-        _write_text(spark, path + "_schema", docs.schema.json())
-        scan_files(written).write.mode("errorifexists").json(path + "_files")
+        _write_text(spark, meta_path(root, build_id, "_schema"), docs.schema.json())
+        scan_files(written).write.mode("errorifexists").json(meta_path(root, build_id, "_files"))
         files = read_files(spark, root, build_id)
         found = files.agg(F.sum("n_rows").alias("n_rows"), F.bit_xor("digest_xor").alias("digest_xor"),
                           F.sum("digest_sum").alias("digest_sum")).first().asDict()
@@ -269,6 +278,8 @@ def write_build(docs: DataFrame, root: str, build_id: str | None = None, fmt: st
 def delete_build(spark: SparkSession, root: str, build: str) -> None:
     for suffix in SIDE_TABLES:
         _delete(spark, build_path(root, build) + suffix)
+    for suffix in META:
+        _delete(spark, meta_path(root, build, suffix))
 
 
 def set_current(spark: SparkSession, root: str, build: str) -> None:
@@ -298,7 +309,7 @@ def unpublish(spark: SparkSession, root: str) -> None:
 def read_files(spark: SparkSession, root: str, build: str) -> DataFrame:
     """The files of a build (one row each), as they were when it was written."""
     from shardload.plans.files import FILES_SCHEMA
-    paths = [build_path(root, run) + "_files" for run in build_runs(spark, root, build)]
+    paths = [meta_path(root, run, "_files") for run in build_runs(spark, root, build)]
     return spark.read.schema(FILES_SCHEMA).json(paths)
 
 

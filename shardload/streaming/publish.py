@@ -43,7 +43,7 @@ def snapshot(spark: SparkSession, root: str) -> dict:
     build = P.current_build(spark, root)
     if build is None:
         return {"runs": [], "rows": {}, "epochs": {}, "last": -1}
-    text = P._read_text(spark, P.build_path(root, build) + "_runs")
+    text = P._read_text(spark, P.meta_path(root, build, "_runs"))
     if text is not None:
         return json.loads(text)
     rows = P.read_files(spark, root, build).agg(F.sum("n_rows")).first()[0] or 0
@@ -52,7 +52,7 @@ def snapshot(spark: SparkSession, root: str) -> dict:
 
 def _commit(spark: SparkSession, root: str, state: dict) -> str:
     build = f"s-{uuid.uuid4().hex[:12]}"
-    P._write_text(spark, P.build_path(root, build) + "_runs", json.dumps(state))
+    P._write_text(spark, P.meta_path(root, build, "_runs"), json.dumps(state))
     P.set_current(spark, root, build)
     return build
 
@@ -155,14 +155,14 @@ def vacuum(spark: SparkSession, root: str) -> list[str]:
     of failed batches.  For a time when no batch is being written and no reader uses an older snapshot."""
     build = P.current_build(spark, root)
     keep = {build, *P.build_runs(spark, root, build)} if build else set()
-    fs, folder, _ = P._fs(spark, f"{root.rstrip('/')}/builds")
-    names = {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
     builds = set()
-    for name in names:
-        if name.startswith(".") or name.endswith(".tmp"):
-            continue
-        suffix = next((x for x in P.SIDE_TABLES if x and name.endswith(x)), "")
-        builds.add(name[:len(name) - len(suffix)])
+    for place in ("builds", "meta"):
+        fs, folder, _ = P._fs(spark, f"{root.rstrip('/')}/{place}")
+        for status in fs.listStatus(folder) if fs.exists(folder) else ():
+            name = status.getPath().getName()
+            if not name.startswith(".") and not name.endswith(".tmp"):
+                suffix = next((x for x in (*P.SIDE_TABLES, *P.META) if x and name.endswith(x)), "")
+                builds.add(name[:len(name) - len(suffix)])
     gone = sorted(builds - keep)
     for one in gone:
         P.delete_build(spark, root, one)
