@@ -9,6 +9,8 @@ from shardload.session import scratch_path
 
 #: Rows up to which a side may be broadcast (a few columns of fixed width).
 BROADCAST_ROWS = 500_000
+#: Rows of one key from which ``spread_join`` lays out the other side's row once more.
+PLACE_ROWS = 256
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +27,21 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def spread_join(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
+    """Inner join of ``many`` (saved) with ``one``, which has at most a row for each ``key``.  The row of a key with more
+    than PLACE_ROWS rows in ``many`` is laid out in several places, to which these are dealt by a hash of column ``by``,
+    so that a hot key is no single task's work."""
+    hot = many.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / PLACE_ROWS).cast("int").alias("__places")).where("__places > 1")
+    hot = saved(hot, "hot-keys")
+    if hot.isEmpty():
+        return many.join(one, key)
+    hot = small(hot)
+    dealt = many.join(hot, key).withColumn("__place", F.pmod(F.xxhash64(by), F.col("__places")).cast("int")).drop("__places")
+    laid = one.join(hot, key).withColumn("__place", F.explode(F.sequence(F.lit(0), F.col("__places") - 1))).drop("__places")
+    return (many.join(hot, key, "left_anti").join(one, key)
+            .unionByName(dealt.join(laid, [key, "__place"]).drop("__place")))
+
+
 def id_bucket(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

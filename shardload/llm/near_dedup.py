@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from shardload.llm import wordhash
-from shardload.llm.common import saved, small
+from shardload.llm.common import saved, small, spread_join
 from shardload.llm.graph import components
 
 SHINGLE, PERCENT = 5, 80
@@ -227,10 +227,10 @@ def _rarest(star: DataFrame, wide: DataFrame, sets: DataFrame, percent: int) ->
 def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, depth: int = 0) -> DataFrame:
     """Links ``(a, b)`` between classes that connect all that is connected."""
     pivots = lists.groupBy("key").agg(F.max(F.struct("shared", "c"))["c"].alias("p"))
-    members = lists.join(pivots, "key").where("c <> p").select("p", "c").distinct()
+    members = saved(lists.join(pivots, "key").where("c <> p").select("p", "c").distinct(), "members")
     full = sets.join(classes.select("c", "sig"), "c")
     both = F.size(F.array_intersect("x", "y"))
-    star = (members.join(full.select(F.col("c").alias("p"), F.col("sig").alias("sp"), F.col("shingles").alias("x")), "p")
+    star = (spread_join(members, full.select(F.col("c").alias("p"), F.col("sig").alias("sp"), F.col("shingles").alias("x")), "p", "c")
             .join(full.select("c", "sig", F.col("shingles").alias("y")), "c")
             .withColumn("near", _agree("sp", "sig") >= needed(percent))
             .select("p", "c", F.size("y").alias("n"), F.when(F.col("near"), F.struct(both.alias("i"), (
@@ -284,8 +284,8 @@ def _grouped(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame
     sets = saved(_full_sets(docs, small(wanted), doc_id, text), "full-sets")
     links = _links(lists, classes, sets, percent)
     root = saved(components(links).withColumnRenamed("node", "c"), "components")
-    least = root.join(classes, "c").groupBy("root").agg(F.min("doc_id").alias("least"))
-    moved = root.join(least, "root")
+    least = saved(root.join(classes, "c").groupBy("root").agg(F.min("doc_id").alias("least")), "least-ids")
+    moved = spread_join(root, least, "root", "c")
     ids = classes.join(moved, "c", "left").select("c", F.coalesce("root", "c").alias("root"),
                                                   F.coalesce("least", "doc_id").alias("component"))
     ids = small(saved(ids, "class-components"))
@@ -307,12 +307,13 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", te
     """``docs`` with one row of every group: the smallest id, of equal ids the
     smallest text hash, of equal rows any.  Rows without a set all stay."""
     rows = saved(_grouped(docs, percent, doc_id, text).where("root IS NOT NULL"), "groups")
-    best = rows.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("best"))
-    marks = (rows.groupBy("doc_id", "text_hash", "root").agg(F.count(F.lit(1)).alias("n"))
-             .join(best, "root")
-             .select("doc_id", "text_hash", "n", (F.struct("doc_id", "text_hash") == F.col("best")).alias("best"))
-             .where("n > 1 OR NOT best"))
-    marks = saved(marks, "marks")
+    same = rows.groupBy("doc_id", "text_hash", "root", "kept").agg(F.count(F.lit(1)).alias("n"))
+    first = same.where("kept")  # the smallest id of a group, once for each of its texts
+    least = first.groupBy("root").agg(F.min("text_hash").alias("least"))
+    first = first.join(least, "root").withColumn("best", F.col("text_hash") == F.col("least")).where("n > 1 OR NOT best")
+    columns = ["doc_id", "text_hash", "best"]
+    marks = saved(first.select(columns).unionByName(
+        same.where("NOT kept").withColumn("best", F.lit(False)).select(columns)), "marks")
     mark = small(marks).select(F.struct("doc_id", "text_hash", "best").alias("__mark"))
     joined = docs.join(mark, (F.col(f"`{doc_id}`").cast("long") == F.col("__mark.doc_id"))
                        & (F.xxhash64(F.col(f"`{text}`")) == F.col("__mark.text_hash")), "left")

@@ -4,7 +4,9 @@ import re
 import numpy as np
 import pytest
 
+from shardload.llm import common
 from shardload.llm import near_dedup as N
+from shardload.llm.common import saved, spread_join
 from shardload.llm.graph import components
 
 from llm_helpers import prose
@@ -59,6 +61,7 @@ def corpus(seed, n=60):
 @pytest.mark.parametrize("percent,unit", [(80, 1024), (85, 1024), (85, 2)])
 def test_against_brute_force(spark, monkeypatch, percent, unit):
     monkeypatch.setattr(N, "UNIT_ROWS", unit)  # groups of more than two are compared part by part
+    monkeypatch.setattr(common, "PLACE_ROWS", unit)
     rows = corpus(percent) + [(900, None), (901, " "), (902, "A b"), (903, "a\tB")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted(tuple(r) for r in N.groups(df, percent).drop("text_hash").collect())
@@ -171,3 +174,26 @@ def test_many_groups_of_near_copies_in_one_template(spark, monkeypatch):
         monkeypatch.setattr(N, "DEPTH", depth)
         got = sorted(tuple(r) for r in N.groups(df, 85).drop("text_hash").collect())
         assert got == sorted(brute(rows, 85))
+
+
+def test_hot_keys_are_laid_out_in_places(spark, monkeypatch):
+    """A hot key, a rare one, one that the other side lacks and one it alone has: the rows of a plain join."""
+    monkeypatch.setattr(common, "PLACE_ROWS", 7)
+    many = saved(spark.createDataFrame([(1, c) for c in range(100)] + [(2, 5), (3, 6), (None, 7)], "k long, c long"), "many")
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d"), (None, "e")], "k long, v string")
+    got = spread_join(many, one, "k", "c")
+    assert got.columns == ["k", "c", "v"]
+    assert sorted(got.collect()) == sorted(many.join(one, "k").collect()) and got.count() == 101
+    assert spread_join(many.where("k <> 1"), one, "k", "c").collect() == [(2, 5, "b")]
+    assert spread_join(many.limit(0), one, "k", "c").count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    """Of a group, the smallest id; of its texts that of the smallest hash; of equal rows one."""
+    words = prose(5, 60).split()
+    a, b = " ".join(words), " ".join(words[:-1] + ["changed"])
+    rows = [(7, a), (7, a), (7, b), (9, a), (9, b), (11, "alone"), (11, "alone"), (12, None), (12, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in N.keep_one(df).collect()), key=str)
+    hashes = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) AS h").collect()}
+    assert kept == [(11, "alone"), (12, None), (12, None), (7, min(a, b, key=hashes.get))]
