@@ -9,7 +9,7 @@ from shardload.session import scratch_path
 
 #: Rows up to which a side may be broadcast (a few columns of fixed width).
 BROADCAST_ROWS = 500_000
-#: Rows of one key from which ``spread_join`` lays out the other side's row once more.
+#: Rows of one key beyond which ``spread_join`` may take it for hot.
 PLACE_ROWS = 256
 
 
@@ -27,19 +27,25 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def spread_join(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
-    """Inner join of ``many`` (saved) with ``one``, which has at most a row for each ``key``.  The row of a key with more
-    than PLACE_ROWS rows in ``many`` is laid out in several places, to which these are dealt by a hash of column ``by``,
-    so that a hot key is no single task's work."""
-    hot = many.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / PLACE_ROWS).cast("int").alias("__places")).where("__places > 1")
+def spread_join(many: DataFrame, one: DataFrame, key: str, by: str, thin: bool = False) -> DataFrame:
+    """Inner join of ``many`` (saved) with ``one``, which has at most a row for each ``key``, so that a hot key is no
+    single task's work.  A key is hot if it has more rows in ``many`` than PLACE_ROWS, and than a share that at most
+    BROADCAST_ROWS keys can have.  The row of a hot key is sent to all tasks if ``one`` is ``thin`` (a few columns of fixed
+    width), else laid out in several places, to which the key's rows are dealt by a hash of column ``by``."""
+    least = max(PLACE_ROWS, -(-many.count() // BROADCAST_ROWS))
+    hot = (many.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > least)
+           .select(key, F.ceil(F.col("__n") / least).cast("int").alias("__places")))
     hot = saved(hot, "hot-keys")
     if hot.isEmpty():
         return many.join(one, key)
-    hot = small(hot)
+    hot = F.broadcast(hot)
+    rest = many.join(hot, key, "left_anti").join(one, key)
+    if thin:
+        laid = saved(one.join(hot, key).drop("__places"), "hot-rows")
+        return rest.unionByName(many.join(F.broadcast(laid), key))
     dealt = many.join(hot, key).withColumn("__place", F.pmod(F.xxhash64(by), F.col("__places")).cast("int")).drop("__places")
     laid = one.join(hot, key).withColumn("__place", F.explode(F.sequence(F.lit(0), F.col("__places") - 1))).drop("__places")
-    return (many.join(hot, key, "left_anti").join(one, key)
-            .unionByName(dealt.join(laid, [key, "__place"]).drop("__place")))
+    return rest.unionByName(dealt.join(laid, [key, "__place"]).drop("__place"))
 
 
 def id_bucket(doc_id: Column, modulus: int) -> Column:

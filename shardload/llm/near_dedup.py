@@ -226,8 +226,8 @@ def _rarest(star: DataFrame, wide: DataFrame, sets: DataFrame, percent: int) ->
 
 def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, depth: int = 0) -> DataFrame:
     """Links ``(a, b)`` between classes that connect all that is connected."""
-    pivots = lists.groupBy("key").agg(F.max(F.struct("shared", "c"))["c"].alias("p"))
-    members = saved(lists.join(pivots, "key").where("c <> p").select("p", "c").distinct(), "members")
+    pivots = saved(lists.groupBy("key").agg(F.max(F.struct("shared", "c"))["c"].alias("p")), "pivots")
+    members = saved(spread_join(lists, pivots, "key", "c", thin=True).where("c <> p").select("p", "c").distinct(), "members")
     full = sets.join(classes.select("c", "sig"), "c")
     both = F.size(F.array_intersect("x", "y"))
     star = (spread_join(members, full.select(F.col("c").alias("p"), F.col("sig").alias("sp"), F.col("shingles").alias("x")), "p", "c")
@@ -285,7 +285,7 @@ def _grouped(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame
     links = _links(lists, classes, sets, percent)
     root = saved(components(links).withColumnRenamed("node", "c"), "components")
     least = saved(root.join(classes, "c").groupBy("root").agg(F.min("doc_id").alias("least")), "least-ids")
-    moved = spread_join(root, least, "root", "c")
+    moved = spread_join(root, least, "root", "c", thin=True)
     ids = classes.join(moved, "c", "left").select("c", F.coalesce("root", "c").alias("root"),
                                                   F.coalesce("least", "doc_id").alias("component"))
     ids = small(saved(ids, "class-components"))

@@ -181,11 +181,14 @@ def test_hot_keys_are_laid_out_in_places(spark, monkeypatch):
     monkeypatch.setattr(common, "PLACE_ROWS", 7)
     many = saved(spark.createDataFrame([(1, c) for c in range(100)] + [(2, 5), (3, 6), (None, 7)], "k long, c long"), "many")
     one = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d"), (None, "e")], "k long, v string")
-    got = spread_join(many, one, "k", "c")
-    assert got.columns == ["k", "c", "v"]
-    assert sorted(got.collect()) == sorted(many.join(one, "k").collect()) and got.count() == 101
-    assert spread_join(many.where("k <> 1"), one, "k", "c").collect() == [(2, 5, "b")]
-    assert spread_join(many.limit(0), one, "k", "c").count() == 0
+    for thin in (False, True):
+        got = spread_join(many, one, "k", "c", thin)
+        assert got.columns == ["k", "c", "v"]
+        assert sorted(got.collect()) == sorted(many.join(one, "k").collect()) and got.count() == 101
+        assert spread_join(many.where("k <> 1"), one, "k", "c", thin).collect() == [(2, 5, "b")]
+        assert spread_join(many.limit(0), one, "k", "c", thin).count() == 0
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 1)  # at most one key can have more than all rows
+    assert spread_join(many, one, "k", "c").count() == 101
 
 
 def test_rows_that_share_an_id(spark):
