@@ -212,15 +212,19 @@ def _rarest(star: DataFrame, wide: DataFrame, sets: DataFrame, percent: int) ->
     unlinked member.  Of two sets of at least the similarity one shares all but so many of its shingles with the other:
     with all shingles in one order, that of their frequency in the star, the first ones must meet."""
     rows = (star.join(wide.select("p"), "p").select("p", "c", "n", "linked").join(sets, "c")
-            .select("p", "c", "n", "linked", F.explode("shingles").alias("s")))
+            .select("p", "c", "n", "linked", F.explode("shingles").alias("s"))
+            .select("p", "c", "n", "linked", F.xxhash64("p", "s").alias("key")))
     rows = saved(rows, "rare-shingles")
-    often = rows.groupBy("p", "s").agg(F.count(F.lit(1)).alias("df"))
-    nth = F.row_number().over(Window.partitionBy("p", "c").orderBy("df", "s"))
+    often = saved(rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "rare-counts")
+    nth = F.row_number().over(Window.partitionBy("p", "c").orderBy("df", "key"))
     first = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
-    rows = rows.join(often, ["p", "s"]).withColumn("nth", nth).where((F.col("nth") <= first) & (F.col("df") > 1))
-    rows = rows.select(F.xxhash64("p", "s").alias("key"), "c", "linked")
-    able = rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.count(F.when(~F.col("linked"), 1)).alias("free")).where("k > 1 AND free > 0")
-    rows = saved(rows.join(able, "key").select("key", "c").distinct(), "rare-lists")
+    unshared = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("p", "c"))  # these come before all others
+    rows = (spread_join(rows, often, "key", "c", thin=True).withColumn("nth", nth + unshared)
+            .where(F.col("nth") <= first).select("key", "c", "linked"))
+    rows = saved(rows, "rare-prefixes")
+    able = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.count(F.when(~F.col("linked"), 1)).alias("free"))
+            .where("k > 1 AND free > 0").select("key"))
+    rows = saved(spread_join(rows, saved(able, "rare-keys"), "key", "c", thin=True).select("key", "c").distinct(), "rare-lists")
     return rows.join(rows.groupBy("c").agg(F.count(F.lit(1)).alias("shared")), "c").select("key", "c", "shared")
 
 
