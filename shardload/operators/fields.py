@@ -16,14 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardload import DEFAULT_DELIM
+from shardload.functions.field_parse import NUMERIC_TYPES, TAG_PREFIX, parsed
+from shardload.functions.field_sums import partial_sums
 from shardload.functions.split import java_split
 
 # Fixed values of the line format.
-TAG_PREFIX = "col_"
-TAG_VALUE = 1
 INTEGRAL = "^[+-]?[0-9]+$"          # Integer/Long/Short.valueOf take no blanks
 NAMED_NUMBER = "^[+-]?(NaN|Infinity)$"  # Double/Float.valueOf, upper and lower case as written
-NUMERIC_TYPES = ("integer", "long", "short", "float", "double")
 
 ON_ERROR = ("fail", "reject", "null")
 
@@ -61,68 +60,9 @@ def split_fields(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
         .withColumn("pos", F.col("pos").cast("int"))
 
 
-def _parts(c: Column) -> Column:
-    """Stage 1: the parts of one column, without building an array.
-
-    ``n`` is the Java part count of ``c.split(":")``; ``a``, ``v`` and ``t``
-    are parts 0, 1 and 2 (lower-cased type), valid when ``n`` is large enough.
-    """
-    t = F.rtrim(c, F.lit(":"))
-    n = (F.when(F.length(c) == 0, F.lit(1))
-         .when(F.length(t) == 0, F.lit(0))
-         .otherwise(F.length(t) - F.length(F.replace(t, F.lit(":"), F.lit(""))) + 1))
-    return F.struct(n.alias("n"),
-                    F.substring_index(t, ":", 1).alias("a"),
-                    F.substring_index(F.substring_index(t, ":", 2), ":", -1).alias("v"),
-                    F.lower(F.substring_index(F.substring_index(t, ":", 3), ":", -1)).alias("t"))
-
-
-def _typed(x: Column, pos: Column) -> Column:
-    """Stage 2: parts → field struct without the error."""
-    n, a, v, t = x["n"], x["a"], x["v"], x["t"]
-    typ = (F.when(n == 1, F.lit("integer"))
-           .when(n == 2, F.lit("string"))
-           .when(n >= 3, F.when(t.isin(*NUMERIC_TYPES), t).otherwise(F.lit("string"))))
-
-    def slot(type_name: str) -> Column:
-        return F.when((n >= 3) & (t == F.lit(type_name)), coerce(v, type_name))
-
-    return F.struct(
-        pos.cast("int").alias("pos"),
-        F.when(n == 1, F.concat(F.lit(TAG_PREFIX), a)).when(n >= 2, a).alias("name"),
-        typ.alias("type"),
-        F.when(n == 1, F.lit(str(TAG_VALUE))).when(n >= 2, v).alias("raw"),
-        F.when(n == 1, F.lit(TAG_VALUE)).otherwise(slot("integer")).alias("i"),
-        slot("long").alias("l"),
-        slot("short").alias("s"),
-        slot("float").alias("f"),
-        slot("double").alias("d"),
-        F.when((n == 2) | ((n >= 3) & ~t.isin(*NUMERIC_TYPES)), v).alias("str"),
-    )
-
-
-def _with_error(x: Column) -> Column:
-    """Stage 3: ``error`` from the parsed slots (no value parsed twice)."""
-    typ = x["type"]
-    missing = (F.when(typ == "integer", x["i"].isNull())
-               .when(typ == "long", x["l"].isNull())
-               .when(typ == "short", x["s"].isNull())
-               .when(typ == "float", x["f"].isNull())
-               .when(typ == "double", x["d"].isNull())
-               .otherwise(F.lit(False)))
-    err = F.when(typ.isNull(), F.lit("malformed")).when(missing, F.concat(F.lit("bad_"), typ))
-    return x.withField("error", err)
-
-
-def _fields_of_columns(cols: Column) -> Column:
-    staged = F.transform(cols, _parts)
-    typed = F.transform(staged, lambda x, k: _typed(x, k))
-    return F.transform(typed, _with_error)
-
-
 def parse_fields(payload: Column, delim: str = DEFAULT_DELIM) -> Column:
     """``array<field>`` of a payload; positions are 0-based over all columns."""
-    return _fields_of_columns(columns_of(payload, delim))
+    return parsed(payload, delim)
 
 
 def fail_on_error(fields: Column, doc_id: Column) -> Column:
@@ -238,16 +178,11 @@ def typed_fields(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "
 def rejects(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
     """One row per bad column of every rejected document:
     ``(_doc, _id, pos, token, reason)``."""
-    cols = columns_of(F.col("payload"), delim)
-    staged = keyed.select("_doc", "_id", cols.alias("_cols"))
-    errors = F.transform(_fields_of_columns(F.col("_cols")), lambda x: x["error"])
     # Generator barrier, as in parse_docs: the filter below must not re-parse.
-    staged = staged.select("_doc", "_id", "_cols", F.explode(F.array(errors)).alias("_err"))
-    return (staged.where(F.exists("_err", lambda e: e.isNotNull()))
-            .select("_doc", "_id", F.posexplode(F.arrays_zip("_cols", "_err")).alias("pos", "z"))
-            .where(F.col("z._err").isNotNull())
-            .select("_doc", "_id", F.col("pos").cast("int").alias("pos"),
-                    F.col("z._cols").alias("token"), F.col("z._err").alias("reason")))
+    docs = keyed.select("_doc", "_id", "payload", F.explode(F.array(parse_fields(F.col("payload"), delim))).alias("fields"))
+    return (docs.where(has_error(F.col("fields")))
+            .select("_doc", "_id", F.explode(bad_values(F.col("fields"), F.col("payload"), delim)).alias("b"))
+            .select("_doc", "_id", "b.*"))
 
 
 def fields_long(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id"), outer: bool = False) -> DataFrame:
@@ -290,18 +225,8 @@ def key_value(key: Column) -> Column:
 def infer_fields(docs: DataFrame) -> DataFrame:
     """Per field name, the declared types seen, documents and values.
 
-    One pass, one aggregation: each document emits its distinct (name, type)
-    pairs once (counted as documents) and every field (counted as values);
-    partial aggregation collapses hot names before the shuffle.
+    One pass, one aggregation: each batch emits a row for every (name, type) it has;
+    only these partial sums are shuffled.
     """
-    valid = F.filter("fields", lambda x: x["name"].isNotNull())
-
-    def row(n, t, d, v):
-        return F.struct(n.alias("name"), t.alias("type"), F.lit(d).alias("d"), F.lit(v).alias("v"))
-
-    pairs = F.array_distinct(F.transform(valid, lambda x: distinct_key(x["name"], x["type"])))
-    rows = F.concat(F.transform(pairs, lambda k: row(key_part(k, 0), key_part(k, 1), 1, 0)),
-                    F.transform(valid, lambda x: row(x["name"], x["type"], 0, 1)))
-    return (docs.select(F.explode(rows).alias("r")).select("r.*")
-            .groupBy("name", "type")
-            .agg(F.sum("d").alias("docs"), F.sum("v").alias("n_values")))
+    return (partial_sums(docs, ranges=False).groupBy("name", "type")
+            .agg(F.sum("dc").alias("docs"), F.sum("ttf").alias("n_values")))
