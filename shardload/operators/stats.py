@@ -1,8 +1,8 @@
 """Statistics over built documents.
 
-Distinct counts per document are taken inside the document row
-(``array_distinct`` over strings before ``explode``), so no aggregation needs
-a document-key shuffle and a hot id or field costs only partial aggregates.
+Distinct counts per document are taken where the document is (in batches,
+``functions.field_sums``), so no aggregation needs a document-key shuffle and
+a hot id or field costs only partial aggregates.
 """
 
 from __future__ import annotations
@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardload.operators.fields import distinct_key, key_part, value_string
-from shardload.operators.postings import real, whole
+from shardload.functions.field_sums import partial_sums
 from shardload.session import materialize
 
 STATE = ("doc_count", "sum_doc_freq", "sum_total_term_freq", "min_l", "max_l", "min_d", "max_d")
@@ -52,31 +51,12 @@ def field_stats(docs: DataFrame) -> DataFrame:
 
 
 def _field_rows(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """One pass: every document emits its distinct (name, type) pairs, its
-    distinct (name, type, value) triples (one string each, in a hash set), all
-    its values and one marker row for ``max_doc``; a single aggregation sums
-    them."""
-    null = F.lit(None)
-    valid = F.filter("fields", lambda x: x["name"].isNotNull())
-    parts = F.explode(F.array(F.struct(
-        valid.alias("x"),
-        F.array_distinct(F.transform(valid, lambda x: distinct_key(x["name"], x["type"]))).alias("nt"),
-        F.array_distinct(F.transform(valid, lambda x: distinct_key(x["name"], x["type"], value_string(x)))).alias("ntv"),
-    ))).alias("p")
-
-    def row(name, typ, dc, df, ttf, w=null, r=null):
-        return F.struct(name.alias("name"), typ.alias("type"), F.lit(dc).alias("dc"), F.lit(df).alias("df"),
-                        F.lit(ttf).alias("ttf"), w.cast("bigint").alias("w"), r.cast("double").alias("r"))
-
-    rows = F.concat(
-        F.array(row(null.cast("string"), null.cast("string"), 1, 0, 0)),
-        F.transform("p.nt", lambda k: row(key_part(k, 0), key_part(k, 1), 1, 0, 0)),
-        F.transform("p.ntv", lambda k: row(key_part(k, 0), key_part(k, 1), 0, 1, 0)),
-        F.transform("p.x", lambda x: row(x["name"], x["type"], 0, 0, 1, whole(x), real(x))))
-    return (docs.select(*keep, parts).select(*keep, F.explode(rows).alias("r")).select(*keep, "r.*")
-            .groupBy(*keep, "name", "type")
+    """One pass: every batch emits a row for each (name, type) it has, with its distinct values per document, its values
+    and their range, and one row without a name for ``max_doc``; a single aggregation adds these partial sums up."""
+    sums = partial_sums(docs, *keep).withColumnsRenamed({"own": keep[0]} if keep else {})
+    return (sums.groupBy(*keep, "name", "type")
             .agg(F.sum("dc").alias("doc_count"), F.sum("df").alias("sum_doc_freq"), F.sum("ttf").alias("sum_total_term_freq"),
-                 F.min("w").alias("min_l"), F.max("w").alias("max_l"), F.min("r").alias("min_d"), F.max("r").alias("max_d")))
+                 *[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in STATE[3:]]))
 
 
 def duplicate_ids(docs: DataFrame, key: str = "_id") -> DataFrame:
