@@ -14,6 +14,9 @@ from shardload.operators.fields import parse_docs, parse_in_place, parse_meta_fi
 from shardload.operators.routing import by_bytes, by_shard, order_shard, route
 from shardload.sources.lines import keyed_lines
 
+#: Bytes of ids and payloads that a task sorts, unless told otherwise; short lines take about twenty times that in memory.
+RANGE_BYTES = 32 << 20
+
 
 def parsed_docs(lines: DataFrame, delim: str = DEFAULT_DELIM, auto_id: bool = False,
                 on_error: str = "fail", shards: int = DEFAULT_SHARDS) -> DataFrame:
@@ -28,8 +31,11 @@ def parsed_docs(lines: DataFrame, delim: str = DEFAULT_DELIM, auto_id: bool = Fa
 
 def placed_lines(keyed: DataFrame, shards: int = DEFAULT_SHARDS, split: int = 1, range_bytes: int | None = None) -> DataFrame:
     """``(_doc, _id, payload, shard_id)`` in its shard's partition and order: ``split`` ranges of equally many lines a
-    shard, or with ``range_bytes`` as many ranges as each shard's bytes ask for."""
+    shard, or as many ranges as each shard's bytes ask for, of ``range_bytes`` (without either, ``RANGE_BYTES``):
+    what one task sorts does not grow with the input."""
     routed = route(keyed, shards)
+    if range_bytes is None and split <= 1:
+        range_bytes = RANGE_BYTES
     if range_bytes:
         return order_shard(by_bytes(routed, shards, F.octet_length("payload") + F.octet_length("_id"), range_bytes))
     return order_shard(by_shard(routed, shards, split))
@@ -39,8 +45,8 @@ def shard_docs(lines: DataFrame, index: str, doc_type: str = DEFAULT_TYPE,
                delim: str = DEFAULT_DELIM, auto_id: bool = False, on_error: str = "fail",
                shards: int = DEFAULT_SHARDS, split: int = 1, with_all: bool = False,
                source_dup: str = "keep", range_bytes: int | None = None) -> DataFrame:
-    """Full documents, one partition (or ``split`` ranges) per shard, in
-    descending id order inside each shard.  Lines are placed and sorted as
+    """Full documents, one partition (or ``split`` ranges, or as many as
+    the shard's bytes ask for) per shard, in descending id order inside each shard.  Lines are placed and sorted as
     they are; parse and assembly are projections above, so one exchange moves
     the text once and the order holds."""
     placed = placed_lines(keyed_lines(lines, delim=delim, auto_id=auto_id), shards, split, range_bytes)

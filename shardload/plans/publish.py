@@ -214,6 +214,16 @@ def write_stats(written: DataFrame, path: str, fmt: str = "parquet") -> None:
             .write.mode("errorifexists").format(fmt).save(path + "_term_stats")
 
 
+#: Documents of which a task sorts the doc values or postings, at most about.
+DOCS_PER_RANGE = 400_000
+
+
+def side_split(files: DataFrame, shards: int, split: int = 1) -> int:
+    """Ranges a shard for the side tables: ``split``, or as many as the documents of the build ask for."""
+    rows = files.agg(F.sum("n_rows")).first()[0] or 0
+    return max(1, split, -(-rows // (max(1, shards) * DOCS_PER_RANGE)))
+
+
 def check_doc_values(schema: dict[str, str] | None) -> None:
     from shardload.operators.docs import SLOT_OF_TYPE
     for name, typ in (schema or {}).items():
@@ -262,11 +272,12 @@ def write_build(docs: DataFrame, root: str, build_id: str | None = None, fmt: st
         n = shards
         if n is None and (doc_value_schema or with_postings):
             n = int(good.agg(F.max("shard_id")).first()[0] or 0) + 1
+        ranges = side_split(files, n, split) if doc_value_schema or with_postings else 1
         if doc_value_schema:
-            write_doc_values(good, path + "_doc_values", doc_value_schema, n, split, fmt)
+            write_doc_values(good, path + "_doc_values", doc_value_schema, n, ranges, fmt)
         if with_postings:
-            write_postings(good, path + "_postings", n, split, fmt, stop_words, analyzer)
-            write_numeric_terms(good, path + "_numeric_terms", n, split, fmt)
+            write_postings(good, path + "_postings", n, ranges, fmt, stop_words, analyzer)
+            write_numeric_terms(good, path + "_numeric_terms", n, ranges, fmt)
         if with_stats:
             write_stats(good, path, fmt)
     except BaseException:

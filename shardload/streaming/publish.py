@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shardload import DEFAULT_DELIM, DEFAULT_SHARDS, DEFAULT_TYPE
-from shardload.operators.routing import by_shard, order_shard
+from shardload.operators.routing import by_bytes, by_shard, order_shard
 from shardload.plans import publish as P
 from shardload.plans.build import shard_docs
 from shardload.plans.files import SUMS, _schema_of
@@ -35,6 +35,8 @@ from shardload.streaming.ingest import stream_lines
 
 #: Epochs that the ledger remembers; Spark replays only the last one.
 REMEMBERED = 1000
+#: Bytes of documents that a task of a merge sorts, and of a document for each byte of its source (fields, names).
+MERGE_BYTES, ROW_PER_SOURCE = 256 << 20, 8
 
 
 def snapshot(spark: SparkSession, root: str) -> dict:
@@ -85,7 +87,9 @@ def merge_runs(spark: SparkSession, root: str, runs: list[str], shards: int, spl
     for run in runs:
         one = spark.read.schema(_schema_of(spark, root, run)).format(fmt).load(P.build_path(root, run))
         docs = one if docs is None else docs.unionByName(one)
-    merged = P.write_build(order_shard(by_shard(docs, shards, split)), root, f"m-{uuid.uuid4().hex[:12]}", fmt, shards, split=split, **side)
+    placed = by_shard(docs, shards, split) if split > 1 else by_bytes(
+        docs, shards, F.coalesce(F.octet_length("_source"), F.lit(0)) * ROW_PER_SOURCE, MERGE_BYTES)
+    merged = P.write_build(order_shard(placed), root, f"m-{uuid.uuid4().hex[:12]}", fmt, shards, split=split, **side)
     if _sums(spark, root, [merged]) != _sums(spark, root, runs):
         P.delete_build(spark, root, merged)
         raise IOError(f"merging {', '.join(runs)} changed their content")
