@@ -41,7 +41,10 @@ def row_digest(columns: list[str]) -> Column:
 def digest_sums(columns: list[str]) -> list[Column]:
     """Rows, and two order-free sums of the row digests: an exclusive or, and 24 bits of each added up (which sees
     pairs of equal changes; no overflow below 2^39 rows)."""
-    h = row_digest(columns)
+    return _sums_of(row_digest(columns))
+
+
+def _sums_of(h: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("n_rows"), F.bit_xor(h).alias("digest_xor"),
             F.sum(F.shiftrightunsigned(h, 40)).alias("digest_sum")]
 
@@ -50,9 +53,11 @@ def scan_files(written: DataFrame) -> DataFrame:
     """``FILES_SCHEMA`` of the files that ``written`` reads: one pass, one small row a file."""
     parts = F.split("_metadata.file_path", "/")
     at = lambda k: F.element_at(parts, -k)
-    return (written.withColumns({"_run": at(3), "_file": F.concat_ws("/", at(2), at(1)), "_bytes": F.col("_metadata.file_size")})
+    # Texts' least and greatest are taken by sorting, so only what is summed goes there, not whole documents.
+    return (written.select(at(3).alias("_run"), F.concat_ws("/", at(2), at(1)).alias("_file"), F.col("_metadata.file_size").alias("_bytes"),
+                           "shard_id", "_id", row_digest(written.columns).alias("_digest"))
             .groupBy(F.col("_run").alias("run"), F.col("_file").alias("file"), "shard_id", F.col("_bytes").alias("bytes"))
-            .agg(*digest_sums(written.columns), F.min("_id").alias("min_id"), F.max("_id").alias("max_id"))
+            .agg(*_sums_of(F.col("_digest")), F.min("_id").alias("min_id"), F.max("_id").alias("max_id"))
             .select(*[c.split()[0] for c in FILES_SCHEMA.split(", ")]))
 
 
