@@ -225,14 +225,13 @@ def _rarest(star: DataFrame, wide: DataFrame, sets: DataFrame, percent: int) ->
     able = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.count(F.when(~F.col("linked"), 1)).alias("free"))
             .where("k > 1 AND free > 0").select("key"))
     rows = saved(spread_join(rows, saved(able, "rare-keys"), "key", "c", thin=True).select("key", "c").distinct(), "rare-lists")
-    return rows.join(rows.groupBy("c").agg(F.count(F.lit(1)).alias("shared")), "c").select("key", "c", "shared")
+    return rows.select("key", "c", F.count(F.lit(1)).over(Window.partitionBy("c")).alias("shared"))
 
 
-def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, depth: int = 0) -> DataFrame:
-    """Links ``(a, b)`` between classes that connect all that is connected."""
+def _links(lists: DataFrame, full: DataFrame, percent: int, depth: int = 0) -> DataFrame:
+    """Links ``(a, b)`` between classes that connect all that is connected; ``full(c, sig, shingles)`` is saved."""
     pivots = saved(lists.groupBy("key").agg(F.max(F.struct("shared", "c"))["c"].alias("p")), "pivots")
     members = saved(spread_join(lists, pivots, "key", "c", thin=True).where("c <> p").select("p", "c").distinct(), "members")
-    full = sets.join(classes.select("c", "sig"), "c")
     both = F.size(F.array_intersect("x", "y"))
     star = (spread_join(members, full.select(F.col("c").alias("p"), F.col("sig").alias("sp"), F.col("shingles").alias("x")), "p", "c")
             .join(full.select("c", "sig", F.col("shingles").alias("y")), "c")
@@ -253,8 +252,8 @@ def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
                                         F.count(F.lit(1)).alias("size")).where("free_parts > 0 AND size > 1"), "open-stars")
     wide = stars.where("free_parts > 1")
     if depth < DEPTH and not wide.isEmpty():
-        more = saved(_rarest(star, wide, sets, percent), "rare-postings")
-        linked = linked.unionByName(_links(more, classes, sets, percent, depth + 1))
+        more = saved(_rarest(star, wide, full.select("c", "shingles"), percent), "rare-postings")
+        linked = linked.unionByName(_links(more, full, percent, depth + 1))
         stars = stars.where("free_parts = 1")
     part = lambda n: F.pmod(F.xxhash64("c"), F.greatest(F.col(n), F.lit(1))).cast("int")
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -270,7 +269,7 @@ def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
              .select("p", "c", F.explode(F.when(is_linked, rest).otherwise(F.concat(free, met))).alias("u"))
              .select("p", "u.kind", "u.i", "u.j", "u.side", "c"))
     key = ["p", "kind", "i", "j"]
-    met = (dealt.join(full.select("c", "sig", "shingles"), "c").select(*key, "side", "c", "sig", "shingles")
+    met = (dealt.join(full, "c").select(*key, "side", "c", "sig", "shingles")
            .repartition(*key).sortWithinPartitions(*key, "side", "c").mapInArrow(_compare(percent), "a long, b long"))
     return linked.unionByName(saved(met, "links"))
 
@@ -285,8 +284,8 @@ def _grouped(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame
     lists = saved(_posted(classes, percent), "lists")
     wanted = saved(classes.join(lists.select("c").distinct(), "c", "left_semi").select(F.col("doc_id").alias("id"), "c"),
                    "wanted")
-    sets = saved(_full_sets(docs, small(wanted), doc_id, text), "full-sets")
-    links = _links(lists, classes, sets, percent)
+    full = saved(_full_sets(docs, small(wanted), doc_id, text).join(classes.select("c", "sig"), "c"), "full-sets")
+    links = _links(lists, full, percent)
     root = saved(components(links).withColumnRenamed("node", "c"), "components")
     least = saved(root.join(classes, "c").groupBy("root").agg(F.min("doc_id").alias("least")), "least-ids")
     moved = spread_join(root, least, "root", "c", thin=True)

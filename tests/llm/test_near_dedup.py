@@ -157,6 +157,24 @@ def test_pages_of_one_template_cost_their_number(spark, monkeypatch):
     assert sizes[300] <= 2.5 * sizes[150] + 50 and sizes[300] < 2 * 330
 
 
+def test_sets_meet_their_signatures_once(spark, monkeypatch):
+    """Signatures are joined to the full sets once, not for every use and round; the lists of rare shingles count without a join."""
+    monkeypatch.setattr(N, "UNIT_ROWS", 4)
+    joins, save = {}, N.saved
+
+    def counted(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins.setdefault(name, []).append(len(re.findall(r"^\W*Join ", plan, re.M)))
+        return save(df, name)
+
+    monkeypatch.setattr(N, "saved", counted)
+    rows = template_pages(20)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in N.groups(df, 80).drop("text_hash").collect()) == sorted(brute(rows, 80))
+    assert len(joins["full-sets"]) == 1 and len(joins["links"]) > 1
+    assert set(joins["rare-postings"]) == {0} and set(joins["links"]) == {2}
+
+
 def test_many_groups_of_near_copies_in_one_template(spark, monkeypatch):
     """Groups that are linked inside but not with the pivot, under few and many rounds of rare shingles."""
     monkeypatch.setattr(N, "UNIT_ROWS", 4)
