@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardload import DEFAULT_TYPE
+from shardload.functions.json_members import members
 
 # System fields present in every document, in the order they are
 # added before the user fields.
@@ -51,43 +52,6 @@ def field_value_json(f: Column) -> Column:
 DUP_POLICIES = ("keep", "last", "array")
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _run_ends(entries: Column) -> Column:
-    """Indices of the last entry of every name."""
-    return F.filter(F.transform(entries, lambda x, k: k), lambda k: F.coalesce(
-        F.get(entries, k + 1)["name"] != F.get(entries, k)["name"], F.lit(True)))
-
-
-def _in_order(members: Column) -> Column:
-    return F.transform(F.array_sort(members), lambda m: m["text"])
-
-
-def _member(at: Column, name: Column, body: Column) -> Column:
-    return F.struct(at.alias("i"), F.concat(json_string(name), F.lit(":"), body).alias("text"))
-
-
-def _last_members(entries: Column) -> Column:
-    def one(k):
-        x = F.get(entries, k)
-        return _member(x["i"], x["name"], x["json"])
-    return _in_order(F.transform(_run_ends(entries), one))
-
-
-def _array_members(entries: Column) -> Column:
-    def runs(ends: Column) -> Column:
-        def one(end, r):
-            first = F.coalesce(F.get(ends, r - 1) + 1, F.lit(0))
-            x = F.get(entries, first)
-            values = F.array_join(F.transform(F.slice(entries, first + 1, end - first + 1), lambda v: v["json"]), ",")
-            return _member(x["i"], x["name"], F.when(end > first, F.concat(F.lit("["), values, F.lit("]"))).otherwise(x["json"]))
-        return F.transform(ends, one)
-    return _in_order(_let(_run_ends(entries), runs))
-
-
 def source_json(fields: Column | str = "fields", dup: str = "keep") -> Column:
     """``_source`` JSON object of the user fields in input order.
 
@@ -99,15 +63,12 @@ def source_json(fields: Column | str = "fields", dup: str = "keep") -> Column:
     if dup not in DUP_POLICIES:
         raise ValueError(f"dup must be one of {DUP_POLICIES}")
     fc = F.col(fields) if isinstance(fields, str) else fields
-    valid = F.filter(fc, lambda x: x["name"].isNotNull())
     if dup == "keep":
-        members = F.transform(valid, lambda x: F.concat(json_string(x["name"]), F.lit(":"), field_value_json(x)))
+        valid = F.filter(fc, lambda x: x["name"].isNotNull())
+        joined = F.array_join(F.transform(valid, lambda x: F.concat(json_string(x["name"]), F.lit(":"), field_value_json(x))), ",")
     else:
-        # Sorted by name and position, equal names are neighbours: n log n, whatever repeats.
-        entries = F.array_sort(F.transform(valid, lambda x, i: F.struct(
-            x["name"].alias("name"), i.alias("i"), field_value_json(x).alias("json"))))
-        members = _let(entries, _last_members if dup == "last" else _array_members)
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+        joined = members(fc, dup == "array")
+    return F.concat(F.lit("{"), joined, F.lit("}"))
 
 
 def with_doc_meta(docs: DataFrame, index: str, doc_type: str = DEFAULT_TYPE) -> DataFrame:
