@@ -210,3 +210,17 @@ def parsed(payload: Column, delim: str) -> Column:
     def run(payload: pa.Array) -> pa.Array:
         return fields_of(payload.cast(pa.string()), delim)
     return run(payload)
+
+
+def parsed_checked(payload: Column, doc_id: Column, delim: str) -> Column:
+    """``parsed``; a bad value raises in the batch that has it."""
+    @F.arrow_udf(FIELDS)
+    def run(payload: pa.Array, doc_id: pa.Array) -> pa.Array:
+        fields = fields_of(payload.cast(pa.string()), delim)
+        error = fields.values.field("error")
+        if error.null_count < len(error):
+            at = int(np.flatnonzero(error.is_valid().to_numpy(zero_copy_only=False))[0])
+            doc = int(np.searchsorted(fields.offsets.to_numpy(), at, "right")) - 1
+            raise ValueError(f"bad field value in document {doc_id[doc].as_py()}")
+        return fields
+    return run(payload, doc_id)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardload import DEFAULT_TYPE
+from shardload.functions.field_values import named_values
 from shardload.functions.json_members import members
 
 # System fields present in every document, in the order they are
@@ -121,8 +122,21 @@ def string_doc_values(fields: Column, name: str) -> Column:
 SLOT_OF_TYPE = {"integer": "i", "long": "l", "short": "s", "float": "f", "double": "d", "string": "str"}
 
 
-def doc_values(docs: DataFrame, schema: dict[str, str], keep=("_id",)) -> DataFrame:
-    """One ``ARRAY<T>`` column per field of ``schema`` (name → type)."""
+def _batch_columns(docs: DataFrame, schema: dict[str, str], keep: list[str], how) -> DataFrame:
+    """A column for each name of ``schema``, whose values are picked in the batch that has the fields; ``how`` by type."""
+    from shardload.operators.fields import SPARK_TYPE
+    of = {kind: [n for n, t in schema.items() if how(t) == kind] for kind in dict.fromkeys(map(how, schema.values()))}
+    place = {n: f"_{kind}.v{k}" for kind, names in of.items() for k, n in enumerate(names)}
+    structs = [named_values(F.col("fields"), names, [SLOT_OF_TYPE[schema[n]] for n in names],
+                            [SPARK_TYPE.get(schema[n], "string") for n in names], kind).alias(f"_{kind}") for kind, names in of.items()]
+    return docs.select(*[F.col(c).alias(f"_keep{k}") for k, c in enumerate(keep)], *structs).select(
+        *[F.col(f"_keep{k}").alias(c) for k, c in enumerate(keep)], *[F.col(place[n]).alias(n) for n in schema])
+
+
+def doc_values(docs: DataFrame, schema: dict[str, str], keep=("_id",), in_batch: bool = False) -> DataFrame:
+    """One ``ARRAY<T>`` column per field of ``schema`` (name → type).  ``in_batch`` as in ``parse_docs``."""
+    if in_batch and schema:
+        return _batch_columns(docs, schema, [c for c in keep if c in docs.columns], lambda t: "set" if t == "string" else "sorted")
     fc = F.col("fields")
     cols = []
     for name, typ in schema.items():
@@ -207,14 +221,17 @@ def column_names(names, keep=()) -> dict[str, str]:
 
 
 def to_wide(docs: DataFrame, schema: dict[str, str] | None = None, multi: str = "first",
-            keep=("_id",), max_columns: int = MAX_COLUMNS) -> DataFrame:
+            keep=("_id",), max_columns: int = MAX_COLUMNS, in_batch: bool = False) -> DataFrame:
     """Typed wide columns from the dynamic fields.
 
     ``multi='first'`` keeps the first value in input order, ``'array'`` all values in input order.  With a
     ``schema`` a column takes the values declared with its type.  Without one the schema is discovered
-    (``discover_schema``) and a column takes every value of its name, widened to the joined type; a bad value is null."""
+    (``discover_schema``) and a column takes every value of its name, widened to the joined type; a bad value is null.
+    ``in_batch``, with a schema, as in ``parse_docs``."""
     fc, cols = F.col("fields"), []
     keep = [c for c in keep if c in docs.columns]
+    if in_batch and schema:
+        return _batch_columns(docs, schema, keep, lambda t: "first" if multi == "first" else "all")
     discovered = schema is None
     if discovered:
         schema = discover_schema(docs, max_columns)

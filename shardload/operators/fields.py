@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardload import DEFAULT_DELIM
-from shardload.functions.field_parse import NUMERIC_TYPES, TAG_PREFIX, parsed
+from shardload.functions.field_parse import NUMERIC_TYPES, TAG_PREFIX, parsed, parsed_checked
 from shardload.functions.field_sums import partial_sums
+from shardload.functions.field_values import some_members
 from shardload.functions.split import java_split
 
 # Fixed values of the line format.
@@ -147,15 +148,24 @@ def parse_meta_fields(keyed: DataFrame, meta: str, delim: str = DEFAULT_DELIM, o
     return docs.drop("payload")
 
 
-def parse_docs(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "fail") -> DataFrame:
+def parse_docs(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str = "fail", in_batch: bool = False) -> DataFrame:
     """Keyed lines → ``(_doc, _id, fields)``.
 
     ``on_error``: ``fail`` raises on the first bad value (the reference's
     behaviour), ``reject`` leaves documents with a bad value out (``rejects``
     has them; a build in this mode keeps them beside the others),
     ``null`` keeps them with the bad fields' value slots null.
+
+    ``in_batch`` (with ``fail``) is for a plan that takes ``fields`` once, by a batch function such as those of
+    ``field_values``: Spark runs it in the call that parses, and a bad value raises there.  Such a plan must not filter on
+    ``fields`` (the filter would parse again), and one that does not take them checks no values.
     """
     check_on_error(on_error)
+    if in_batch:
+        if on_error != "fail":
+            raise ValueError("in_batch is for on_error='fail'")
+        extra = [c for c in keyed.columns if c not in ("_doc", "_id", "payload")]
+        return keyed.select("_doc", "_id", *extra, parsed_checked(F.col("payload"), F.col("_id"), delim).alias("fields"))
     # The parse sits in a generator so that a filter on its result cannot be
     # pushed below it and evaluate the whole parse a second time.
     extra = [c for c in keyed.columns if c not in ("_doc", "_id", "payload")]
@@ -185,11 +195,18 @@ def rejects(keyed: DataFrame, delim: str = DEFAULT_DELIM) -> DataFrame:
             .select("_doc", "_id", "b.*"))
 
 
-def fields_long(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id"), outer: bool = False) -> DataFrame:
+def fields_long(docs: DataFrame, keep: tuple[str, ...] = ("_doc", "_id"), outer: bool = False,
+                members: tuple[str, ...] | None = None) -> DataFrame:
     """B1 long form: one row per field (``outer`` keeps empty documents as
-    one all-null row; positions are in the ``pos`` field)."""
+    one all-null row; positions are in the ``pos`` field).  With ``members`` the
+    others are left out in the batch, before the rows are made (``parse_docs``, ``in_batch``)."""
     keep = tuple(c for c in keep if c in docs.columns)
+    if members is not None:
+        docs = docs.select(*keep, some_members(F.col("fields"), list(members)).alias("fields"))
     gen = F.explode_outer("fields") if outer else F.explode("fields")
+    if members is not None and not outer:
+        # Spark filters what ``explode`` takes by its size, and would parse for that once more.
+        return docs.select(*keep, F.explode_outer("fields").alias("f")).where("f IS NOT NULL").select(*keep, "f.*")
     return docs.select(*keep, gen.alias("f")).select(*keep, "f.*")
 
 

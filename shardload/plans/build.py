@@ -19,14 +19,14 @@ RANGE_BYTES = 32 << 20
 
 
 def parsed_docs(lines: DataFrame, delim: str = DEFAULT_DELIM, auto_id: bool = False,
-                on_error: str = "fail", shards: int = DEFAULT_SHARDS) -> DataFrame:
+                on_error: str = "fail", shards: int = DEFAULT_SHARDS, in_batch: bool = False) -> DataFrame:
     """``(_doc, _id, shard_id, fields)`` — parsed and routed, not yet placed.
 
     The routing hash runs on the thin keyed lines, before the parse, so the
     rows held while Python hashes a batch are ids and payloads, not parsed
     field arrays."""
     keyed = route(keyed_lines(lines, delim=delim, auto_id=auto_id), shards)
-    return parse_docs(keyed, delim=delim, on_error=on_error)
+    return parse_docs(keyed, delim=delim, on_error=on_error, in_batch=in_batch)
 
 
 def placed_lines(keyed: DataFrame, shards: int = DEFAULT_SHARDS, split: int = 1, range_bytes: int | None = None) -> DataFrame:

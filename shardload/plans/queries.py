@@ -81,9 +81,9 @@ def q_custom_delim(spark, sf):
 @query
 def q_fields_long(spark, sf):
     """B1: one row per field of each line item."""
-    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
-    return fields_long(docs).select("_id", "pos", "name", "type",
-                                    numeric_value().alias("num"), F.col("str"))
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS, in_batch=True)
+    return fields_long(docs, members=("pos", "name", "type", "i", "l", "s", "f", "d", "str")).select(
+        "_id", "pos", "name", "type", numeric_value().alias("num"), F.col("str"))
 
 
 @query
@@ -115,8 +115,8 @@ def q_typed_fields(spark, sf):
 @query
 def q_unknown_type(spark, sf):
     """B4f: a declared type that is not a number type gives a string."""
-    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
-    return (fields_long(docs, keep=()).where(F.col("name") == "status")
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS, in_batch=True)
+    return (fields_long(docs, keep=(), members=("name", "type", "str")).where(F.col("name") == "status")
             .groupBy("name", "type", F.col("str").alias("value")).agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -208,16 +208,16 @@ def _join_values(arr):
 @query
 def q_docvalues_num(spark, sf):
     """C4: numeric doc values of ``num`` (sorted, duplicates kept)."""
-    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
-    dv = doc_values(docs, {"num": "integer"}, keep=("_id",))
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS, in_batch=True)
+    dv = doc_values(docs, {"num": "integer"}, keep=("_id",), in_batch=True)
     return dv.select("_id", _join_values(F.col("num")).alias("num_values"), F.size("num").alias("n_values"))
 
 
 @query
 def q_docvalues_str(spark, sf):
     """String doc values of ``code`` (sorted set)."""
-    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
-    dv = doc_values(docs, {"code": "string"}, keep=("_id",))
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS, in_batch=True)
+    dv = doc_values(docs, {"code": "string"}, keep=("_id",), in_batch=True)
     return dv.select("_id", F.array_join("code", ",").alias("code_values"), F.size("code").alias("n_values"))
 
 
@@ -261,9 +261,9 @@ def q_bad_numbers(spark, sf):
 @query
 def q_wide(spark, sf):
     """Typed wide table of the line items."""
-    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS, in_batch=True)
     return to_wide(docs, {"qty": "double", "line": "integer", "part": "long", "disc": "float",
-                          "ship": "short", "flag": "string", "code": "string"})
+                          "ship": "short", "flag": "string", "code": "string"}, in_batch=True)
 
 
 @query
@@ -585,9 +585,9 @@ def q_source_dup(spark, sf):
 def q_range_wide(spark, sf):
     """E2 on a written wide table: the same range as ``q_range`` on scalar
     columns, so the bounds reach the Parquet scan as pushed filters."""
-    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS)
+    docs = parsed_docs(lineitem_lines(spark, sf), shards=SHARDS, in_batch=True)
     path = scratch_path(spark, "wide")
-    to_wide(docs, {"ship": "short", "qty": "double"}).write.parquet(path)
+    to_wide(docs, {"ship": "short", "qty": "double"}, in_batch=True).write.parquet(path)
     wide = spark.read.parquet(path)
     return (wide.where(range_("ship", "short", 9500, 9600, include_lo=True, include_hi=False, wide=True)
                        & range_("qty", "double", lo=45, include_lo=False, wide=True))
