@@ -184,13 +184,13 @@ def join_types(types) -> str:
     return "float" if (_INTEGRAL[whole], _REAL[real]) == ("short", "float") else "double"
 
 
-def discover_schema(docs: DataFrame, max_columns: int = MAX_COLUMNS) -> dict[str, str]:
+def discover_schema(docs: DataFrame, max_columns: int = MAX_COLUMNS, in_batch: bool = False) -> dict[str, str]:
     """C8 for C7: ``name -> type`` of the dynamic fields in order of name, one pass over the documents.
 
     Tags are not columns: a name that begins with the tag prefix and is an integer wherever it occurs is one
     (bare tokens make unboundedly many).  A name with several declared types gets their join."""
     from shardload.operators.fields import TAG_PREFIX, infer_fields
-    types = infer_fields(docs).groupBy("name").agg(F.collect_set("type").alias("types"))  # at most six a name
+    types = infer_fields(docs, in_batch).groupBy("name").agg(F.collect_set("type").alias("types"))  # at most six a name
     tag = F.col("name").startswith(TAG_PREFIX) & (F.size("types") == 1) & F.array_contains("types", "integer")
     found = types.where(~tag).limit(max_columns + 1).collect()
     if len(found) > max_columns:

@@ -111,11 +111,11 @@ def parse_in_place(keyed: DataFrame, delim: str = DEFAULT_DELIM, on_error: str =
     keeps bad fields with null slots, ``reject`` marks documents in ``_bad``
     (see ``kept`` and ``rejected``)."""
     check_on_error(on_error)
+    if on_error == "fail":
+        return keyed.withColumn("fields", parsed_checked(F.col("payload"), F.col("_id"), delim)).drop("payload")
     docs = keyed.withColumn("fields", parse_fields(F.col("payload"), delim))
     if on_error == "reject":
         docs = docs.withColumn(BAD, bad_values(F.col("fields"), F.col("payload"), delim))
-    elif on_error == "fail":
-        docs = docs.withColumn("fields", fail_on_error(F.col("fields"), F.col("_id")))
     return docs.drop("payload")
 
 
@@ -239,11 +239,13 @@ def key_value(key: Column) -> Column:
     return F.substr(key, F.lit(2 * _LENGTH + 1) + n[0] + n[1])
 
 
-def infer_fields(docs: DataFrame) -> DataFrame:
+def infer_fields(docs: DataFrame, in_batch: bool = False) -> DataFrame:
     """Per field name, the declared types seen, documents and values.
 
     One pass, one aggregation: each batch emits a row for every (name, type) it has;
-    only these partial sums are shuffled.
+    only these partial sums are shuffled.  ``in_batch`` as in ``parse_docs``.
     """
+    if in_batch:
+        docs = docs.select(some_members(F.col("fields"), ["name", "type"]).alias("fields"))
     return (partial_sums(docs, ranges=False).groupBy("name", "type")
             .agg(F.sum("dc").alias("docs"), F.sum("ttf").alias("n_values")))

@@ -269,7 +269,7 @@ def q_wide(spark, sf):
 @query
 def q_infer_schema(spark, sf):
     """Names, declared types, documents and values of the line items."""
-    return infer_fields(parsed_docs(lineitem_lines(spark, sf), shards=SHARDS))
+    return infer_fields(parsed_docs(lineitem_lines(spark, sf), shards=SHARDS, in_batch=True), in_batch=True)
 
 
 @query
@@ -674,9 +674,9 @@ def q_wide_discovered(spark, sf):
 @query
 def q_discover_schema(spark, sf):
     """C8 resolved: the joined type of every name that is a column, with its values and declared types."""
-    docs = parsed_docs(mixed_lines(spark, sf), shards=SHARDS)
-    joined = F.create_map(*[F.lit(x) for pair in discover_schema(docs).items() for x in pair])
-    return (infer_fields(docs).withColumn("joined", F.try_element_at(joined, "name")).where("joined IS NOT NULL")
+    docs = parsed_docs(mixed_lines(spark, sf), shards=SHARDS, in_batch=True)
+    joined = F.create_map(*[F.lit(x) for pair in discover_schema(docs, in_batch=True).items() for x in pair])
+    return (infer_fields(docs, in_batch=True).withColumn("joined", F.try_element_at(joined, "name")).where("joined IS NOT NULL")
             .groupBy("name", "joined").agg(F.count(F.lit(1)).alias("n_types"), F.sum("n_values").alias("n_values")))
 
 

@@ -6,9 +6,9 @@ import pytest
 from conftest import lines_df
 from pyspark.sql import functions as F
 
-from shardload.operators.docs import doc_values, to_wide
-from shardload.operators.fields import fields_long
-from shardload.plans.build import parsed_docs
+from shardload.operators.docs import discover_schema, doc_values, to_wide
+from shardload.operators.fields import fields_long, infer_fields
+from shardload.plans.build import parsed_docs, shard_docs
 from shardload.plans.queries import QUERIES
 
 LINES = ["1\tn:3:integer,n:-1:integer,n:3:integer,x:0.0:double,x:NaN:double,x:-0.0:double,x:-1.5:double,s:é,s:z,s:a,s:z", "2\tn:text,s:5:long,x",
@@ -60,3 +60,20 @@ def test_picking_from_documents_that_were_parsed_before(spark):
     for kw in ({"multi": "first"}, {"multi": "array"}):
         assert rows(to_wide(docs, SCHEMA, in_batch=True, **kw)) == rows(to_wide(docs, SCHEMA, **kw))
     assert rows(doc_values(docs, SCHEMA, in_batch=True)) == rows(doc_values(docs, SCHEMA))
+
+
+def test_names_and_types_of_a_batch(spark):
+    lines = lines_df(spark, LINES)
+    docs, before = parsed_docs(lines, shards=2, in_batch=True), parsed_docs(lines, shards=2)
+    assert rows(infer_fields(docs, in_batch=True)) == rows(infer_fields(before))
+    assert discover_schema(docs, in_batch=True) == discover_schema(before)
+    nodes = infer_fields(docs, in_batch=True)._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+    assert nodes == 1
+
+
+def test_a_build_checks_values_where_it_parses(spark):
+    """A build's fields are checked in the batch, not rewritten one by one behind it."""
+    docs = shard_docs(lines_df(spark, LINES), "i", "t", shards=2)
+    assert "raise_error" not in docs._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(Exception, match="bad field value in document odd"):
+        shard_docs(lines_df(spark, [*LINES, "odd\ta:x:integer"]), "i", "t", shards=2).collect()
