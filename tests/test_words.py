@@ -7,7 +7,7 @@ import regex
 from pyspark.sql import functions as F
 
 from conftest import lines_df
-from shardload.operators.postings import MAX_TOKEN, word_tokens
+from shardload.operators.postings import MAX_TOKEN, WORD_PATTERN, _latin_word, _word_pattern, word_tokens
 
 # Fixed cases, by rule of Annex 29: text -> words.
 CASES = {
@@ -69,6 +69,38 @@ def test_long_runs_and_long_tokens(spark):
     assert [len(x) for x in got[0]] == [MAX_TOKEN] * (n // MAX_TOKEN) + [n % MAX_TOKEN]
 
 
+def extracted(spark, texts, **patterns):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    return [(r, texts[r.i]) for r in df.select("i", *[F.regexp_extract_all("t", F.lit(p), 0).alias(k) for k, p in patterns.items()]).collect()]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_latin_words_are_those_of_the_whole_rules(spark, seed):
+    """The short pattern for ASCII and Latin letters comes first; the result is that of the whole rules."""
+    rnd = random.Random(seed)
+    letters = "abZßñéÀÿĀŁɏÖª µ×÷09_" + "אבкカ漢あ19٣́­‍\U0001F3FB\U0001D400ไ"
+    marks = "'''..,,;;::_\"’·‧-@\n\t \x00\x7f "
+    texts = ["".join(rnd.choice(letters[:rnd.choice((12, 20, len(letters)))] if rnd.random() < 0.7 else marks)
+                     for _ in range(rnd.randrange(1, 30))) for _ in range(3000)]
+    texts += [(c * 300 + t) for t in ("", "x", "é", "カ", ".é") for c in ("1.", "a'", "_a", "a", "a:é")]
+    wrong = [(ascii(t), r.now, r.whole) for r, t in extracted(spark, texts, now=WORD_PATTERN, whole=_word_pattern()) if r.now != r.whole]
+    assert not wrong, wrong[:3]
+
+
+def test_every_character_alone_and_between_letters(spark):
+    texts = [f"{c} a{c}b 1{c}2 _{c}" for c in map(chr, [*range(0x3100), *range(0xA640, 0xD7FF, 7), *range(0xE000, 0x10000), *range(0x10000, 0x20000, 5)])]
+    wrong = [ascii(t) for r, t in extracted(spark, texts, now=WORD_PATTERN, whole=_word_pattern()) if r.now != r.whole]
+    assert not wrong, wrong[:3]
+
+
+def test_plain_words_are_taken_by_the_short_pattern(spark):
+    """No word of ASCII or Latin letters alone is left to the whole rules."""
+    texts = ["don't stop 3.14 1,000;2 a:b _x_ x__9,5", "für été b.com", "a.カ aカ"]
+    got = {t: r.short for r, t in extracted(spark, texts, short=_latin_word())}
+    assert got[texts[0]] == ["don't", "stop", "3.14", "1,000;2", "a:b", "_x_", "x__9,5"]
+    assert got[texts[1]] == ["für", "été", "b.com"] and got[texts[2]] == []
+
+
 def test_the_index_of_a_build(spark, scratch):
     from shardload.plans.build import shard_docs
     from shardload.plans.publish import publish, read_current_part
