@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardload.llm import wordhash
-from shardload.llm.common import saved, small
+from shardload.llm.common import saved, slices, small
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, PER_BLOCK = 8, 2
@@ -194,7 +194,7 @@ def _candidates(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = held.open()
-        for batch in batches:
+        for batch in slices(batches):
             texts, rows, own = batch.column(1).to_pylist(), [], []
             for first, off, h in wordhash.words(texts, wordhash.NOT_ALNUM):
                 if len(h) < SHINGLE:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from shardload.llm import wordhash
-from shardload.llm.common import saved, small, spread_join
+from shardload.llm.common import saved, slices, small, spread_join
 from shardload.llm.graph import components
 
 SHINGLE, PERCENT = 5, 80
@@ -90,7 +90,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         for first, sets in _sets(batch.column(2).to_pylist()):
             c, c2 = _class_ids(sets)
             full = [s for s in sets if len(s)]
@@ -128,7 +128,7 @@ def _posted(classes: DataFrame, percent: int) -> DataFrame:
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``(c, shingles)`` of the ``wanted(id, c)`` classes, read from the texts of these rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for first, sets in _sets(batch.column(1).to_pylist()):
                 edges = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                 c = batch.column(0).slice(first, len(sets))

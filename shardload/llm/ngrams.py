@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Characters handled at once; a longer text is cut into pieces that overlap, so no n-gram is lost or counted twice.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _MULT = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], dtype=np.uint32)
 

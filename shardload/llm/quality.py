@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardload.llm import ngrams
-from shardload.llm.common import saved, small
+from shardload.llm.common import saved, slices, small
 
 ORDERS, BITS = (1, 2, 3), 16
 SAMPLE_ROWS = 6000
@@ -58,7 +58,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(buckets, pa.int32()), pa.array(neg, pa.int64()), pa.array(pos, pa.int64()),
             pa.array(label, pa.int32()), pa.array(feats, pa.binary())], ["bucket", "neg", "pos", "label", "feats"])
 
-    for batch in batches:
+    for batch in slices(batches):
         labels, sampled = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         keep = []
         for i, at in _indicators(batch.column(0).to_pylist()):
@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             s = _scores(batch.column(0).to_pylist(), model)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(s)], [*keep, "score"])
 
@@ -197,7 +197,7 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text", accept: float =
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(_scores(batch.column(at).to_pylist(), model) >= accept))
 
     return docs.mapInArrow(run, docs.schema)
